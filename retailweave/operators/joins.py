@@ -15,6 +15,10 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
+from math import ceil
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,14 +26,14 @@ from pyspark.sql import types as T
 
 MAX_BROADCAST_BYTES = 256 * 1024 * 1024
 
-# Sketch sizes for finding hot keys. They bound the memory of the search and
-# the number of salted keys; keys that are not found are joined unsalted, and
-# AQE splits their partitions.
+# Sizes of the search for hot keys. They bound its memory and its result; a key
+# that is not found is joined unsalted, and AQE splits its partition.
 HOT_KEYS = 1000
 TRACKED_KEYS = 10_000
 SKETCH_GROUPS = 512
 
-_KEY, _SALT, _COPIES, _HOT = "__key", "__salt", "__copies", "__hot_key"
+# Copies of each hot key of a column.
+Copies = dict[object, int]
 
 
 def star_join(
@@ -49,88 +53,161 @@ def star_join(
     """
     if strategy not in ("broadcast", "shuffle"):
         raise ValueError(f"unknown join strategy {strategy!r}")
-    keys = [key for _, key in dimensions]
     columns = _output_columns(fact, dimensions)
-    small = [strategy == "broadcast" and measured_bytes(dim) <= max_broadcast_bytes for dim, _ in dimensions]
+    keys = [key for _, key in dimensions]
+    sides = [_Side.of(fact, dimension, key) for dimension, key in dimensions]
+    small = [False] * len(sides)
+    if strategy == "broadcast":
+        small = [size <= max_broadcast_bytes for size in measured_bytes([side.dimension for side in sides])]
+    fact = fact.withColumns({side.name: side.fact_key for side in sides})
     # Inner joins commute: broadcast first, so that fewer rows reach a shuffle.
-    order = sorted(range(len(dimensions)), key=lambda i: not small[i])
-    joined = fact
-    for i in order:
-        dimension, key = dimensions[i]
-        join = broadcast_join if small[i] else shuffle_join
-        joined = join(joined, dimension, key)
-    return joined.select(*reversed(keys), *columns)
-
-
-def broadcast_join(fact: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
-    """Inner join on ``key`` with the dimension on every executor. The caller checks its size."""
-    left, right = _comparable(fact, dimension, key)
-    keyed = dimension.withColumn(_KEY, right).drop(key)
-    return fact.join(F.broadcast(keyed), left == F.col(_KEY)).drop(_KEY)
-
-
-def shuffle_join(fact: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
-    """Inner join on ``key`` without a hint, the hot keys of the fact table salted."""
-    left, right = _comparable(fact, dimension, key)
-    fact = fact.withColumn(_KEY, left).where(F.col(_KEY).isNotNull())
-    dimension = dimension.withColumn(_KEY, right).drop(key).where(F.col(_KEY).isNotNull())
-    # At most HOT_KEYS rows by construction, hence safe to broadcast.
-    hot = F.broadcast(hot_keys(fact, _KEY).withColumnRenamed(_KEY, _HOT))
-    # The input partition as salt: spread also over identical rows, and the same
-    # again when a lost task is repeated.
-    salted = (
-        fact.join(hot, F.col(_KEY) == F.col(_HOT), "left")
-        .withColumn(_SALT, F.pmod(F.spark_partition_id(), F.coalesce(_COPIES, F.lit(1))))
-        .drop(_HOT, _COPIES)
-    )
-    copied = (
-        dimension.join(hot, F.col(_KEY) == F.col(_HOT), "left")
-        .withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.coalesce(_COPIES, F.lit(1)) - 1)))
-        .drop(_HOT, _COPIES)
+    for side, fits in zip(sides, small):
+        if fits:
+            fact = fact.join(F.broadcast(side.dimension), side.name)
+    shuffled = [side for side, fits in zip(sides, small) if not fits]
+    fact = _shuffle_join(fact, shuffled)
+    return fact.select(*(f"`{key}`" for key in reversed(keys)), *columns)
+
+
+@dataclass(frozen=True)
+class _Side:
+    """A dimension with its key as column ``name``, and the fact table's expression for that key."""
+
+    name: str
+    fact_key: Column
+    dimension: DataFrame
+
+    @staticmethod
+    def of(fact: DataFrame, dimension: DataFrame, key: str) -> _Side:
+        """Text keys are read as the other side's type where only one side is text.
+
+        Text that does not read as that type matches nothing instead of failing.
+        """
+        left, right = (df.select(key).schema[0].dataType for df in (fact, dimension))
+        fact_key, dimension_key = F.col(key), F.col(key)
+        if isinstance(left, T.StringType) and not isinstance(right, T.StringType):
+            fact_key = fact_key.try_cast(right)
+        elif isinstance(right, T.StringType) and not isinstance(left, T.StringType):
+            dimension_key = dimension_key.try_cast(left)
+        name = f"__key_{key}"
+        return _Side(name, fact_key, dimension.withColumn(name, dimension_key).drop(key))
+
+
+def _shuffle_join(fact: DataFrame, sides: Sequence[_Side]) -> DataFrame:
+    """Inner joins without a hint, the hot keys of the fact table salted."""
+    if not sides:
+        return fact
+    present = fact.where(reduce(and_, (F.col(side.name).isNotNull() for side in sides)))
+    hot = hot_keys(present, [side.name for side in sides])
+    salts = {side.name: f"__salt_{side.name}" for side in sides if hot[side.name]}
+    salted = {
+        side.name: _Salt(f"__salt_{side.name}", _copies_table(present, side.name, hot[side.name]))
+        for side in sides
+        if hot[side.name]
+    }
+    # A salt comes from the row and the partition it is read in: that spreads
+    # identical rows too, and a repeated task sets the same ones. All are set
+    # before the first shuffle.
+    content = [f.name for f in present.schema.fields if isinstance(f.dataType, T.AtomicType)]
+    for name, salt in salted.items():
+        present = salt.add_copies(present, name)
+    present = present.withColumns(
+        {
+            salt.name: F.when(F.col(salt.name) > 1, F.pmod(F.xxhash64(F.spark_partition_id(), *content), salt.name))
+            .otherwise(0)
+            .cast("int")
+            for salt in salted.values()
+        }
     )
-    return salted.join(copied, [_KEY, _SALT]).drop(_KEY, _SALT)
+    for side in sides:
+        dimension, on = side.dimension, [side.name]
+        if side.name in salted:
+            salt = salted[side.name]
+            dimension = salt.add_copies(dimension.where(F.col(side.name).isNotNull()), side.name).withColumn(
+                salt.name, F.explode(F.sequence(F.lit(0), F.col(salt.name) - 1))
+            )
+            on = [side.name, salt.name]
+        present = present.join(dimension, on)
+    return present
+
+
+@dataclass(frozen=True)
+class _Salt:
+    """A salt column and the number of its values for each hot key."""
+
+    name: str
+    copies: DataFrame
+
+    def add_copies(self, df: DataFrame, key: str) -> DataFrame:
+        """``df`` with the number of copies of its key: 1 for all but the hot keys."""
+        # At most HOT_KEYS rows, hence safe to broadcast.
+        hot = F.broadcast(self.copies.withColumnRenamed("copies", self.name))
+        return df.join(hot, key, "left").withColumn(self.name, F.coalesce(self.name, F.lit(1)))
+
+
+def _copies_table(df: DataFrame, key: str, copies: Copies) -> DataFrame:
+    schema = T.StructType([df.schema[key], T.StructField("copies", T.IntegerType())])
+    return df.sparkSession.createDataFrame(list(copies.items()), schema)
 
 
-def hot_keys(df: DataFrame, key: str) -> DataFrame:
-    """``(key, __copies)`` for the keys that hold more than one average shuffle partition.
+def hot_keys(df: DataFrame, keys: Sequence[str]) -> dict[str, Copies]:
+    """For each key column, the values that hold more than one average shuffle partition.
 
-    Reads the key column once, without shuffling rows: each task keeps a frequent-items
-    sketch of fixed size, and the sketches are merged in two steps so that no
-    single task receives all of them.
+    Each comes with the number of partitions its rows would fill. One pass over
+    the key columns shuffles no rows: each task keeps a frequent-items sketch of
+    fixed size per column, and the sketches are merged in two steps so that no
+    single task receives all of them. At most ``HOT_KEYS`` values per column
+    come back.
     """
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sketches = (
-        df.select(key, F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("part"))
+        df.select(*keys, F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("part"))
         .groupBy("part")
-        .agg(F.expr(f"approx_top_k_accumulate(`{key}`, {TRACKED_KEYS})").alias("sketch"), F.count("*").alias("rows"))
-    )
-    merged = sketches.agg(
-        F.expr(f"approx_top_k_estimate(approx_top_k_combine(sketch, {TRACKED_KEYS}), {HOT_KEYS})").alias("top"),
-        F.sum("rows").alias("rows"),
-    )
-    share = F.col("top.count") * partitions / F.col("rows")
-    return (
-        merged.select(F.explode("top").alias("top"), "rows")
-        .where(share > 1)
-        .select(
-            F.col("top.item").alias(key),
-            F.least(F.lit(partitions), F.ceil(share)).cast("int").alias(_COPIES),
+        .agg(
+            F.count("*").alias("n_rows"),
+            *(F.expr(f"approx_top_k_accumulate(`{key}`, {TRACKED_KEYS})").alias(key) for key in keys),
         )
     )
-
-
-def measured_bytes(df: DataFrame) -> int:
-    """Size of the rows in memory as a broadcast table would hold them, by one aggregate over ``df``."""
-    per_row = F.lit(16 * (len(df.columns) + 2))
+    # One group, and so no row for an empty input.
+    found = sketches.groupBy(F.lit(0).alias("all")).agg(
+        F.sum("n_rows").alias("n_rows"),
+        *(
+            F.expr(f"approx_top_k_estimate(approx_top_k_combine(`{key}`, {TRACKED_KEYS}), {HOT_KEYS})").alias(key)
+            for key in keys
+        ),
+    ).first()
+    if found is None:
+        return {key: {} for key in keys}
+    return {
+        key: {
+            top["item"]: min(partitions, ceil(top["count"] * partitions / found.n_rows))
+            for top in found[key]
+            if top["count"] * partitions > found.n_rows
+        }
+        for key in keys
+    }
+
+
+def measured_bytes(frames: Sequence[DataFrame]) -> list[int]:
+    """Size of each frame's rows in memory as a broadcast table holds them, by one aggregate over each."""
+    sizes = [
+        df.agg(F.lit(i).alias("i"), F.coalesce(F.sum(_row_bytes(df)), F.lit(0)).alias("bytes"))
+        for i, df in enumerate(frames)
+    ]
+    return [row.bytes for row in sorted(reduce(DataFrame.union, sizes).collect())]
+
+
+def _row_bytes(df: DataFrame) -> Column:
+    """Twice eight bytes per column and for the entry itself, and the text on top."""
+    size = F.lit(16 * (len(df.columns) + 2)).cast("bigint")
     for field in df.schema.fields:
+        column = F.col(f"`{field.name}`")
         if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-            per_row = per_row + F.coalesce(F.octet_length(F.col(f"`{field.name}`")), F.lit(0))
-        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
-            # Text of a nested value, at 16 bytes for each of its characters.
-            per_row = per_row + F.coalesce(
-                16 * F.octet_length(F.to_json(F.struct(F.col(f"`{field.name}`")))), F.lit(0)
-            )
-    return df.agg(F.sum(per_row.cast("bigint"))).first()[0] or 0
+            size = size + F.coalesce(F.octet_length(column), F.lit(0))
+        elif not isinstance(field.dataType, T.AtomicType):
+            # Nested values at 16 bytes for each character of their text.
+            size = size + F.coalesce(16 * F.octet_length(F.to_json(F.struct(column))), F.lit(0))
+    return size
 
 
 def _output_columns(fact: DataFrame, dimensions: Sequence[tuple[DataFrame, str]]) -> list[str]:
@@ -144,17 +221,3 @@ def _output_columns(fact: DataFrame, dimensions: Sequence[tuple[DataFrame, str]]
     if twice:
         raise ValueError(f"columns on more than one side of the star join: {', '.join(twice)}")
     return [f"`{name}`" for name in names]
-
-
-def _comparable(fact: DataFrame, dimension: DataFrame, key: str) -> tuple[Column, Column]:
-    """The key of both sides, with text read as the other side's type where only one is text.
-
-    Text that does not read as that type matches nothing instead of failing.
-    """
-    left, right = fact.select(key).schema[0].dataType, dimension.select(key).schema[0].dataType
-    left_key, right_key = fact[key], dimension[key]
-    if isinstance(left, T.StringType) and not isinstance(right, T.StringType):
-        return left_key.try_cast(right), right_key
-    if isinstance(right, T.StringType) and not isinstance(left, T.StringType):
-        return left_key, right_key.try_cast(left)
-    return left_key, right_key

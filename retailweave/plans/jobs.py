@@ -10,7 +10,7 @@ from collections.abc import Callable, Mapping
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retailweave.functions import statistics
@@ -88,24 +88,44 @@ def extract_live(spark: SparkSession, jobs: Jobs, date: str | None = None) -> No
     extract(spark, jobs, LIVE, ENTITIES, date)
 
 
+def clean_all(
+    customers: DataFrame, articles: DataFrame, transactions: DataFrame
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The three cleaned frames, for use more than once.
+
+    The median age and the most frequent channel are fetched here, side by side
+    in one query, so that no later use computes them again.
+    """
+    fills = (
+        customers.sparkSession.range(1)
+        .select(
+            statistics.exact_quantile(customers, "age").scalar().alias("age"),
+            statistics.mode(transactions, "sales_channel_id").scalar().alias("channel"),
+        )
+        .first()
+    )
+    return (
+        entities.clean_customers(customers, F.lit(fills.age)),
+        entities.clean_articles(articles),
+        entities.clean_transactions(transactions, F.lit(fills.channel)),
+    )
+
+
 def load(spark: SparkSession, jobs: Jobs, feed: str) -> None:
     """Clean and join the newest snapshots of a feed and write the warehouse tables.
 
-    The cleaned dimensions are kept for the size check, the join and their own
-    table. The fact table is not kept: its cleaning is a projection, and reading
-    Parquet again is cheaper than holding all of it. Only its channel mode is
-    fetched once, for both tables that use it.
+    The cleaned dimensions are kept for their own table, the size check and the
+    join. Their tables come first, so Spark knows their sizes when it plans the
+    join. The fact table is not kept: its cleaning is a projection, and reading
+    Parquet again is cheaper than holding all of it.
     """
-    raw = {
-        entity: read_newest(spark, feed_path(jobs.lake, entity, feed), jobs.snapshot_scope) for entity in ENTITIES
-    }
-    channel = _fetched(statistics.mode(raw["Transactions"], "sales_channel_id"))
-    transactions = entities.clean_transactions(raw["Transactions"], channel)
+    customers, articles, transactions = clean_all(
+        *(read_newest(spark, feed_path(jobs.lake, entity, feed), jobs.snapshot_scope) for entity in ENTITIES)
+    )
     modes = TABLE_MODES[feed]
-    with (
-        _kept(entities.clean_customers(raw["Customers"])) as customers,
-        _kept(entities.clean_articles(raw["Articles"])) as articles,
-    ):
+    with _kept(customers), _kept(articles):
+        jobs.warehouse.write(customers, "customers", modes["customers"])
+        jobs.warehouse.write(articles, "articles", modes["articles"])
         joined = star_join(
             spread(transactions, jobs.fact_partitions),
             [(customers, "customer_id"), (articles, "article_id")],
@@ -113,9 +133,7 @@ def load(spark: SparkSession, jobs: Jobs, feed: str) -> None:
             jobs.max_broadcast_bytes,
         )
         jobs.warehouse.write(joined, "warehouse", modes["warehouse"])
-        jobs.warehouse.write(customers, "customers", modes["customers"])
-        jobs.warehouse.write(articles, "articles", modes["articles"])
-        jobs.warehouse.write(transactions, "transactions", modes["transactions"])
+    jobs.warehouse.write(transactions, "transactions", modes["transactions"])
 
 
 def load_historic(spark: SparkSession, jobs: Jobs) -> None:
@@ -139,12 +157,6 @@ def run_live(spark: SparkSession, jobs: Jobs, date: str | None = None) -> None:
     load_live(spark, jobs)
 
 
-def _fetched(one_row: DataFrame) -> Column:
-    """The value of a one-row frame as a constant; NULL when there is no row."""
-    row = one_row.first()
-    return F.lit(None if row is None else row[0])
-
-
 @contextmanager
 def _kept(df: DataFrame):
     """``df`` persisted for the block."""

@@ -289,10 +289,10 @@ def jon_shuffle_hot_key(spark, sf_dir):
 
 def warehouse(spark, sf_dir):
     """The flagship: cleaned transactions with their cleaned customers and articles."""
-    return star_join(
-        cln_transactions(spark, sf_dir),
-        [(cln_customers(spark, sf_dir), "customer_id"), (cln_articles(spark, sf_dir), "article_id")],
+    customers_clean, articles_clean, transactions_clean = plans.clean_all(
+        customers(spark, sf_dir), articles(spark, sf_dir), transactions(spark, sf_dir)
     )
+    return star_join(transactions_clean, [(customers_clean, "customer_id"), (articles_clean, "article_id")])
 
 
 # ---- jobs ------------------------------------------------------------------

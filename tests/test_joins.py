@@ -1,0 +1,175 @@
+import pytest
+from pyspark.sql import functions as F
+
+from retailweave.operators import joins
+from retailweave.operators.joins import hot_keys, measured_bytes, star_join
+
+from conftest import rows
+
+FACT = "t int, customer_id int, article_id int, price double"
+CUSTOMERS = "customer_id int, name string"
+ARTICLES = "article_id int, kind string"
+
+
+@pytest.fixture
+def star(spark):
+    fact = spark.createDataFrame(
+        [(0, 1, 10, 1.0), (1, 1, 11, 2.0), (2, 2, 10, 3.0), (3, None, 10, 4.0), (4, 9, 10, 5.0), (5, 1, 99, 6.0)], FACT
+    )
+    customers = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (None, "n")], CUSTOMERS)
+    articles = spark.createDataFrame([(10, "x"), (11, "y")], ARTICLES)
+    return fact, [(customers, "customer_id"), (articles, "article_id")]
+
+
+@pytest.mark.parametrize("options", [{}, {"strategy": "shuffle"}, {"max_broadcast_bytes": 0}])
+def test_star_join(star, options):
+    joined = star_join(*star, **options)
+    assert joined.columns == ["article_id", "customer_id", "t", "price", "name", "kind"]
+    assert rows(joined) == [(10, 1, 0, 1.0, "a", "x"), (10, 2, 2, 3.0, "b", "x"), (11, 1, 1, 2.0, "a", "y")]
+
+
+def test_equals_plain_using_joins(star):
+    fact, [(customers, _), (articles, _)] = star
+    plain = fact.join(customers, "customer_id").join(articles, "article_id")
+    joined = star_join(*star)
+    assert joined.columns == plain.columns and rows(joined) == rows(plain)
+
+
+@pytest.mark.parametrize("strategy", ["broadcast", "shuffle"])
+def test_duplicate_dimension_keys_multiply(spark, strategy):
+    fact = spark.createDataFrame([(1, "f")], "k int, f string")
+    dimension = spark.createDataFrame([(1, "a"), (1, "b")], "k int, d string")
+    assert rows(star_join(fact, [(dimension, "k")], strategy)) == [(1, "f", "a"), (1, "f", "b")]
+
+
+def test_names_on_both_sides_are_an_error(star):
+    fact, [(customers, key), articles] = star
+    with pytest.raises(ValueError, match="price"):
+        star_join(fact, [(customers.withColumn("PRICE", F.lit(1)), key), articles])
+
+
+def test_unknown_strategy(star):
+    with pytest.raises(ValueError, match="merge"):
+        star_join(*star, strategy="merge")
+
+
+@pytest.mark.parametrize("strategy", ["broadcast", "shuffle"])
+@pytest.mark.parametrize(
+    "fact_type, fact_key, dimension_type, dimension_keys",
+    [
+        ("int", 663713001, "string", ["0663713001", "abc"]),
+        ("string", "0663713001", "int", [663713001, 5]),
+        ("bigint", 663713001, "int", [663713001, 5]),
+        ("string", "0663713001", "string", ["0663713001", "663713001"]),
+    ],
+)
+def test_key_types(spark, strategy, fact_type, fact_key, dimension_type, dimension_keys):
+    others = [("zzz", 2)] if fact_type == "string" else []
+    fact = spark.createDataFrame([(fact_key, 1), *others], f"article_id {fact_type}, n int")
+    dimension = spark.createDataFrame([(k, "x") for k in dimension_keys], f"article_id {dimension_type}, kind string")
+    joined = star_join(fact, [(dimension, "article_id")], strategy)
+    assert rows(joined) == [(fact_key, 1, "x")]
+    assert joined.schema["article_id"].dataType == fact.schema["article_id"].dataType
+
+
+def test_small_dimensions_are_broadcast(star, plan):
+    text = plan(star_join(*star))
+    assert text.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in text
+
+
+def test_large_dimensions_are_not(spark, star, plan):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert plan(star_join(*star)).count("BroadcastHashJoin") == 2
+        text = plan(star_join(*star, max_broadcast_bytes=1))
+        assert text.count("SortMergeJoin") == 2
+        # One of two fits: it is joined first, without shuffling the fact table.
+        sizes = measured_bytes([dimension for dimension, _ in star[1]])
+        text = plan(star_join(*star, max_broadcast_bytes=min(sizes)))
+        inner = [line.split("[")[0].split()[-1] for line in text.splitlines() if "Inner" in line]
+        assert inner == ["SortMergeJoin", "BroadcastHashJoin"]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_measured_bytes_bound_the_text(spark):
+    df = spark.range(1000).select("id", F.repeat(F.lit("é"), 500).alias("text"), F.array("id").alias("list"))
+    size, nothing = measured_bytes([df, df.limit(0)])
+    assert size >= 1000 * (8 + 1000 + 8) and nothing == 0
+
+
+# ---- hot keys ----------------------------------------------------------------
+
+
+@pytest.fixture
+def skewed(spark):
+    """Two fifths of 20,000 fact rows on one customer, identical rows among them, a third on one article."""
+    fact = spark.range(0, 20_000, 1, 16).select(
+        F.when(F.col("id") % 5 < 2, 7).otherwise(F.col("id") % 1_000).cast("int").alias("customer_id"),
+        F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise((F.col("id") % 501).cast("int")).alias("article_id"),
+        (F.col("id") % 2).alias("n"),
+    )
+    customers = spark.range(0, 990).select(F.col("id").cast("int").alias("customer_id"), F.col("id").alias("c"))
+    articles = spark.range(-1, 480).select(F.col("id").cast("int").alias("article_id"), F.col("id").alias("a"))
+    return fact, [(customers, "customer_id"), (articles, "article_id")]
+
+
+def test_hot_keys_are_found(skewed, spark):
+    found = hot_keys(skewed[0], ["customer_id", "article_id"])
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert set(found["customer_id"]) == {7} and set(found["article_id"]) == {-1}
+    assert 1 < found["customer_id"][7] <= partitions
+
+
+def test_no_hot_keys(spark):
+    even = spark.range(0, 10_000, 1, 4).select((F.col("id") % 5_000).alias("k"))
+    assert hot_keys(even, ["k"]) == {"k": {}}
+    assert hot_keys(even.limit(0), ["k"]) == {"k": {}}
+
+
+def test_salted_join_keeps_every_row_once(skewed, spark, plan):
+    fact, dimensions = skewed
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = star_join(fact, dimensions, "shuffle")
+        text = plan(joined)
+        assert text.count("SortMergeJoin") == 2 and "__salt" in text
+        plain = fact.join(dimensions[0][0], "customer_id").join(dimensions[1][0], "article_id")
+        assert rows(joined) == rows(plain)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_salted_join_of_duplicate_and_differently_typed_keys(skewed, spark):
+    fact, [(customers, key), _] = skewed
+    for dimension_type in ("string", "bigint", "double", "decimal(10,0)"):
+        twice = customers.union(customers).withColumn(key, F.col(key).cast(dimension_type))
+        joined = star_join(fact, [(twice, key)], "shuffle")
+        assert joined.count() == 2 * fact.where(F.col(key) < 990).count()
+
+
+def test_salt_spreads_identical_rows(spark):
+    """The hot key's rows are all equal; no shuffle partition may get most of them."""
+    fact = spark.range(0, 8_000, 1, 16).select(F.lit(1).alias("k"), F.lit("same").alias("f"))
+    dimension = spark.createDataFrame([(1, "d")], "k int, d string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = star_join(fact, [(dimension, "k")], "shuffle")
+        sizes = [row["count"] for row in joined.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(sizes) == 8_000 and max(sizes) <= 4_000
+
+
+def test_even_keys_are_not_salted(star, spark, plan):
+    fact = spark.range(0, 1_000, 1, 4).select((F.col("id") % 500).cast("int").alias("customer_id"))
+    assert "__salt" not in plan(star_join(fact, [star[1][0]], "shuffle"))
+
+
+def test_search_for_hot_keys_has_fixed_bounds():
+    assert joins.HOT_KEYS <= joins.TRACKED_KEYS

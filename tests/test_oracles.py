@@ -1,0 +1,40 @@
+"""Every named query against its SQL, on the smallest tables."""
+
+import duckdb
+import pytest
+
+import __spark_entry__ as contract
+
+SF = "/root/testdata/sf0.001"
+TABLES = ("customer", "part", "orders", "lineitem")
+
+
+@pytest.fixture(scope="module")
+def sql():
+    connection = duckdb.connect()
+    for table in TABLES:
+        connection.sql(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
+    return connection
+
+
+def comparable(table):
+    names = sorted(table.column_names)
+    values = sorted(zip(*(table[name].to_pylist() for name in names)), key=repr)
+    return names, [str(table.schema.field(name).type) for name in names], values
+
+
+@pytest.mark.parametrize("name", contract.queries())
+def test_query_equals_sql(spark, sql, name):
+    result = contract.queries()[name](spark, SF).toArrow()
+    expected = sql.sql(contract.oracle_sql()[name]).to_arrow_table()
+    assert comparable(result) == comparable(expected)
+    assert result.num_rows > 0
+
+
+def test_entry(spark):
+    df = contract.entry(spark)
+    assert df.columns[:2] == ["article_id", "customer_id"] and df.count() > 0
+
+
+def test_every_query_has_sql():
+    assert set(contract.queries()) == set(contract.oracle_sql())

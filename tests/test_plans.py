@@ -1,0 +1,45 @@
+"""What the plans of the named queries read and shuffle."""
+
+import re
+
+import pytest
+
+from retailweave.registry.queries import QUERIES
+
+SF = "/root/testdata/sf0.001"
+
+
+def read_columns(text, table):
+    """Columns read by the scans of a table."""
+    scans = re.findall(rf"FileScan parquet \[([^\]]*)\][^\n]*{table}\.parquet", text)
+    return {column.split("#")[0] for scan in scans for column in scan.split(",")}
+
+
+def test_dropped_columns_are_not_read(spark, plan, tmp_path):
+    spark.range(3).selectExpr("id AS article_id", "'x' AS detail_desc").write.parquet(str(tmp_path / "a"))
+    from retailweave.operators.entities import clean_articles
+
+    text = plan(clean_articles(spark.read.parquet(str(tmp_path / "a"))), "formatted")
+    assert "ReadSchema: struct<article_id:bigint>" in text
+
+
+def test_warehouse_reads_the_used_columns_and_shuffles_no_rows(spark, plan):
+    text = plan(QUERIES["warehouse"](spark, SF))
+    assert read_columns(text, "lineitem") == {"l_orderkey", "l_partkey", "l_linenumber", "l_extendedprice"}
+    assert read_columns(text, "part") == {"p_partkey", "p_name", "p_type", "p_brand"}
+    assert "Exchange hashpartitioning" not in text and "Exchange SinglePartition" not in text
+    assert text.count("Inner, BuildRight") == 3
+
+
+@pytest.mark.parametrize("name", [name for name in QUERIES if re.match("cln|dat|prd|prj|agg|jon|war", name)])
+def test_no_python_and_no_cross_join(spark, plan, name):
+    text = plan(QUERIES[name](spark, SF))
+    for operator in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin", "Window"):
+        assert operator not in text
+
+
+def test_cleaning_transactions_shuffles_only_counts(spark, plan):
+    text = plan(QUERIES["cln_transactions"](spark, SF))
+    shuffles = re.findall(r"\bExchange (\w+)\(([^)]*)", text)
+    assert shuffles == [("hashpartitioning", shuffles[0][1])] and "sales_channel_id" in shuffles[0][1]
+    assert "partial_count" in text
