@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MAX_BROADCAST_BYTES = 256 * 1024 * 1024
+MAX_BROADCAST_BYTES = 512 * 1024 * 1024
 
 # Sizes of the search for hot keys. They bound its memory and its result; a key
 # that is not found is joined unsalted, and AQE splits its partition.
@@ -32,6 +32,10 @@ HOT_KEYS = 1000
 TRACKED_KEYS = 10_000
 SKETCH_GROUPS = 512
 
+# Copies of a hot key per average partition its rows would fill. Salts meet in a
+# partition by chance, so several small ones spread better than one of full size.
+COPIES_PER_PARTITION = 4
+
 # Copies of each hot key of a column.
 Copies = dict[object, int]
 
@@ -59,7 +63,7 @@ def star_join(
     small = [False] * len(sides)
     if strategy == "broadcast":
         small = [size <= max_broadcast_bytes for size in measured_bytes([side.dimension for side in sides])]
-    fact = fact.withColumns({side.name: side.fact_key for side in sides})
+    fact = fact.withColumns({side.name: side.read_key for side in sides if side.read_key is not None})
     # Inner joins commute: broadcast first, so that fewer rows reach a shuffle.
     for side, fits in zip(sides, small):
         if fits:
@@ -71,10 +75,14 @@ def star_join(
 
 @dataclass(frozen=True)
 class _Side:
-    """A dimension with its key as column ``name``, and the fact table's expression for that key."""
+    """A dimension and the column ``name`` that both it and the fact table join on.
+
+    That is the key itself, unless the fact table's key must be read as another
+    type: then ``read_key`` makes the column, and the key stays as it is.
+    """
 
     name: str
-    fact_key: Column
+    read_key: Column | None
     dimension: DataFrame
 
     @staticmethod
@@ -84,13 +92,13 @@ class _Side:
         Text that does not read as that type matches nothing instead of failing.
         """
         left, right = (df.select(key).schema[0].dataType for df in (fact, dimension))
-        fact_key, dimension_key = F.col(key), F.col(key)
-        if isinstance(left, T.StringType) and not isinstance(right, T.StringType):
-            fact_key = fact_key.try_cast(right)
-        elif isinstance(right, T.StringType) and not isinstance(left, T.StringType):
-            dimension_key = dimension_key.try_cast(left)
-        name = f"__key_{key}"
-        return _Side(name, fact_key, dimension.withColumn(name, dimension_key).drop(key))
+        text_left, text_right = (isinstance(data_type, T.StringType) for data_type in (left, right))
+        if text_left and not text_right:
+            name = f"__key_{key}"
+            return _Side(name, F.col(key).try_cast(right), dimension.withColumnRenamed(key, name))
+        if text_right and not text_left:
+            dimension = dimension.withColumn(key, F.col(key).try_cast(left))
+        return _Side(key, None, dimension)
 
 
 def _shuffle_join(fact: DataFrame, sides: Sequence[_Side]) -> DataFrame:
@@ -99,7 +107,6 @@ def _shuffle_join(fact: DataFrame, sides: Sequence[_Side]) -> DataFrame:
         return fact
     present = fact.where(reduce(and_, (F.col(side.name).isNotNull() for side in sides)))
     hot = hot_keys(present, [side.name for side in sides])
-    salts = {side.name: f"__salt_{side.name}" for side in sides if hot[side.name]}
     salted = {
         side.name: _Salt(f"__salt_{side.name}", _copies_table(present, side.name, hot[side.name]))
         for side in sides
@@ -146,14 +153,15 @@ class _Salt:
 
 
 def _copies_table(df: DataFrame, key: str, copies: Copies) -> DataFrame:
-    schema = T.StructType([df.schema[key], T.StructField("copies", T.IntegerType())])
+    key_type = df.select(key).schema[0].dataType
+    schema = T.StructType([T.StructField(key, key_type), T.StructField("copies", T.IntegerType())])
     return df.sparkSession.createDataFrame(list(copies.items()), schema)
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str]) -> dict[str, Copies]:
     """For each key column, the values that hold more than one average shuffle partition.
 
-    Each comes with the number of partitions its rows would fill. One pass over
+    Each comes with the number of copies that spread its rows evenly. One pass over
     the key columns shuffles no rows: each task keeps a frequent-items sketch of
     fixed size per column, and the sketches are merged in two steps so that no
     single task receives all of them. At most ``HOT_KEYS`` values per column
@@ -180,7 +188,7 @@ def hot_keys(df: DataFrame, keys: Sequence[str]) -> dict[str, Copies]:
         return {key: {} for key in keys}
     return {
         key: {
-            top["item"]: min(partitions, ceil(top["count"] * partitions / found.n_rows))
+            top["item"]: ceil(COPIES_PER_PARTITION * top["count"] * partitions / found.n_rows)
             for top in found[key]
             if top["count"] * partitions > found.n_rows
         }

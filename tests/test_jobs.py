@@ -1,3 +1,4 @@
+import dataclasses
 import os
 
 import pytest
@@ -112,6 +113,19 @@ def test_live_snapshots_are_replaced_or_appended(spark, jobs):
     assert size == {"Customers": 3, "Articles": 2, "Transactions": 4}
 
 
+@pytest.mark.parametrize(
+    "options", [{"join_strategy": "shuffle"}, {"max_broadcast_bytes": 0}, {"fact_partitions": 8, "n_files": 1}]
+)
+def test_layout_and_join_options_change_no_row(spark, jobs, tmp_path, options):
+    run_historic(spark, jobs, "2024-01-31")
+    other = dataclasses.replace(
+        jobs, lake=f"{jobs.lake}-2", warehouse=Warehouse("parquet", {"path": str(tmp_path / "tables-2")}), **options
+    )
+    run_historic(spark, other, "2024-01-31")
+    expected, result = tables(spark, jobs), tables(spark, other)
+    assert all(rows(result[name]) == rows(expected[name]) for name in expected)
+
+
 def test_fills_come_from_the_feed_alone(spark, jobs):
     run_historic(spark, jobs, "2024-01-31")
     run_live(spark, jobs, "2024-01-31")
