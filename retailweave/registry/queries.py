@@ -301,15 +301,12 @@ def warehouse(spark, sf_dir):
 def _jobs(spark, sf_dir) -> tuple[plans.Jobs, str]:
     """Jobs whose sources are the raw tables, with the historic transactions as CSV."""
     folder = work_folder(spark)
-    csv = f"{folder}/source/transactions.csv"
-    transactions(spark, sf_dir).write.csv(csv, header=True)
     tables = {
         "Customers": lambda session: customers(session, sf_dir),
         "Articles": lambda session: articles(session, sf_dir),
     }
     sources = {
-        plans.HISTORIC: tables
-        | {"Transactions": lambda session: read_csv(session, csv, fixtures.TRANSACTIONS_SCHEMA)},
+        plans.HISTORIC: tables | {"Transactions": lambda session: src_csv(session, sf_dir)},
         plans.LIVE: tables | {"Transactions": lambda session: transactions(session, sf_dir)},
     }
     target = Warehouse("parquet", {"path": f"{folder}/tables"})
