@@ -7,8 +7,9 @@ Two ways to join a dimension, chosen by its measured size:
   dimension fits.
 * ``shuffle``: no hint, so Spark picks and AQE re-plans. Before the shuffle the
   hot keys of the fact table are salted: their rows are spread over several
-  copies of the key, and the dimension rows of those keys are copied as often.
-  Every fact row still meets every dimension row of its key exactly once.
+  parts, and the dimension rows of those keys are copied to each part. Keys that
+  a dimension repeats that often are salted the other way round. Every
+  fact row still meets every dimension row of its key exactly once.
 """
 
 from __future__ import annotations
@@ -29,15 +30,13 @@ MAX_BROADCAST_BYTES = 512 * 1024 * 1024
 # Sizes of the search for hot keys. They bound its memory and its result; a key
 # that is not found is joined unsalted, and AQE splits its partition.
 HOT_KEYS = 1000
+HOT_ROWS = 1000
 TRACKED_KEYS = 10_000
 SKETCH_GROUPS = 512
 
-# Copies of a hot key per average partition its rows would fill. Salts meet in a
+# Parts of a hot key per average partition its rows would fill. Parts meet in a
 # partition by chance, so several small ones spread better than one of full size.
-COPIES_PER_PARTITION = 4
-
-# Copies of each hot key of a column.
-Copies = dict[object, int]
+PARTS_PER_PARTITION = 4
 
 
 def star_join(
@@ -102,66 +101,77 @@ class _Side:
 
 
 def _shuffle_join(fact: DataFrame, sides: Sequence[_Side]) -> DataFrame:
-    """Inner joins without a hint, the hot keys of the fact table salted."""
+    """Inner joins without a hint, the hot keys of both sides salted."""
     if not sides:
         return fact
-    present = fact.where(reduce(and_, (F.col(side.name).isNotNull() for side in sides)))
-    hot = hot_keys(present, [side.name for side in sides])
-    salted = {
-        side.name: _Salt(f"__salt_{side.name}", _copies_table(present, side.name, hot[side.name]))
-        for side in sides
-        if hot[side.name]
-    }
-    # A salt comes from the row and the partition it is read in: that spreads
-    # identical rows too, and a repeated task sets the same ones. All are set
-    # before the first shuffle.
-    content = [f.name for f in present.schema.fields if isinstance(f.dataType, T.AtomicType)]
-    for name, salt in salted.items():
-        present = salt.add_copies(present, name)
-    present = present.withColumns(
-        {
-            salt.name: F.when(F.col(salt.name) > 1, F.pmod(F.xxhash64(F.spark_partition_id(), *content), salt.name))
-            .otherwise(0)
-            .cast("int")
-            for salt in salted.values()
-        }
-    )
-    for side in sides:
-        dimension, on = side.dimension, [side.name]
-        if side.name in salted:
-            salt = salted[side.name]
-            dimension = salt.add_copies(dimension.where(F.col(side.name).isNotNull()), side.name).withColumn(
-                salt.name, F.explode(F.sequence(F.lit(0), F.col(salt.name) - 1))
-            )
-            on = [side.name, salt.name]
-        present = present.join(dimension, on)
-    return present
+    fact = fact.where(reduce(and_, (F.col(side.name).isNotNull() for side in sides)))
+    dimensions = {side.name: side.dimension.where(F.col(side.name).isNotNull()) for side in sides}
+    hot = hot_keys(fact, list(dimensions))
+    salts = {name: _Salt.of(f"__salt_{name}", fact, name, hot[name]) for name in dimensions if hot[name]}
+    # All set before the first shuffle, which brings identical rows together.
+    for salt in salts.values():
+        fact = salt.spread(fact)
+    for name, dimension in dimensions.items():
+        on = [name]
+        if name in salts:
+            on.append(salts[name].name)
+            dimension = salts[name].copy(dimension)
+        repeated = hot_keys(dimensions[name], [name])[name]
+        if repeated:
+            salt = _Salt.of(f"__copy_{name}", dimension, name, repeated)
+            on.append(salt.name)
+            dimension, fact = salt.spread(dimension), salt.copy(fact)
+        fact = fact.join(dimension, on)
+    return fact
 
 
 @dataclass(frozen=True)
 class _Salt:
-    """A salt column and the number of its values for each hot key."""
+    """A second join column that cuts the rows of each hot key into several parts.
+
+    One side is spread over the parts and the other is copied to each of them,
+    so that two rows with the same key meet in exactly one part.
+    """
 
     name: str
-    copies: DataFrame
+    key: str
+    parts: DataFrame
 
-    def add_copies(self, df: DataFrame, key: str) -> DataFrame:
-        """``df`` with the number of copies of its key: 1 for all but the hot keys."""
-        # At most HOT_KEYS rows, hence safe to broadcast.
-        hot = F.broadcast(self.copies.withColumnRenamed("copies", self.name))
-        return df.join(hot, key, "left").withColumn(self.name, F.coalesce(self.name, F.lit(1)))
+    @staticmethod
+    def of(name: str, df: DataFrame, key: str, hot: dict[object, int]) -> _Salt:
+        schema = T.StructType(
+            [T.StructField(key, df.select(key).schema[0].dataType), T.StructField(name, T.IntegerType())]
+        )
+        return _Salt(name, key, df.sparkSession.createDataFrame(list(hot.items()), schema))
 
+    def spread(self, df: DataFrame) -> DataFrame:
+        """Every row to one part, by its values and the partition it is read in.
 
-def _copies_table(df: DataFrame, key: str, copies: Copies) -> DataFrame:
-    key_type = df.select(key).schema[0].dataType
-    schema = T.StructType([T.StructField(key, key_type), T.StructField("copies", T.IntegerType())])
-    return df.sparkSession.createDataFrame(list(copies.items()), schema)
+        That spreads identical rows too, and a repeated task does the same again.
+        """
+        values = [field.name for field in df.schema.fields if isinstance(field.dataType, T.AtomicType)]
+        part = F.pmod(F.xxhash64(F.spark_partition_id(), *values), self.name).cast("int")
+        return self._with_parts(df).withColumn(self.name, F.when(F.col(self.name) > 1, part).otherwise(0))
+
+    def copy(self, df: DataFrame) -> DataFrame:
+        """Every row to all parts of its key."""
+        return self._with_parts(df).withColumn(
+            self.name, F.explode(F.sequence(F.lit(0), F.col(self.name) - 1))
+        )
+
+    def _with_parts(self, df: DataFrame) -> DataFrame:
+        """``df`` with the number of parts of its key, which is 1 for all but the hot keys."""
+        # At most HOT_KEYS rows, hence safe to broadcast.
+        return df.join(F.broadcast(self.parts), self.key, "left").withColumn(
+            self.name, F.coalesce(self.name, F.lit(1))
+        )
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str]) -> dict[str, Copies]:
+def hot_keys(df: DataFrame, keys: Sequence[str]) -> dict[str, dict[object, int]]:
     """For each key column, the values that hold more than one average shuffle partition.
 
-    Each comes with the number of copies that spread its rows evenly. One pass over
+    Each comes with the number of parts that spread its rows evenly. Values with
+    fewer than ``HOT_ROWS`` rows are no load for a task and left out. One pass over
     the key columns shuffles no rows: each task keeps a frequent-items sketch of
     fixed size per column, and the sketches are merged in two steps so that no
     single task receives all of them. At most ``HOT_KEYS`` values per column
@@ -188,9 +198,9 @@ def hot_keys(df: DataFrame, keys: Sequence[str]) -> dict[str, Copies]:
         return {key: {} for key in keys}
     return {
         key: {
-            top["item"]: ceil(COPIES_PER_PARTITION * top["count"] * partitions / found.n_rows)
+            top["item"]: ceil(PARTS_PER_PARTITION * top["count"] * partitions / found.n_rows)
             for top in found[key]
-            if top["count"] * partitions > found.n_rows
+            if top["count"] * partitions > found.n_rows and top["count"] >= HOT_ROWS
         }
         for key in keys
     }

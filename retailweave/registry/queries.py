@@ -29,7 +29,7 @@ def work_folder(spark: SparkSession) -> str:
 
     It stays after the query, whose result is still to be read from it.
     """
-    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared is None:
         shared = tempfile.mkdtemp(prefix="retailweave-")
     return f"{shared.rstrip('/')}/retailweave-{uuid.uuid4().hex}"

@@ -119,7 +119,7 @@ def test_hot_keys_are_found(skewed, spark):
     found = hot_keys(skewed[0], ["customer_id", "article_id"])
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert set(found["customer_id"]) == {7} and set(found["article_id"]) == {-1}
-    assert found["customer_id"][7] == pytest.approx(joins.COPIES_PER_PARTITION * partitions * 0.4, abs=1)
+    assert found["customer_id"][7] == pytest.approx(joins.PARTS_PER_PARTITION * partitions * 0.4, abs=1)
 
 
 def test_no_hot_keys(spark):
@@ -150,6 +150,28 @@ def test_salted_join_of_duplicate_and_differently_typed_keys(skewed, spark):
         assert joined.count() == 2 * fact.where(F.col(key) < 990).count()
 
 
+@pytest.mark.parametrize("also_hot_in_fact", [False, True])
+def test_repeated_dimension_key(spark, also_hot_in_fact):
+    """A third of the dimension's rows share one key, hot in the fact table as well or not."""
+    n_hot = 1_500 if also_hot_in_fact else 3
+    fact = spark.range(0, 4_000, 1, 8).select(
+        F.when(F.col("id") < n_hot, 0).otherwise(F.col("id")).alias("k"), F.col("id").alias("f")
+    )
+    dimension = spark.range(0, 6_000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), F.col("id").alias("d")
+    )
+    assert hot_keys(dimension, ["k"])["k"].keys() == {0}
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined, plain = star_join(fact, [(dimension, "k")], "shuffle"), fact.join(dimension, "k")
+        sums = [F.count("*"), F.sum("f"), F.sum("d"), F.sum(F.xxhash64("k", "f", "d").cast("decimal(38,0)"))]
+        assert joined.agg(*sums).first() == plain.agg(*sums).first()
+        assert joined.distinct().count() == plain.count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_salt_spreads_identical_rows(spark):
     """The hot key's rows are all equal; no shuffle partition may get most of them."""
     fact = spark.range(0, 8_000, 1, 16).select(F.lit(1).alias("k"), F.lit("same").alias("f"))
@@ -182,5 +204,6 @@ def test_even_keys_are_not_salted(star, spark, plan):
     assert "__salt" not in plan(star_join(fact, [star[1][0]], "shuffle"))
 
 
-def test_search_for_hot_keys_has_fixed_bounds():
-    assert joins.HOT_KEYS <= joins.TRACKED_KEYS
+def test_few_rows_are_never_hot(spark):
+    assert hot_keys(spark.range(joins.HOT_ROWS - 1).select(F.lit(1).alias("k")), ["k"]) == {"k": {}}
+    assert hot_keys(spark.range(joins.HOT_ROWS).select(F.lit(1).alias("k")), ["k"])["k"].keys() == {1}
