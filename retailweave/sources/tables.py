@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -34,34 +36,53 @@ def read_jdbc(
 ) -> DataFrame:
     """A whole database table: every column, every row.
 
-    The table is read in ``num_partitions`` parallel ranges of ``partition_column``, by
-    default its first integral, date or timestamp column, between the column's
-    minimum and maximum, which the database computes. Rows with a NULL there
-    come with the first range. A table without such a column, or
-    ``num_partitions=1``, is read by one task. ``options`` are those of Spark's
-    JDBC source (``user``, ``password``, ``driver``, ``fetchsize`` and so on).
+    The table is read in ``num_partitions`` parallel ranges of ``partition_column``
+    between its minimum and maximum, which the database computes. By default
+    that is the integral, date or timestamp column with the widest range. Rows
+    with a NULL there come with the first range. A table without such a column,
+    or ``num_partitions=1``, is read by one task. ``options`` are those of
+    Spark's JDBC source (``user``, ``password``, ``driver``, ``fetchsize`` and so on).
     """
 
     def load(**more: str) -> DataFrame:
         return spark.read.format("jdbc").options(url=url, **options, **more).load()
 
     whole = load(dbtable=table)
-    if partition_column is None:
-        partition_column = next((f.name for f in whole.schema.fields if _splits(f.dataType)), None)
-    if num_partitions == 1 or partition_column is None:
+    if partition_column is not None:
+        candidates = [partition_column]
+    else:
+        candidates = [field.name for field in whole.schema.fields if _splits(field.dataType)]
+    if num_partitions == 1 or not candidates:
         return whole
-    ends = load(query=f"SELECT MIN({partition_column}) AS low, MAX({partition_column}) AS high FROM {table}")
-    low, high = ends.select(*(ends[name].cast("string") for name in ends.columns)).first()
-    if low is None:
+    ends = ", ".join(f"MIN({name}) AS low_{i}, MAX({name}) AS high_{i}" for i, name in enumerate(candidates))
+    found = load(query=f"SELECT {ends} FROM {table}")
+    row = found.select(*found.columns, *(found[name].cast("string") for name in found.columns)).first()
+    values, texts = row[: len(row) // 2], row[len(row) // 2 :]
+    ranges = {
+        name: (_steps(low, high), texts[2 * i], texts[2 * i + 1])
+        for i, (name, low, high) in enumerate(zip(candidates, values[::2], values[1::2]))
+        if low is not None
+    }
+    if not ranges:
         return whole
+    widest = max(ranges, key=lambda name: ranges[name][0])
+    _, low, high = ranges[widest]
     return load(
         dbtable=table,
-        partitionColumn=partition_column,
+        partitionColumn=widest,
         lowerBound=low,
         upperBound=high,
         numPartitions=str(num_partitions),
     )
 
 
+def _steps(low, high) -> float:
+    """Width of a range in units, days or seconds."""
+    width = high - low
+    if isinstance(width, timedelta):
+        return width.total_seconds() if isinstance(low, datetime) else width.days
+    return width
+
+
 def _splits(data_type: T.DataType) -> bool:
     return isinstance(data_type, (T.IntegralType, T.DateType, T.TimestampType))

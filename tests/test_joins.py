@@ -1,4 +1,6 @@
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from retailweave.operators import joins
@@ -204,6 +206,33 @@ def test_even_keys_are_not_salted(star, spark, plan):
     assert "__salt" not in plan(star_join(fact, [star[1][0]], "shuffle"))
 
 
+KEYS = st.one_of(st.none(), st.sampled_from([1, 1, 1, 2, 3]), st.integers(0, 30))
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    st.lists(st.tuples(KEYS, KEYS), max_size=40),
+    st.lists(KEYS, min_size=1, max_size=25),
+    st.lists(KEYS, min_size=1, max_size=25),
+)
+def test_salting_on_both_sides_equals_brute_force(spark, fact_keys, a_keys, b_keys):
+    """Random keys with NULLs and repeats, and every frequent key salted however few rows it has."""
+    fact = spark.createDataFrame([(a, b, i) for i, (a, b) in enumerate(fact_keys)], "a int, b int, i int").repartition(4)
+    left = spark.createDataFrame([(a, i) for i, a in enumerate(a_keys)], "a int, x int").repartition(3)
+    right = spark.createDataFrame([(b, i) for i, b in enumerate(b_keys)], "b int, y int").repartition(3)
+    expected = [
+        (b, a, i, x, y)
+        for i, (a, b) in enumerate(fact_keys)
+        for x, a_key in enumerate(a_keys)
+        for y, b_key in enumerate(b_keys)
+        if a is not None and b is not None and a == a_key and b == b_key
+    ]
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(joins, "HOT_ROWS", 1)
+        joined = star_join(fact, [(left, "a"), (right, "b")], "shuffle")
+        assert rows(joined) == sorted(expected, key=repr)
+
+
 def test_few_rows_are_never_hot(spark):
     assert hot_keys(spark.range(joins.HOT_ROWS - 1).select(F.lit(1).alias("k")), ["k"]) == {"k": {}}
     assert hot_keys(spark.range(joins.HOT_ROWS).select(F.lit(1).alias("k")), ["k"])["k"].keys() == {1}

@@ -67,17 +67,26 @@ class FakeJdbc:
         return self.ends if "query" in self.current else self.table
 
 
-def fake(spark, schema, low=None, high=None, ends_schema="low int, high int"):
-    return FakeJdbc(spark, spark.createDataFrame([], schema), spark.createDataFrame([(low, high)], ends_schema))
+def fake(spark, schema, *ends, ends_schema="low_0 int, high_0 int"):
+    return FakeJdbc(spark, spark.createDataFrame([], schema), spark.createDataFrame([ends], ends_schema))
 
 
 ACCESS = {"user": "u", "password": "p"}
 
 
-def test_jdbc_reads_ranges_of_the_first_splittable_column(spark):
-    source = fake(spark, "name string, price double, n int, d date", 3, 99)
+def test_jdbc_reads_ranges_of_the_widest_column(spark):
+    day = datetime.date(2018, 9, 20)
+    source = fake(
+        spark,
+        "name string, flag int, price double, n int, d date",
+        *(0, 1, 3, 99, day, day + datetime.timedelta(days=30)),
+        ends_schema="low_0 int, high_0 int, low_1 int, high_1 int, low_2 date, high_2 date",
+    )
     tables.read_jdbc(source, "jdbc:x", "sales", num_partitions=7, **ACCESS)
-    assert source.reads[1]["query"] == "SELECT MIN(n) AS low, MAX(n) AS high FROM sales"
+    assert source.reads[1]["query"] == (
+        "SELECT MIN(flag) AS low_0, MAX(flag) AS high_0, MIN(n) AS low_1, MAX(n) AS high_1, "
+        "MIN(d) AS low_2, MAX(d) AS high_2 FROM sales"
+    )
     assert source.reads[-1] == {
         "url": "jdbc:x",
         "dbtable": "sales",
@@ -89,21 +98,35 @@ def test_jdbc_reads_ranges_of_the_first_splittable_column(spark):
     }
 
 
-def test_jdbc_reads_ranges_of_a_date_column(spark):
+def test_jdbc_reads_ranges_of_a_given_column(spark):
     day = datetime.date(2018, 9, 20)
-    source = fake(spark, "n int, d date", day, day, "LOW date, HIGH date")
+    source = fake(spark, "n int, d date", day, day, ends_schema="LOW_0 date, HIGH_0 date")
     tables.read_jdbc(source, "jdbc:x", "sales", partition_column="d")
+    assert source.reads[-1]["partitionColumn"] == "d"
     assert source.reads[-1]["lowerBound"] == "2018-09-20"
     assert source.reads[-1]["numPartitions"] == str(tables.JDBC_PARTITIONS)
 
 
+def test_jdbc_ranges_of_timestamps_count_seconds(spark):
+    start = datetime.datetime(2020, 1, 1)
+    source = fake(
+        spark,
+        "n int, at timestamp",
+        *(0, 5000, start, start + datetime.timedelta(hours=2)),
+        ends_schema="low_0 int, high_0 int, low_1 timestamp_ntz, high_1 timestamp_ntz",
+    )
+    tables.read_jdbc(source, "jdbc:x", "sales")
+    assert source.reads[-1]["partitionColumn"] == "at"
+    assert source.reads[-1]["lowerBound"] == "2020-01-01 00:00:00"
+
+
 @pytest.mark.parametrize(
     "schema, options",
     [("name string", {}), ("n int", {"num_partitions": 1}), ("n int", {})],
     ids=["no column to split", "one partition asked", "empty table"],
 )
 def test_jdbc_reads_at_once(spark, schema, options):
-    source = fake(spark, schema)
+    source = fake(spark, schema, None, None)
     tables.read_jdbc(source, "jdbc:x", "sales", **options, **ACCESS)
     assert source.reads[0] == {"url": "jdbc:x", "dbtable": "sales", **ACCESS}
     assert all("partitionColumn" not in read for read in source.reads)
