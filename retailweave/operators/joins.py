@@ -149,7 +149,7 @@ class _Salt:
 
         That spreads identical rows too, and a repeated task does the same again.
         """
-        values = [field.name for field in df.schema.fields if isinstance(field.dataType, T.AtomicType)]
+        values = [f"`{field.name}`" for field in df.schema.fields if isinstance(field.dataType, T.AtomicType)]
         part = F.pmod(F.xxhash64(F.spark_partition_id(), *values), self.name).cast("int")
         return self._with_parts(df).withColumn(self.name, F.when(F.col(self.name) > 1, part).otherwise(0))
 

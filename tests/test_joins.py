@@ -233,6 +233,14 @@ def test_salting_on_both_sides_equals_brute_force(spark, fact_keys, a_keys, b_ke
         assert rows(joined) == sorted(expected, key=repr)
 
 
+def test_odd_column_names_and_nested_columns(spark):
+    fact = spark.range(4_000).select(F.lit(1).alias("k"), F.col("id").alias("a.b"), F.create_map("id", "id").alias("m"))
+    dimension = spark.createDataFrame([(1, "d")], "k int, `c d` string")
+    for strategy in ("broadcast", "shuffle"):
+        joined = star_join(fact, [(dimension, "k")], strategy)
+        assert joined.columns == ["k", "a.b", "m", "c d"] and joined.count() == 4_000
+
+
 def test_few_rows_are_never_hot(spark):
     assert hot_keys(spark.range(joins.HOT_ROWS - 1).select(F.lit(1).alias("k")), ["k"]) == {"k": {}}
     assert hot_keys(spark.range(joins.HOT_ROWS).select(F.lit(1).alias("k")), ["k"])["k"].keys() == {1}

@@ -197,6 +197,13 @@ def test_markers_do_not_count(spark, tmp_path):
     assert read_newest(spark, root).count() == 3
 
 
+def test_unfinished_writes_do_not_count(spark, tmp_path):
+    write_snapshot(spark.range(3), str(tmp_path / "2024-01-31"))
+    set_time(data_files(tmp_path), 1_000)
+    spark.range(5).write.parquet(str(tmp_path / "2024-01-31" / "_temporary" / "0"))
+    assert read_newest(spark, str(tmp_path)).count() == 3
+
+
 @pytest.mark.parametrize("exists", [True, False])
 def test_no_snapshot(spark, tmp_path, exists):
     root = tmp_path / "feed"
