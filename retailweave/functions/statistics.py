@@ -12,6 +12,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+# Sketches are merged in this many groups of tasks, and each group is summed up
+# by the values at this many even steps.
+SKETCH_GROUPS = 128
+SKETCH_STEPS = 1000
+
+
 def exact_quantile(df: DataFrame, column: str, q: float = 0.5, accuracy: int = 2000) -> DataFrame:
     """One row ``(value double)``: the smallest value with at least ``q`` of the rows at or below it.
 
@@ -19,19 +25,28 @@ def exact_quantile(df: DataFrame, column: str, q: float = 0.5, accuracy: int = 2
     any value the result is NULL.
 
     An exact quantile alone keeps every distinct value in one task. Here a first
-    pass takes a bounded sketch of the column, whose error bound gives two
-    values that enclose the answer. The second pass clamps the column to those
-    two values, which does not move the quantile but leaves only the distinct
-    values between them to count: at most ``6 / accuracy`` of the rows. The
-    result is checked against the row counts, so a sketch that missed its
-    bound is an error and never a wrong value.
+    pass takes sketches of bounded size, whose error bound gives two values that
+    enclose the answer. The second pass clamps the column to those two values,
+    which does not move the quantile but leaves only the distinct values
+    between them to count, less than one in a hundred rows. The result is
+    checked against the row counts, so a sketch that missed its bound is an
+    error and never a wrong value.
     """
     values = df.select(F.col(column).cast("double").alias("value")).where(
         F.col("value").isNotNull() & ~F.isnan("value")
     )
-    margin = 2 / accuracy
-    sketch = values.agg(
-        F.percentile_approx("value", [max(q - margin, 0.0), min(q + margin, 1.0)], accuracy).alias("ends")
+    grouped = (
+        values.withColumn("part", F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)))
+        .groupBy("part")
+        .agg(
+            F.percentile_approx("value", [i / SKETCH_STEPS for i in range(SKETCH_STEPS + 1)], accuracy).alias("steps"),
+            F.count("*").alias("n_rows"),
+        )
+    )
+    # A rank read from the weighted steps is off by at most one step and one sketch error.
+    margin = 2 * (1 / SKETCH_STEPS + 1 / accuracy)
+    sketch = grouped.select(F.explode("steps").alias("step"), "n_rows").agg(
+        F.percentile("step", [max(q - margin, 0.0), min(q + margin, 1.0)], F.col("n_rows")).alias("ends")
     )
     enclosed = values.withColumns(
         {"low": sketch.select(F.col("ends")[0]).scalar(), "high": sketch.select(F.col("ends")[1]).scalar()}

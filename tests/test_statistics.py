@@ -52,6 +52,15 @@ def test_many_values_over_many_partitions(spark, accuracy):
     assert statistics.exact_quantile(df, "x", 0.5, accuracy).first().value == 24_999 / 3
 
 
+@pytest.mark.parametrize("partitions", [3, 150, 300])
+@pytest.mark.parametrize("q", [0.01, 0.5, 0.99])
+def test_sorted_partitions_of_unequal_size(spark, partitions, q):
+    """Each partition holds a range of its own, so the groups of tasks differ as much as they can."""
+    df = spark.range(0, 60_000, 1, partitions).where("id < 20000 OR id % 7 = 0").select("id")
+    values = [i for i in range(60_000) if i < 20_000 or i % 7 == 0]
+    assert statistics.exact_quantile(df, "id", q).first().value == values[math.ceil(q * len(values)) - 1]
+
+
 def test_hot_value(spark):
     """A third of the rows share one value, on either side of the median or at it."""
     for hot in (0, 5_000, 15_000):
