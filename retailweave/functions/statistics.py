@@ -35,11 +35,12 @@ def exact_quantile(df: DataFrame, column: str, q: float = 0.5, accuracy: int = 2
     values = df.select(F.col(column).cast("double").alias("value")).where(
         F.col("value").isNotNull() & ~F.isnan("value")
     )
+    steps = ", ".join(f"{i / SKETCH_STEPS}D" for i in range(SKETCH_STEPS + 1))
     grouped = (
         values.withColumn("part", F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)))
         .groupBy("part")
         .agg(
-            F.percentile_approx("value", [i / SKETCH_STEPS for i in range(SKETCH_STEPS + 1)], accuracy).alias("steps"),
+            F.expr(f"percentile_approx(value, array({steps}), {accuracy})").alias("steps"),
             F.count("*").alias("n_rows"),
         )
     )
