@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +13,7 @@ from retailweave.operators.joins import star_join
 from retailweave.plans import jobs as plans
 from retailweave.registry import fixtures
 from retailweave.registry.fixtures import articles, customers, hot_transactions, transactions
+from retailweave.sinks.scratch import work_folder
 from retailweave.sinks.writers import Warehouse, spread, write_snapshot
 from retailweave.sources.snapshots import feed_path, read_newest, run_date
 from retailweave.sources.tables import read_csv, read_parquet
@@ -24,17 +23,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 RUN_DATES = ("2024-01-31", "2024-02-01")
 
 
-def work_folder(spark: SparkSession) -> str:
-    """A new folder for one query's files, in the shared folder the session names.
-
-    It stays after the query, whose result is still to be read from it.
-    """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared is None:
-        shared = tempfile.mkdtemp(prefix="retailweave-")
-    return f"{shared.rstrip('/')}/retailweave-{uuid.uuid4().hex}"
-
-
 # ---- sources ---------------------------------------------------------------
 
 

@@ -4,6 +4,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from retailweave.registry.oracles import ORACLES
+from retailweave.registry.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 TABLES = ("customer", "part", "orders", "lineitem")
@@ -23,7 +25,7 @@ def comparable(table):
     return names, [str(table.schema.field(name).type) for name in names], values
 
 
-@pytest.mark.parametrize("name", contract.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query_equals_sql(spark, sql, name):
     result = contract.queries()[name](spark, SF).toArrow()
     expected = sql.sql(contract.oracle_sql()[name]).to_arrow_table()
@@ -37,4 +39,5 @@ def test_entry(spark):
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert QUERIES.items() <= contract.queries().items() and ORACLES.items() <= contract.oracle_sql().items()
