@@ -44,7 +44,23 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM docs LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+OP7 = f"""
+WITH RECURSIVE vectors AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (SELECT x.vec_id AS a, y.vec_id AS b FROM vectors x JOIN vectors y
+          ON x.label = y.label AND x.vec_id <> y.vec_id AND len(x.v) = len(y.v)
+          WHERE list_dot_product(x.v, y.v) / sqrt(list_dot_product(x.v, x.v) * list_dot_product(y.v, y.v)) >= 0.98),
+{_REACH},
+classes AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+counts AS (SELECT a, count(*) AS n_links FROM links GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, coalesce(component_id, vec_id) AS component_id,
+       coalesce(component_id, vec_id) = vec_id AS kept
+FROM embeddings LEFT JOIN classes ON classes.a = vec_id LEFT JOIN counts ON counts.a = vec_id
+"""
+
 ORACLES = {
     "op3_ngram_jaccard_join": OP3,
     "op5_benchmark_decontamination": OP5,
+    "op7_embedding_near_dedup": OP7,
 }

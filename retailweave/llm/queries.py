@@ -7,17 +7,37 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retailweave.llm import decontamination, jaccard_join
+from retailweave.llm import decontamination, grid_join, jaccard_join, language, licenses, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _remainder(of: int):
+    """crc32 of the document id as text, modulo ``of``; it decides what is held out."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % of
+
+
+def op1_toxicity(spark, sf_dir):
+    documents = _table(spark, sf_dir, "documents")
+    labels = _table(spark, sf_dir, "labels").where("toxic is not null").select("doc_id", "toxic")
+    model = toxicity.learn(toxicity.labelled(documents.select("doc_id", "text").where(_remainder(5) != 0), labels))
+    scored = toxicity.score_toxicity(documents, model, keep=["doc_id"])
+    return scored.select("doc_id", (_remainder(5) == 0).alias("held_out"), "score", "predicted")
+
+
 def op3_ngram_jaccard_join(spark, sf_dir):
     return jaccard_join.similarity_join(_table(spark, sf_dir, "documents"))
 
 
+def op4_language_id(spark, sf_dir):
+    documents = _table(spark, sf_dir, "documents")
+    profiles = language.learn(documents.where(_remainder(4) != 2))
+    found = language.identify(documents, profiles, keep=["doc_id"])
+    return found.select("doc_id", (_remainder(4) == 2).alias("held_out"), "lang_pred", "score")
+
+
 def op5_benchmark_decontamination(spark, sf_dir):
     found = decontamination.search(
         _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), keep=["doc_id"]
@@ -32,7 +52,32 @@ def op5_benchmark_decontamination(spark, sf_dir):
     )
 
 
+def op7_embedding_near_dedup(spark, sf_dir):
+    return grid_join.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
+def op9_license_scans(spark, sf_dir):
+    found = licenses.scan_licenses(_table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_base",
+        "first_word",
+        "last_word",
+        F.array_join("base_labels", ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"),
+        "score",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
-    "op5_benchmark_decontamination": op5_benchmark_decontamination,
+    query.__name__: query
+    for query in (
+        op1_toxicity,
+        op3_ngram_jaccard_join,
+        op4_language_id,
+        op5_benchmark_decontamination,
+        op7_embedding_near_dedup,
+        op9_license_scans,
+    )
 }

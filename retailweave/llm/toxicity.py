@@ -22,13 +22,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from retailweave.llm.batches import add_columns, pieces, quoted, text_bytes
+from retailweave.llm.batches import add_columns, quoted
+from retailweave.operators.joins import measured_bytes
 
 PREFIX_LENGTHS = (4, 5, 6)
 MIN_TOXIC = 5  # training documents that a term must mark
 MIN_WEIGHT = 2.0  # least log-odds, and 1.96 standard errors less
 MAX_TERMS = 5000  # size of the lexicon; the terms that tell most are taken
-FIT_ROWS = 20_000  # labelled rows of each label that the regression is fitted on
+FIT_ROWS = 20_000  # rows of each label that the regression is fitted on, about
+MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
 _FLUSH = 200_000
 
@@ -158,14 +160,29 @@ def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield flush()
 
 
-def learn(rows: DataFrame, label: str = "toxic", text: str = "text", exceptions: tuple[str, ...] = EXCEPTIONS, fit_rows: int = FIT_ROWS) -> Model:
+def labelled(documents: DataFrame, labels: DataFrame, key: str = "doc_id", max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """The documents with a label. The labels are broadcast if they measure at most ``max_broadcast_bytes``, else both sides are shuffled."""
+    fits = measured_bytes([labels])[0] <= max_broadcast_bytes
+    return documents.join(F.broadcast(labels) if fits else labels, key)
+
+
+def learn(
+    rows: DataFrame,
+    label: str = "toxic",
+    text: str = "text",
+    key: str = "doc_id",
+    exceptions: tuple[str, ...] = EXCEPTIONS,
+    fit_rows: int = FIT_ROWS,
+) -> Model:
     """The lexicon and the regression from all ``rows`` with a label 0 or 1; others say nothing.
 
-    The counts behind the weights cover all rows. The regression is fitted on at most
-    ``fit_rows`` rows of each label, those whose texts have the smallest hashes. Without
-    rows of both labels there is no lexicon, and every score is 0.5 or the one label's side.
+    The counts behind the weights cover all rows. The regression is fitted on a sample of about
+    ``fit_rows`` rows of each label, drawn by the hash of ``key`` and weighted back to their
+    numbers. Without rows of both labels there is no lexicon and every text gets the one label.
     """
-    known = rows.select(quoted(label).cast("int").alias("label"), quoted(text).cast("string").alias("text")).where("label in (0, 1)")
+    known = rows.select(
+        quoted(label).cast("int").alias("label"), quoted(text).cast("string").alias("text"), quoted(key).alias("key")
+    ).where("label in (0, 1)")
     totals = {row["label"]: row["count"] for row in known.groupBy("label").count().collect()}
     n_toxic, n_other = totals.get(1, 0), totals.get(0, 0)
     if not n_toxic or not n_other:
@@ -173,7 +190,7 @@ def learn(rows: DataFrame, label: str = "toxic", text: str = "text", exceptions:
     odds = F.log((F.col("toxic") + 0.5) / (n_toxic + 1.0)) - F.log((F.col("other") + 0.5) / (n_other + 1.0))
     weight = odds - 1.96 * F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("other") + 0.5))
     lexicon = (
-        known.mapInArrow(_count_terms, "term string, toxic long, other long")
+        known.select("label", "text").mapInArrow(_count_terms, "term string, toxic long, other long")
         .groupBy("term")
         .agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
         .where(F.col("toxic") >= MIN_TOXIC)
@@ -191,9 +208,12 @@ def learn(rows: DataFrame, label: str = "toxic", text: str = "text", exceptions:
             values = np.array([matcher.features(x.as_py()) for x in batch.column(1)]).reshape(-1, 4).T
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(v) for v in values)], ["label", "a", "b", "c", "d"])
 
-    sample = [known.where(F.col("label") == value).orderBy(F.xxhash64("text")).limit(fit_rows) for value in (0, 1)]
-    table = sample[0].union(sample[1]).mapInArrow(features, "label int, a double, b double, c double, d double").toPandas()
-    shares = np.where(table["label"] == 1, n_toxic / max(1, (table["label"] == 1).sum()), n_other / max(1, (table["label"] == 0).sum()))
+    # Texts are not moved for the sample: a row is in it if the hash of its key is small enough.
+    part = F.pmod(F.xxhash64("key"), F.lit(1 << 20)) / float(1 << 20)
+    sample = known.where(part < F.when(F.col("label") == 1, fit_rows / n_toxic).otherwise(fit_rows / n_other))
+    table = sample.select("label", "text").mapInArrow(features, "label int, a double, b double, c double, d double").toPandas()
+    drawn = table["label"].value_counts()
+    shares = table["label"].map({1: n_toxic / drawn.get(1, 1), 0: n_other / drawn.get(0, 1)}).to_numpy()
     return Model(terms, _logistic(table[["a", "b", "c", "d"]].to_numpy(), table["label"].to_numpy(), shares), exceptions)
 
 
