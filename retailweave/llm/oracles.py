@@ -57,6 +57,15 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM docs LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+OP6 = """
+WITH payloads AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+largest AS (SELECT payload, max(page_id) AS response FROM payloads WHERE octet_length(payload) >= 1000 GROUP BY payload)
+SELECT page_id, octet_length(payload) AS payload_bytes, sha1(payload) AS payload_digest,
+       CASE WHEN response <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN response <> page_id THEN response END AS refers_to
+FROM payloads LEFT JOIN largest USING (payload)
+"""
+
 OP7 = f"""
 WITH RECURSIVE vectors AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
     WHERE label IS NOT NULL AND embedding IS NOT NULL
@@ -76,5 +85,6 @@ ORACLES = {
     "op2_chat_formatting": OP2,
     "op3_ngram_jaccard_join": OP3,
     "op5_benchmark_decontamination": OP5,
+    "op6_warc": OP6,
     "op7_embedding_near_dedup": OP7,
 }

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retailweave.llm import chat, decontamination, grid_join, hilbert, jaccard_join, language, licenses, toxicity
+from retailweave.llm import chat, decontamination, grid_join, hilbert, jaccard_join, language, licenses, toxicity, warc_zip
+from retailweave.sinks.scratch import work_folder
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -79,6 +80,12 @@ def op5_benchmark_decontamination(spark, sf_dir):
     )
 
 
+def op6_warc(spark, sf_dir):
+    pages = _table(spark, sf_dir, "pages")
+    archives = warc_zip.write_archives(pages, work_folder(spark))
+    return warc_zip.read_records(archives).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op7_embedding_near_dedup(spark, sf_dir):
     return grid_join.near_duplicates(_table(spark, sf_dir, "embeddings"))
 
@@ -122,6 +129,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op3_ngram_jaccard_join,
         op4_language_id,
         op5_benchmark_decontamination,
+        op6_warc,
         op7_embedding_near_dedup,
         op8_sharding,
         op9_license_scans,
