@@ -7,9 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retailweave.llm import chat, decontamination, grid_join, hilbert, jaccard_join, language, licenses, toxicity, warc_zip
+from retailweave.llm import chat, decontamination, grid_join, hilbert, jaccard_join, language, licenses, sentence_pieces, toxicity, warc_zip
 from retailweave.sinks.scratch import work_folder
 
+# Where the public piece model lies on this machine.
+PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -121,6 +124,21 @@ def op9_license_scans(spark, sf_dir):
     )
 
 
+def op10_sentencepiece(spark, sf_dir, model: str = PIECE_MODEL):
+    """Sampled segmentations of all documents, decoded again. The hashes tell whether the texts came back."""
+    vocabulary = sentence_pieces.read_vocabulary(model)
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text", F.xxhash64("text").alias("before"))
+    encoded = sentence_pieces.encode(documents, vocabulary, keep=["doc_id", "before"])
+    decoded = sentence_pieces.decode(encoded, vocabulary)
+    return decoded.select(
+        "doc_id",
+        F.coalesce(F.size("piece_ids"), F.lit(0)).cast("long").alias("n_pieces"),
+        "piece_ids",
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+        (F.xxhash64("decoded") == F.col("before")).alias("lossless"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -133,5 +151,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op7_embedding_near_dedup,
         op8_sharding,
         op9_license_scans,
+        op10_sentencepiece,
     )
 }

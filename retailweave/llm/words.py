@@ -123,9 +123,17 @@ class Words:
         return mixed(out), first
 
 
+class Spans:
+    """64-bit hashes of spans of some bytes: differences of one running sum, so any number of spans may overlap."""
+
+    def __init__(self, data: np.ndarray):
+        self.running = np.zeros(len(data) + 1, dtype=np.uint64)
+        np.cumsum(_BYTE_VALUE[data] * powers(_BASE, len(data)), out=self.running[1:])
+
+    def hashes(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        sums = (self.running[end] - self.running[start]) * powers(_INVERSE, len(self.running))[start]
+        return mixed(sums + (end - start).astype(np.uint64))
+
+
 def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each span of bytes: differences of one running sum, so any number of spans may overlap."""
-    running = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(_BYTE_VALUE[data] * powers(_BASE, len(data)), out=running[1:])
-    sums = (running[end] - running[start]) * powers(_INVERSE, len(data) + 1)[start]
-    return mixed(sums + (end - start).astype(np.uint64))
+    return Spans(data).hashes(start, end)
