@@ -1,21 +1,21 @@
 """Star join of a fact table with its dimensions.
 
-Two ways to join a dimension, chosen by its measured size:
-
-* ``broadcast``: the dimension goes to every executor and the fact table is
-  not shuffled, so a hot key costs nothing. Taken only after measuring that the
-  dimension fits.
-* ``shuffle``: no hint, so Spark picks and AQE re-plans. Before the shuffle the
-  hot keys of the fact table are salted: their rows are spread over several
-  parts, and the dimension rows of those keys are copied to each part. Keys that
-  a dimension repeats that often are salted the other way round. Every
-  fact row still meets every dimension row of its key exactly once.
+A dimension is joined in one of two ways, chosen by its measured size:
+
+* by a broadcast: it goes to every executor and the fact table is not shuffled, so a
+  hot key costs nothing. Taken only after measuring that it fits together with
+  the other broadcast dimensions.
+* by a shuffle: without a hint, so that Spark picks and AQE re-plans, or with one for a merge
+  join. Before the shuffle the hot keys of the fact table are salted: their rows are
+  spread over several parts, and the dimension rows of those keys are copied to each
+  part. Keys that a dimension repeats that often are salted the other way
+  round. Every fact row still meets every dimension row of its key exactly once.
 """
 
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 from math import ceil
@@ -26,14 +26,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MAX_BROADCAST_BYTES = 512 * 1024 * 1024
+STRATEGIES = ("broadcast", "shuffle", "merge")
 
-# Sizes of the search for hot keys. They bound its memory and its result; a key
-# that is not found is joined unsalted, and AQE splits its partition.
-HOT_KEYS = 1000
+# Fewer rows than this are no load for a task, and no part of a hot key has fewer.
 HOT_ROWS = 1000
-TRACKED_KEYS = 10_000
 SKETCH_GROUPS = 512
 
+_UNKNOWN_BYTES = 1 << 60  # Spark's size for sources that have none is larger
+
+# The frequent-items sketches track so many hashes for each shuffle partition, at least
+# and at most as many as given. At most one key per partition can hold more than an average partition.
+TRACKED_PER_PARTITION = 10
+TRACKED_KEYS = (10_000, 1_000_000)
+
 # Parts of a hot key per average partition its rows would fill. Parts meet in a
 # partition by chance, so several small ones spread better than one of full size.
 PARTS_PER_PARTITION = 4
@@ -45,84 +50,112 @@ def star_join(
     strategy: str = "broadcast",
     max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
-    """Inner equi-join of ``fact`` with every ``(dimension, key)``.
+    """Inner equi-join of ``fact`` with every ``(dimension, key)``. The rows are the same for every strategy.
 
-    Columns: the keys, last one first, then the other columns of the fact table
-    and of each dimension in turn. Fact rows without a match, or with a NULL
-    key, drop out; a key that a dimension holds twice yields two rows.
+    Columns: the keys, each once and the last one first, then the other columns of the fact
+    table and of each dimension in turn. Fact rows without a match, or with a NULL
+    key, drop out; a key that a dimension holds twice yields two rows. Several dimensions may
+    have the same key.
 
-    ``strategy="broadcast"`` broadcasts each dimension that measures at most
-    ``max_broadcast_bytes`` and shuffles the others; ``"shuffle"`` hints nothing.
+    ``strategy="broadcast"`` broadcasts the smallest dimensions that together measure at most
+    ``max_broadcast_bytes`` and shuffles the others; ``"shuffle"`` hints nothing and ``"merge"`` asks for
+    sort-merge joins.
     """
-    if strategy not in ("broadcast", "shuffle"):
+    if strategy not in STRATEGIES:
         raise ValueError(f"unknown join strategy {strategy!r}")
-    columns = _output_columns(fact, dimensions)
-    keys = [key for _, key in dimensions]
-    sides = [_Side.of(fact, dimension, key) for dimension, key in dimensions]
-    small = [False] * len(sides)
-    if strategy == "broadcast":
-        small = [size <= max_broadcast_bytes for size in measured_bytes([side.dimension for side in sides])]
-    fact = fact.withColumns({side.name: side.read_key for side in sides if side.read_key is not None})
+    keys, columns = _output_columns(fact, dimensions)
+    sides = [_Side.of(i, fact, dimension, key) for i, (dimension, key) in enumerate(dimensions)]
+    small = _fitting([side.dimension for side in sides], max_broadcast_bytes) if strategy == "broadcast" else set()
+    shuffled = [side for i, side in enumerate(sides) if i not in small]
+    # Sketched and salted before the first join, which would be computed once more otherwise.
+    fact, shuffled = _salted(fact, shuffled)
     # Inner joins commute: broadcast first, so that fewer rows reach a shuffle.
-    for side, fits in zip(sides, small):
-        if fits:
-            fact = fact.join(F.broadcast(side.dimension), side.name)
-    shuffled = [side for side, fits in zip(sides, small) if not fits]
-    fact = _shuffle_join(fact, shuffled)
-    return fact.select(*(f"`{key}`" for key in reversed(keys)), *columns)
+    for side in (sides[i] for i in sorted(small)):
+        fact = side.join(fact, F.broadcast(side.dimension))
+    for side in shuffled:
+        fact = side.join(fact, side.dimension.hint("merge") if strategy == "merge" else side.dimension)
+    return fact.select(*keys, *columns)
 
 
 @dataclass(frozen=True)
 class _Side:
-    """A dimension and the column ``name`` that both it and the fact table join on.
+    """A dimension whose key is renamed to ``on``, and the fact table's key, read as the type both are compared in.
 
-    That is the key itself, unless the fact table's key must be read as another
-    type: then ``read_key`` makes the column, and the key stays as it is.
+    ``salts`` are pairs of a column of the fact table and one of the dimension that have to be
+    equal as well.
     """
 
-    name: str
-    read_key: Column | None
+    number: int
+    key: str
+    fact_key: Column
+    on: str
+    hashed: T.DataType
     dimension: DataFrame
+    salts: tuple[tuple[str, str], ...] = ()
 
     @staticmethod
-    def of(fact: DataFrame, dimension: DataFrame, key: str) -> _Side:
+    def of(number: int, fact: DataFrame, dimension: DataFrame, key: str) -> _Side:
         """Text keys are read as the other side's type where only one side is text.
 
         Text that does not read as that type matches nothing instead of failing.
         """
-        left, right = (df.select(key).schema[0].dataType for df in (fact, dimension))
+        on, fact_key = f"__on_{number}", F.col(_quoted(key))
+        left, right = (df.select(_quoted(key)).schema[0].dataType for df in (fact, dimension))
         text_left, text_right = (isinstance(data_type, T.StringType) for data_type in (left, right))
+        dimension = dimension.withColumnRenamed(key, on)
         if text_left and not text_right:
-            name = f"__key_{key}"
-            return _Side(name, F.col(key).try_cast(right), dimension.withColumnRenamed(key, name))
-        if text_right and not text_left:
-            dimension = dimension.withColumn(key, F.col(key).try_cast(left))
-        return _Side(key, None, dimension)
+            fact_key, common = fact_key.try_cast(right), right
+        elif text_right and not text_left:
+            dimension, common = dimension.withColumn(on, F.col(on).try_cast(left)), left
+        else:
+            both = fact.select(_quoted(key)).limit(0).union(dimension.select(on).limit(0))
+            common = both.schema[0].dataType
+        return _Side(number, key, fact_key, on, common, dimension)
+
+    def hash_of(self, column: Column) -> Column:
+        """The same number on both sides for keys that are equal; any type of key has one."""
+        return F.xxhash64(column.cast(self.hashed))
+
+    def join(self, fact: DataFrame, dimension: DataFrame) -> DataFrame:
+        pairs = [self.fact_key == F.col(self.on), *(F.col(left) == F.col(right) for left, right in self.salts)]
+        return fact.join(dimension, reduce(and_, pairs)).drop(self.on, *(right for _, right in self.salts))
 
 
-def _shuffle_join(fact: DataFrame, sides: Sequence[_Side]) -> DataFrame:
-    """Inner joins without a hint, the hot keys of both sides salted."""
+def _salted(fact: DataFrame, sides: Sequence[_Side]) -> tuple[DataFrame, list[_Side]]:
+    """The fact table and the sides with a salt for each hot key of either."""
     if not sides:
-        return fact
-    fact = fact.where(reduce(and_, (F.col(side.name).isNotNull() for side in sides)))
-    dimensions = {side.name: side.dimension.where(F.col(side.name).isNotNull()) for side in sides}
-    hot = hot_keys(fact, list(dimensions))
-    salts = {name: _Salt.of(f"__salt_{name}", fact, name, hot[name]) for name in dimensions if hot[name]}
-    # All set before the first shuffle, which brings identical rows together.
-    for salt in salts.values():
-        fact = salt.spread(fact)
-    for name, dimension in dimensions.items():
-        on = [name]
-        if name in salts:
-            on.append(salts[name].name)
-            dimension = salts[name].copy(dimension)
-        repeated = hot_keys(dimensions[name], [name])[name]
-        if repeated:
-            salt = _Salt.of(f"__copy_{name}", dimension, name, repeated)
-            on.append(salt.name)
-            dimension, fact = salt.spread(dimension), salt.copy(fact)
-        fact = fact.join(dimension, on)
-    return fact
+        return fact, []
+    fact = fact.where(reduce(and_, (side.fact_key.isNotNull() for side in sides)))
+    dimensions = [side.dimension.where(F.col(side.on).isNotNull()) for side in sides]
+    # Sides that read the same key as the same type share its salt.
+    salts: dict[tuple[str, str], tuple[str, _Side]] = {}
+    for side in sides:
+        same = (side.key.lower(), side.hashed.json())
+        taken = {name for name, _ in salts.values()}
+        name = f"__salt_{side.key}" if f"__salt_{side.key}" not in taken else f"__salt_{side.key}_{side.number}"
+        salts.setdefault(same, (name, side))
+    hot = hot_keys(fact, {name: side.hash_of(side.fact_key) for name, side in salts.values()})
+    repeated = _hot_keys_of_each([df.select(side.hash_of(F.col(side.on)).alias("key")) for side, df in zip(sides, dimensions)])
+    made = {name: _Salt.of(name, fact, hot[name]) for name in hot if hot[name]}
+    for name, side in salts.values():
+        if name in made:
+            fact = made[name].spread(fact, side.hash_of(side.fact_key))
+    out = []
+    for side, dimension, own in zip(sides, dimensions, repeated):
+        pairs = []
+        name, _ = salts[side.key.lower(), side.hashed.json()]
+        if name in made:
+            copy = f"__part_{side.number}"
+            dimension = made[name].copy(dimension, side.hash_of(F.col(side.on)), copy)
+            pairs.append((name, copy))
+        if own:
+            salt = _Salt.of(f"__copy_{side.number}", dimension, own)
+            dimension = salt.spread(dimension, side.hash_of(F.col(side.on)))
+            copy = f"__copied_{side.number}"
+            fact = salt.copy(fact, side.hash_of(side.fact_key), copy)
+            pairs.append((copy, salt.name))
+        out.append(_Side(side.number, side.key, side.fact_key, side.on, side.hashed, dimension, tuple(pairs)))
+    return fact, out
 
 
 @dataclass(frozen=True)
@@ -134,92 +167,120 @@ class _Salt:
     """
 
     name: str
-    key: str
     parts: DataFrame
 
     @staticmethod
-    def of(name: str, df: DataFrame, key: str, hot: dict[object, int]) -> _Salt:
-        schema = T.StructType(
-            [T.StructField(key, df.select(key).schema[0].dataType), T.StructField(name, T.IntegerType())]
-        )
-        return _Salt(name, key, df.sparkSession.createDataFrame(list(hot.items()), schema))
+    def of(name: str, df: DataFrame, hot: Mapping[int, int]) -> _Salt:
+        return _Salt(name, df.sparkSession.createDataFrame(list(hot.items()), "__hash long, __parts int"))
 
-    def spread(self, df: DataFrame) -> DataFrame:
+    def spread(self, df: DataFrame, hashed: Column) -> DataFrame:
         """Every row to one part, by its values and the partition it is read in.
 
         That spreads identical rows too, and a repeated task does the same again.
         """
-        values = [f"`{field.name}`" for field in df.schema.fields if isinstance(field.dataType, T.AtomicType)]
-        part = F.pmod(F.xxhash64(F.spark_partition_id(), *values), self.name).cast("int")
-        return self._with_parts(df).withColumn(self.name, F.when(F.col(self.name) > 1, part).otherwise(0))
+        values = [_quoted(field.name) for field in df.schema.fields if isinstance(field.dataType, T.AtomicType)]
+        part = F.pmod(F.xxhash64(F.spark_partition_id(), *values), "__parts").cast("int")
+        return self._with_parts(df, hashed).withColumn(self.name, F.when(F.col("__parts") > 1, part).otherwise(0)).drop("__parts")
 
-    def copy(self, df: DataFrame) -> DataFrame:
+    def copy(self, df: DataFrame, hashed: Column, name: str) -> DataFrame:
         """Every row to all parts of its key."""
-        return self._with_parts(df).withColumn(
-            self.name, F.explode(F.sequence(F.lit(0), F.col(self.name) - 1))
-        )
+        parts = F.explode(F.sequence(F.lit(0), F.col("__parts") - 1))
+        return self._with_parts(df, hashed).withColumn(name, parts).drop("__parts")
 
-    def _with_parts(self, df: DataFrame) -> DataFrame:
+    def _with_parts(self, df: DataFrame, hashed: Column) -> DataFrame:
         """``df`` with the number of parts of its key, which is 1 for all but the hot keys."""
-        # At most HOT_KEYS rows, hence safe to broadcast.
-        return df.join(F.broadcast(self.parts), self.key, "left").withColumn(
-            self.name, F.coalesce(self.name, F.lit(1))
-        )
+        # At most one row for each shuffle partition, hence safe to broadcast.
+        found = df.join(F.broadcast(self.parts), hashed == F.col("__hash"), "left").drop("__hash")
+        return found.withColumn("__parts", F.coalesce("__parts", F.lit(1)))
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str]) -> dict[str, dict[object, int]]:
-    """For each key column, the values that hold more than one average shuffle partition.
+def hot_keys(df: DataFrame, keys: Mapping[str, Column]) -> dict[str, dict[int, int]]:
+    """For each named column of numbers, the values that hold more than one average shuffle partition.
 
-    Each comes with the number of parts that spread its rows evenly. Values with
-    fewer than ``HOT_ROWS`` rows are no load for a task and left out. One pass over
-    the key columns shuffles no rows: each task keeps a frequent-items sketch of
-    fixed size per column, and the sketches are merged in two steps so that no
-    single task receives all of them. At most ``HOT_KEYS`` values per column
-    come back.
+    Each comes with the number of parts that spread its rows evenly, none of fewer than
+    ``HOT_ROWS`` rows. One pass over the columns shuffles no rows: each task keeps a
+    frequent-items sketch of fixed size per column, and the sketches are merged in two
+    steps so that no single task receives all of them. There can be no more such values than partitions,
+    and the sketches hold as many.
     """
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sketches = (
-        df.select(*keys, F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("part"))
-        .groupBy("part")
-        .agg(
-            F.count("*").alias("n_rows"),
-            *(F.expr(f"approx_top_k_accumulate(`{key}`, {TRACKED_KEYS})").alias(key) for key in keys),
-        )
+    return _hot(df.select(F.lit(0).alias("df"), *(column.alias(name) for name, column in keys.items())), list(keys)).get(
+        0, {name: {} for name in keys}
     )
-    # One group, and so no row for an empty input.
-    found = sketches.groupBy(F.lit(0).alias("all")).agg(
-        F.sum("n_rows").alias("n_rows"),
+
+
+def _hot_keys_of_each(frames: Sequence[DataFrame]) -> list[dict[int, int]]:
+    """The same for the column ``key`` of several frames, in one pass."""
+    found = _hot(reduce(DataFrame.union, (df.select(F.lit(i).alias("df"), "key") for i, df in enumerate(frames))), ["key"])
+    return [found.get(i, {"key": {}})["key"] for i in range(len(frames))]
+
+
+def _hot(rows: DataFrame, names: Sequence[str]) -> dict[int, dict[str, dict[int, int]]]:
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    least, most = TRACKED_KEYS
+    tracked = min(max(TRACKED_PER_PARTITION * partitions, least), most)
+    taken = min(partitions, tracked - 1)
+    sketches = rows.groupBy("df", F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("__group")).agg(
+        F.count("*").alias("__n"), *(F.expr(f"approx_top_k_accumulate({_quoted(name)}, {tracked})").alias(name) for name in names)
+    )
+    merged = sketches.groupBy("df").agg(
+        F.sum("__n").alias("__n"),
         *(
-            F.expr(f"approx_top_k_estimate(approx_top_k_combine(`{key}`, {TRACKED_KEYS}), {HOT_KEYS})").alias(key)
-            for key in keys
+            F.expr(f"approx_top_k_estimate(approx_top_k_combine({_quoted(name)}, {tracked}), {taken})").alias(name)
+            for name in names
         ),
-    ).first()
-    if found is None:
-        return {key: {} for key in keys}
+    )
     return {
-        key: {
-            top["item"]: ceil(PARTS_PER_PARTITION * top["count"] * partitions / found.n_rows)
-            for top in found[key]
-            if top["count"] * partitions > found.n_rows and top["count"] >= HOT_ROWS
+        row["df"]: {
+            name: {
+                top["item"]: min(ceil(PARTS_PER_PARTITION * top["count"] * partitions / row["__n"]), ceil(top["count"] / HOT_ROWS))
+                for top in row[name]
+                if top["count"] * partitions > row["__n"] and top["count"] >= HOT_ROWS
+            }
+            for name in names
         }
-        for key in keys
+        for row in merged.collect()
     }
 
 
+def _fitting(dimensions: Sequence[DataFrame], max_bytes: int) -> set[int]:
+    """The numbers of the dimensions to broadcast: the smallest that fit in ``max_bytes`` together."""
+    worth_measuring = [i for i, df in enumerate(dimensions) if _scan_bytes(df) <= max_bytes]
+    sizes = sorted(zip(measured_bytes([dimensions[i] for i in worth_measuring]), worth_measuring))
+    fit, total = set(), 0
+    for size, i in sizes:
+        total += size
+        if total <= max_bytes:
+            fit.add(i)
+    return fit
+
+
+def _scan_bytes(df: DataFrame) -> int:
+    """Spark's estimate for a frame made from one source by projections, which is at least what its files hold.
+
+    0 for other frames and where Spark has no estimate. What is filtered to far less than its files hold is
+    not broadcast for it; AQE may still do so.
+    """
+    plan = df._jdf.queryExecution().optimizedPlan()
+    if plan.collectLeaves().size() != 1:
+        return 0
+    size = int(str(plan.stats().sizeInBytes()))
+    return 0 if size >= _UNKNOWN_BYTES else size
+
+
 def measured_bytes(frames: Sequence[DataFrame]) -> list[int]:
-    """Size of each frame's rows in memory as a broadcast table holds them, by one aggregate over each."""
-    sizes = [
-        df.agg(F.lit(i).alias("i"), F.coalesce(F.sum(_row_bytes(df)), F.lit(0)).alias("bytes"))
-        for i, df in enumerate(frames)
-    ]
-    return [row.bytes for row in sorted(reduce(DataFrame.union, sizes).collect())]
+    """Size of each frame's rows in memory as a broadcast table holds them, by one aggregate over all."""
+    if not frames:
+        return []
+    rows = reduce(DataFrame.union, (df.select(F.lit(i).alias("i"), _row_bytes(df).alias("bytes")) for i, df in enumerate(frames)))
+    found = {row.i: row.bytes for row in rows.groupBy("i").agg(F.sum("bytes").alias("bytes")).collect()}
+    return [found.get(i, 0) for i in range(len(frames))]
 
 
 def _row_bytes(df: DataFrame) -> Column:
     """Twice eight bytes per column and for the entry itself, and the text on top."""
     size = F.lit(16 * (len(df.columns) + 2)).cast("bigint")
     for field in df.schema.fields:
-        column = F.col(f"`{field.name}`")
+        column = F.col(_quoted(field.name))
         if isinstance(field.dataType, (T.StringType, T.BinaryType)):
             size = size + F.coalesce(F.octet_length(column), F.lit(0))
         elif not isinstance(field.dataType, T.AtomicType):
@@ -228,14 +289,18 @@ def _row_bytes(df: DataFrame) -> Column:
     return size
 
 
-def _output_columns(fact: DataFrame, dimensions: Sequence[tuple[DataFrame, str]]) -> list[str]:
-    """The non-key columns in output order; an error names those that occur twice."""
-    keys = {key.lower() for _, key in dimensions}
-    names = [name for name in fact.columns if name.lower() not in keys]
+def _output_columns(fact: DataFrame, dimensions: Sequence[tuple[DataFrame, str]]) -> tuple[list[str], list[str]]:
+    """The keys and the other columns in output order; an error names those that occur twice."""
+    distinct = {key.lower(): key for _, key in reversed(dimensions)}
+    names = [name for name in fact.columns if name.lower() not in distinct]
     for dimension, key in dimensions:
         names += [name for name in dimension.columns if name.lower() != key.lower()]
-    times = Counter([name.lower() for name in names] + list(keys))
+    times = Counter([name.lower() for name in names] + list(distinct))
     twice = sorted(name for name, n in times.items() if n > 1)
     if twice:
         raise ValueError(f"columns on more than one side of the star join: {', '.join(twice)}")
-    return [f"`{name}`" for name in names]
+    return [_quoted(key) for key in distinct.values()], [_quoted(name) for name in names]
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"

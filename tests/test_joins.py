@@ -1,3 +1,5 @@
+import math
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -51,8 +53,8 @@ def test_names_on_both_sides_are_an_error(star):
 
 
 def test_unknown_strategy(star):
-    with pytest.raises(ValueError, match="merge"):
-        star_join(*star, strategy="merge")
+    with pytest.raises(ValueError, match="nested"):
+        star_join(*star, strategy="nested")
 
 
 @pytest.mark.parametrize("strategy", ["broadcast", "shuffle"])
@@ -79,7 +81,7 @@ def test_small_dimensions_are_broadcast(star, plan):
     assert text.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in text
 
 
-def test_large_dimensions_are_not(spark, star, plan):
+def test_large_dimensions_are_not(spark, star, plan, monkeypatch):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
@@ -88,6 +90,7 @@ def test_large_dimensions_are_not(spark, star, plan):
         assert text.count("SortMergeJoin") == 2
         # One of two fits: it is joined first, without shuffling the fact table.
         sizes = measured_bytes([dimension for dimension, _ in star[1]])
+        monkeypatch.setattr(joins, "_scan_bytes", lambda df: 0)
         text = plan(star_join(*star, max_broadcast_bytes=min(sizes)))
         inner = [line.split("[")[0].split()[-1] for line in text.splitlines() if "Inner" in line]
         assert inner == ["SortMergeJoin", "BroadcastHashJoin"]
@@ -117,17 +120,54 @@ def skewed(spark):
     return fact, [(customers, "customer_id"), (articles, "article_id")]
 
 
+def hot(df, *columns):
+    """Hot values of columns, whose hashes are looked up among the frame's own values."""
+    found = hot_keys(df, {name: F.xxhash64(name) for name in columns})
+    return {
+        name: {row[0]: found[name][row[1]] for row in df.select(name, F.xxhash64(name)).distinct().collect() if row[1] in found[name]}
+        for name in columns
+    }
+
+
 def test_hot_keys_are_found(skewed, spark):
-    found = hot_keys(skewed[0], ["customer_id", "article_id"])
+    found = hot(skewed[0], "customer_id", "article_id")
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert set(found["customer_id"]) == {7} and set(found["article_id"]) == {-1}
-    assert found["customer_id"][7] == pytest.approx(joins.PARTS_PER_PARTITION * partitions * 0.4, abs=1)
+    assert found["customer_id"][7] == min(math.ceil(joins.PARTS_PER_PARTITION * partitions * 0.4), 8_012 // joins.HOT_ROWS + 1)
 
 
 def test_no_hot_keys(spark):
     even = spark.range(0, 10_000, 1, 4).select((F.col("id") % 5_000).alias("k"))
-    assert hot_keys(even, ["k"]) == {"k": {}}
-    assert hot_keys(even.limit(0), ["k"]) == {"k": {}}
+    assert hot_keys(even, {"k": F.col("k")}) == {"k": {}}
+    assert hot_keys(even.limit(0), {"k": F.col("k")}) == {"k": {}}
+
+
+def with_partitions(spark, n, monkeypatch):
+    """Only the search for hot keys sees ``n`` partitions; the test still runs on few."""
+    real = spark.conf.get
+    monkeypatch.setattr(type(spark.conf), "get", lambda self, key, *more: str(n) if "shuffle.partitions" in key else real(key, *more))
+
+
+def test_few_rows_are_cut_into_few_parts(spark, monkeypatch):
+    """1,200 rows of a small table hold many average partitions of 10,000, but make two parts."""
+    df = spark.range(1_500).select(F.when(F.col("id") < 1_200, 0).otherwise(F.col("id")).alias("k"))
+    with_partitions(spark, 10_000, monkeypatch)
+    assert list(hot_keys(df, {"k": F.col("k")})["k"].values()) == [2]
+
+
+def test_as_many_hot_keys_as_there_are(spark, monkeypatch):
+    """1,800 keys hold more than an average of 20,000 partitions each, and all are found."""
+    df = spark.range(0, 1_800 * 20, 1, 4).select((F.col("id") % 1_800).alias("k"))
+    monkeypatch.setattr(joins, "HOT_ROWS", 10)
+    with_partitions(spark, 20_000, monkeypatch)
+    assert set(hot_keys(df, {"k": F.col("k")})["k"]) == set(range(1_800))
+
+
+def test_all_hot_keys_of_many_rows_are_found(spark, monkeypatch):
+    df = spark.range(0, 1_800 * 1_000, 1, 4).select((F.col("id") % 1_800).alias("k"))
+    with_partitions(spark, 20_000, monkeypatch)
+    found = hot_keys(df, {"k": F.col("k")})["k"]
+    assert set(found) == set(range(1_800)) and set(found.values()) == {1}
 
 
 def test_salted_join_keeps_every_row_once(skewed, spark, plan):
@@ -162,7 +202,7 @@ def test_repeated_dimension_key(spark, also_hot_in_fact):
     dimension = spark.range(0, 6_000, 1, 8).select(
         F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), F.col("id").alias("d")
     )
-    assert hot_keys(dimension, ["k"])["k"].keys() == {0}
+    assert hot(dimension, "k")["k"].keys() == {0}
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
@@ -176,7 +216,7 @@ def test_repeated_dimension_key(spark, also_hot_in_fact):
 
 def test_salt_spreads_identical_rows(spark):
     """The hot key's rows are all equal; no shuffle partition may get most of them."""
-    fact = spark.range(0, 8_000, 1, 16).select(F.lit(1).alias("k"), F.lit("same").alias("f"))
+    fact = spark.range(0, 80_000, 1, 64).select(F.lit(1).alias("k"), F.lit("same").alias("f"))
     dimension = spark.createDataFrame([(1, "d")], "k int, d string")
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
@@ -187,7 +227,7 @@ def test_salt_spreads_identical_rows(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
         spark.conf.set("spark.sql.adaptive.enabled", "true")
-    assert sum(sizes) == 8_000 and max(sizes) <= 3_000
+    assert sum(sizes) == 80_000 and max(sizes) <= 30_000
 
 
 def test_keys_are_shuffled_once(skewed, spark, plan):
@@ -242,5 +282,70 @@ def test_odd_column_names_and_nested_columns(spark):
 
 
 def test_few_rows_are_never_hot(spark):
-    assert hot_keys(spark.range(joins.HOT_ROWS - 1).select(F.lit(1).alias("k")), ["k"]) == {"k": {}}
-    assert hot_keys(spark.range(joins.HOT_ROWS).select(F.lit(1).alias("k")), ["k"])["k"].keys() == {1}
+    def one(n):
+        return hot(spark.range(n).select(F.lit(1).alias("k")), "k")["k"]
+
+    assert one(joins.HOT_ROWS - 1) == {}
+    assert one(joins.HOT_ROWS) == {1: 1}
+
+
+# ---- the same rows on every path -----------------------------------------------
+
+
+PATHS = [{}, {"max_broadcast_bytes": 0}, {"strategy": "shuffle"}, {"strategy": "merge"}]
+
+
+@pytest.mark.parametrize("options", PATHS)
+@pytest.mark.parametrize("second_key", ["k", "K"])
+def test_two_dimensions_on_one_key(spark, options, second_key):
+    fact = spark.range(100).select((F.col("id") % 10).alias("k"), "id")
+    a = spark.range(5).select(F.col("id").alias("k"), F.concat(F.lit("a"), "id").alias("a"))
+    b = spark.range(10).select(F.col("id").alias(second_key), F.concat(F.lit("b"), "id").alias("b"))
+    joined = star_join(fact, [(a, "k"), (b, second_key)], **options)
+    assert [name.lower() for name in joined.columns] == ["k", "id", "a", "b"]
+    assert rows(joined) == sorted(((i % 10, i, f"a{i % 10}", f"b{i % 10}") for i in range(100) if i % 10 < 5), key=repr)
+
+
+@pytest.mark.parametrize("options", PATHS)
+@pytest.mark.parametrize("kind", ["binary", "struct"])
+def test_keys_of_any_type(spark, options, kind):
+    key = {"binary": F.col("id").cast("string").cast("binary"), "struct": F.struct(F.col("id").alias("x"))}[kind]
+    fact = spark.range(5_000).select(F.when(F.col("id") < 3_000, 1).otherwise(F.col("id")).alias("id"), F.col("id").alias("n"))
+    fact = fact.select(key.alias("k"), "n")
+    dimension = spark.range(100).select(key.alias("k"), F.col("id").alias("d"))
+    joined = star_join(fact, [(dimension, "k")], **options)
+    assert rows(joined.select("n", "d")) == sorted([(n, 1) for n in range(3_000)], key=repr)
+
+
+@pytest.mark.parametrize("options", PATHS)
+def test_zero_and_minus_zero_are_one_key(spark, options):
+    fact = spark.range(4_000).select(F.when(F.col("id") % 2 == 0, 0.0).otherwise(-0.0).alias("k"), "id")
+    dimension = spark.createDataFrame([(-0.0, "z")], "k double, d string")
+    assert star_join(fact, [(dimension, "k")], **options).count() == 4_000
+
+
+def test_two_types_of_one_key(spark):
+    fact = spark.createDataFrame([("1", 1), ("x", 2)], "k string, n int")
+    numbers = spark.createDataFrame([(1, "a")], "k int, a string")
+    texts = spark.createDataFrame([("1", "b"), ("x", "c")], "k string, b string")
+    for options in PATHS:
+        assert rows(star_join(fact, [(numbers, "k"), (texts, "k")], **options)) == [("1", 1, "a", "b")]
+
+
+def test_the_sum_of_broadcast_dimensions_is_bounded(star, spark, plan, monkeypatch):
+    """Three dimensions that fit one by one: the two smaller ones are broadcast, the third is not."""
+    fact = spark.range(10).select("id", F.col("id").alias("a"), F.col("id").alias("b"), F.col("id").alias("c"))
+    dimensions = [(spark.range(n).select(F.col("id").alias(key), F.col("id").alias(f"d{key}")), key) for key, n in zip("abc", (30, 10, 20))]
+    sizes = measured_bytes([df for df, _ in dimensions])
+    assert joins._fitting([df for df, _ in dimensions], sizes[0]) == {1} | ({2} if sizes[1] + sizes[2] <= sizes[0] else set())
+    assert joins._fitting([df for df, _ in dimensions], sum(sizes)) == {0, 1, 2}
+    assert joins._fitting([df for df, _ in dimensions], sum(sizes) - 1) == {1, 2}
+    assert star_join(fact, dimensions, max_broadcast_bytes=sum(sizes) - 1).count() == 10
+
+
+def test_a_large_scan_is_not_measured(spark, tmp_path, monkeypatch):
+    spark.range(10_000).write.parquet(str(tmp_path / "d"))
+    dimension = spark.read.parquet(str(tmp_path / "d"))
+    monkeypatch.setattr(joins, "measured_bytes", lambda frames: [1] * len(frames))
+    assert joins._fitting([dimension], 1_000) == set()
+    assert joins._fitting([dimension], 10**9) == {0}
