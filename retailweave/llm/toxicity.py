@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 
 from retailweave.llm.batches import add_columns, quoted
 from retailweave.operators.joins import measured_bytes
+from retailweave.sinks.scratch import written
 
 PREFIX_LENGTHS = (4, 5, 6)
 MIN_TOXIC = 5  # training documents that a term must mark
@@ -161,9 +162,13 @@ def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def labelled(documents: DataFrame, labels: DataFrame, key: str = "doc_id", max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
-    """The documents with a label. The labels are broadcast if they measure at most ``max_broadcast_bytes``, else both sides are shuffled."""
-    fits = measured_bytes([labels])[0] <= max_broadcast_bytes
-    return documents.join(F.broadcast(labels) if fits else labels, key)
+    """The documents with a label. The labels are broadcast if they measure at most ``max_broadcast_bytes``.
+
+    Larger ones are joined by a shuffle, whose result is written, as ``learn`` reads it several times.
+    """
+    if measured_bytes([labels])[0] <= max_broadcast_bytes:
+        return documents.join(F.broadcast(labels), key)
+    return written(documents.join(labels, key))
 
 
 def learn(
