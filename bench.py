@@ -31,6 +31,7 @@ HEADLINE = (
     "jon_broadcast",
     "jon_shuffle",
     "jon_shuffle_hot_key",
+    "jon_merge",
     "src_csv",
     "pip_load_historic",
     "pip_load_live",

@@ -78,7 +78,8 @@ ORACLES: dict[str, str] = {
 FROM transactions_raw""",
     ),
     "src_latest_snapshot": _CUSTOMERS,
-    "dat_run_date": _with("customers_raw", "SELECT customer_id, '2024-01-31' AS run_date FROM customers_raw"),
+    "src_latest_snapshot_many_files": _TRANSACTIONS,
+    "dat_run_date": _with("customers_raw", "SELECT customer_id, TRUE AS is_today FROM customers_raw"),
     "snk_snapshot_overwrite": _CUSTOMERS,
     "snk_snapshot_append": _with(
         "transactions_raw", "SELECT * FROM transactions_raw UNION ALL SELECT * FROM transactions_raw"
@@ -187,6 +188,18 @@ ORDER BY COUNT(*) DESC, article_id ASC NULLS LAST LIMIT 10""",
     "jon_broadcast": _joined("transactions_raw"),
     "jon_shuffle": _joined("transactions_raw"),
     "jon_shuffle_hot_key": _joined("hot_raw"),
+    "jon_merge": _joined("transactions_raw"),
+    "jon_same_key_dimensions": _with(
+        "customers_raw hot_raw",
+        """SELECT f.customer_id, f.article_id, f.price, x.age, y.segment FROM hot_raw f
+JOIN (SELECT customer_id, age FROM customers_raw WHERE age IS NOT NULL) x ON x.customer_id = f.customer_id
+JOIN customers_raw y ON y.customer_id = f.customer_id""",
+    ),
+    "jon_binary_key": _with(
+        "customers_raw hot_raw",
+        """SELECT f.customer_id, f.article_id, f.price, c.segment
+FROM hot_raw f JOIN customers_raw c ON c.customer_id = f.customer_id""",
+    ),
     "pip_load_historic": _with("w", "SELECT * FROM w"),
     "pip_load_live": _with("w", "SELECT * FROM w"),
     "pip_historic": _with("t", "SELECT * FROM t"),
@@ -197,4 +210,5 @@ UNION ALL SELECT 'customers', COUNT(*) FROM c
 UNION ALL SELECT 'articles', COUNT(*) FROM a
 UNION ALL SELECT 'transactions', 2 * COUNT(*) FROM t""",
     ),
+    "pip_historic_then_live_transactions": _with("t", "SELECT * FROM t UNION ALL SELECT * FROM t"),
 }

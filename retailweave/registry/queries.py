@@ -53,8 +53,19 @@ def src_latest_snapshot(spark, sf_dir):
     return read_newest(spark, root)
 
 
+def src_latest_snapshot_many_files(spark, sf_dir):
+    """Transactions of a second write to the same day, which makes several files beside those of the first."""
+    root = feed_path(work_folder(spark), "Transactions", "Live")
+    raw = transactions(spark, sf_dir)
+    write_snapshot(raw.where("price > 1000"), f"{root}/{RUN_DATES[0]}", "append", n_files=2)
+    write_snapshot(raw, f"{root}/{RUN_DATES[0]}", "append", n_files=5)
+    return read_newest(spark, root)
+
+
 def dat_run_date(spark, sf_dir):
-    return customers(spark, sf_dir).select("customer_id", F.lit(run_date(spark, RUN_DATES[0])).alias("run_date"))
+    """Whether the run date of a job is today's date in the session's time zone."""
+    today = F.date_format(F.current_date(), "yyyy-MM-dd")
+    return customers(spark, sf_dir).select("customer_id", (F.lit(run_date(spark)) == today).alias("is_today"))
 
 
 # ---- sinks and layout ------------------------------------------------------
@@ -271,8 +282,32 @@ def jon_shuffle(spark, sf_dir):
 
 
 def jon_shuffle_hot_key(spark, sf_dir):
+    """Two fifths of the transactions on one customer, whose key is salted for a merge join."""
     dimensions = [(customers(spark, sf_dir), "customer_id"), (articles(spark, sf_dir), "article_id")]
-    return star_join(hot_transactions(spark, sf_dir), dimensions, "shuffle")
+    return star_join(hot_transactions(spark, sf_dir), dimensions, "merge")
+
+
+def jon_merge(spark, sf_dir):
+    """The joins that a load makes of dimensions that are too large to broadcast."""
+    dimensions = [(customers(spark, sf_dir), "customer_id"), (articles(spark, sf_dir), "article_id")]
+    return star_join(transactions(spark, sf_dir), dimensions, "merge")
+
+
+def jon_same_key_dimensions(spark, sf_dir):
+    """Two dimensions on the same key, one of which has a part of the customers only."""
+    ages = customers(spark, sf_dir).where("age IS NOT NULL").select("customer_id", "age")
+    segments = customers(spark, sf_dir).select(F.col("customer_id").alias("CUSTOMER_ID"), "segment")
+    return star_join(hot_transactions(spark, sf_dir), [(ages, "customer_id"), (segments, "CUSTOMER_ID")], "merge").select(
+        F.col("customer_id").alias("customer_id"), "article_id", "price", "age", "segment"
+    )
+
+
+def jon_binary_key(spark, sf_dir):
+    """Customers joined on a key of bytes, the hot one salted."""
+    key = F.col("customer_id").cast("binary").alias("customer_id")
+    fact = hot_transactions(spark, sf_dir).select(key, "article_id", "price")
+    joined = star_join(fact, [(customers(spark, sf_dir).select(key, "segment"), "customer_id")], "merge")
+    return joined.withColumn("customer_id", F.col("customer_id").cast("string"))
 
 
 def warehouse(spark, sf_dir):
@@ -335,6 +370,14 @@ def pip_historic_then_live(spark, sf_dir):
     return counts[0].union(counts[1]).union(counts[2]).union(counts[3])
 
 
+def pip_historic_then_live_transactions(spark, sf_dir):
+    """The transactions table after one historic and one live run, which appends all rows again."""
+    jobs, tables = _jobs(spark, sf_dir)
+    plans.run_historic(spark, jobs, RUN_DATES[0])
+    plans.run_live(spark, jobs, RUN_DATES[1])
+    return read_parquet(spark, f"{tables}/transactions")
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -343,6 +386,7 @@ QUERIES: dict[str, Query] = {
         src_csv,
         src_csv_inferred,
         src_latest_snapshot,
+        src_latest_snapshot_many_files,
         dat_run_date,
         snk_snapshot_overwrite,
         snk_snapshot_append,
@@ -382,9 +426,13 @@ QUERIES: dict[str, Query] = {
         jon_broadcast,
         jon_shuffle,
         jon_shuffle_hot_key,
+        jon_merge,
+        jon_same_key_dimensions,
+        jon_binary_key,
         pip_load_historic,
         pip_load_live,
         pip_historic,
         pip_historic_then_live,
+        pip_historic_then_live_transactions,
     )
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -32,57 +32,45 @@ def read_jdbc(
     table: str,
     partition_column: str | None = None,
     num_partitions: int = JDBC_PARTITIONS,
+    predicates: Sequence[str] | None = None,
     **options: str,
 ) -> DataFrame:
     """A whole database table: every column, every row.
 
-    The table is read in ``num_partitions`` parallel ranges of ``partition_column``
-    between its minimum and maximum, which the database computes. By default
-    that is the integral, date or timestamp column with the widest range. Rows
-    with a NULL there come with the first range. A table without such a column,
-    or ``num_partitions=1``, is read by one task. ``options`` are those of
-    Spark's JDBC source (``user``, ``password``, ``driver``, ``fetchsize`` and so on).
+    The caller says how to read in parallel, since only they know how the rows are
+    distributed: ``partition_column`` cuts the range between its minimum and maximum, which the
+    database computes, into ``num_partitions`` parts, and rows with a NULL there come with
+    the first; ``predicates`` are conditions in the database's SQL, one for each task, which together
+    have to take every row once. With neither, one task reads the table over one connection, and a
+    snapshot of it is one file unless ``n_files`` spreads it. ``options`` are those of Spark's JDBC
+    source (``user``, ``password``, ``driver``, ``fetchsize`` and so on).
     """
+    if predicates is not None:
+        if partition_column is not None:
+            raise ValueError("give either a partition column or predicates")
+        return spark.read.jdbc(url, table, predicates=list(predicates), properties=options)
 
     def load(**more: str) -> DataFrame:
         return spark.read.format("jdbc").options(url=url, **options, **more).load()
 
-    whole = load(dbtable=table)
-    if partition_column is not None:
-        candidates = [partition_column]
-    else:
-        candidates = [field.name for field in whole.schema.fields if _splits(field.dataType)]
-    if num_partitions == 1 or not candidates:
-        return whole
-    ends = ", ".join(f"MIN({name}) AS low_{i}, MAX({name}) AS high_{i}" for i, name in enumerate(candidates))
-    found = load(query=f"SELECT {ends} FROM {table}")
-    row = found.select(*found.columns, *(found[name].cast("string") for name in found.columns)).first()
-    values, texts = row[: len(row) // 2], row[len(row) // 2 :]
-    ranges = {
-        name: (_steps(low, high), texts[2 * i], texts[2 * i + 1])
-        for i, (name, low, high) in enumerate(zip(candidates, values[::2], values[1::2]))
-        if low is not None
-    }
-    if not ranges:
-        return whole
-    widest = max(ranges, key=lambda name: ranges[name][0])
-    _, low, high = ranges[widest]
+    if partition_column is None or num_partitions == 1:
+        return load(dbtable=table)
+    name = _quoted(partition_column, url)
+    ends = load(query=f"SELECT MIN({name}) AS low, MAX({name}) AS high FROM {table}")
+    low, high = ends.select(*(ends[column].cast("string") for column in ends.columns)).first()
+    if low is None:
+        return load(dbtable=table)
     return load(
         dbtable=table,
-        partitionColumn=widest,
+        partitionColumn=partition_column,
         lowerBound=low,
         upperBound=high,
         numPartitions=str(num_partitions),
     )
 
 
-def _steps(low, high) -> float:
-    """Width of a range in units, days or seconds."""
-    width = high - low
-    if isinstance(width, timedelta):
-        return width.total_seconds() if isinstance(low, datetime) else width.days
-    return width
-
-
-def _splits(data_type: T.DataType) -> bool:
-    return isinstance(data_type, (T.IntegralType, T.DateType, T.TimestampType))
+def _quoted(name: str, url: str) -> str:
+    """An identifier as the URL's database quotes it."""
+    if url.startswith(("jdbc:mysql:", "jdbc:mariadb:", "jdbc:hive2:", "jdbc:databricks:")):
+        return "`" + name.replace("`", "``") + "`"
+    return '"' + name.replace('"', '""') + '"'

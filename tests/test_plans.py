@@ -43,3 +43,14 @@ def test_cleaning_transactions_shuffles_only_counts(spark, plan):
     shuffles = re.findall(r"\bExchange (\w+)\(([^)]*)", text)
     assert shuffles == [("hashpartitioning", shuffles[0][1])] and "sales_channel_id" in shuffles[0][1]
     assert "partial_count" in text
+
+
+@pytest.mark.parametrize("name, joins", [("jon_merge", 2), ("jon_shuffle_hot_key", 2), ("jon_same_key_dimensions", 2), ("jon_binary_key", 1)])
+def test_merge_joins_shuffle_both_sides(spark, plan, name, joins):
+    text = plan(QUERIES[name](spark, SF))
+    merged = [line for line in text.splitlines() if "SortMergeJoin" in line and "Inner" in line]
+    # The raw transactions are a join of their own, and so is the lookup of a hot key.
+    keys = [line for line in merged if "customer_id" in line or "article_id" in line or "__on_" in line]
+    assert len(keys) == joins
+    if name != "jon_merge":
+        assert "__salt_customer_id" in text and any("__salt_customer_id" in line for line in keys)

@@ -1,6 +1,10 @@
+import tempfile
+from types import SimpleNamespace
+
 import pytest
 from pyspark.errors import AnalysisException
 
+from retailweave.sinks.scratch import work_folder
 from retailweave.sinks.writers import Warehouse, spread, write_snapshot
 
 from conftest import rows
@@ -94,3 +98,31 @@ def test_connectors_get_the_table_and_the_options(connector):
 
 def test_secrets_stay_out_of_the_repr():
     assert "secret" not in repr(Warehouse("jdbc", {"password": "secret"}))
+
+
+# ---- work folders ------------------------------------------------------------
+
+
+class Session:
+    """A session of a master, with the settings given."""
+
+    def __init__(self, master, **settings):
+        self.sparkContext, self.conf = SimpleNamespace(master=master), settings
+
+
+@pytest.mark.parametrize("master", ["local", "local[8]", "local[*]", "spark://h:7077", "local-cluster[3,2,1024]", "yarn"])
+def test_work_folders_lie_in_the_shared_folder(master):
+    session = Session(master, **{"spark.checkpoint.dir": "s3://shared/folder/"})
+    first, second = work_folder(session), work_folder(session)
+    assert first != second and first.startswith("s3://shared/folder/retailweave-")
+
+
+@pytest.mark.parametrize("master", ["local", "local[8]", "local[*]"])
+def test_a_local_master_may_use_a_temporary_folder(master):
+    assert work_folder(Session(master)).startswith(tempfile.gettempdir())
+
+
+@pytest.mark.parametrize("master", ["spark://h:7077", "local-cluster[3,2,1024]", "yarn", "k8s://h"])
+def test_a_cluster_needs_a_shared_folder(master):
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        work_folder(Session(master))

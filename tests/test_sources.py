@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from retailweave.sinks.writers import write_snapshot
-from retailweave.sources import tables
+from retailweave.sources import snapshots, tables
 from retailweave.sources.snapshots import feed_path, newest_file, read_newest, run_date
 
 from conftest import rows
@@ -62,74 +62,78 @@ class FakeJdbc:
         self.current.update(options)
         return self
 
+    def jdbc(self, url, table, predicates, properties):
+        self.reads.append({"url": url, "table": table, "predicates": predicates, "properties": properties})
+        return self.table
+
     def load(self):
         self.reads.append(self.current)
         return self.ends if "query" in self.current else self.table
 
 
-def fake(spark, schema, *ends, ends_schema="low_0 int, high_0 int"):
-    return FakeJdbc(spark, spark.createDataFrame([], schema), spark.createDataFrame([ends], ends_schema))
+def fake(spark, schema, low=None, high=None, ends_schema="low int, high int"):
+    return FakeJdbc(spark, spark.createDataFrame([], schema), spark.createDataFrame([(low, high)], ends_schema))
 
 
 ACCESS = {"user": "u", "password": "p"}
 
 
-def test_jdbc_reads_ranges_of_the_widest_column(spark):
+CUSTOMERS = "customer_id string, FN double, Active double, age int"
+
+
+def test_jdbc_without_a_column_is_one_connection(spark):
+    """No column is guessed: ages come in few values and end dates in a far one."""
+    for schema in (CUSTOMERS, "id int, valid_to date", "name string"):
+        source = fake(spark, schema)
+        tables.read_jdbc(source, "jdbc:x", "customers", **ACCESS)
+        assert source.reads == [{"url": "jdbc:x", "dbtable": "customers", **ACCESS}]
+
+
+def test_jdbc_reads_ranges_of_a_given_column(spark):
     day = datetime.date(2018, 9, 20)
-    source = fake(
-        spark,
-        "name string, flag int, price double, n int, d date",
-        *(0, 1, 3, 99, day, day + datetime.timedelta(days=30)),
-        ends_schema="low_0 int, high_0 int, low_1 int, high_1 int, low_2 date, high_2 date",
-    )
-    tables.read_jdbc(source, "jdbc:x", "sales", num_partitions=7, **ACCESS)
-    assert source.reads[1]["query"] == (
-        "SELECT MIN(flag) AS low_0, MAX(flag) AS high_0, MIN(n) AS low_1, MAX(n) AS high_1, "
-        "MIN(d) AS low_2, MAX(d) AS high_2 FROM sales"
-    )
+    source = fake(spark, "n int, d date", day, datetime.date(9999, 12, 31), ends_schema="LOW date, HIGH date")
+    tables.read_jdbc(source, "jdbc:x", "sales", partition_column="d", num_partitions=7, **ACCESS)
+    assert [read.get("query") for read in source.reads] == ['SELECT MIN("d") AS low, MAX("d") AS high FROM sales', None]
     assert source.reads[-1] == {
         "url": "jdbc:x",
         "dbtable": "sales",
-        "partitionColumn": "n",
-        "lowerBound": "3",
-        "upperBound": "99",
+        "partitionColumn": "d",
+        "lowerBound": "2018-09-20",
+        "upperBound": "9999-12-31",
         "numPartitions": "7",
         **ACCESS,
     }
 
 
-def test_jdbc_reads_ranges_of_a_given_column(spark):
-    day = datetime.date(2018, 9, 20)
-    source = fake(spark, "n int, d date", day, day, ends_schema="LOW_0 date, HIGH_0 date")
-    tables.read_jdbc(source, "jdbc:x", "sales", partition_column="d")
-    assert source.reads[-1]["partitionColumn"] == "d"
-    assert source.reads[-1]["lowerBound"] == "2018-09-20"
+@pytest.mark.parametrize(
+    "url, name, quoted",
+    [
+        ("jdbc:postgresql://h/d", 'a"b', '"a""b"'),
+        ("jdbc:mysql://h/d", "order", "`order`"),
+        ("jdbc:mariadb://h/d", "a`b", "`a``b`"),
+    ],
+)
+def test_jdbc_names_are_quoted(spark, url, name, quoted):
+    source = fake(spark, "n int", 1, 5)
+    tables.read_jdbc(source, url, "sales", partition_column=name)
+    assert source.reads[0]["query"] == f"SELECT MIN({quoted}) AS low, MAX({quoted}) AS high FROM sales"
+    assert source.reads[-1]["partitionColumn"] == name
     assert source.reads[-1]["numPartitions"] == str(tables.JDBC_PARTITIONS)
 
 
-def test_jdbc_ranges_of_timestamps_count_seconds(spark):
-    start = datetime.datetime(2020, 1, 1)
-    source = fake(
-        spark,
-        "n int, at timestamp",
-        *(0, 5000, start, start + datetime.timedelta(hours=2)),
-        ends_schema="low_0 int, high_0 int, low_1 timestamp_ntz, high_1 timestamp_ntz",
-    )
-    tables.read_jdbc(source, "jdbc:x", "sales")
-    assert source.reads[-1]["partitionColumn"] == "at"
-    assert source.reads[-1]["lowerBound"] == "2020-01-01 00:00:00"
+def test_jdbc_reads_by_predicates(spark):
+    source = fake(spark, "n int")
+    tables.read_jdbc(source, "jdbc:x", "sales", predicates=["n < 5", "n >= 5 OR n IS NULL"], **ACCESS)
+    assert source.reads == [{"url": "jdbc:x", "table": "sales", "predicates": ["n < 5", "n >= 5 OR n IS NULL"], "properties": ACCESS}]
+    with pytest.raises(ValueError, match="either"):
+        tables.read_jdbc(source, "jdbc:x", "sales", partition_column="n", predicates=["n < 5"])
 
 
-@pytest.mark.parametrize(
-    "schema, options",
-    [("name string", {}), ("n int", {"num_partitions": 1}), ("n int", {})],
-    ids=["no column to split", "one partition asked", "empty table"],
-)
-def test_jdbc_reads_at_once(spark, schema, options):
-    source = fake(spark, schema, None, None)
-    tables.read_jdbc(source, "jdbc:x", "sales", **options, **ACCESS)
-    assert source.reads[0] == {"url": "jdbc:x", "dbtable": "sales", **ACCESS}
-    assert all("partitionColumn" not in read for read in source.reads)
+@pytest.mark.parametrize("options", [{"num_partitions": 1}, {}], ids=["one partition asked", "empty table"])
+def test_jdbc_reads_at_once(spark, options):
+    source = fake(spark, "n int", None, None)
+    tables.read_jdbc(source, "jdbc:x", "sales", partition_column="n", **options, **ACCESS)
+    assert source.reads[-1] == {"url": "jdbc:x", "dbtable": "sales", **ACCESS}
 
 
 # ---- snapshots ---------------------------------------------------------------
@@ -190,6 +194,32 @@ def test_files_of_other_writers_are_read_alone(spark, tmp_path):
     assert read_newest(spark, str(root)).count() == 4
 
 
+def test_several_files_of_other_writers_are_an_error(spark, tmp_path):
+    root = tmp_path / "feed" / "2024-01-31"
+    root.mkdir(parents=True)
+    for i in range(3):
+        spark.range(10).toPandas().to_parquet(root / f"export-{i}.parquet")
+    with pytest.raises(ValueError, match='scope="file" or all with scope="folder"'):
+        read_newest(spark, str(tmp_path / "feed"))
+    assert read_newest(spark, str(tmp_path / "feed"), "file").count() == 10
+    assert read_newest(spark, str(tmp_path / "feed"), "folder").count() == 30
+
+
+def test_files_of_early_dates_are_not_listed(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "feed")
+    for day in range(1, 10):
+        write_snapshot(spark.range(day), f"{root}/2024-01-0{day}", n_files=1)
+    listed = []
+    real = snapshots._files
+    monkeypatch.setattr(snapshots, "_files", lambda spark, paths: listed.extend(paths) or real(spark, paths))
+    # Written again after all others, but too early a date.
+    set_time(data_files(f"{root}/2024-01-01"), 4e9)
+    set_time(data_files(f"{root}/2024-01-07"), 3e9)
+    assert read_newest(spark, root, days=3).count() == 7
+    assert sorted(os.path.basename(path) for path in listed) == ["2024-01-07", "2024-01-08", "2024-01-09"]
+    assert read_newest(spark, root, days=9).count() == 1
+
+
 def test_markers_do_not_count(spark, tmp_path):
     root = str(tmp_path / "feed")
     write_snapshot(spark.range(3), f"{root}/2024-01-31")

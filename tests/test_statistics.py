@@ -77,11 +77,57 @@ def test_heavy_tail(spark):
     assert statistics.exact_quantile(df, "x").first().value == expected
 
 
-def test_only_values_near_the_quantile_are_counted(spark, plan):
-    df = spark.range(0, 1000).select(F.col("id").alias("x"))
-    text = plan(statistics.exact_quantile(df, "x"))
-    assert "partial_percentile_disc(clamped" in text
-    assert "partial_percentile_approx" in text
+@pytest.fixture
+def counted(monkeypatch):
+    """Distinct values that each final count had to hold."""
+    real, seen = statistics._counts, []
+
+    def counts(values, a, b, q):
+        if q is not None:
+            inside = values.where((F.col("value") >= a) & (F.col("value") <= b))
+            seen.append(inside.agg(F.count_distinct("value")).first()[0])
+        return real(values, a, b, q)
+
+    monkeypatch.setattr(statistics, "_counts", counts)
+    return seen
+
+
+@pytest.mark.parametrize("n", [100_000, 1_000_000, 4_000_000])
+def test_the_last_task_holds_few_values(spark, counted, n):
+    df = spark.range(0, n, 1, 16).select((F.col("id") * 7919 % n / 3).alias("x"))
+    assert statistics.exact_quantile(df, "x").first().value == (n // 2 - 1) / 3
+    assert len(counted) == 1 and counted[0] <= 1.5 * statistics.COUNTED_ROWS
+
+
+def test_rounds_go_on_to_a_handful_of_rows(spark, counted):
+    df = spark.range(0, 200_000, 1, 16).select((F.col("id") * 7919 % 200_000).alias("x"))
+    for q in (0.0, 0.001, 0.5, 0.75, 1.0):
+        value = statistics.exact_quantile(df, "x", q, counted_rows=20).first().value
+        assert value == max(math.ceil(q * 200_000), 1) - 1
+    assert max(counted) <= 60
+
+
+def test_rounds_with_hot_values(spark):
+    """The answer is a hot value, or one of many between two hot ones."""
+    df = spark.range(0, 60_000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, 0).when(F.col("id") % 3 == 1, 1_000_000).otherwise(F.col("id")).alias("x")
+    )
+    values = sorted(0 if i % 3 == 0 else 1_000_000 if i % 3 == 1 else i for i in range(60_000))
+    for q in (0.1, 1 / 3, 0.334, 0.5, 0.666, 0.7):
+        assert statistics.exact_quantile(df, "x", q, counted_rows=50).first().value == values[math.ceil(q * 60_000) - 1]
+
+
+def test_a_sketch_that_misses_its_bound_does_not_end_the_search(spark, monkeypatch):
+    real, wrong = statistics._weighted, [100.0, 200.0, 49_000.0, 49_500.0]
+    monkeypatch.setattr(statistics, "_weighted", lambda groups, share: wrong.pop(0) if wrong else real(groups, share))
+    df = spark.range(0, 50_000, 1, 8)
+    assert statistics.exact_quantile(df, "id", counted_rows=100).first().value == 24_999
+
+
+def test_infinite_values_count(spark):
+    assert quantile(spark, [math.inf, -math.inf, 1.0, math.inf]) == 1.0
+    assert quantile(spark, [math.inf, math.inf, 1.0]) == math.inf
+    assert quantile(spark, [math.inf, 1.0, 2.0], 0.99, counted_rows=0) == math.inf
 
 
 @pytest.mark.parametrize(
