@@ -35,7 +35,7 @@ ALPHA = 0.5  # power of the pieces' probabilities; 0 makes all segmentations ali
 SEED = 0
 
 _MARK = "▁"
-_BATCH_BYTES = 4 << 20
+_BATCH_BYTES = 512 << 10  # of text; the arcs of its distinct chunks take some hundred times as much
 _SLOT_BITS = 18
 
 
