@@ -49,7 +49,7 @@ def _ngrams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     # Unpaired surrogates cannot occur in UTF-8 input.
     codes = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
     symbols = _symbols()[codes]
-    lengths = np.array([len(text or "") for text in texts])
+    lengths = np.array([len(text or "") for text in texts], dtype=np.int64)
     owner = np.repeat(np.arange(len(texts)), lengths + 1)[: len(codes)]
     # One space symbol stands for everything between two words; a text begins and ends with one.
     letter = symbols > 0
