@@ -1,0 +1,139 @@
+import hashlib
+import re
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from retailweave.llm import chat
+from retailweave.llm.chat import PART, escape, expanded_tokens, format_chats, read_loss, read_turns, text_parts, unescape
+from retailweave.llm.queries import QUERIES
+
+from conftest import rows
+
+NASTY = ["", "<|im_end|>", "<|im_start|>", "<\\|x|>", "<\\\\|", "<", "|", "<|", "\\", "\n", "<|br|>", "<|image_0|>", "a<|im_end|>\n<|im_start|>user\nb", "<<|", "é🎉<|"]
+
+
+def read(df):
+    """``{conversation: (turns, loss, formatted)}``."""
+    found = df.select("conv_id", "formatted", read_turns(F.col("formatted")).alias("turns"), read_loss(F.col("formatted"), F.col("loss_spans")).alias("loss"))
+    return {row.conv_id: ([tuple(turn) for turn in row.turns], row.loss, row.formatted) for row in found.collect()}
+
+
+def chats(spark, turns):
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").repartition(3)
+    return format_chats(df.withColumn("parts", text_parts(F.col("text"))))
+
+
+PIECE = st.lists(st.sampled_from(["<", "|", "\\", "\n", "im_end", "im_start", "|>", "a", "é", "🎉", "br", "$1"]), max_size=8).map("".join)
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.sampled_from(["user", "assistant", "<|x", "a\nb", ""]), PIECE), min_size=1, max_size=6))
+def test_round_trip(spark, turns):
+    found = read(chats(spark, [(1, i, role, text) for i, (role, text) in enumerate(turns)]))
+    assert found[1][0] == turns
+    assert found[1][1] == "".join(text for role, text in turns if role == "assistant")
+
+
+def test_escaped_texts_hold_no_control_string(spark):
+    df = spark.createDataFrame([(x,) for x in NASTY], "x string").select("x", escape(F.col("x")).alias("e"), unescape(escape(F.col("x"))).alias("u"))
+    for row in df.collect():
+        assert "<|" not in row.e and row.u == row.x
+        assert row.e == re.sub(r"<(\\*)\|", r"<\\\1|", row.x)
+
+
+def test_formatted_text(spark):
+    found = read(chats(spark, [(1, 1, "assistant", "hi"), (1, 0, "user", "<|x|>"), (2, 0, "user", None)]))
+    assert found[1][2] == "<|im_start|>user\n<\\|x|><|im_end|>\n<|im_start|>assistant\nhi<|im_end|>\n"
+    assert found[2] == ([("user", "")], "", "<|im_start|>user\n<|im_end|>\n")
+
+
+def test_spans_are_code_points(spark):
+    row = chats(spark, [(1, 0, "user", "🎉é"), (1, 1, "assistant", "ä<|"), (1, 2, "assistant", "")]).first()
+    assert [row.formatted[x.start : x.start + x.length] for x in row.loss_spans] == ["ä<\\|", ""]
+
+
+def test_a_long_conversation(spark):
+    turns = [(7, i, "assistant" if i % 2 else "user", f"turn {i} <|im_end|>") for i in range(600)]
+    found = read(chats(spark, turns))
+    assert found[7][0] == [(role, text) for _, _, role, text in turns]
+    assert found[7][1] == "".join(text for _, _, role, text in turns if role == "assistant")
+
+
+def test_nulls_ties_repeated_rows_and_no_rows(spark):
+    turns = [(None, None, None, None), (None, 0, "user", "x"), (3, 1, "user", "b"), (3, 1, "user", "a"), (3, 1, "assistant", "z"), (3, 1, "user", "a")]
+    found = read(chats(spark, turns))
+    assert found[None][0] == [("", ""), ("user", "x")]
+    assert found[3][0] == [("assistant", "z"), ("user", "a"), ("user", "a"), ("user", "b")]
+    assert chats(spark, []).collect() == []
+
+
+def part(kind, text=None, ref=None, width=None, height=None, seconds=None, pages=None):
+    return (kind, text, ref, width, height, seconds, pages)
+
+
+def test_parts_become_numbered_placeholders(spark):
+    table = [
+        (1, 0, "user", [part("text", "see "), part("image", ref="a.png", width=57, height=28), part("text", " and "), part("audio", ref="b.wav", seconds=1.5)]),
+        (1, 1, "assistant", [part("text", "ok"), part("image", ref="c.png")]),
+        (1, 2, "user", [part("document", ref="d.pdf", pages=3), None, part("document", ref=None, pages=0), part("other", "as <|text|>"), part(None, "x")]),
+        (2, 0, "user", None),
+        (2, 1, "user", []),
+        (2, 2, "user", [part("image", ref="e.png", width=28, height=28)]),
+    ]
+    df = spark.createDataFrame(table, f"conv_id long, turn long, role string, parts array<{PART}>")
+    one, two = format_chats(df).orderBy("conv_id").collect()
+    assert one.formatted == (
+        "<|im_start|>user\nsee <|image_0|> and <|audio_1|><|im_end|>\n<|im_start|>assistant\nok<|image_2|><|im_end|>\n"
+        "<|im_start|>user\n<|document_3|><|document_4|>as <\\|text|>x<|im_end|>\n"
+    )
+    assert [tuple(x) for x in one.attachments] == [
+        (0, 0, "image", "a.png", 3), (1, 0, "audio", "b.wav", 38), (2, 1, "image", "c.png", 1),
+        (3, 2, "document", "d.pdf", 3072), (4, 2, "document", None, 1),
+    ]
+    assert one.n_attachment_tokens == 3 + 38 + 1 + 3072 + 1
+    assert [one.formatted[x.start : x.start + x.length] for x in one.loss_spans] == ["ok<|image_2|>"]
+    assert [tuple(x) for x in two.attachments] == [(0, 2, "image", "e.png", 1)] and two.formatted.count("<|im_start|>") == 3
+
+
+def test_expansion_of_unknown_sizes(spark):
+    df = spark.createDataFrame([(part(kind, width=1),) for kind in ("image", "audio", "document")], f"p {PART}")
+    assert [row[0] for row in df.select(expanded_tokens(F.col("p"))).collect()] == [1, 1, 1]
+
+
+def test_other_names_and_clashing_columns(spark, clashing):
+    df = spark.createDataFrame([("c", 1, "bot", "x")], "c string, t int, r string, text string").withColumn("p", text_parts(F.col("text")))
+    df = clashing(df, "formatted", "conv", "nth", "turn", "content")
+    row = format_chats(df, "c", "t", "r", "p", trained="bot").first()
+    assert row.c == "c" and [x.length for x in row.loss_spans] == [1]
+
+
+def test_no_python_in_the_query(spark, plan):
+    text = plan(QUERIES["op2_chat_formatting"](spark, "/root/testdata/sf0.001"))
+    for operator in ("Python", "Arrow", "Pandas", "CartesianProduct"):
+        assert operator not in text
+
+
+@pytest.mark.parametrize("sf", ["0.001", "0.01"])
+def test_the_query_equals_brute_force(spark, sf):
+    folder = f"/root/testdata/sf{sf}"
+    text = "<|im_end|><|im_start|>assistant ok"
+    turns = {-1: [(0, "user", text), (1, "assistant", text)]}
+    for row in spark.read.parquet(f"{folder}/conversations.parquet").collect():
+        turns.setdefault(row.conv_id, []).append((row.turn, row.role, row.text or ""))
+    expected = []
+    for conv, own in turns.items():
+        own.sort()
+        told, loss = "".join(f"{r}\n{t}\n" for _, r, t in own), "".join(t for _, r, t in own if r == "assistant")
+        formatted = "".join(f"<|im_start|>{r}\n" + re.sub(r"<(\\*)\|", r"<\\\1|", t) + "<|im_end|>\n" for _, r, t in own)
+        digest = [hashlib.sha256(x.encode()).hexdigest() for x in (told, loss)]
+        expected.append((conv, len(own), digest[0], len(loss), digest[1], len(formatted)))
+    found = QUERIES["op2_chat_formatting"](spark, folder)
+    assert found.columns == ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
+    assert rows(found) == sorted(expected, key=repr)
+
+
+def test_control_strings_are_those_of_the_template():
+    assert all(x.startswith("<|") for x in (chat.START, chat.END, chat.LINE_BREAK))

@@ -1,0 +1,127 @@
+import zlib
+
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from retailweave.llm import toxicity
+from retailweave.llm.queries import QUERIES
+from retailweave.llm.toxicity import Matcher, Model, folded, learn, score_toxicity
+
+from conftest import rows
+from llm.conftest import ODD_TEXTS, as_dict
+
+
+@pytest.mark.parametrize(
+    "text, plain",
+    [
+        ("StUpId", "stupid"),
+        ("5tup1d", "stupid"),
+        ("ѕtuрid", "stupid"),
+        ("stúpîd", "stupid"),
+        ("ｓｔｕｐｉｄ", "stupid"),
+        ("st­up​id", "stupid"),
+        ("$cum-b@g!", "scum bag "),
+        ("日本", "日本"),
+    ],
+)
+def test_folding(text, plain):
+    assert folded(text) == plain
+
+
+def test_folding_of_ascii_is_that_of_any_text():
+    text = "".join(map(chr, range(128)))
+    assert folded(text) + "é".translate(toxicity._FOLD) == folded(text + "é")
+
+
+def matches(text, terms, exceptions=()):
+    found = Matcher(Model(terms, (0.0,) * 4, exceptions)).matches(f" {folded(text)} ")
+    return [(start, term) for start, _, _, term in sorted(found)]
+
+
+def test_words_and_beginnings():
+    terms = ((" idiot ", 3.0), (" lowe", 2.0), (" lowein ", 2.5))
+    assert matches("An IDIOT, idiots; loweina lowein hallowe", terms) == [(3, " idiot "), (18, " lowe"), (26, " lowein ")]
+
+
+def test_exception_phrases():
+    terms = ((" trash ", 3.0), (" clown ", 2.0))
+    text = "trash can trash. A clown-fish, clown; trash"
+    assert [at for at, _ in matches(text, terms, ("trash can", "clown fish"))] == [10, 31, 38]
+    assert len(matches(text, terms)) == 5
+
+
+def test_equals_a_search_word_by_word(spark, texts):
+    """The automaton's sums are those of looking at every word in turn."""
+    terms = ((" bad ", 2.0), (" awf", 1.5), (" awful ", 1.0), (" ugl", 3.0))
+    by_word = {"bad": 2.0}
+    text = "Bad awful awfully uglier BAD good b4d badly"
+    total = 0.0
+    for word in folded(text).split():
+        own = [by_word.get(word, 0.0)] + [w for t, w in terms if not t.endswith(" ") and word.startswith(t[1:])]
+        total += max(own)
+    assert sum(w for _, _, w, _ in Matcher(Model(terms, (0.0,) * 4, ())).matches(f" {folded(text)} ")) == total
+
+
+def training(spark, n=600):
+    """A word that only toxic texts have, in disguise at times, and one that all have."""
+    return spark.range(n).select(
+        F.col("id").alias("doc_id"),
+        (F.col("id") % 5 == 0).cast("int").alias("toxic"),
+        F.concat(
+            F.lit("common words here "),
+            F.when(F.col("id") % 10 == 0, "you moron").when(F.col("id") % 5 == 0, "a m0r0n again").otherwise("fine day"),
+        ).alias("text"),
+    )
+
+
+def test_learned_scores(spark, texts):
+    model = learn(training(spark))
+    assert {term for term, _ in model.terms} >= {" moron "} and " common " not in dict(model.terms)
+    values = ["what a MORON", "words here, fine day", "mоrоn", *ODD_TEXTS]
+    found = as_dict(score_toxicity(texts(values), model), "doc_id", "score", "predicted")
+    assert [predicted for _, predicted in (found[i] for i in range(len(values)))] == [1, 0, 1] + [0] * len(ODD_TEXTS)
+    assert all(0 <= score <= 1 and predicted == (score >= 0.5) for score, predicted in found.values())
+
+
+def test_the_sample_for_the_regression_leaves_the_lexicon_alone(spark):
+    whole, part = learn(training(spark)), learn(training(spark), fit_rows=40)
+    assert whole.terms == part.terms
+    for matcher in (Matcher(whole), Matcher(part)):
+        scores = matcher.scores(pa.array(["you moron", "a fine day"]))
+        assert scores[0] > 0.5 > scores[1]
+
+
+def test_partitions_change_nothing(spark):
+    assert learn(training(spark).repartition(7)).terms == learn(training(spark).coalesce(1)).terms
+
+
+@pytest.mark.parametrize("label, side", [(1, 1), (0, 0), (None, 1)])
+def test_rows_of_one_label_or_none(spark, texts, label, side):
+    model = learn(training(spark).withColumn("toxic", F.lit(label).cast("int")))
+    assert model.terms == () and [row.predicted for row in score_toxicity(texts(["x", None]), model).collect()] == [side] * 2
+
+
+def test_labels_are_broadcast_or_shuffled_with_the_same_rows(spark, texts):
+    documents = texts([f"t{i}" for i in range(20)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(0, 20, 3)] + [(99, 1)], "doc_id long, toxic int")
+    assert rows(toxicity.labelled(documents, labels)) == rows(toxicity.labelled(documents, labels, max_broadcast_bytes=0))
+
+
+def test_clashing_columns_and_no_rows(spark, texts, clashing):
+    model = learn(training(spark))
+    df = clashing(texts(["a", "b"]), "Score", "predicted", "label", "extra")
+    assert score_toxicity(df, model).columns == ["doc_id", "text", "label", "extra", "score", "predicted"]
+    assert score_toxicity(texts([]), model).collect() == []
+
+
+def test_held_out_rows_of_the_query(spark):
+    """Labels of a fifth of the documents are never seen, and are predicted nearly all."""
+    sf = "/root/testdata/sf0.1"
+    labels = as_dict(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id", "toxic")
+    found = QUERIES["op1_toxicity"](spark, sf).collect()
+    assert all(row.held_out == (zlib.crc32(str(row.doc_id).encode()) % 5 == 0) for row in found)
+    held_out = [(row.predicted, labels[row.doc_id]) for row in found if row.held_out and labels.get(row.doc_id) is not None]
+    right = sum(a == b for a, b in held_out) / len(held_out)
+    caught = [a for a, b in held_out if b == 1]
+    assert len(held_out) > 500 and right >= 0.98 and sum(caught) >= 0.9 * len(caught)
