@@ -28,6 +28,7 @@ PROFILE = 400  # n-grams of a profile
 UNKNOWN = "und"
 
 _SALTS = 16
+_FLUSH = 1_000_000
 _SPACE = 1
 
 
@@ -102,16 +103,26 @@ def learn(rows: DataFrame, language: str = "lang", text: str = "text", size: int
     )
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Numbers of n-grams by language, summed up for as many texts as memory holds."""
+        names: dict[str, int] = {}
+        keys, times = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+
+        def flush():
+            of_code = pa.array(list(names), pa.string())
+            columns = [of_code.take(pa.array(keys >> np.uint64(32))), pa.array((keys & np.uint64(0xFFFFFFFF)).astype(np.int64)), pa.array(times)]
+            return pa.RecordBatch.from_arrays(columns, ["language", "ngram", "n"])
+
         for batch in batches:
-            for piece in pieces(batch, text_bytes(batch.column(1)), 8 << 20):
-                of_row = piece.column(0).dictionary_encode()
-                names, code = of_row.dictionary, np.asarray(of_row.indices, dtype=np.uint64)
+            for piece in pieces(batch, text_bytes(batch.column(1))):
+                code = np.array([names.setdefault(x, len(names)) for x in piece.column(0).to_pylist()], dtype=np.uint64)
                 grams, owners = _ngrams(piece.column(1).to_pylist())
-                keys, times = np.unique(code[owners] << np.uint64(32) | grams, return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [names.take(pa.array(keys >> np.uint64(32))), pa.array((keys & np.uint64(0xFFFFFFFF)).astype(np.int64)), pa.array(times)],
-                    ["language", "ngram", "n"],
-                )
+                own, n = np.unique(code[owners] << np.uint64(32) | grams, return_counts=True)
+                keys, at = np.unique(np.concatenate([keys, own]), return_inverse=True)
+                times = np.bincount(at, weights=np.concatenate([times, n]), minlength=len(keys)).astype(np.int64)
+                if len(keys) > _FLUSH:
+                    yield flush()
+                    keys, times = keys[:0], times[:0]
+        yield flush()
 
     counts = known.mapInArrow(count, "language string, ngram long, n long").groupBy("language", "ngram").agg(F.sum("n").alias("n"))
     # The most frequent of each of some parts of a language's n-grams, of which the driver then takes the most frequent.
