@@ -28,7 +28,7 @@ from retailweave.sinks.scratch import written
 
 PREFIX_LENGTHS = (4, 5, 6)
 MIN_TOXIC = 5  # training documents that a term must mark
-MIN_WEIGHT = 2.0  # least log-odds, and 1.96 standard errors less
+MIN_WEIGHT = 1.5  # least log-odds, and 1.96 standard errors less
 MAX_TERMS = 5000  # size of the lexicon; the terms that tell most are taken
 FIT_ROWS = 20_000  # rows of each label that the regression is fitted on, about
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
