@@ -167,10 +167,11 @@ def similarity_join(
         )
     )
     clusters = written(_clusters(nodes))
-    sized = clusters.join(
-        clusters.groupBy(F.col("root").alias("cluster")).agg(F.ceil(F.count("*") / block_rows).cast("int").alias("n_blocks")),
-        F.col("root") == F.col("cluster"),
-    ).select("node", "cluster", "n_blocks")
+    # Written, as are the minima below, so that adaptive execution can split the joins on a hot cluster or band.
+    sizes = written(
+        clusters.groupBy(F.col("root").alias("cluster")).agg(F.ceil(F.count("*") / block_rows).cast("int").alias("n_blocks"))
+    )
+    sized = clusters.join(sizes, F.col("root") == F.col("cluster")).select("node", "cluster", "n_blocks")
     wanted = nodes.join(sized, "node").select("node", "first_id", "weight", "cluster", "n_blocks")
     texts = ids.join(
         wanted.select(F.col("first_id").alias("wanted_id")).distinct(), F.col("id").eqNullSafe(F.col("wanted_id")), "left_semi"
@@ -200,7 +201,9 @@ def similarity_join(
 def _clusters(nodes: DataFrame) -> DataFrame:
     """``(node, root)`` of the nodes that share a band with another one."""
     rows = nodes.select("node", F.explode("bands").alias("band"))
-    least = rows.groupBy(F.col("band").alias("key")).agg(F.min("node").alias("b"), F.count("*").alias("n")).where("n > 1")
+    least = written(
+        rows.groupBy(F.col("band").alias("key")).agg(F.min("node").alias("b"), F.count("*").alias("n")).where("n > 1")
+    )
     links = rows.join(least, F.col("band") == F.col("key")).select(F.col("node").alias("a"), "b")
     return components(links)
 

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from retailweave.llm.batches import groups
 from retailweave.llm.components import components
+from retailweave.sinks.scratch import written
 
 PARTS = "node binary, n_links long, root binary"
 
@@ -60,10 +61,13 @@ def classes(nodes: DataFrame, parts: DataFrame) -> DataFrame:
     sums = parts.groupBy(F.col("node").alias("n")).agg(F.sum("n_links").alias("others"))
     roots = components(parts.select(F.col("node").alias("a"), F.col("root").alias("b")))
     known = nodes.join(sums, nodes.node == sums.n, "left").drop("n")
-    member = known.join(roots.withColumnRenamed("node", "n"), F.col("node") == F.col("n"), "left").select(
-        "node", "weight", "first_id", "others", F.coalesce("root", "node").alias("root")
+    # Written, as a class may hold a third of all rows: adaptive execution splits joins of plain tables.
+    member = written(
+        known.join(roots.withColumnRenamed("node", "n"), F.col("node") == F.col("n"), "left").select(
+            "node", "weight", "first_id", "others", F.coalesce("root", "node").alias("root")
+        )
     )
-    smallest = member.groupBy(F.col("root").alias("r")).agg(F.min("first_id").alias("class_id"))
+    smallest = written(member.groupBy(F.col("root").alias("r")).agg(F.min("first_id").alias("class_id")))
     return member.join(smallest, F.col("root") == F.col("r")).select(
         "node", "class_id", (F.coalesce("others", F.lit(0)) + F.col("weight") - 1).alias("n_links")
     )
