@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from retailweave.llm.batches import quoted
-from retailweave.llm.linking import classes, local_roots, meet
+from retailweave.llm.linking import classes, local_roots, meet, meetings
 from retailweave.sinks.scratch import written
 
 THRESHOLD = 0.98
@@ -165,10 +165,8 @@ def near_duplicates(
     lengths = [row[0] for row in nodes.select(F.size("vector")).distinct().collect()]
     axes = {size: _directions(nodes, size, min(directions, size), sample) for size in lengths}
     blocks = written(_blocks(nodes, axes, eps, block_rows))
-    pairs = _block_pairs(blocks, eps, max([1, *(x.shape[1] for x in axes.values())]))
-    a = blocks.join(pairs, blocks.block == pairs.block_a).withColumn("side", F.lit(0))
-    b = blocks.join(pairs.where("block_a <> block_b"), blocks.block == F.col("block_b")).withColumn("side", F.lit(1))
-    tasks = a.unionByName(b).select(F.concat_ws(":", "block_a", "block_b").alias("task"), "node", "vector", "weight", "side")
+    pairs = written(_block_pairs(blocks, eps, max([1, *(x.shape[1] for x in axes.values())])))
+    tasks = meetings(blocks.select("node", "vector", "weight", "block"), pairs)
     known = classes(nodes.select("node", "weight", "first_id"), written(meet(tasks, _link(threshold, eps, axes))))
     found = signed.select("id", "node").join(known, "node").select("id", "n_links", F.col("class_id").alias("component_id"))
     alone = rows.where(~_usable("label", "vector")).select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))

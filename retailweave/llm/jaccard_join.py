@@ -3,13 +3,14 @@
 1. Texts with the same words are one node, so exact copies are compared once.
 2. Every node gets ``bands`` hashes, each over ``rows`` MinHash values; the numbers follow
    from the threshold and the recall that is asked for (``choose_bands``).
-3. The rows are shuffled on band hashes. Nodes that share one are candidates, and
-   candidates that hang together form a cluster.
-4. In each cluster the pairs are verified on the full n-gram sets. A cluster of more
-   than ``BLOCK_ROWS`` nodes is cut into blocks, and every two blocks meet in a task of
-   their own (``linking``).
-
-No table of pairs is made: the result has one row per document.
+3. The rows are shuffled on band hashes. Nodes that share one are candidates. A node's
+   leader is the smallest node that it shares a band with, and the nodes of a leader form a
+   block, or several of at most about ``BLOCK_ROWS`` nodes.
+4. Every block, and every two blocks that share a band, meet in a task, which verifies all
+   pairs on the full n-gram sets (``linking``). So a chain of candidates, however long, is
+   compared along the chain only.
+
+No table of pairs of documents is made: the result has one row per document.
 """
 
 from __future__ import annotations
@@ -26,8 +27,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
 from retailweave.llm.batches import add_columns, quoted
-from retailweave.llm.components import components
-from retailweave.llm.linking import classes, local_roots, meet
+from retailweave.llm.linking import classes, local_roots, meet, meetings
 from retailweave.llm.words import Words, mixed
 from retailweave.sinks.scratch import written
 
@@ -166,46 +166,38 @@ def similarity_join(
             F.count("*").alias("weight"), F.min("id").alias("first_id"), F.first("bands").alias("bands")
         )
     )
-    clusters = written(_clusters(nodes))
-    # Written, as are the minima below, so that adaptive execution can split the joins on a hot cluster or band.
-    sizes = written(
-        clusters.groupBy(F.col("root").alias("cluster")).agg(F.ceil(F.count("*") / block_rows).cast("int").alias("n_blocks"))
-    )
-    sized = clusters.join(sizes, F.col("root") == F.col("cluster")).select("node", "cluster", "n_blocks")
-    wanted = nodes.join(sized, "node").select("node", "first_id", "weight", "cluster", "n_blocks")
+    blocks, pairs = _blocks(nodes, block_rows)
+    wanted = written(nodes.join(blocks, "node").select("node", "first_id", "weight", "block"))
     texts = ids.join(
         wanted.select(F.col("first_id").alias("wanted_id")).distinct(), F.col("id").eqNullSafe(F.col("wanted_id")), "left_semi"
     )
     sets = add_columns(texts, "text", _NGRAMS, lambda: _ngram_sets(n), ["id"])
     # Rows with one id may have different texts, and repeated rows the same: one row per node goes on.
     sets = sets.where("node is not null").dropDuplicates(["node"]).drop("id")
-    block = F.pmod(F.xxhash64("node"), F.col("n_blocks")).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)).alias("other")
-    pairs = (
-        sets.join(wanted, "node")
-        .select("node", "ngrams", "weight", "cluster", block.alias("block"), other)
-        .select(
-            F.concat_ws(":", F.hex("cluster"), F.least("block", "other"), F.greatest("block", "other")).alias("task"),
-            "node",
-            "ngrams",
-            "weight",
-            F.when(F.col("block") > F.col("other"), 1).otherwise(0).alias("side"),
-        )
-    )
-    known = classes(nodes.select("node", "weight", "first_id"), written(meet(pairs, _verify(threshold))))
+    members = written(sets.join(wanted, "node").select("node", "ngrams", "weight", "block"))
+    tasks = meetings(members, pairs)
+    known = classes(nodes.select("node", "weight", "first_id"), written(meet(tasks, _verify(threshold))))
     found = worded.select("id", "node").join(known, "node").select("id", "class_id", "n_links")
     alone = signed.where("node is null").select("id", F.col("id").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
     return found.unionByName(alone).select(F.col("id").alias(id_column), "class_id", "n_links")
 
 
-def _clusters(nodes: DataFrame) -> DataFrame:
-    """``(node, root)`` of the nodes that share a band with another one."""
+def _blocks(nodes: DataFrame, block_rows: int) -> tuple[DataFrame, DataFrame]:
+    """``(node, block)`` of the nodes that share a band with another one, and ``(block_a, block_b)`` of the blocks to compare."""
     rows = nodes.select("node", F.explode("bands").alias("band"))
-    least = written(
-        rows.groupBy(F.col("band").alias("key")).agg(F.min("node").alias("b"), F.count("*").alias("n")).where("n > 1")
-    )
-    links = rows.join(least, F.col("band") == F.col("key")).select(F.col("node").alias("a"), "b")
-    return components(links)
+    # Written, as are the tables below, so that adaptive execution can split joins on a hot band, leader or block.
+    least = written(rows.groupBy(F.col("band").alias("key")).agg(F.min("node").alias("first"), F.count("*").alias("n")).where("n > 1"))
+    shared = written(rows.join(least, F.col("band") == F.col("key")).select("node", "band", "first"))
+    leaders = written(shared.groupBy("node").agg(F.min("first").alias("leader")))
+    sizes = written(leaders.groupBy(F.col("leader").alias("of")).agg(F.ceil(F.count("*") / block_rows).alias("n_blocks")))
+    block = F.concat_ws(":", F.hex("leader"), F.pmod(F.xxhash64("node"), F.col("n_blocks")))
+    blocks = written(leaders.join(sizes, F.col("leader") == F.col("of")).select("node", block.alias("block")))
+    in_band = written(shared.join(blocks, "node").select("band", "block").distinct())
+    other = in_band.select(F.col("band").alias("key"), F.col("block").alias("block_b"))
+    across = in_band.join(other, (F.col("band") == F.col("key")) & (F.col("block") < F.col("block_b")))
+    several = blocks.groupBy("block").count().where("count > 1")
+    within = several.select(F.col("block").alias("block_a"), F.col("block").alias("block_b"))
+    return blocks, written(across.select(F.col("block").alias("block_a"), "block_b").unionByName(within).distinct())
 
 
 def drop_near_duplicates(df: DataFrame, id_column: str = "doc_id", text: str = "text", **options) -> DataFrame:

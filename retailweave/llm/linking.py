@@ -22,8 +22,18 @@ from retailweave.sinks.scratch import written
 PARTS = "node binary, n_links long, root binary"
 
 
-def meet(pairs: DataFrame, link: Callable[[pa.Table], tuple[np.ndarray, np.ndarray]]) -> DataFrame:
-    """Links within every task of ``pairs``, a table with ``task`` and ``node`` and what ``link`` needs.
+def meetings(members: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The rows of ``members``, a table with ``block``, for every pair ``(block_a, block_b)`` of blocks: ``task``, ``side`` and their columns.
+
+    A pair of a block with itself has the block's rows once.
+    """
+    a = members.join(pairs, F.col("block") == F.col("block_a")).withColumn("side", F.lit(0))
+    b = members.join(pairs.where("block_a <> block_b"), F.col("block") == F.col("block_b")).withColumn("side", F.lit(1))
+    return a.unionByName(b).withColumn("task", F.concat_ws("|", "block_a", "block_b")).drop("block", "block_a", "block_b")
+
+
+def meet(tasks: DataFrame, link: Callable[[pa.Table], tuple[np.ndarray, np.ndarray]]) -> DataFrame:
+    """Links within every task of ``tasks``, a table with ``task`` and ``node`` and what ``link`` needs.
 
     ``link(rows)`` returns the weighted number of links and the local component's
     first row for each row of a task, whose rows come sorted by node.
@@ -36,7 +46,7 @@ def meet(pairs: DataFrame, link: Callable[[pa.Table], tuple[np.ndarray, np.ndarr
             nodes = rows.column("node").combine_chunks()
             yield pa.RecordBatch.from_arrays([nodes, pa.array(n_links, pa.int64()), nodes.take(pa.array(root))], ["node", "n_links", "root"])
 
-    return pairs.repartition("task").sortWithinPartitions("task", "node").mapInArrow(run, PARTS)
+    return tasks.repartition("task").sortWithinPartitions("task", "node").mapInArrow(run, PARTS)
 
 
 def local_roots(linked: np.ndarray) -> np.ndarray:
