@@ -128,8 +128,7 @@ def op10_sentencepiece(spark, sf_dir, model: str = PIECE_MODEL):
     """Sampled segmentations of all documents, decoded again. The hashes tell whether the texts came back."""
     vocabulary = sentence_pieces.read_vocabulary(model)
     documents = _table(spark, sf_dir, "documents").select("doc_id", "text", F.xxhash64("text").alias("before"))
-    encoded = sentence_pieces.encode(documents, vocabulary, keep=["doc_id", "before"])
-    decoded = sentence_pieces.decode(encoded, vocabulary)
+    decoded = sentence_pieces.round_trip(documents, vocabulary, keep=["doc_id", "before"])
     return decoded.select(
         "doc_id",
         F.coalesce(F.size("piece_ids"), F.lit(0)).cast("long").alias("n_pieces"),

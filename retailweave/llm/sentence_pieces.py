@@ -35,7 +35,8 @@ ALPHA = 0.5  # power of the pieces' probabilities; 0 makes all segmentations ali
 SEED = 0
 
 _MARK = "▁"
-_BATCH_BYTES = 512 << 10  # of text; the arcs of its distinct chunks take some hundred times as much
+_BATCH_BYTES = 2 << 20  # of text that is looked through for equal chunks
+_LATTICE_BYTES = 128 << 10  # of distinct chunks whose lattices are held, in some hundred times as much memory
 _SLOT_BITS = 18
 
 
@@ -121,35 +122,48 @@ class Lattice:
 
     def _sample(self, data: np.ndarray, start: np.ndarray, end: np.ndarray, seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Piece ids of all chunks in turn, and their number by chunk."""
-        if not len(start):
-            return np.zeros(0, np.int32), np.zeros(0, np.int64)
-        _, sample, kind = np.unique(span_hashes(data, start, end), return_index=True, return_inverse=True)
-        length = (end - start)[sample]
-        # The distinct chunks, one after the other, with one node more than bytes each.
+        n_pieces, steps = np.zeros(len(start), dtype=np.int64), []
+        # Equal chunks one after the other, and the first of each kind.
+        hashes = span_hashes(data, start, end)
+        order = np.argsort(hashes, kind="stable")
+        new = np.flatnonzero(np.diff(hashes[order], prepend=~hashes[order[:1]]))
+        sample, bounds = order[new], np.append(new, len(order))
+        total = np.cumsum((end - start)[sample])
+        at = 0
+        while at < len(sample):
+            before = total[at - 1] if at else 0
+            stop = max(at + 1, int(np.searchsorted(total, before + _LATTICE_BYTES, "right")))
+            walks = order[bounds[at] : bounds[stop]]
+            kind = np.repeat(np.arange(stop - at), np.diff(bounds[at : stop + 1]))
+            for step, (walk, ids) in enumerate(self._walk(data, start[sample[at:stop]], end[sample[at:stop]], kind, seeds[walks])):
+                steps.append((walks[walk], step, ids))
+                n_pieces[walks[walk]] += 1
+            at = stop
+        out, last = np.empty(n_pieces.sum(), dtype=np.int32), np.cumsum(n_pieces) - 1
+        for walk, step, ids in steps:
+            out[last[walk] - step] = ids
+        return out, n_pieces
+
+    def _walk(self, data: np.ndarray, start: np.ndarray, end: np.ndarray, kind: np.ndarray, seeds: np.ndarray):
+        """Draws a segmentation of the chunk ``kind`` for each seed, from its end: yields walks and their next piece."""
+        length = end - start
+        # The chunks, one after the other, with one node more than bytes each.
         first = np.cumsum(length) - length
         inside = np.arange(length.sum()) - np.repeat(first, length)
-        own = data[np.repeat(start[sample], length) + inside]
+        own = data[np.repeat(start, length) + inside]
         first_node = first + np.arange(len(length))
         node_of = np.arange(len(own)) + np.repeat(np.arange(len(length)), length)
         source, target, ids, weight = self._arcs(own, np.repeat(first + length, length))
         source, target = node_of[source], node_of[target - 1] + 1
         arcs = _sampler(source, target, weight, target - np.repeat(first_node, length + 1)[target], int(node_of[-1]) + 2)
-        # Walks from every chunk's last node back to its first.
-        node, goal, walk = (first_node + length)[kind], first_node[kind], np.arange(len(start))
-        n_pieces, steps = np.zeros(len(start), dtype=np.int64), []
-        step = 0
+        node, goal, walk, step = (first_node + length)[kind], first_node[kind], np.arange(len(kind)), 0
         while len(walk):
             arc = arcs.draw(node, mixed(seeds[walk] + np.uint64(step)) >> np.uint64(32))
-            steps.append((walk, ids[arc]))
-            n_pieces[walk] += 1
+            yield walk, ids[arc]
             node = source[arc]
             left = node > goal
             node, goal, walk = node[left], goal[left], walk[left]
             step += 1
-        out, last = np.empty(n_pieces.sum(), dtype=np.int32), np.cumsum(n_pieces) - 1
-        for back, (walk, found) in enumerate(steps):
-            out[last[walk] - back] = found
-        return out, n_pieces
 
     def _arcs(self, data: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, ...]:
         """From, to, piece id and weight of all arcs, in bytes of ``data``; ``stop`` is the end of each byte's chunk."""
@@ -251,16 +265,32 @@ DECODED = T.StructType([T.StructField("decoded", T.StringType())])
 
 
 def encode(
-    df: DataFrame, vocabulary: Vocabulary, key: str = "doc_id", text: str = "text", keep: list[str] | None = None, alpha: float = ALPHA, seed: int = SEED
+    df: DataFrame,
+    vocabulary: Vocabulary,
+    key: str = "doc_id",
+    text: str = "text",
+    keep: list[str] | None = None,
+    alpha: float = ALPHA,
+    seed: int = SEED,
 ) -> DataFrame:
     """``piece_ids``: a sampled segmentation of every whole text. Rows with equal keys and texts are cut alike.
 
     Null texts have null ids and empty ones none; a null key is a key. The columns ``keep`` (all by
     default) stay; those named like a result are replaced.
     """
+    return _encoded(df, vocabulary, key, text, keep, alpha, seed, ENCODED)
+
+
+def round_trip(df: DataFrame, vocabulary: Vocabulary, key: str = "doc_id", text: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """``piece_ids`` as ``encode`` gives them and ``decoded``, the text that ``decode`` makes of them, in one pass."""
+    return _encoded(df, vocabulary, key, text, keep, ALPHA, SEED, T.StructType(ENCODED.fields + DECODED.fields))
+
+
+def _encoded(df, vocabulary: Vocabulary, key: str, text: str, keep, alpha: float, seed: int, added: T.StructType) -> DataFrame:
     shared = df.sparkSession.sparkContext.broadcast(vocabulary)
-    kept = [name for name in (df.columns if keep is None else keep) if name.lower() != "piece_ids"]
-    schema = T.StructType([df.schema[name] for name in kept] + ENCODED.fields)
+    new = set(added.names)
+    kept = [name for name in (df.columns if keep is None else keep) if name.lower() not in new]
+    schema = T.StructType([df.schema[name] for name in kept] + added.fields)
 
     def run(batches):
         lattice = Lattice(shared.value, alpha)
@@ -268,8 +298,10 @@ def encode(
             texts = batch.column(len(kept))
             for piece in pieces(batch, text_bytes(texts), _BATCH_BYTES):
                 keys = np.asarray(piece.column(len(kept) + 1), dtype=np.int64).view(np.uint64)
-                ids = lattice.encode(piece.column(len(kept)), keys)
-                yield pa.RecordBatch.from_arrays([*piece.columns[: len(kept)], ids], schema.names)
+                columns = [lattice.encode(piece.column(len(kept)), keys)]
+                if len(added) > 1:
+                    columns.append(lattice.decode(columns[0]).cast(pa.string()))
+                yield pa.RecordBatch.from_arrays([*piece.columns[: len(kept)], *columns], schema.names)
 
     source = [quoted(name) for name in kept]
     key_number = F.xxhash64(F.lit(seed), quoted(key)).alias("__key")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from retailweave.llm import sentence_pieces
 from retailweave.llm.queries import PIECE_MODEL, QUERIES
-from retailweave.llm.sentence_pieces import Lattice, Vocabulary, decode, encode, read_vocabulary
+from retailweave.llm.sentence_pieces import Lattice, Vocabulary, decode, encode, read_vocabulary, round_trip
 
 from conftest import rows
 from llm.conftest import ODD_TEXTS, as_dict
@@ -116,6 +116,7 @@ def test_frames_null_keys_repeated_rows_clashing_columns_and_no_rows(spark, clas
     back = decode(encoded, VOCABULARY)
     assert back.columns == ["doc_id", "text", "extra", "piece_ids", "decoded"]
     assert all(row.decoded == row.text for row in back.collect())
+    assert rows(round_trip(df, VOCABULARY, keep=["doc_id"])) == rows(back.select("doc_id", "piece_ids", "decoded"))
     assert len({tuple(row.piece_ids) for row in back.where("doc_id = 1").collect()}) == 1
     assert as_dict(back, "doc_id", "piece_ids")[2] is None and as_dict(back, "doc_id", "piece_ids")[3] == []
     assert decode(encode(df.limit(0), VOCABULARY), VOCABULARY).collect() == []
