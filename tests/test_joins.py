@@ -349,3 +349,24 @@ def test_a_large_scan_is_not_measured(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(joins, "measured_bytes", lambda frames: [1] * len(frames))
     assert joins._fitting([dimension], 1_000) == set()
     assert joins._fitting([dimension], 10**9) == {0}
+
+
+def jobs_of(spark, action):
+    """Number of Spark jobs that an action runs."""
+    group = f"jobs-{id(action)}"
+    spark.sparkContext.setJobGroup(group, "counted")
+    try:
+        action()
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(10_000)
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_sizes_of_all_dimensions_are_one_query(star, spark):
+    assert jobs_of(spark, lambda: star_join(*star)) <= 2
+
+
+def test_hot_keys_are_two_queries(star, spark):
+    """One over the fact table for all keys, one over all dimensions, each with two steps of merging."""
+    assert jobs_of(spark, lambda: star_join(*star, strategy="merge")) <= 6
