@@ -46,21 +46,39 @@ def add_columns(
     """
     new = {name.lower() for name in added.names}
     kept = [name for name in (df.columns if keep is None else keep) if name.lower() not in new]
-    source = [quoted(name) for name in kept] + [quoted(text).cast("string").alias("__text")]
+    source = [quoted(name) for name in kept]
+    if text in kept and isinstance(df.schema[text].dataType, T.StringType):
+        at = kept.index(text)  # sent once, if it stays
+    else:
+        at = len(kept)
+        source.append(quoted(text).cast("string").alias("__text"))
     schema = T.StructType([df.schema[name] for name in kept] + added.fields)
     arrow = to_arrow_schema(added)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         function = compute()
         for batch in batches:
-            for piece in pieces(batch, text_bytes(batch.column(len(kept)))):
-                values = function(piece.column(len(kept)))
+            for piece in pieces(batch, text_bytes(batch.column(at))):
+                values = function(piece.column(at))
                 columns = [value.cast(field.type) for value, field in zip(values, arrow)]
                 yield pa.RecordBatch.from_arrays([*piece.columns[: len(kept)], *columns], schema.names)
 
     return df.select(*source).mapInArrow(run, schema)
 
 
+def packed(df: DataFrame, text: str) -> DataFrame:
+    """``__text`` and all other columns as ``__others``, so that the columns an operator adds replace none of them."""
+    others = [quoted(name) for name in df.columns if name != text]
+    return df.select(F.struct(F.lit(0).alias("__"), *others).alias("__others"), quoted(text).alias("__text"))
+
+
+def unpacked(df: DataFrame, columns: Sequence[str], text: str) -> DataFrame:
+    """The columns of a frame that was ``packed``, in their order."""
+    return df.select(
+        *((F.col("__text") if name == text else F.col("__others")[name]).alias(name) for name in columns)
+    )
+
+
 def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 

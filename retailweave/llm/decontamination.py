@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from retailweave.llm.batches import add_columns, pieces, quoted, text_bytes
+from retailweave.llm.batches import add_columns, packed, pieces, quoted, text_bytes, unpacked
 from retailweave.llm.words import Words, mixed
 
 WINDOW = 13
@@ -150,10 +150,15 @@ def search(
     new = {name.lower() for name in _STATE.names}
     kept = [name for name in names if name.lower() not in new]
     chunks = list(_chunks(documents.sparkSession, benchmark, item, item_text, window, chunk_bytes))
-    df = documents.select(*(quoted(name) for name in kept), quoted(text).cast("string").alias("__source"))
-    for i, chunk in enumerate(chunks or [documents.sparkSession.sparkContext.broadcast([])]):
-        last = i == max(0, len(chunks) - 1)
-        df = _search_chunk(df, chunk, kept + ([] if last else ["__source"]), window, before=i > 0)
+    chunks = chunks or [documents.sparkSession.sparkContext.broadcast([])]
+    source = text
+    df = documents
+    if source not in kept or len(chunks) > 1:
+        source = "__source"
+        df = documents.select(*(quoted(name) for name in kept), quoted(text).cast("string").alias(source))
+    for i, chunk in enumerate(chunks):
+        last = i == len(chunks) - 1
+        df = _search_chunk(df, source, chunk, kept + ([] if last else [source]), window, before=i > 0)
     return df
 
 
@@ -173,7 +178,7 @@ def _chunks(spark, benchmark: DataFrame, item: str, item_text: str, window: int,
         yield spark.sparkContext.broadcast(held)
 
 
-def _search_chunk(df: DataFrame, chunk, keep: list[str], window: int, before: bool) -> DataFrame:
+def _search_chunk(df: DataFrame, source: str, chunk, keep: list[str], window: int, before: bool) -> DataFrame:
     """One chunk's hits, together with those of the chunks ``before``."""
     if not before:
 
@@ -181,15 +186,15 @@ def _search_chunk(df: DataFrame, chunk, keep: list[str], window: int, before: bo
             sets = pattern_sets(chunk.value, window)
             return lambda texts: _state(texts, None, chunk.value, sets)
 
-        return add_columns(df, "__source", _STATE, first, keep)
+        return add_columns(df, source, _STATE, first, keep)
     schema = T.StructType([df.schema[name] for name in keep] + _STATE.fields)
 
     def later(batches):
         sets = pattern_sets(chunk.value, window)
         for batch in batches:
-            for piece in pieces(batch, text_bytes(batch.column("__source"))):
+            for piece in pieces(batch, text_bytes(batch.column(source))):
                 earlier = zip(piece.column("item_ids").to_pylist(), piece.column("hit_spans").to_pylist())
-                values = _state(piece.column("__source"), earlier, chunk.value, sets)
+                values = _state(piece.column(source), earlier, chunk.value, sets)
                 yield pa.RecordBatch.from_arrays([*(piece.column(name) for name in keep), *values], schema.names)
 
     return df.mapInArrow(later, schema)
@@ -235,5 +240,5 @@ def contaminated(min_share: int = MIN_SHARE):
 
 def decontaminate(documents: DataFrame, benchmark: DataFrame, text: str = "text", min_share: int = MIN_SHARE, **options) -> DataFrame:
     """The documents that are not contaminated, with their own columns. Null texts stay."""
-    marked = search(documents.select("*", F.struct(*documents.columns).alias("__row")), benchmark, text, keep=["__row"], **options)
-    return marked.where(~contaminated(min_share)).select("__row.*")
+    marked = search(packed(documents, text), benchmark, "__text", keep=["__others", "__text"], **options)
+    return unpacked(marked.where(~contaminated(min_share)), documents.columns, text)

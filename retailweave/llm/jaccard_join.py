@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
-from retailweave.llm.batches import add_columns, quoted
+from retailweave.llm.batches import add_columns, packed, quoted, unpacked
 from retailweave.llm.linking import classes, local_roots, meet, meetings
 from retailweave.llm.words import Words, mixed
 from retailweave.sinks.scratch import written
@@ -208,6 +208,7 @@ def drop_near_duplicates(df: DataFrame, id_column: str = "doc_id", text: str = "
     """
     found = similarity_join(df, id_column, text, **options)
     kept = found.where(quoted(id_column) == F.col("class_id")).select(F.col("class_id").alias("__kept")).distinct()
-    rows = df.join(kept, quoted(id_column) == F.col("__kept"), "left_semi").unionByName(df.where(quoted(id_column).isNull()))
-    same = W.partitionBy(quoted(id_column), F.xxhash64(quoted(text))).orderBy(F.lit(0))
-    return rows.withColumn("__nth", F.row_number().over(same)).where("__nth = 1").drop("__nth")
+    rows, key = packed(df, text), F.col("__others")[id_column]
+    rows = rows.join(kept, key == F.col("__kept"), "left_semi").unionByName(rows.where(key.isNull()))
+    same = W.partitionBy(key, F.xxhash64("__text")).orderBy(F.lit(0))
+    return unpacked(rows.withColumn("__nth", F.row_number().over(same)).where("__nth = 1"), df.columns, text)
