@@ -1,6 +1,13 @@
 import pytest
 from pyspark.sql import functions as F
 
+from retailweave.session import ship_package
+
+
+@pytest.fixture(autouse=True, scope="session")
+def shipped(spark):
+    ship_package(spark)
+
 
 @pytest.fixture
 def texts(spark):
