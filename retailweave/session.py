@@ -16,7 +16,10 @@ _shipped: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Sends this package to the executors, once per application, for functions that run in their Python workers."""
+    """Sends this package to the executors, once per application, for functions that run in their Python workers.
+
+    The archive is a file of the driver, which Spark hands out to every executor.
+    """
     application = spark.sparkContext.applicationId
     if application in _shipped:
         return
