@@ -239,7 +239,8 @@ def write_archives(
     rows = df.select(
         quoted(id_column).cast("long").alias("id"), F.coalesce(quoted(uri).cast("string"), F.lit("")).alias("uri"), content.alias("payload")
     ).withColumn("digest", F.sha1("payload"))
-    repeated = (
+    # Written, so that adaptive execution can split the join on a payload that very many rows have.
+    repeated = written(
         rows.where(F.octet_length("payload") >= revisit_bytes)
         .groupBy(F.col("digest").alias("of_digest"), F.octet_length("payload").alias("of_length"))
         .agg(F.max("id").alias("response"), F.count("*").alias("n"))
