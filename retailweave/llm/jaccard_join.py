@@ -208,7 +208,12 @@ def drop_near_duplicates(df: DataFrame, id_column: str = "doc_id", text: str = "
     """
     found = similarity_join(df, id_column, text, **options)
     kept = found.where(quoted(id_column) == F.col("class_id")).select(F.col("class_id").alias("__kept")).distinct()
-    rows, key = packed(df, text), F.col("__others")[id_column]
-    rows = rows.join(kept, key == F.col("__kept"), "left_semi").unionByName(rows.where(key.isNull()))
-    same = W.partitionBy(key, F.xxhash64("__text")).orderBy(F.lit(0))
-    return unpacked(rows.withColumn("__nth", F.row_number().over(same)).where("__nth = 1"), df.columns, text)
+    rows = packed(df, text).withColumn("__key", F.col("__others")[id_column])
+    # The join leaves the rows of an id together, so that the window does not move the texts again.
+    with_id = rows.where("__key is not null").join(kept, F.col("__key") == F.col("__kept"), "left_semi")
+    same = W.partitionBy("__key", F.xxhash64("__text")).orderBy(F.lit(0))
+    first = [
+        df.withColumn("__nth", F.row_number().over(same)).where("__nth = 1")
+        for df in (with_id, rows.where("__key is null"))
+    ]
+    return unpacked(first[0].unionByName(first[1]), df.columns, text)
