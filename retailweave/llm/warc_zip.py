@@ -35,6 +35,7 @@ from retailweave.sinks.scratch import written
 
 ARCHIVE_BYTES = 64 * 1024 * 1024  # data of an archive, after which a task begins another
 REVISIT_BYTES = 1000  # payloads of fewer bytes are stored every time
+TASK_BYTES = 128 * 1024 * 1024  # of archives that a task reads
 READ_BYTES = 1024 * 1024  # neighbouring records are fetched together up to so many bytes
 
 _DATA, _INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
@@ -321,7 +322,16 @@ def read_index(archives: DataFrame) -> DataFrame:
                 kinds = (pa.string(), pa.int64(), pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["path", "offset", "lengths"])
 
-    return archives.select("path", "size").repartition("path").mapInArrow(run, "path string, offset long, lengths array<long>")
+    return archives.select("path", "size").repartition(_tasks(archives)).mapInArrow(run, "path string, offset long, lengths array<long>")
+
+
+def _tasks(archives: DataFrame) -> int:
+    """Tasks that read the archives: one for ``TASK_BYTES``, and no fewer than there are cores.
+
+    The number is given, as adaptive execution would go by the small rows that say what is to be read.
+    """
+    total = archives.agg(F.sum("size")).first()[0] or 0
+    return max(archives.sparkSession.sparkContext.defaultParallelism, -(-total // TASK_BYTES))
 
 
 def _lines(read, offset: int, size: int) -> Iterator[bytes]:
@@ -354,7 +364,8 @@ def read_records(archives: DataFrame) -> DataFrame:
         if file is not None:
             file.close()
 
-    return read_index(archives).repartition("path", "offset").mapInArrow(run, RECORDS)
+    runs = read_index(archives).repartition(_tasks(archives), "path", "offset").sortWithinPartitions("path", "offset")
+    return runs.mapInArrow(run, RECORDS)
 
 
 _KINDS = (pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.binary())

@@ -182,3 +182,11 @@ def test_a_repeated_attempt_leaves_no_record_twice(spark, tmp_path):
     write_archives(df.limit(3), folder)
     second = write_archives(df, folder)
     assert read_records(second).count() == len(PAGES)
+
+
+def test_reading_is_spread_by_size(spark, tmp_path, monkeypatch):
+    archives = write_archives(spark.createDataFrame(PAGES, SCHEMA), str(tmp_path / "w"), archive_bytes=1)
+    cores = spark.sparkContext.defaultParallelism
+    assert warc_zip._tasks(archives) == cores == read_records(archives).rdd.getNumPartitions()
+    monkeypatch.setattr(warc_zip, "TASK_BYTES", 100)
+    assert warc_zip._tasks(archives) == -(-archives.agg(F.sum("size")).first()[0] // 100) > cores
