@@ -92,6 +92,9 @@ class Profiles:
     ngrams: tuple[tuple[int, ...], ...]
 
 
+ANY = Profiles(("any",), ((),))  # one language without n-grams, which every text with a letter is nearest to
+
+
 def learn(rows: DataFrame, language: str = "lang", text: str = "text", size: int = PROFILE) -> Profiles:
     """The profile of every value of ``language``, from counts over all rows and whole texts.
 

@@ -96,6 +96,17 @@ def test_stages_take_no_documents_and_odd_ones(spark, tmp_path):
         assert docs.count() == kept
 
 
+@pytest.mark.parametrize("labels", [[], [(1, None), (2, None)], [(99, 1), (98, 0)], [(1, 1), (2, 1)], [(1, 0)]])
+def test_stages_that_learned_nothing_reject_nothing_but_texts_without_a_letter(spark, tmp_path, labels):
+    schema = spark.read.parquet(f"{SF}/documents.parquet").schema
+    docs = spark.createDataFrame([(1, "a word", None, None, 6), (2, "you moron", None, None, 9), (3, "1 + 2", None, None, 5), (4, None, None, None, 0)], schema)
+    spark.createDataFrame(labels, "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    clean = corpus_pipeline.not_toxic(spark, docs, str(tmp_path))
+    assert rows(clean) == rows(docs)
+    known = corpus_pipeline.known_language(spark, clean, str(tmp_path))
+    assert known.columns == docs.columns and [row[0] for row in rows(known)] == [1, 2]
+
+
 def test_nothing_else_imports_this_subpackage():
     import pathlib
     import re
