@@ -3,7 +3,9 @@
 Folding: lower case, homoglyphs and digit substitutions become the ASCII letters they
 stand for, accents go, and everything else is a space. The lexicon has whole words and
 beginnings of words, each with the log-odds of its documents' labels; it is learned
-from counts over all training rows. Matches inside an exception phrase do not
+from counts over all training rows and has every term that passes the thresholds. One of
+more than ``CHUNK_TERMS`` terms is a written table, of which tasks hold a part at a time; all terms
+that can match at a place are in the same part. Matches inside an exception phrase do not
 count. What is left is summed up, set in proportion to the length, and mapped to a
 score from 0 to 1 by a logistic regression on four numbers.
 """
@@ -12,24 +14,26 @@ from __future__ import annotations
 
 import unicodedata
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from retailweave.llm.batches import add_columns, quoted
+from retailweave.llm.batches import add_columns, pieces, quoted, text_bytes
 from retailweave.operators.joins import measured_bytes
 from retailweave.sinks.scratch import written
 
 PREFIX_LENGTHS = (4, 5, 6)
 MIN_TOXIC = 5  # training documents that a term must mark
 MIN_WEIGHT = 1.5  # least log-odds, and 1.96 standard errors less
-MAX_TERMS = 5000  # size of the lexicon; the terms that tell most are taken
+CHUNK_TERMS = 200_000  # terms that are in memory at a time, about
 FIT_ROWS = 20_000  # rows of each label that the regression is fitted on, about
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
@@ -83,6 +87,15 @@ class Model:
     """Folded terms, with a space before (word beginnings) or on both sides (words), and their weights."""
     coefficients: tuple[float, ...]
     exceptions: tuple[str, ...] = EXCEPTIONS
+    files: tuple[str, ...] = ()
+    """The parts of a lexicon that is too large for ``terms``, as Parquet files in the shared folder."""
+
+
+def _read_terms(file: str) -> Iterator[tuple[str, float]]:
+    system, path = fs.FileSystem.from_uri(file)
+    with system.open_input_file(path) as source:
+        table = pq.ParquetFile(source).read(["term", "weight"])
+    yield from zip(table["term"].to_pylist(), table["weight"].to_pylist())
 
 
 class Matcher:
@@ -90,50 +103,70 @@ class Matcher:
 
     def __init__(self, model: Model):
         self.coefficients = np.asarray(model.coefficients)
-        self.automaton = ahocorasick.Automaton()
-        for term, weight in model.terms:
-            self.automaton.add_word(term, (len(term), weight, term))
-        for phrase in model.exceptions:
-            self.automaton.add_word(f" {phrase} ", (len(phrase) + 2, None, phrase))
-        if len(self.automaton):
-            self.automaton.make_automaton()
+        self.exceptions = model.exceptions
+        self.files = model.files
+        self.whole = None if model.files else self._automaton(model.terms)
+
+    def _automaton(self, terms: Iterable[tuple[str, float]]) -> ahocorasick.Automaton:
+        automaton = ahocorasick.Automaton()
+        for term, weight in terms:
+            automaton.add_word(term, (len(term), weight, term))
+        for phrase in self.exceptions:
+            automaton.add_word(f" {phrase} ", (len(phrase) + 2, None, phrase))
+        if len(automaton):
+            automaton.make_automaton()
+        return automaton
+
+    def _automata(self) -> Iterator[ahocorasick.Automaton]:
+        """That of the lexicon, or those of its parts, one in memory at a time."""
+        if self.whole is not None:
+            yield self.whole
+        for file in self.files:
+            yield self._automaton(_read_terms(file))
 
     def matches(self, text: str) -> list[tuple[int, int, float, str]]:
         """``(start, end, weight, term)`` in ``text``, which is folded: the strongest term of every word."""
-        if not len(self.automaton):
-            return []
-        found, exceptions = {}, []
-        for last, (length, weight, term) in self.automaton.iter(text):
-            start = last + 1 - length
-            if weight is None:
-                exceptions.append((start, last + 1))
-            elif start not in found or weight > found[start][2]:
-                found[start] = (start, last + 1, weight, term)
-        if exceptions:
-            inside = np.zeros(len(text) + 1, dtype=np.int32)
-            for start, end in exceptions:
-                inside[start] += 1
-                inside[end - 1] -= 1
-            covered = np.cumsum(inside) > 0
-            return [match for match in found.values() if not covered[match[0]]]
-        return list(found.values())
+        return [match for automaton in self._automata() for match in _matches(automaton, text)]
 
     def features(self, text: str | None) -> tuple[float, float, float, float]:
         """Weight in proportion to length, weight of the distinct terms, both on a log scale, log length, 1."""
-        plain = f" {folded(text or '')} "
-        found = self.matches(plain)
-        n_words = plain.count(" ") + 1
-        distinct = {term: weight for _, _, weight, term in found}
-        return (
-            float(np.log1p(100 * sum(match[2] for match in found) / n_words)),
-            float(np.log1p(sum(distinct.values()))),
-            float(np.log1p(n_words)),
-            1.0,
-        )
+        return tuple(self.features_of([text])[0].tolist())
+
+    def features_of(self, texts: list[str | None]) -> np.ndarray:
+        """A row of features for each text."""
+        plain = [f" {folded(text or '')} " for text in texts]
+        sums = np.zeros((len(plain), 2))
+        for automaton in self._automata():
+            for row, text in enumerate(plain):
+                found = _matches(automaton, text)
+                if found:
+                    distinct = {term: weight for _, _, weight, term in found}
+                    sums[row] += sum(match[2] for match in found), sum(distinct.values())
+        n_words = np.array([text.count(" ") + 1 for text in plain], dtype=np.float64)
+        return np.stack([np.log1p(100 * sums[:, 0] / n_words), np.log1p(sums[:, 1]), np.log1p(n_words), np.ones(len(plain))], axis=1)
 
     def scores(self, texts: pa.Array) -> np.ndarray:
-        features = np.array([self.features(text) for text in texts.to_pylist()]).reshape(-1, 4)
-        return 1 / (1 + np.exp(-np.clip(features @ self.coefficients, -30, 30)))
+        return 1 / (1 + np.exp(-np.clip(self.features_of(texts.to_pylist()) @ self.coefficients, -30, 30)))
+
+
+def _matches(automaton: ahocorasick.Automaton, text: str) -> list[tuple[int, int, float, str]]:
+    if not len(automaton):
+        return []
+    found, exceptions = {}, []
+    for last, (length, weight, term) in automaton.iter(text):
+        start = last + 1 - length
+        if weight is None:
+            exceptions.append((start, last + 1))
+        elif start not in found or weight > found[start][2]:
+            found[start] = (start, last + 1, weight, term)
+    if exceptions:
+        inside = np.zeros(len(text) + 1, dtype=np.int32)
+        for start, end in exceptions:
+            inside[start] += 1
+            inside[end - 1] -= 1
+        covered = np.cumsum(inside) > 0
+        return [match for match in found.values() if not covered[match[0]]]
+    return list(found.values())
 
 
 def _terms(text: str | None) -> set[str]:
@@ -178,12 +211,14 @@ def learn(
     key: str = "doc_id",
     exceptions: tuple[str, ...] = EXCEPTIONS,
     fit_rows: int = FIT_ROWS,
+    chunk_terms: int = CHUNK_TERMS,
 ) -> Model:
     """The lexicon and the regression from all ``rows`` with a label 0 or 1; others say nothing.
 
     The counts behind the weights cover all rows. The regression is fitted on a sample of about
     ``fit_rows`` rows of each label, drawn by the hash of ``key`` and weighted back to their
     numbers. Without rows of both labels there is no lexicon and every text gets the one label.
+    A lexicon of more than ``chunk_terms`` terms stays in files; the driver does not see it.
     """
     known = rows.select(
         quoted(label).cast("int").alias("label"), quoted(text).cast("string").alias("text"), quoted(key).alias("key")
@@ -194,24 +229,29 @@ def learn(
         return Model((), (0.0, 0.0, 0.0, 1.0 if n_toxic else -1.0 if n_other else 0.0), exceptions)
     odds = F.log((F.col("toxic") + 0.5) / (n_toxic + 1.0)) - F.log((F.col("other") + 0.5) / (n_other + 1.0))
     weight = odds - 1.96 * F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("other") + 0.5))
-    lexicon = (
+    lexicon = written(
         known.select("label", "text").mapInArrow(_count_terms, "term string, toxic long, other long")
         .groupBy("term")
         .agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
         .where(F.col("toxic") >= MIN_TOXIC)
-        .select("term", "toxic", weight.alias("weight"))
+        .select("term", weight.alias("weight"))
         .where(F.col("weight") >= MIN_WEIGHT)
-        .orderBy(F.desc(F.col("weight") * F.col("toxic")), "term")
-        .limit(MAX_TERMS)
     )
-    terms = tuple((row.term, float(row.weight)) for row in lexicon.collect())
-    matcher_of = known.sparkSession.sparkContext.broadcast(Model(terms, (0.0,) * 4, exceptions))
+    n_terms, terms, files = lexicon.count(), (), ()
+    if n_terms <= chunk_terms:
+        terms = tuple(sorted((row.term, float(row.weight)) for row in lexicon.collect()))
+    else:
+        # Terms that can match at the same place agree in the space and the four characters that they begin with.
+        parts = lexicon.repartition(-(-n_terms // chunk_terms), F.substring("term", 1, 5))
+        files = tuple(sorted(written(parts).inputFiles()))
+    matcher_of = known.sparkSession.sparkContext.broadcast(Model(terms, (0.0,) * 4, exceptions, files))
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Matcher(matcher_of.value)
         for batch in batches:
-            values = np.array([matcher.features(x.as_py()) for x in batch.column(1)]).reshape(-1, 4).T
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(v) for v in values)], ["label", "a", "b", "c", "d"])
+            for piece in pieces(batch, text_bytes(batch.column(1))):
+                values = matcher.features_of(piece.column(1).to_pylist()).T
+                yield pa.RecordBatch.from_arrays([piece.column(0), *(pa.array(v) for v in values)], ["label", "a", "b", "c", "d"])
 
     # Texts are not moved for the sample: a row is in it if the hash of its key is small enough.
     part = F.pmod(F.xxhash64("key"), F.lit(1 << 20)) / float(1 << 20)
@@ -219,7 +259,7 @@ def learn(
     table = sample.select("label", "text").mapInArrow(features, "label int, a double, b double, c double, d double").toPandas()
     drawn = table["label"].value_counts()
     shares = table["label"].map({1: n_toxic / drawn.get(1, 1), 0: n_other / drawn.get(0, 1)}).to_numpy()
-    return Model(terms, _logistic(table[["a", "b", "c", "d"]].to_numpy(), table["label"].to_numpy(), shares), exceptions)
+    return Model(terms, _logistic(table[["a", "b", "c", "d"]].to_numpy(), table["label"].to_numpy(), shares), exceptions, files)
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, shares: np.ndarray) -> tuple[float, ...]:

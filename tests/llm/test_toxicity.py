@@ -1,3 +1,4 @@
+import itertools
 import zlib
 
 import pyarrow as pa
@@ -84,6 +85,22 @@ def test_learned_scores(spark, texts):
     assert all(0 <= score <= 1 and predicted == (score >= 0.5) for score, predicted in found.values())
 
 
+def test_every_term_that_passes_is_in_the_lexicon(spark, texts):
+    """More of them than any fixed number: 6,000 words that five toxic documents have and no other one."""
+    words = ["".join(letters) for letters in itertools.islice(itertools.product("bcdfghjkmnpqrtvwxyz", repeat=3), 6000)]
+    words = [f"{word}{word[::-1]}{word}" for word in words]
+    bad = [(i, 1, " ".join(words)) for i in range(5)]
+    df = spark.createDataFrame(bad + [(i, 0, "a fine day") for i in range(5, 105)], "doc_id long, toxic int, text string")
+    model, parts = learn(df), learn(df, chunk_terms=1500)
+    assert {f" {word} " for word in words} <= dict(model.terms).keys() and model.files == ()
+    assert parts.terms == () and len(parts.files) > 3
+    matcher, in_parts = Matcher(model), Matcher(parts)
+    for text in [f"an {words[-1]}, {words[0]}", f"{words[7]}x trash can {words[9][:5]}", "fine", None]:
+        assert in_parts.features(text) == pytest.approx(matcher.features(text))
+    found = as_dict(score_toxicity(texts([" ".join(words[-200:]), "a fine day"]), parts), "doc_id", "predicted")
+    assert found == {0: 1, 1: 0}
+
+
 def test_the_sample_for_the_regression_leaves_the_lexicon_alone(spark):
     whole, part = learn(training(spark)), learn(training(spark), fit_rows=40)
     assert whole.terms == part.terms
