@@ -6,7 +6,11 @@ record with its place. Stored members can be read in place, so a record is fetch
 the archive's directory, its index, and one range of bytes.
 
 The reader parses the end-of-directory record, the ZIP64 locator and directory where there
-are any, and the central directory; it does not depend on how the archive was made.
+are any, and the central directory. It takes all members below ``archive/`` and all indexes
+below ``indexes/``: CDXJ lines in any order, plain or in gzip, that name their archive member
+(or none, if there is only one), with or without a key and a timestamp before the JSON object.
+Any other layout is an error: an index of another kind, a line that names no member or a range outside
+of it, and an archive member that no line is about. Records that no line lists are not read.
 """
 
 from __future__ import annotations
@@ -19,10 +23,12 @@ import struct
 import uuid
 import zipfile
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from urllib.parse import quote, unquote
 
+import numpy as np
 import pyarrow as pa
 from pyarrow import fs
 from pyspark import TaskContext
@@ -39,6 +45,7 @@ TASK_BYTES = 128 * 1024 * 1024  # of archives that a task reads
 READ_BYTES = 1024 * 1024  # neighbouring records are fetched together up to so many bytes
 
 _DATA, _INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
+_DATA_FOLDER, _INDEX_FOLDER = "archive/", "indexes/"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -119,12 +126,17 @@ def stored(read, size: int, name: str) -> tuple[int, int]:
     """Offset and length of a stored member."""
     for member in members(read, size):
         if member.name == name:
-            if member.method != zipfile.ZIP_STORED:
-                raise ValueError(f"{name} is compressed and can't be read in place")
-            return data_offset(read, member), member.size
+            return in_place(read, member)
     raise ValueError(f"no member {name}")
 
 
+def in_place(read, member: Member) -> tuple[int, int]:
+    """Offset and length of a member, which has to be stored."""
+    if member.method != zipfile.ZIP_STORED:
+        raise ValueError(f"{member.name} is compressed and can't be read in place")
+    return data_offset(read, member), member.size
+
+
 # ---- records -------------------------------------------------------------------
 
 
@@ -150,16 +162,18 @@ def record_bytes(record_type: str, uri: str, page_id: int | None, payload: bytes
 
 
 def parse_record(data: bytes) -> tuple[dict[str, str], dict[str, str], bytes]:
-    """WARC headers and HTTP headers by lower-case name, and the payload."""
+    """WARC headers and HTTP headers by lower-case name, and the payload. A block that is not HTTP is the payload."""
     head, _, rest = data.partition(b"\r\n\r\n")
     warc = _headers(head)
     block = rest[: int(warc["content-length"])]
+    if not warc.get("content-type", "application/http").lower().startswith("application/http"):
+        return warc, {}, block
     http, _, payload = block.partition(b"\r\n\r\n")
     return warc, _headers(http), payload
 
 
 def _headers(head: bytes) -> dict[str, str]:
-    lines = head.decode().split("\r\n")[1:]
+    lines = head.decode(errors="replace").split("\r\n")[1:]
     return {name.strip().lower(): value.strip() for name, _, value in (line.partition(":") for line in lines)}
 
 
@@ -299,32 +313,79 @@ def _reader(path: str):
 def read_index(archives: DataFrame) -> DataFrame:
     """One row per run of neighbouring records: ``path``, ``offset``, ``length`` of the bytes, and the records' lengths in turn.
 
-    A task reads an archive's directory and its index, line by line, and no record.
+    A task reads an archive's directory and its indexes, line by line, and no record.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = (pa.string(), pa.int64(), pa.list_(pa.int64()))
         for batch in batches:
             for path, size in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 read, file = _reader(path)
                 with file:
-                    data_at, _ = stored(read, size, _DATA)
-                    index_at, index_size = stored(read, size, _INDEX)
-                    rows, start, lengths = [], 0, []
-                    for line in _lines(read, index_at, index_size):
-                        record = json.loads(line)
-                        if lengths and record["offset"] + record["length"] - start > READ_BYTES:
-                            rows.append((path, data_at + start, lengths))
-                            start, lengths = record["offset"], []
-                        lengths.append(record["length"])
-                    if lengths:
-                        rows.append((path, data_at + start, lengths))
+                    rows = [(path, start, lengths) for start, lengths in record_runs(read, size)]
                 columns = list(zip(*rows)) or [(), (), ()]
-                kinds = (pa.string(), pa.int64(), pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["path", "offset", "lengths"])
 
     return archives.select("path", "size").repartition(_tasks(archives)).mapInArrow(run, "path string, offset long, lengths array<long>")
 
 
+def record_runs(read, size: int) -> Iterator[tuple[int, list[int]]]:
+    """Where runs of neighbouring records begin in an archive, and the records' lengths, for the records of all indexes.
+
+    A run has no gaps and, unless it is a single record, at most ``READ_BYTES``.
+    """
+    files = [member for member in members(read, size) if not member.name.endswith("/")]
+    data = [member for member in files if member.name.startswith(_DATA_FOLDER)]
+    indexes = [member for member in files if member.name.startswith(_INDEX_FOLDER) and not member.name.endswith(".idx")]
+    by_name = {member.name.removeprefix(_DATA_FOLDER): i for i, member in enumerate(data)}
+    places = [(array("q"), array("q")) for _ in data]
+    for member in indexes:
+        chunks = _chunks(read, *in_place(read, member))
+        for line in _lines(_unpacked(chunks) if member.name.endswith(".gz") else chunks):
+            record = _index_line(line, member.name)
+            if record is None:
+                continue
+            name, offset, length = record
+            of = by_name.get(name.removeprefix(_DATA_FOLDER)) if name is not None else 0 if len(data) == 1 else None
+            if of is None:
+                raise ValueError(f"{member.name} has a line about {name or 'no member'}, and there are {sorted(by_name)}")
+            if offset < 0 or length <= 0 or offset + length > data[of].size:
+                raise ValueError(f"{member.name} has a record outside of {data[of].name}")
+            places[of][0].append(offset)
+            places[of][1].append(length)
+    for member, (offsets, lengths) in zip(data, places):
+        if not offsets and member.size:
+            raise ValueError(f"no index of the archive is about {member.name}")
+        # A record that several lines or indexes list is one record.
+        found = np.unique(np.stack([np.asarray(offsets, dtype=np.int64), np.asarray(lengths, dtype=np.int64)], axis=1), axis=0)
+        if np.any(found[:-1].sum(axis=1) > found[1:, 0]):
+            raise ValueError(f"records of {member.name} overlap")
+        at, _ = in_place(read, member)
+        start, end, run = 0, 0, []
+        for offset, length in found.tolist():
+            if run and (offset != end or offset + length - start > READ_BYTES):
+                yield at + start, run
+                run = []
+            if not run:
+                start = offset
+            run.append(length)
+            end = offset + length
+        if run:
+            yield at + start, run
+
+
+def _index_line(line: bytes, index: str) -> tuple[str | None, int, int] | None:
+    """Archive member, offset and length of a CDXJ line, which may be the bare object; None for a blank line or a head."""
+    line = line.strip()
+    if not line or line.startswith(b"!"):
+        return None
+    try:
+        record = json.loads(line if line.startswith(b"{") else line.split(b" ", 2)[2])
+        return record.get("filename"), int(record["offset"]), int(record["length"])
+    except (LookupError, TypeError, ValueError, AttributeError) as error:
+        raise ValueError(f"{index} has a line that is not CDXJ with offset and length: {line[:100]!r}") from error
+
+
 def _tasks(archives: DataFrame) -> int:
     """Tasks that read the archives: one for ``TASK_BYTES``, and no fewer than there are cores.
 
@@ -334,10 +395,28 @@ def _tasks(archives: DataFrame) -> int:
     return max(archives.sparkSession.sparkContext.defaultParallelism, -(-total // TASK_BYTES))
 
 
-def _lines(read, offset: int, size: int) -> Iterator[bytes]:
-    held = b""
+def _chunks(read, offset: int, size: int) -> Iterator[bytes]:
     for at in range(0, size, READ_BYTES):
-        *whole, held = (held + read(offset + at, min(READ_BYTES, size - at))).split(b"\n")
+        yield read(offset + at, min(READ_BYTES, size - at))
+
+
+def _unpacked(chunks: Iterable[bytes]) -> Iterator[bytes]:
+    """The content of gzip members, one after the other."""
+    inflate = zlib.decompressobj(31)
+    for chunk in chunks:
+        while chunk:
+            if inflate.eof:
+                inflate = zlib.decompressobj(31)
+            yield inflate.decompress(chunk)
+            chunk = inflate.unused_data
+    if not inflate.eof:
+        raise ValueError("an index in gzip ends too early")
+
+
+def _lines(chunks: Iterable[bytes]) -> Iterator[bytes]:
+    held = b""
+    for chunk in chunks:
+        *whole, held = (held + chunk).split(b"\n")
         yield from whole
     if held:
         yield held
@@ -345,7 +424,7 @@ def _lines(read, offset: int, size: int) -> Iterator[bytes]:
 
 def read_records(archives: DataFrame) -> DataFrame:
     """Every record of the archives, fetched by range. Bytes and digest of a response are those of its payload as
-    read; a revisit has no payload and names those of the response."""
+    read; a revisit has no payload and names those of the response, or null where it doesn't say."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         path, read, file = None, None, None
@@ -358,7 +437,7 @@ def read_records(archives: DataFrame) -> DataFrame:
                     read, file = _reader(path)
                 data, at, rows = read(offset, sum(lengths)), 0, []
                 for length in lengths:
-                    rows.append(_row(zlib.decompress(data[at : at + length], 31)))
+                    rows.append(_row(_record(data[at : at + length])))
                     at += length
                 yield pa.RecordBatch.from_arrays([pa.array(column, kind) for column, kind in zip(zip(*rows), _KINDS)], RECORDS.names)
         if file is not None:
@@ -371,16 +450,21 @@ def read_records(archives: DataFrame) -> DataFrame:
 _KINDS = (pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.binary())
 
 
+def _record(data: bytes) -> bytes:
+    """A record, which is a gzip member or plain."""
+    return zlib.decompress(data, 31) if data[:2] == b"\x1f\x8b" else data
+
+
 def _row(record: bytes) -> tuple:
     warc, http, payload = parse_record(record)
     revisit = warc["warc-type"] == "revisit"
+    page, length = warc.get("warc-refers-to", ""), http.get("content-length", "")
     return (
         int(warc["x-page-id"]) if "x-page-id" in warc else None,
-        unquote(warc["warc-target-uri"]),
+        unquote(warc["warc-target-uri"]) if "warc-target-uri" in warc else None,
         warc["warc-type"],
-        int(warc["warc-refers-to"].removeprefix("<page:").removesuffix(">")) if revisit else None,
-        int(http["content-length"]) if revisit else len(payload),
-        warc["warc-payload-digest"].removeprefix("sha1:") if revisit else hashlib.sha1(payload).hexdigest(),
+        int(page.removeprefix("<page:").removesuffix(">")) if revisit and page.startswith("<page:") else None,
+        (int(length) if length.isdigit() else None) if revisit else len(payload),
+        warc.get("warc-payload-digest", "").removeprefix("sha1:") or None if revisit else hashlib.sha1(payload).hexdigest(),
         None if revisit else payload,
     )
-

@@ -1,5 +1,7 @@
+import gzip
 import hashlib
 import io
+import json
 import os
 import zipfile
 
@@ -190,3 +192,50 @@ def test_reading_is_spread_by_size(spark, tmp_path, monkeypatch):
     assert warc_zip._tasks(archives) == cores == read_records(archives).rdd.getNumPartitions()
     monkeypatch.setattr(warc_zip, "TASK_BYTES", 100)
     assert warc_zip._tasks(archives) == -(-archives.agg(F.sum("size")).first()[0] // 100) > cores
+
+
+def package(path, members, indexes, method=zipfile.ZIP_STORED):
+    """An archive with gzip records by member, and indexes by name."""
+    with zipfile.ZipFile(path, "w", method) as file:
+        for name, records in members.items():
+            file.writestr(f"archive/{name}", b"".join(records))
+        for name, content in indexes.items():
+            file.writestr(f"indexes/{name}", content)
+    return str(path), os.path.getsize(path), 0
+
+
+def test_packages_of_several_members_and_indexes(spark, tmp_path, monkeypatch):
+    """Standard CDXJ by key, two members, a gap, a plain record, a second index in gzip, a record that two lines list."""
+    records = [record_bytes("response", f"http://{i}", i, f"page {i}".encode(), "d" * 40, None) for i in range(6)]
+    packed = [gzip.compress(record) for record in records]
+    info = b"WARC/1.1\r\nWARC-Type: warcinfo\r\nContent-Type: text/plain\r\nContent-Length: 1\r\n\r\nx\r\n\r\n"
+    data = {"a.warc.gz": [gzip.compress(info), packed[0], packed[1], gzip.compress(info), packed[2]], "b.warc.gz": packed[3:5], "c.warc": [info, records[5]]}
+
+    def line(i, name, before, text=str):
+        at = sum(len(x) for x in data[name][:before])
+        place = {"url": f"http://{i}", "filename": name, "offset": text(at), "length": text(len(data[name][before]))}
+        return f"com,{9 - i})/ 2020010100000{i} {json.dumps(place)}\n".encode()
+
+    first = b"!meta {}\n\n" + line(4, "b.warc.gz", 1) + line(2, "a.warc.gz", 4, int) + line(0, "a.warc.gz", 1) + line(5, "c.warc", 1)
+    second = [gzip.compress(line(3, "b.warc.gz", 0) + line(0, "a.warc.gz", 1)), gzip.compress(line(1, "a.warc.gz", 2))]
+    made = package(tmp_path / "p.zip", data, {"index.cdxj": first, "more.cdx.gz": b"".join(second), "more.idx": "any"})
+    archives = spark.createDataFrame([made], "path string, size long, n_records long")
+    assert sorted(len(row.lengths) for row in read_index(archives).collect()) == [1, 1, 2, 2]
+    assert rows(read_records(archives).select("page_id", F.col("payload").cast("string"))) == [(i, f"page {i}") for i in range(6)]
+
+
+@pytest.mark.parametrize(
+    "index, what",
+    [
+        ({}, "no index"),
+        ({"index.cdxj": b'{"offset": 0, "length": 5}'}, "no member"),
+        ({"index.cdxj": b'k 1 {"filename": "c", "offset": 0, "length": 5}'}, "about c"),
+        ({"index.cdxj": b'k 1 {"filename": "a", "offset": 0, "length": 5}'}, "no index .* archive/b"),
+        ({"index.cdxj": b'k 1 {"filename": "a", "offset": 3, "length": 5}'}, "outside"),
+        ({"index.cdx": b" CDX N b a m s k r M S V g\n"}, "not CDXJ"),
+    ],
+)
+def test_other_layouts_are_errors(tmp_path, index, what):
+    path, size, _ = package(tmp_path / "p.zip", {"a": [b"x" * 5], "b": [b"y" * 5]}, index)
+    with open(path, "rb") as file, pytest.raises(ValueError, match=what):
+        list(warc_zip.record_runs(reader(file.read())[0], size))
