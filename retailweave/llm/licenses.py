@@ -2,7 +2,8 @@
 
 A rule is a regular expression with a label, a priority and keywords. Per text, one
 Aho-Corasick pass finds the keywords that occur, and only rules whose keyword
-does are run. Detections that overlap are settled in order: higher priority
+does are run. Rules see the text with line breaks, comment marks around them and other white
+space folded to single spaces; spans are those of the text itself. Detections that overlap are settled in order: higher priority
 first, then the longer, then the earlier; a detection that lies inside one that was
 kept, or overlaps one of higher priority, is suppressed.
 
@@ -13,6 +14,7 @@ the other, whatever is between them. Their labels are never suppressed.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from dataclasses import dataclass
 
 import ahocorasick
@@ -36,7 +38,7 @@ BASE_PHRASES = {
 # each name and identifier has one.
 FAMILIES = {
     "mit": (r"mit", r"mit", "mit"),
-    "mit-0": (r"mit no attribution", r"mit-0", "mit"),
+    "mit-0": (r"mit no attribution(?:[- ][1-4]\.[05])?", r"mit-0", "mit"),
     "apache-1": (r"apache(?: software)?(?: licen[sc]e)?,? (?:version )?1\.[01]", r"apache-1\.[01]", "apache"),
     "apache-2": (r"apache(?: software)?(?: licen[sc]e)?,? (?:version )?2(?:\.0)?", r"apache-2(?:\.0)?", "apache"),
     "bsd": (r"bsd", r"bsd", "bsd"),
@@ -44,14 +46,14 @@ FAMILIES = {
     "bsd-3-clause": (r"(?:3|three)[- ]clause bsd|new bsd|modified bsd", r"bsd-3-clause", "bsd"),
     "bsd-4-clause": (r"(?:4|four)[- ]clause bsd|original bsd", r"bsd-4-clause", "bsd"),
     "gpl": (r"gnu general public|gnu gpl|gpl", r"gpl", "gnu general public|gpl"),
-    "gpl-2": (r"(?:gnu general public|gnu gpl|gpl)(?: licen[sc]e)?,? ?(?:v|version )?2(?:\.0)?", r"gpl-2\.0(?:-only|-or-later|\+)?", "gnu general public|gpl"),
-    "gpl-3": (r"(?:gnu general public|gnu gpl|gpl)(?: licen[sc]e)?,? ?(?:v|version )?3(?:\.0)?", r"gpl-3\.0(?:-only|-or-later|\+)?", "gnu general public|gpl"),
+    "gpl-2": (r"(?:gnu general public|gnu gpl|gpl)(?: licen[sc]e)?,? ?(?:v\.? ?|version )?2(?:\.0)?", r"gpl-2\.0(?:-only|-or-later|\+)?", "gnu general public|gpl"),
+    "gpl-3": (r"(?:gnu general public|gnu gpl|gpl)(?: licen[sc]e)?,? ?(?:v\.? ?|version )?3(?:\.0)?", r"gpl-3\.0(?:-only|-or-later|\+)?", "gnu general public|gpl"),
     "lgpl": (r"gnu (?:lesser|library) general public|gnu lgpl|lgpl", r"lgpl", "gnu lesser|gnu library|lgpl"),
-    "lgpl-2.1": (r"(?:gnu lesser general public|gnu lgpl|lgpl)(?: licen[sc]e)?,? ?(?:v|version )?2\.1", r"lgpl-2\.1(?:-only|-or-later|\+)?", "gnu lesser|lgpl"),
-    "lgpl-3": (r"(?:gnu lesser general public|gnu lgpl|lgpl)(?: licen[sc]e)?,? ?(?:v|version )?3(?:\.0)?", r"lgpl-3\.0(?:-only|-or-later|\+)?", "gnu lesser|lgpl"),
+    "lgpl-2.1": (r"(?:gnu lesser general public|gnu lgpl|lgpl)(?: licen[sc]e)?,? ?(?:v\.? ?|version )?2\.1", r"lgpl-2\.1(?:-only|-or-later|\+)?", "gnu lesser|lgpl"),
+    "lgpl-3": (r"(?:gnu lesser general public|gnu lgpl|lgpl)(?: licen[sc]e)?,? ?(?:v\.? ?|version )?3(?:\.0)?", r"lgpl-3\.0(?:-only|-or-later|\+)?", "gnu lesser|lgpl"),
     "agpl-3": (r"gnu affero general public|gnu agpl|agpl", r"agpl-3\.0(?:-only|-or-later|\+)?", "affero|agpl"),
     "mpl": (r"mozilla public|mpl", r"mpl", "mozilla|mpl"),
-    "mpl-2": (r"(?:mozilla public|mpl)(?: licen[sc]e)?,? ?(?:v|version )?2(?:\.0)?", r"mpl-2\.0", "mozilla|mpl"),
+    "mpl-2": (r"(?:mozilla public|mpl)(?: licen[sc]e)?,? ?(?:v\.? ?|version )?2(?:\.0)?", r"mpl-2\.0", "mozilla|mpl"),
     "epl": (r"eclipse public", r"epl-[12]\.0", "eclipse|epl-"),
     "cddl": (r"common development and distribution", r"cddl-1\.[01]", "common development|cddl"),
     "isc": (r"isc", r"isc", "isc"),
@@ -67,26 +69,34 @@ FAMILIES = {
     "odbl": (r"open database", r"odbl-1\.0", "open database|odbl"),
     "pddl": (r"public domain dedication and", r"pddl-1\.0", "public domain dedication|pddl"),
     "cc0": (r"cc0|creative commons zero", r"cc0-1\.0", "cc0|creative commons"),
-    "cc-by": (r"cc[- ]by|creative commons attribution", r"cc-by-[1-4]\.[05]", "cc by|cc-by|creative commons"),
-    "cc-by-sa": (r"cc[- ]by[- ]sa|creative commons attribution[- ]share ?alike", r"cc-by-sa-[1-4]\.[05]", "cc by|cc-by|creative commons"),
-    "cc-by-nd": (r"cc[- ]by[- ]nd|creative commons attribution[- ]no ?deriv[a-z]+", r"cc-by-nd-[1-4]\.[05]", "cc by|cc-by|creative commons"),
-    "cc-by-nc": (r"cc[- ]by[- ]nc|creative commons attribution[- ]non ?commercial", r"cc-by-nc-[1-4]\.[05]", "cc by|cc-by|creative commons"),
-    "cc-by-nc-sa": (r"cc[- ]by[- ]nc[- ]sa|creative commons attribution[- ]non ?commercial[- ]share ?alike", r"cc-by-nc-sa-[1-4]\.[05]", "cc by|cc-by|creative commons"),
-    "cc-by-nc-nd": (r"cc[- ]by[- ]nc[- ]nd|creative commons attribution[- ]non ?commercial[- ]no ?deriv[a-z]+", r"cc-by-nc-nd-[1-4]\.[05]", "cc by|cc-by|creative commons"),
+    "cc-by": (r"cc[- ]by(?:[- ][1-4]\.[05])?|creative commons attribution(?:[- ][1-4]\.[05])?", r"cc-by-[1-4]\.[05]", "cc by|cc-by|creative commons"),
+    "cc-by-sa": (r"cc[- ]by[- ]sa(?:[- ][1-4]\.[05])?|creative commons attribution[- ]share ?alike(?:[- ][1-4]\.[05])?", r"cc-by-sa-[1-4]\.[05]", "cc by|cc-by|creative commons"),
+    "cc-by-nd": (r"cc[- ]by[- ]nd(?:[- ][1-4]\.[05])?|creative commons attribution[- ]no ?deriv[a-z]+(?:[- ][1-4]\.[05])?", r"cc-by-nd-[1-4]\.[05]", "cc by|cc-by|creative commons"),
+    "cc-by-nc": (r"cc[- ]by[- ]nc(?:[- ][1-4]\.[05])?|creative commons attribution[- ]non ?commercial(?:[- ][1-4]\.[05])?", r"cc-by-nc-[1-4]\.[05]", "cc by|cc-by|creative commons"),
+    "cc-by-nc-sa": (r"cc[- ]by[- ]nc[- ]sa(?:[- ][1-4]\.[05])?|creative commons attribution[- ]non ?commercial[- ]share ?alike(?:[- ][1-4]\.[05])?", r"cc-by-nc-sa-[1-4]\.[05]", "cc by|cc-by|creative commons"),
+    "cc-by-nc-nd": (r"cc[- ]by[- ]nc[- ]nd(?:[- ][1-4]\.[05])?|creative commons attribution[- ]non ?commercial[- ]no ?deriv[a-z]+(?:[- ][1-4]\.[05])?", r"cc-by-nc-nd-[1-4]\.[05]", "cc by|cc-by|creative commons"),
 }
 
+# Identifiers after a tag: one, or an SPDX expression, in which the rule's own one stands first or later on.
+_EXPRESSION = (
+    r"[\s(]*+(?:{1}|(?:[a-z0-9.+:-]++(?:[\s()]*+/[\s()]*+|[\s()]++(?:and|or|with)[\s(]++))+?(?P<later>{1}))(?![\w-]|\.\w)"
+)
+
 # The sentences a family's name stands in, with a priority, a confidence and
 # keywords, of which one must occur for the rule to be run. {0} is the name, {1} the identifier.
 SENTENCES = (
-    (90, 1.0, r"spdx-license-identifier:\s*{1}(?![\w.-])", ("spdx-license-identifier",)),
-    (80, 0.95, r"\b(?:licen[sc]ed|released|distributed|available|published|provided)(?: to you)? under(?: the)?(?: terms of)?(?: the)? (?:{0})\b(?:,? (?:international )?(?:public )?licen[sc]e)?", ("under",)),
-    (70, 0.9, r"\b(?:{0}) (?:public |international )?licen[sc]e\b", ("license", "licence")),
-    (60, 0.8, r"\blicen[sc]e\s*[:=]\s*[\"']?(?:{1})(?![\w.-])", ("license", "licence")),
-    (50, 0.7, r"\bsubject to the(?: terms of the)? (?:{0})\b", ("subject to",)),
+    (90, 1.0, r"spdx-license-identifier:" + _EXPRESSION, ("spdx-license-identifier",)),
+    (80, 0.95, r"\b(?:licen[sc]ed|released|distributed|available|published|provided)(?: to you)? under(?: (?:the|an?))?(?: terms(?: and conditions)? of)?(?: (?:the|an?))? (?:{0})\b(?:,? (?:international |unported |generic )?(?:public )?licen[sc]e)?", ("under",)),
+    (70, 0.9, r"\b(?:{0}) (?:international |unported |generic )?(?:public )?licen[sc]e\b", ("license", "licence")),
+    (60, 0.8, r"\blicen[sc]e[\"']?\s*[:=]\s*[\"']?" + _EXPRESSION, ("license", "licence")),
+    (50, 0.7, r"\bsubject to (?:the|an?)(?: terms(?: and conditions)? of (?:the|an?))? (?:{0})\b", ("subject to",)),
     (40, 0.6, r"\b(?:{0})[- ]licen[sc]ed\b", ("licensed", "licenced")),
 )
 
-# Sentences that name no family.
+_VERSION = r"(?: \(\w+\))?,? ?(?:v\.? ?|version )?"
+_BY_FSF = r"(?: \(\w+\))?,? as published by the free software foundation[;,:]? (?:either )?\(?version "
+
+# Rules for single licences and for sentences that name no family.
 PLAIN_RULES = (
     ("permissive-notice", 55, 0.85, r"permission is hereby granted, free of charge, to any person", ("hereby granted",)),
     ("redistribution-notice", 55, 0.85, r"redistribution and use in source and binary forms", ("redistribution and use",)),
@@ -94,9 +104,60 @@ PLAIN_RULES = (
     ("all-rights-reserved", 30, 0.5, r"\ball rights reserved\b", ("all rights reserved",)),
     ("public-domain", 45, 0.7, r"\b(?:in|into|to) the public domain\b", ("public domain",)),
     ("proprietary", 30, 0.5, r"\bproprietary and confidential\b", ("proprietary",)),
+    ("gpl-2", 85, 0.95, r"\bgnu general public licen[sc]e" + _BY_FSF + r"2\b", ("free software foundation",)),
+    ("gpl-3", 85, 0.95, r"\bgnu general public licen[sc]e" + _BY_FSF + r"3\b", ("free software foundation",)),
+    ("lgpl-2.1", 85, 0.95, r"\bgnu lesser general public licen[sc]e" + _BY_FSF + r"2\.1\b", ("free software foundation",)),
+    ("lgpl-3", 85, 0.95, r"\bgnu lesser general public licen[sc]e" + _BY_FSF + r"3\b", ("free software foundation",)),
+    ("agpl-3", 85, 0.95, r"\bgnu affero general public licen[sc]e" + _BY_FSF + r"3\b", ("free software foundation",)),
+    ("apache-2", 85, 0.95, r"\bapache\.org/licenses/license-2\.0\b", ("apache.org/licenses",)),
+    ("mit", 75, 0.9, r"\bopensource\.org/licenses/mit\b", ("opensource.org/licenses",)),
+    ("mpl-2", 75, 0.9, r"\bmozilla\.org/(?:en-us/)?mpl/2\.0\b", ("mozilla.org",)),
+    ("apache-2", 75, 0.9, r"\bapache(?: software)? licen[sc]e" + _VERSION + r"2(?:\.0)?\b", ("apache",)),
+    ("gpl-2", 75, 0.9, r"\bgnu general public licen[sc]e" + _VERSION + r"2(?:\.0)?\b", ("gnu general public",)),
+    ("gpl-3", 75, 0.9, r"\bgnu general public licen[sc]e" + _VERSION + r"3(?:\.0)?\b", ("gnu general public",)),
+    ("lgpl-2.1", 75, 0.9, r"\bgnu lesser general public licen[sc]e" + _VERSION + r"2\.1\b", ("gnu lesser",)),
+    ("lgpl-3", 75, 0.9, r"\bgnu lesser general public licen[sc]e" + _VERSION + r"3(?:\.0)?\b", ("gnu lesser",)),
+    ("mpl-2", 75, 0.9, r"\bmozilla public licen[sc]e" + _VERSION + r"2(?:\.0)?\b", ("mozilla public",)),
+    ("isc", 55, 0.85, r"permission to use, copy, modify, and(?:/or)? distribute this software for any purpose with or without fee", ("permission to use",)),
+    ("unlicense", 55, 0.85, r"this is free and unencumbered software released into the public domain", ("unencumbered",)),
+    ("cc0", 85, 0.95, r"\bcreativecommons\.org/publicdomain/zero\b", ("creativecommons.org",)),
+    ("cc-by", 85, 0.95, r"\bcreativecommons\.org/licenses/by/", ("creativecommons.org",)),
+    ("cc-by-sa", 85, 0.95, r"\bcreativecommons\.org/licenses/by-sa/", ("creativecommons.org",)),
+    ("cc-by-nd", 85, 0.95, r"\bcreativecommons\.org/licenses/by-nd/", ("creativecommons.org",)),
+    ("cc-by-nc", 85, 0.95, r"\bcreativecommons\.org/licenses/by-nc/", ("creativecommons.org",)),
+    ("cc-by-nc-sa", 85, 0.95, r"\bcreativecommons\.org/licenses/by-nc-sa/", ("creativecommons.org",)),
+    ("cc-by-nc-nd", 85, 0.95, r"\bcreativecommons\.org/licenses/by-nc-nd/", ("creativecommons.org",)),
     ("copyright-notice", 10, 0.2, r"(?:\bcopyright (?:\(c\)|©)|©)\s*\d{4}", ("copyright", "©")),
 )
 
+# White space that is not a single blank. Around line breaks the marks of comments belong to it.
+_MARKS = r"(?:(?:/?\*++/?|//++!?|#++|;++|--++|%++|>++|\|++|!++|<!--|(?:dnl|rem)(?=\s))\s*+)*+"
+_GAP = re.compile(rf"\s(?:(?<=\n)\s*+{_MARKS}|[^\S\n]*+(?:(?:\*++/?|#++|\|++)[^\S\n]*+)?\n\s*+{_MARKS}|\s++|(?<! ))")
+
+
+class Folded:
+    """A text whose gaps are single blanks, and the places in the text itself."""
+
+    def __init__(self, text: str):
+        self.places, self.ends = [], []
+        parts, at, length = [], 0, 0
+        for gap in _GAP.finditer(text):
+            start, end = gap.span()
+            parts.append(text[at:start])
+            length += start - at + 1
+            self.places.append(length - 1)
+            self.ends.append(end)
+            at = end
+        self.text = " ".join([*parts, text[at:]]) if parts else text
+
+    def span(self, start: int, end: int) -> tuple[int, int]:
+        """The place of a match that neither begins nor ends with a blank."""
+        return self._place(start), self._place(end - 1) + 1
+
+    def _place(self, at: int) -> int:
+        before = bisect_left(self.places, at)
+        return self.ends[before - 1] + at - self.places[before - 1] - 1 if before else at
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -136,11 +197,16 @@ class Scanner:
         """``(start, end, rule)`` in the lower-case ``text``, without the suppressed ones, by start."""
         if not self.rules:
             return []
-        there = {keyword for _, keyword in self.keywords.iter(text)}
+        folded = Folded(text)
+        there = {keyword for _, keyword in self.keywords.iter(folded.text)}
         if not there:
             return []
         run = [rule for rule in self.rules if all(not there.isdisjoint(any_of) for any_of in rule.keywords)]
-        found = [(match.start(), match.end(), rule) for rule in run for match in rule.pattern.finditer(text)]
+        found = [
+            (*folded.span(match.start("later" if match.lastgroup == "later" else 0), match.end()), rule)
+            for rule in run
+            for match in rule.pattern.finditer(folded.text)
+        ]
         found.sort(key=lambda x: x[:2])
         kept, overlapping, reach = [], [], 0
         for detection in found:

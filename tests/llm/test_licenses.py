@@ -36,6 +36,38 @@ def test_signatures(text, expected):
     assert labels(text) == expected
 
 
+@pytest.mark.parametrize(
+    "text, expected",
+    [
+        ("licensed under a Creative Commons Attribution 4.0 International License", ["cc-by"]),
+        ("licensed under a Creative Commons Attribution-NonCommercial 4.0 International Public License.", ["cc-by-nc"]),
+        ("SPDX-License-Identifier: (MIT OR Apache-2.0)", ["mit", "apache-2"]),
+        ("SPDX-License-Identifier: MIT OR (Apache-2.0 AND BSD-3-Clause)", ["mit", "apache-2", "bsd-3-clause"]),
+        ("SPDX-License-Identifier: GPL-2.0-only WITH Classpath-exception-2.0 AND Zlib.", ["gpl-2", "zlib"]),
+        ('{"license": "MIT/Apache-2.0"}', ["mit", "apache-2"]),
+        ("under the terms of the GNU General\nPublic License", ["gpl"]),
+        ("/*\n * Licensed under\n * the Apache License, Version 2.0\n */", ["apache-2"]),
+        ("# released   under\r\n#\tthe MIT\r\n#\r\n# License", ["mit"]),
+        ("** distributed under the terms of the GNU General Public License as *\n** published by the Free Software Foundation; either version 3 *", ["gpl-3"]),
+        ("subject to the terms of the Mozilla Public\n// License, v. 2.0.", ["mpl-2"]),
+        ("https://creativecommons.org/licenses/by-sa/4.0/", ["cc-by-sa"]),
+    ],
+)
+def test_everyday_notices(text, expected):
+    assert labels(text) == expected
+
+
+def test_spans_are_those_of_the_text_itself():
+    text = "\n\n x  y\tlicensed under\n * the  mit\n # license, spdx-license-identifier: (mit or\n//  zlib) z"
+    spans = [text[start:end] for start, end, _ in Scanner(RULES).detections(text)]
+    assert spans == ["licensed under\n * the  mit\n # license", "spdx-license-identifier: (mit", "zlib"]
+
+
+@pytest.mark.parametrize("unit", [" ", "\n", " * \n", "# ", "*", "\t \n"])
+def test_folding_takes_long_gaps(unit):
+    assert labels("the mit" + unit * 200_000 + "x") == []
+
+
 def test_hundreds_of_rules_in_order_of_priority():
     assert len(RULES) == len(SENTENCES) * len(FAMILIES) + len(PLAIN_RULES) > 200
     assert [rule.priority for rule in RULES] == sorted((rule.priority for rule in RULES), reverse=True)
