@@ -1,7 +1,7 @@
 """Toxicity by a weighted lexicon that is matched with Aho-Corasick on folded text.
 
-Folding: lower case, homoglyphs and digit substitutions become the ASCII letters they
-stand for, accents go, and everything else is a space. The lexicon has whole words and
+Folding: lower case, homoglyphs, digit substitutions and compatibility forms of any code point become
+the letters they stand for, accents and invisible characters go, other letters stay, and everything else is a space. The lexicon has whole words and
 beginnings of words, each with the log-odds of its documents' labels; it is learned
 from counts over all training rows and has every term that passes the thresholds. One of
 more than ``CHUNK_TERMS`` terms is a written table, of which tasks hold a part at a time; all terms
@@ -37,7 +37,9 @@ CHUNK_TERMS = 200_000  # terms that are in memory at a time, about
 FIT_ROWS = 20_000  # rows of each label that the regression is fitted on, about
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
-_FLUSH = 200_000
+_FLUSH = 200_000  # terms
+_FLUSH_LETTERS = 1 << 25  # of terms longer than ``_LONG``
+_LONG = 30
 
 # Characters that look like letters, with the letters.
 HOMOGLYPHS = {
@@ -54,23 +56,27 @@ EXCEPTIONS = (
 )
 
 
-def _fold_table() -> dict[int, str]:
-    """What each character up to U+24FF and of the full-width forms becomes, for ``str.translate``."""
-    table = {}
-    for code in [*range(0x2500), *range(0xFF01, 0xFF5F)]:
-        char = chr(code)
-        plain = unicodedata.normalize("NFKD", char.lower()).lower()
-        folded = HOMOGLYPHS.get(char.lower()) or "".join(HOMOGLYPHS.get(c, c) for c in plain if not unicodedata.combining(c))
-        if unicodedata.combining(char) or code in (0xAD, 0x200B, 0x200C, 0x200D, 0x2060):
-            table[code] = ""
-        elif folded and folded.isalpha():
-            table[code] = folded
-        else:
-            table[code] = " "
-    return table
+class _Fold(dict):
+    """What each character becomes, for ``str.translate``; filled as characters occur."""
 
+    def __missing__(self, code: int) -> str:
+        self[code] = found = _fold_character(chr(code))
+        return found
 
-_FOLD = _fold_table()
+
+def _fold_character(char: str) -> str:
+    if unicodedata.combining(char) or unicodedata.category(char) == "Cf" or char in _SELECTORS:
+        return ""
+    plain = unicodedata.normalize("NFKD", char.lower()).lower()
+    letters = HOMOGLYPHS.get(char.lower()) or "".join(HOMOGLYPHS.get(c, c) for c in plain if not unicodedata.combining(c))
+    # Syllables that NFKD takes apart are put together again, and letters are taken out of brackets.
+    words = unicodedata.normalize("NFC", letters).strip("()").split()
+    return " ".join(words) if words and all(word.isalpha() for word in words) else " "
+
+
+# Marks without a width that choose a form of the character before.
+_SELECTORS = {chr(code) for code in [0x34F, *range(0x180B, 0x180E), *range(0xFE00, 0xFE10), *range(0xE0100, 0xE01F0)]}
+_FOLD = _Fold()
 _ASCII_FOLD = bytes(ord(_FOLD[code]) for code in range(128)) + bytes(range(128, 256))
 
 
@@ -172,12 +178,12 @@ def _matches(automaton: ahocorasick.Automaton, text: str) -> list[tuple[int, int
 def _terms(text: str | None) -> set[str]:
     """Every term that a text could put into the lexicon, once."""
     words = {word for word in folded(text or "").split() if len(word) > 2}
-    return {f" {word[:20]} " for word in words} | {f" {word[:n]}" for n in PREFIX_LENGTHS for word in words if len(word) > n}
+    return {f" {word} " for word in words} | {f" {word[:n]}" for n in PREFIX_LENGTHS for word in words if len(word) > n}
 
 
 def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Numbers of toxic and other documents by term, summed up for as many rows as memory holds."""
-    toxic, other = Counter(), Counter()
+    toxic, other, letters = Counter(), Counter(), 0
 
     def flush():
         names = list(toxic.keys() | other.keys())
@@ -188,9 +194,12 @@ def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         for label, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            (toxic if label else other).update(_terms(text.as_py()))
-            if len(toxic) + len(other) > _FLUSH:
+            terms = _terms(text.as_py())
+            (toxic if label else other).update(terms)
+            letters += sum(len(term) for term in terms if len(term) > _LONG)
+            if len(toxic) + len(other) > _FLUSH or letters > _FLUSH_LETTERS:
                 yield flush()
+                letters = 0
     yield flush()
 
 
