@@ -7,7 +7,8 @@ the list of attachments, with its reference and the number of tokens it expands
 
 Control strings begin with ``<|``. Inside a text, ``<``, any number of backslashes and ``|``
 get one backslash more, so no text holds a control string and unescaping, which
-takes one away, gives back exactly the text.
+takes one away, gives back exactly the text. Neighbouring text parts are joined before they are
+escaped, so that none forms where they meet.
 """
 
 from __future__ import annotations
@@ -28,6 +29,9 @@ PAGE_TOKENS = 1024  # tokens a document page
 
 ATTACHMENTS = ("image", "audio", "document")
 
+# While the parts of a turn are joined, a mark and a letter stand for the beginning of a placeholder, and for the mark itself.
+_MARK, _PLACEHOLDER, _ITSELF = "\u0001", "\u0001p", "\u0001t"
+
 
 def escape(text: Column) -> Column:
     return F.regexp_replace(text, r"<(\\*)\|", r"<\\$1|")
@@ -101,14 +105,16 @@ def format_chats(
         lambda part, i: F.when(
             _is_attachment(part),
             F.concat(
-                F.lit("<|"), part["type"], F.lit("_"),
+                F.lit(_PLACEHOLDER), part["type"], F.lit("_"),
                 (F.col("n_before") + F.size(F.filter(F.slice("content", F.lit(1), i), _is_attachment))).cast("string"), F.lit("|>"),
             ),
-        ).otherwise(escape(F.coalesce(part["text"], F.lit("")))),
+        ).otherwise(F.replace(F.coalesce(part["text"], F.lit("")), F.lit(_MARK), F.lit(_ITSELF))),
     )
+    escaped = escape(F.array_join(visited, ""))
+    body = F.replace(F.replace(escaped, F.lit(_PLACEHOLDER), F.lit("<|")), F.lit(_ITSELF), F.lit(_MARK))
     head = F.concat(F.lit(START), F.replace(escape(F.col("role")), F.lit("\n"), F.lit(LINE_BREAK)), F.lit("\n"))
     rows = rows.select(
-        "conv", "nth", "role", attachments.alias("attachments"), head.alias("head"), F.array_join(visited, "").alias("body")
+        "conv", "nth", "role", attachments.alias("attachments"), head.alias("head"), body.alias("body")
     )
     piece = F.concat("head", "body", F.lit(END))
     by_number = W.partitionBy("conv").orderBy("nth").rowsBetween(W.unboundedPreceding, -1)
