@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retailweave.llm import chat, decontamination, grid_join, hilbert, jaccard_join, language, licenses, sentence_pieces, toxicity, warc_zip
+from retailweave.llm import (
+    chat,
+    decontamination,
+    grid_join,
+    hilbert,
+    jaccard_join,
+    language,
+    licenses,
+    sentence_pieces,
+    token_files,
+    toxicity,
+    warc_zip,
+)
 from retailweave.sinks.scratch import work_folder
 
 # Where the public piece model lies on this machine.
@@ -138,6 +150,17 @@ def op10_sentencepiece(spark, sf_dir, model: str = PIECE_MODEL):
     )
 
 
+def op12_token_files(spark, sf_dir, tokenizer: str | None = None):
+    """Token ids of all documents, each ended by id 2, written to flat files and read back."""
+    if tokenizer is None:
+        import public_tokenizers
+
+        tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    documents = _table(spark, sf_dir, "documents")
+    files = token_files.write_token_files(documents, work_folder(spark), tokenizer, end_id=2)
+    return token_files.read_documents(files).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -151,5 +174,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_sharding,
         op9_license_scans,
         op10_sentencepiece,
+        op12_token_files,
     )
 }
