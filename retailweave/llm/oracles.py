@@ -81,10 +81,33 @@ SELECT vec_id, coalesce(n_links, 0) AS n_links, coalesce(component_id, vec_id) A
 FROM embeddings LEFT JOIN classes ON classes.a = vec_id LEFT JOIN counts ON counts.a = vec_id
 """
 
+# Vectors of integers, the first centroids, and three rounds of assignment and exact floors of means.
+_NEAREST = """a{i} AS MATERIALIZED (SELECT v.vec_id, v.v, arg_min(c.k, (list_sum(list_transform(list_zip(v.v, c.c), lambda p: (p[1] - p[2]) * (p[1] - p[2]))), c.k)) AS k
+    FROM vectors v, c{i} c GROUP BY v.rowid, v.vec_id, v.v)"""
+_MEANS = """c{j} AS MATERIALIZED (SELECT c.k, coalesce(m.c, c.c) AS c FROM c{i} c LEFT JOIN (
+    SELECT k, list((s - ((s % n) + n) % n) // n ORDER BY d) AS c FROM (
+        SELECT k, d, CAST(sum(v[d]) AS BIGINT) AS s, count(*) AS n FROM (SELECT k, v, unnest(range(1, 65)) AS d FROM a{i}) GROUP BY k, d)
+    GROUP BY k) m ON m.k = c.k)"""
+OP13 = f"""
+WITH vectors AS MATERIALIZED (SELECT row_number() OVER () AS rowid, vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h) - 1 AS k, v AS c
+    FROM (SELECT sha256('1:' || CAST(vec_id AS VARCHAR)) AS h, v FROM vectors ORDER BY h LIMIT 16)),
+{", ".join(f"{_NEAREST.format(i=i)}, {_MEANS.format(i=i, j=i + 1)}" for i in range(3))},
+{_NEAREST.format(i=3)},
+found AS (SELECT vec_id, a3.k, list_sum(list_transform(list_zip(v, c), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS distance, c
+          FROM a3 JOIN c3 ON c3.k = a3.k)
+SELECT vec_id, CAST(k AS INTEGER) AS cluster, CAST(distance AS BIGINT) AS distance,
+       CAST(sum(distance) OVER (PARTITION BY k) AS BIGINT) AS cluster_inertia, CAST(sum(distance) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM found
+"""
+
 ORACLES = {
     "op2_chat_formatting": OP2,
     "op3_ngram_jaccard_join": OP3,
     "op5_benchmark_decontamination": OP5,
     "op6_warc": OP6,
     "op7_embedding_near_dedup": OP7,
+    "op13_centroid_clustering": OP13,
 }

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retailweave.llm import (
+    centroids,
     chat,
     decontamination,
     grid_join,
@@ -161,6 +162,18 @@ def op12_token_files(spark, sf_dir, tokenizer: str | None = None):
     return token_files.read_documents(files).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op13_centroid_clustering(spark, sf_dir):
+    found = centroids.with_inertia(centroids.cluster(_table(spark, sf_dir, "embeddings")))
+    return found.select(
+        F.col("id").alias("vec_id"),
+        "cluster",
+        "distance",
+        "cluster_inertia",
+        "inertia",
+        F.sha2(F.array_join("centroid", ",").cast("binary"), 256).alias("centroid_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -175,5 +188,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_license_scans,
         op10_sentencepiece,
         op12_token_files,
+        op13_centroid_clustering,
     )
 }

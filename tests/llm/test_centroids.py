@@ -1,0 +1,126 @@
+import hashlib
+import math
+
+import duckdb
+import numpy as np
+import pytest
+
+from retailweave.llm import centroids
+from retailweave.llm.centroids import MAX_COMPONENT, Search, cluster, with_inertia
+from retailweave.llm.oracles import ORACLES
+from retailweave.llm.queries import op13_centroid_clustering
+
+SCHEMA = "vec_id long, embedding array<double>"
+
+
+def brute_force(rows, k, rounds, dimensions, scale=64, seed=1):
+    """Clusters and squared distances of ``(id, vector)`` in whole numbers, every vector with every centroid."""
+    kept = [
+        (i, tuple(math.floor(scale * x) for x in v))
+        for i, v in rows
+        if v is not None and len(v) == dimensions and all(x is not None and math.isfinite(x) for x in v)
+    ]
+    order = sorted(kept, key=lambda row: (row[0] is None, hashlib.sha256(f"{seed}:{row[0]}".encode()).hexdigest() if row[0] is not None else "", row[1]))
+    now = [v for _, v in order[:k]]
+
+    def nearest(v):
+        return min((sum((a - b) ** 2 for a, b in zip(v, c)), j) for j, c in enumerate(now))
+
+    for _ in range(rounds):
+        members = [[] for _ in now]
+        for _, v in kept:
+            members[nearest(v)[1]].append(v)
+        now = [tuple(sum(x) // len(own) for x in zip(*own)) if own else c for own, c in zip(members, now)]
+    return sorted(((i, *nearest(v)[::-1]) for i, v in kept), key=repr), now
+
+
+def clustered(df, **options):
+    found = cluster(df, **options)
+    return sorted(((row.id, row.cluster, row.distance) for row in found.vectors.collect()), key=repr), found.centroids
+
+
+@pytest.mark.parametrize("case", ["spread", "groups", "ties", "line", "far"])
+def test_equals_every_vector_with_every_centroid(spark, case):
+    random = np.random.default_rng(5)
+    made = {
+        "spread": random.normal(size=(400, 6)),
+        "groups": random.normal(size=(400, 6)) / 20 + random.integers(0, 4, (400, 1)),
+        "ties": random.integers(-1, 2, (400, 6)) / 64,  # many vectors and centroids are equal
+        "line": np.repeat(random.integers(0, 40, (400, 1)) / 64, 6, axis=1),
+        "far": random.normal(size=(400, 6)) * 300_000,
+    }[case]
+    rows = [(i, v.tolist()) for i, v in enumerate(made)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    assert clustered(df, k=23, rounds=4, dimensions=6) == brute_force(rows, 23, 4, 6)
+
+
+def test_bounds_hold_and_spare_comparisons():
+    random = np.random.default_rng(6)
+    middle = random.integers(-3000, 3000, (40, 8))
+    vectors = np.repeat(middle, 50, axis=0) + random.integers(-60, 60, (2000, 8))
+    now = vectors[:: 2000 // 40][:40]
+    state, search, compared = None, None, []
+    for _ in range(5):
+        search = Search(now, None if search is None else search.centroids)
+        counts = []
+        squares = search._squares
+        search._squares = lambda v, c, f=squares, counts=counts: (counts.append(len(v)), f(v, c))[1]
+        state = search.begin(vectors) if state is None else search.next(vectors, *state)
+        compared.append(sum(counts))
+        exact = np.sqrt(((vectors[:, None, :] - now[None]) ** 2).sum(axis=2))
+        own, _, upper, lower = state
+        rows = np.arange(len(vectors))
+        assert (own == exact.argmin(axis=1)).all() and (upper >= exact[rows, own]).all()
+        exact[rows, own] = np.inf
+        assert (lower <= exact.min(axis=1)).all()
+        now = np.stack([vectors[own == j].sum(axis=0) // max(1, (own == j).sum()) if (own == j).any() else now[j] for j in range(len(now))])
+    # The first round knows nothing of the vectors.
+    assert compared[0] < len(vectors) * len(now) and max(compared[3:]) < len(vectors)
+
+
+def test_odd_vectors_ids_and_clashing_columns(spark, clashing):
+    rows = [
+        (1, [0.0, 1.0]), (1, [0.0, 1.0]), (None, [5.0, 5.0]), (2, None), (3, []), (4, [1.0]), (5, [None, 1.0]), (6, [float("nan"), 0.0]),
+        (7, [float("inf"), 0.0]), (8, [-float("inf"), 0.0]), (9, [-0.001, 0.001]), (10, [1.0, 2.0, 3.0]), (11, [0.0, -0.0]),
+    ]
+    df = clashing(spark.createDataFrame(rows, SCHEMA), "cluster", "distance", "id", "vector", "second")
+    assert clustered(df, k=2, dimensions=2) == brute_force(rows, 2, 3, 2)
+    assert clustered(df, k=9, dimensions=2) == brute_force(rows, 9, 3, 2)  # more than there are vectors
+    assert clustered(df, k=1, dimensions=2) == brute_force(rows, 1, 3, 2)
+
+
+def test_no_vectors(spark):
+    found = cluster(spark.createDataFrame([(1, None)], SCHEMA))
+    assert found.centroids == [] and found.vectors.collect() == []
+    assert with_inertia(found).collect() == []
+
+
+def test_components_that_do_not_fit_are_an_error(spark):
+    with pytest.raises(Exception, match="too large"):
+        cluster(spark.createDataFrame([(1, [MAX_COMPONENT / 64 + 1, 0.0])], SCHEMA), dimensions=2)
+    with pytest.raises(ValueError, match="between"):
+        cluster(spark.createDataFrame([], SCHEMA), k=0)
+
+
+def test_sums_go_with_the_clusters(spark, monkeypatch):
+    monkeypatch.setattr(centroids, "_ROWS", 7)
+    rows = [(i, [i % 5 / 8, i % 3 / 4]) for i in range(60)]
+    found = with_inertia(cluster(spark.createDataFrame(rows, SCHEMA), k=4, dimensions=2)).collect()
+    assert {row.inertia for row in found} == {sum(row.distance for row in found)}
+    for row in found:
+        assert row.cluster_inertia == sum(other.distance for other in found if other.cluster == row.cluster)
+
+
+def test_query_equals_sql_and_brute_force(spark):
+    path = "/root/testdata/sf0.001/embeddings.parquet"
+    found = op13_centroid_clustering(spark, path.rpartition("/")[0]).toArrow()
+    connection = duckdb.connect()
+    connection.sql(f"CREATE VIEW embeddings AS SELECT * FROM '{path}'")
+    wanted = connection.sql(ORACLES["op13_centroid_clustering"]).to_arrow_table()
+    names = ["vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"]
+    assert sorted(found.select(names).to_pylist(), key=repr) == sorted(wanted.select(names).to_pylist(), key=repr)
+    rows = [(row.vec_id, row.embedding) for row in spark.read.parquet(path).collect()]
+    kept, final = brute_force(rows, 16, 3, 64)
+    assert sorted(zip(*(found[name].to_pylist() for name in names[:3])), key=repr) == kept
+    shas = [hashlib.sha256(",".join(map(str, c)).encode()).hexdigest() for c in final]
+    assert all(shas[j] == sha for j, sha in zip(found["cluster"].to_pylist(), found["centroid_sha256"].to_pylist()))
