@@ -81,6 +81,32 @@ SELECT vec_id, coalesce(n_links, 0) AS n_links, coalesce(component_id, vec_id) A
 FROM embeddings LEFT JOIN classes ON classes.a = vec_id LEFT JOIN counts ON counts.a = vec_id
 """
 
+# The CRC of a short ASCII text, bit by bit.
+_CRC32 = """xor(list_reduce(list_prepend(4294967295, list_transform(string_split({text}, ''), lambda x: CAST(ascii(x) AS BIGINT))),
+    lambda a, x: list_reduce([xor(a, x), 0, 0, 0, 0, 0, 0, 0, 0], lambda b, y: xor(b >> 1, (b & 1) * 3988292384))), 4294967295)"""
+OP11 = rf"""
+WITH turns AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+keyed AS (SELECT conv_id, turn, role, sha256(CAST(octet_length(encode(role)) AS VARCHAR) || ':' || role || text) AS key,
+    len(regexp_extract_all(text, '[^ 	-]+')) AS tokens FROM turns),
+own AS (SELECT conv_id, list({{'key': key, 'tokens': tokens}} ORDER BY turn NULLS FIRST, role, key) AS t,
+    {_CRC32.format(text="CAST(conv_id AS VARCHAR)")} % 4 AS h FROM keyed GROUP BY conv_id),
+rebuilt AS (SELECT own.conv_id, list_concat(list_slice(coalesce(base.t, []), 1, own.h), list_slice(own.t, own.h + 1, len(own.t))) AS t
+    FROM own LEFT JOIN own base ON base.conv_id = own.conv_id - own.conv_id % 20),
+prefixes AS (SELECT conv_id, d, array_to_string(list_transform(list_slice(t, 1, d), lambda x: x.key), '') AS p,
+    array_to_string(list_transform(list_slice(t, 1, d - 1), lambda x: x.key), '') AS up, CASE WHEN d > 0 THEN t[d].tokens ELSE 0 END AS tokens,
+    len(t) = d AS ends FROM (SELECT conv_id, t, unnest(range(0, len(t) + 1)) AS d FROM rebuilt)),
+nodes AS (SELECT p, any_value(CASE WHEN d > 0 THEN up END) AS up, d, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(tokens) AS tokens,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256
+    FROM prefixes GROUP BY p, d),
+children AS (SELECT up, count(*) AS n FROM nodes WHERE up IS NOT NULL GROUP BY up),
+above AS (SELECT n.p, left(n.p, CAST(64 * i AS BIGINT)) AS a FROM nodes n, unnest(range(0, n.d + 1)) AS x(i)),
+below AS (SELECT above.a, count(*) FILTER (WHERE children.n IS NULL) AS n_leaves, sum((nodes.n_convs - 1) * nodes.tokens) AS saved
+    FROM above JOIN nodes ON nodes.p = above.p LEFT JOIN children ON children.up = above.p GROUP BY above.a)
+SELECT nodes.conv_id, nodes.d AS depth, parent.conv_id AS parent_conv_id, nodes.n_convs, coalesce(children.n, 0) AS n_children,
+    below.n_leaves, CAST(below.saved AS BIGINT) AS saved_tokens, nodes.ends_sha256
+FROM nodes LEFT JOIN nodes parent ON parent.p = nodes.up LEFT JOIN children ON children.up = nodes.p JOIN below ON below.a = nodes.p
+"""
+
 # Vectors of integers, the first centroids, and three rounds of assignment and exact floors of means.
 _NEAREST = """a{i} AS MATERIALIZED (SELECT v.vec_id, v.v, arg_min(c.k, (list_sum(list_transform(list_zip(v.v, c.c), lambda p: (p[1] - p[2]) * (p[1] - p[2]))), c.k)) AS k
     FROM vectors v, c{i} c GROUP BY v.rowid, v.vec_id, v.v)"""
@@ -109,5 +135,6 @@ ORACLES = {
     "op5_benchmark_decontamination": OP5,
     "op6_warc": OP6,
     "op7_embedding_near_dedup": OP7,
+    "op11_prefix_trie": OP11,
     "op13_centroid_clustering": OP13,
 }

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from retailweave.llm import (
     centroids,
@@ -16,12 +17,13 @@ from retailweave.llm import (
     jaccard_join,
     language,
     licenses,
+    prefix_trie,
     sentence_pieces,
     token_files,
     toxicity,
     warc_zip,
 )
-from retailweave.sinks.scratch import work_folder
+from retailweave.sinks.scratch import work_folder, written
 
 # Where the public piece model lies on this machine.
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -151,6 +153,34 @@ def op10_sentencepiece(spark, sf_dir, model: str = PIECE_MODEL):
     )
 
 
+def op11_prefix_trie(spark, sf_dir):
+    """Conversations that begin with up to three turns of the one whose number is the multiple of 20 before theirs."""
+    keyed = prefix_trie.turn_keys(_table(spark, sf_dir, "conversations")).where("conv is not null")
+    place = W.partitionBy("conv").orderBy(F.col("turn").asc_nulls_first(), "role", "key")
+    turns = written(keyed.withColumn("nth", F.row_number().over(place)).select("conv", "nth", "key", "tokens"))
+    n_taken = F.crc32(F.col("conv").cast("string").cast("binary")) % 4
+    own = turns.where(F.col("nth") > n_taken)
+    convs = turns.where("nth = 1").select("conv", n_taken.alias("n_taken"), (F.col("conv") - F.col("conv") % 20).alias("of"))
+    heads = turns.where("conv % 20 = 0 and nth <= 3").withColumnRenamed("conv", "of")
+    taken = convs.join(heads, "of").where("nth <= n_taken").select("conv", "nth", "key", "tokens")
+    rebuilt = own.unionByName(taken).select("conv", F.col("nth").alias("turn"), F.lit("").alias("role"), "key", "tokens")
+    trie = prefix_trie.prefix_trie(rebuilt, convs)
+    # Nodes without a key, which no conversation ends at, are spread by a value that is no key.
+    at = F.coalesce("key", F.unhex(F.hex(F.xxhash64("conv", "depth"))))
+    ends = prefix_trie.digests(trie.ends).withColumnRenamed("key", "of")
+    joined = trie.nodes.withColumn("at", at).join(ends, F.col("at") == F.col("of"), "left")
+    return joined.select(
+        F.col("conv").alias("conv_id"),
+        "depth",
+        F.col("parent_conv").alias("parent_conv_id"),
+        "n_convs",
+        "n_children",
+        "n_leaves",
+        "saved_tokens",
+        F.coalesce("sha256", F.sha2(F.lit(b""), 256)).alias("ends_sha256"),
+    )
+
+
 def op12_token_files(spark, sf_dir, tokenizer: str | None = None):
     """Token ids of all documents, each ended by id 2, written to flat files and read back."""
     if tokenizer is None:
@@ -187,6 +217,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_sharding,
         op9_license_scans,
         op10_sentencepiece,
+        op11_prefix_trie,
         op12_token_files,
         op13_centroid_clustering,
     )
