@@ -30,7 +30,8 @@ STRATEGIES = ("broadcast", "shuffle", "merge")
 
 # Fewer rows than this are no load for a task, and no part of a hot key has fewer.
 HOT_ROWS = 1000
-SKETCH_GROUPS = 512
+# Sketches are merged in so many groups, and those in so many more, before the last task merges them.
+SKETCH_GROUPS = (512, 24)
 
 _UNKNOWN_BYTES = 1 << 60  # Spark's size for sources that have none is larger
 
@@ -199,9 +200,9 @@ def hot_keys(df: DataFrame, keys: Mapping[str, Column]) -> dict[str, dict[int, i
 
     Each comes with the number of parts that spread its rows evenly, none of fewer than
     ``HOT_ROWS`` rows. One pass over the columns shuffles no rows: each task keeps a
-    frequent-items sketch of fixed size per column, and the sketches are merged in two
-    steps so that no single task receives all of them. There can be no more such values than partitions,
-    and the sketches hold as many.
+    frequent-items sketch of fixed size per column, and the sketches are merged in three
+    steps (``SKETCH_GROUPS``), so that what the last task receives does not depend on the number of tasks.
+    There can be no more such values than partitions, and the sketches hold as many.
     """
     return _hot(df.select(F.lit(0).alias("df"), *(column.alias(name) for name, column in keys.items())), list(keys)).get(
         0, {name: {} for name in keys}
@@ -219,9 +220,13 @@ def _hot(rows: DataFrame, names: Sequence[str]) -> dict[int, dict[str, dict[int,
     least, most = TRACKED_KEYS
     tracked = min(max(TRACKED_PER_PARTITION * partitions, least), most)
     taken = min(partitions, tracked - 1)
-    sketches = rows.groupBy("df", F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("__group")).agg(
+    wide, narrow = SKETCH_GROUPS
+    sketches = rows.groupBy("df", F.pmod(F.spark_partition_id(), F.lit(wide)).alias("__group")).agg(
         F.count("*").alias("__n"), *(F.expr(f"approx_top_k_accumulate({_quoted(name)}, {tracked})").alias(name) for name in names)
     )
+    sketches = sketches.groupBy("df", F.pmod("__group", F.lit(narrow)).alias("__group")).agg(
+        F.sum("__n").alias("__n"), *(F.expr(f"approx_top_k_combine({_quoted(name)}, {tracked})").alias(name) for name in names)
+    )
     merged = sketches.groupBy("df").agg(
         F.sum("__n").alias("__n"),
         *(
