@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 # Spark names the files of one write part-<task>-<write id>...
 _WRITE_ID = re.compile(r"^part-\d+-([0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12})")
 
-
 _DATE = re.compile(r"^\d{4}-\d\d-\d\d$")
 
 # Dates whose files are compared. Snapshots are made daily, and a late one is a few days late.
@@ -32,13 +31,13 @@ def feed_path(root: str, entity: str, feed: str) -> str:
     return f"{root.rstrip('/')}/{entity}/{entity}_{feed}"
 
 
-def newest_file(spark: SparkSession, root: str, days: int = DAYS) -> Row:
+def newest_file(spark: SparkSession, root: str, days: int | None = DAYS) -> Row:
     """``(path, modificationTime)`` of the Parquet file last written below ``root``.
 
     Of several with the same time, the one with the smallest path. Only the file
     listing is read, and of the folders named by a date only those of the ``days`` latest dates: a
-    snapshot of an earlier date that is written again is not found as the newest. Marker files
-    such as ``_SUCCESS`` do not count.
+    snapshot of an earlier date that is written again is not found as the newest. ``None`` lists all
+    dates, so that it is found. Marker files such as ``_SUCCESS`` do not count.
     """
     newest = None
     if folders := _recent(spark, root, days):
@@ -48,7 +47,7 @@ def newest_file(spark: SparkSession, root: str, days: int = DAYS) -> Row:
     return newest
 
 
-def _recent(spark: SparkSession, root: str, days: int) -> list[str]:
+def _recent(spark: SparkSession, root: str, days: int | None) -> list[str]:
     """What lies directly in ``root``, without markers and all but the latest dates."""
     # The names of one folder: one for every date, not one for every file.
     path = spark._jvm.org.apache.hadoop.fs.Path(root)
@@ -57,7 +56,7 @@ def _recent(spark: SparkSession, root: str, days: int) -> list[str]:
         return []
     names = {entry.getPath().getName(): entry.getPath().toString() for entry in system.listStatus(path)}
     dates = sorted((name for name in names if _DATE.match(name)), reverse=True)
-    old = set(dates[days:])
+    old = set(() if days is None else dates[days:])
     return [path for name, path in names.items() if name not in old and not name.startswith(("_", "."))]
 
 
@@ -71,7 +70,7 @@ def _files(spark: SparkSession, paths: list[str]) -> DataFrame:
     return files.load(paths).select("path", "modificationTime")
 
 
-def read_newest(spark: SparkSession, root: str, scope: str = "write", days: int = DAYS) -> DataFrame:
+def read_newest(spark: SparkSession, root: str, scope: str = "write", days: int | None = DAYS) -> DataFrame:
     """The newest snapshot below ``root``.
 
     ``scope`` says how much belongs to it, seen from the newest file:

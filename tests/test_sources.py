@@ -1,6 +1,8 @@
 import datetime
 import os
 import re
+import time
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -129,6 +131,73 @@ def test_jdbc_reads_by_predicates(spark):
         tables.read_jdbc(source, "jdbc:x", "sales", partition_column="n", predicates=["n < 5"])
 
 
+@pytest.mark.parametrize(
+    "schema, low, high, bounds",
+    [
+        ("LOW bigint, HIGH bigint", 1, 9, ("1", "9")),
+        ("LOW decimal(38,10), HIGH decimal(38,10)", Decimal("1.5"), Decimal("8.2"), ("1", "9")),
+        ("LOW decimal(10,2), HIGH decimal(10,2)", Decimal("-1.5"), Decimal("-0.5"), ("-2", "0")),
+        ("LOW double, HIGH double", -1.5, 2.5, ("-2", "3")),
+        ("LOW timestamp, HIGH timestamp", datetime.datetime(2020, 1, 1), datetime.datetime(2020, 1, 2, 3), ("2020-01-01 00:00:00", "2020-01-02 03:00:00")),
+    ],
+)
+def test_jdbc_bounds_are_whole_numbers_around_the_rows(spark, schema, low, high, bounds):
+    ends = spark.createDataFrame([(low, high)], schema).select(
+        *(F.to_utc_timestamp(c, time.tzname[0]).alias(c) if "timestamp" in schema else c for c in ("LOW", "HIGH"))
+    )
+    source = FakeJdbc(spark, spark.createDataFrame([], "k int"), ends)
+    tables.read_jdbc(source, "jdbc:x", "sales", partition_column="k")
+    assert (source.reads[-1]["lowerBound"], source.reads[-1]["upperBound"]) == bounds
+
+
+@pytest.mark.parametrize(
+    "schema, low, high",
+    [("low double, high double", 1.0, float("nan")), ("low double, high double", -float("inf"), 2.0), ("low decimal(38,0), high decimal(38,0)", Decimal(1), Decimal(10) ** 30)],
+)
+def test_jdbc_bounds_beyond_64_bits_are_read_at_once(spark, schema, low, high):
+    source = fake(spark, "k double", low, high, schema)
+    tables.read_jdbc(source, "jdbc:x", "sales", partition_column="k", **ACCESS)
+    assert source.reads[-1] == {"url": "jdbc:x", "dbtable": "sales", **ACCESS}
+
+
+def keys(spark, kind):
+    """Keys of a type, a third of them one value, with repeats and nulls."""
+    number = F.when(F.col("id") % 3 == 0, 500).otherwise(F.pow(F.col("id") / 100, F.lit(3)))
+    made = {
+        "int": number.cast("int"),
+        "decimal(38,10)": (number / 7).cast("decimal(38,10)"),
+        "double": F.when(F.col("id") == 5, float("nan")).when(F.col("id") == 7, float("inf")).otherwise(-number / 7),
+        "date": F.date_add(F.lit("1990-01-01").cast("date"), number.cast("int")),
+        "timestamp": F.timestamp_micros((number * 1_234_567).cast("long")),
+        "timestamp_ntz": F.timestamp_micros((number * 1_234_567).cast("long")).cast("timestamp_ntz"),
+    }[kind]
+    return spark.range(3000).select("id", F.when(F.col("id") % 50 != 0, made).alias("the key"))
+
+
+@pytest.mark.parametrize("kind", ["int", "decimal(38,10)", "double", "date", "timestamp", "timestamp_ntz"])
+@pytest.mark.parametrize("n", [1, 2, 9])
+def test_even_predicates_take_every_row_once(spark, kind, n):
+    table = keys(spark, kind)
+    parts = tables.even_predicates(table.where("id % 2 = 0"), "the key", n, "jdbc:mysql://h/d")
+    found = table.select(*(F.coalesce(F.expr(part).cast("int"), F.lit(0)).alias(str(i)) for i, part in enumerate(parts)))
+    times = found.select(sum(F.col(name) for name in found.columns).alias("n")).distinct().collect()
+    assert [row.n for row in times] == [1] and len(parts) <= n + 1
+    sizes = sorted(found.agg(*(F.sum(name) for name in found.columns)).first(), reverse=True)
+    # The one frequent value is a part of its own, and the others are even.
+    assert n < 3 or (sizes[0] < 1100 and sizes[1] < 2 * 3000 / n)
+
+
+def test_a_sample_makes_the_predicates_of_a_read(spark):
+    source = fake(spark, "k int")
+    tables.read_jdbc(source, "jdbc:x", "sales", partition_column="k", num_partitions=2, sample=spark.createDataFrame([(1,), (2,), (3,), (4,)], "k int"))
+    assert source.reads[0]["predicates"] == ['"k" < 2 OR "k" IS NULL', '"k" >= 2']
+    assert tables.even_predicates(spark.createDataFrame([(None,)], "k int"), "k", 5, "jdbc:x") == ["1 = 1"]
+    with pytest.raises(ValueError, match="order"):
+        tables.even_predicates(spark.createDataFrame([], "k string"), "k", 5, "jdbc:x")
+    with pytest.raises(ValueError, match="partition column"):
+        tables.read_jdbc(source, "jdbc:x", "sales", sample=source.table)
+
+
 @pytest.mark.parametrize("options", [{"num_partitions": 1}, {}], ids=["one partition asked", "empty table"])
 def test_jdbc_reads_at_once(spark, options):
     source = fake(spark, "n int", None, None)
@@ -218,6 +287,7 @@ def test_files_of_early_dates_are_not_listed(spark, tmp_path, monkeypatch):
     assert read_newest(spark, root, days=3).count() == 7
     assert sorted(os.path.basename(path) for path in listed) == ["2024-01-07", "2024-01-08", "2024-01-09"]
     assert read_newest(spark, root, days=9).count() == 1
+    assert read_newest(spark, root, days=None).count() == 1
 
 
 def test_markers_do_not_count(spark, tmp_path):
