@@ -86,6 +86,9 @@ FROM transactions_raw""",
     ),
     "snk_table_append": _with("t", "SELECT * FROM t UNION ALL SELECT * FROM t"),
     "snk_table_overwrite": _with("c", "SELECT * FROM c"),
+    "snk_table_overwrite_staged": _with("c", "SELECT * FROM c WHERE age IS NOT NULL"),
+    "snk_append_deduplicated": _with("t", "SELECT * FROM t"),
+    "snk_snapshot_committed": _CUSTOMERS,
     "lay_file_count": "SELECT CAST(4 AS BIGINT) AS n_files, COUNT(*) AS n_rows FROM lineitem",
     "lay_repartition": _TRANSACTIONS,
     "prj_drop": _with(
@@ -202,6 +205,11 @@ FROM hot_raw f JOIN customers_raw c ON c.customer_id = f.customer_id""",
     ),
     "pip_load_historic": _with("w", "SELECT * FROM w"),
     "pip_load_live": _with("w", "SELECT * FROM w"),
+    "pip_extract_incremental": _with(
+        "transactions_raw", "SELECT TRY_CAST(t_dat AS DATE) AS t_dat, customer_id, article_id, price, sales_channel_id FROM transactions_raw"
+    ),
+    "pip_live_incremental": _with("t", "SELECT t_dat, customer_id, article_id, price FROM t"),
+    "pip_historic_resumed": _with("w", "SELECT * FROM w"),
     "pip_historic": _with("t", "SELECT * FROM t"),
     "pip_historic_then_live": _with(
         "w",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,8 +12,11 @@ from retailweave.functions import columns, statistics
 from retailweave.operators import cleaning, entities
 from retailweave.operators.joins import star_join
 from retailweave.plans import jobs as plans
+from retailweave.plans.watermarks import Watermark, extract_new
 from retailweave.registry import fixtures
 from retailweave.registry.fixtures import articles, customers, hot_transactions, transactions
+from retailweave.sinks.commits import write_committed
+from retailweave.sinks.deduplicated import LoadLedger, append_new
 from retailweave.sinks.scratch import work_folder
 from retailweave.sinks.writers import Warehouse, spread, write_snapshot
 from retailweave.sources.snapshots import feed_path, read_newest, run_date
@@ -103,6 +107,44 @@ def snk_table_overwrite(spark, sf_dir):
     return _written_twice(spark, cln_customers(spark, sf_dir), "customers", "overwrite")
 
 
+def snk_table_overwrite_staged(spark, sf_dir):
+    """Customers made from the table that they replace, after a replacement that failed half-way."""
+    target = Warehouse("parquet", {"path": work_folder(spark)}, staged=True)
+    target.write(cln_customers(spark, sf_dir).limit(10), "customers", "overwrite")
+    target.write(cln_customers(spark, sf_dir), "customers", "overwrite")
+    broken = target.read(spark, "customers").withColumn("age", F.when(F.rand() < 2, F.raise_error(F.lit("broken"))).cast("int"))
+    try:
+        target.write(broken, "customers", "overwrite")
+    except Exception as error:
+        if "broken" not in str(error):
+            raise
+    target.write(target.read(spark, "customers").where("age IS NOT NULL"), "customers", "overwrite")
+    return target.read(spark, "customers")
+
+
+def snk_append_deduplicated(spark, sf_dir):
+    """Transactions appended in part, then as a whole, then by two live loads of one id: every row is there as often as in the source."""
+    folder = work_folder(spark)
+    target, ledger = Warehouse("parquet", {"path": folder}), LoadLedger(spark, f"{folder}/_loads")
+    source = cln_transactions(spark, sf_dir)
+    keys = ["t_dat", "customer_id", "article_id", "price"]
+    append_new(target, source.where("price > 30000 or article_id % 7 = 0"), "transactions", keys)
+    append_new(target, source, "transactions", keys, within="t_dat")
+    for _ in range(2):
+        append_new(target, source, "transactions", keys, ledger=ledger, load_id="2024-01-31")
+    return target.read(spark, "transactions")
+
+
+def snk_snapshot_committed(spark, sf_dir):
+    """Customers of the last commit, although an earlier date was written last and a later write was never committed."""
+    root = feed_path(work_folder(spark), "Customers", "historic")
+    raw = customers(spark, sf_dir)
+    write_committed(raw.select("customer_id"), root, RUN_DATES[1])
+    write_committed(raw, root, RUN_DATES[0], n_files=5)
+    write_snapshot(raw.limit(3), f"{root}/{RUN_DATES[0]}", "append")
+    return read_newest(spark, root)
+
+
 def lay_file_count(spark, sf_dir):
     """Number of files of a snapshot for which four were asked, and their rows in total."""
     path = f"{work_folder(spark)}/{RUN_DATES[0]}"
@@ -351,6 +393,53 @@ def pip_load_live(spark, sf_dir):
     return read_parquet(spark, f"{tables}/warehouse")
 
 
+def pip_extract_incremental(spark, sf_dir):
+    """Dated transactions by three extracts of a source that grows: earlier days, the rest of the last of them, and all others."""
+    folder = work_folder(spark)
+    root, mark = feed_path(folder, "Transactions", "Live"), Watermark("t_dat")
+    dated = transactions(spark, sf_dir).withColumn("t_dat", F.col("t_dat").try_cast("date"))
+    write_snapshot(dated, f"{folder}/source")
+    source = read_parquet(spark, f"{folder}/source")
+    day = "t_dat = DATE '1998-01-15'"
+    for seen in (f"t_dat < DATE '1998-01-15' OR {day} AND article_id % 2 = 0 OR t_dat IS NULL AND article_id > 100", "t_dat <= DATE '1998-01-15' OR t_dat IS NULL", "true"):
+        extract_new(source.where(seen), root, RUN_DATES[0], mark)
+    return read_newest(spark, root, scope="folder")
+
+
+def pip_live_incremental(spark, sf_dir):
+    """The transactions table after three live runs over one source, each of which takes what is new."""
+    jobs, tables = _jobs(spark, sf_dir)
+    jobs = replace(jobs, commits=True, ledger=f"{jobs.lake}/ledger", watermarks={"Transactions": Watermark("article_id")})
+    parts = iter(["article_id < 0", "article_id <= 150", "true"])
+    all_rows = jobs.sources[plans.LIVE]["Transactions"]
+    for part in parts:
+        sources = jobs.sources[plans.LIVE] | {"Transactions": lambda session, part=part: all_rows(session).where(part)}
+        plans.run_live(spark, replace(jobs, sources={plans.LIVE: sources}), RUN_DATES[1])
+    return read_parquet(spark, f"{tables}/transactions").select("t_dat", "customer_id", "article_id", "price")
+
+
+def pip_historic_resumed(spark, sf_dir):
+    """The warehouse table of a historic run that breaks once in each of its writes and is called again."""
+    jobs, tables = _jobs(spark, sf_dir)
+    broken: set[str] = set()
+
+    class Breaking(Warehouse):
+        def write(self, df, table, mode):
+            super().write(df, table, mode)
+            if table not in broken:
+                broken.add(table)
+                raise InterruptedError(table)
+
+    jobs = replace(jobs, warehouse=Breaking("parquet", {"path": tables}), ledger=f"{jobs.lake}/ledger")
+    while len(broken) < 4:
+        try:
+            plans.run_historic(spark, jobs, RUN_DATES[0])
+        except InterruptedError:
+            pass
+    plans.run_historic(spark, jobs, RUN_DATES[0])
+    return read_parquet(spark, f"{tables}/warehouse")
+
+
 def pip_historic(spark, sf_dir):
     """The transactions table after a historic run."""
     jobs, tables = _jobs(spark, sf_dir)
@@ -392,6 +481,9 @@ QUERIES: dict[str, Query] = {
         snk_snapshot_append,
         snk_table_append,
         snk_table_overwrite,
+        snk_table_overwrite_staged,
+        snk_append_deduplicated,
+        snk_snapshot_committed,
         lay_file_count,
         lay_repartition,
         prj_drop,
@@ -431,6 +523,9 @@ QUERIES: dict[str, Query] = {
         jon_binary_key,
         pip_load_historic,
         pip_load_live,
+        pip_extract_incremental,
+        pip_live_incremental,
+        pip_historic_resumed,
         pip_historic,
         pip_historic_then_live,
         pip_historic_then_live_transactions,

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+from retailweave.sinks.records import Folder
 
 _FILE_FORMATS = ("parquet", "orc", "csv", "json")
 
+# Folders beside the tables, which no table is called like.
+_STAGED, _REPLACED = "_staged", "_replaced"
+
 
 def spread(df: DataFrame, n: int | None) -> DataFrame:
     """Round-robin over ``n`` partitions; as it is for ``None``."""
@@ -31,13 +37,69 @@ class Warehouse:
     ``format`` is ``jdbc`` or any other connector that takes ``dbtable``; a file
     format, with the folder of the tables as option ``path``; or ``catalog`` for
     tables of the session's catalog. ``options`` are passed on.
+
+    ``staged`` writes a table that is overwritten beside the old one and then puts it in its place, so that a write that
+    fails leaves the old table, and a table may be made from itself. For files, and for catalog tables without a path.
     """
 
     format: str = "jdbc"
     options: dict[str, str] = field(default_factory=dict, repr=False)
+    staged: bool = False
+
+    def __post_init__(self):
+        if self.staged and not (self.of_files() or self.format == "catalog" and "path" not in self.options):
+            raise ValueError("only tables of files and catalog tables without a path can be staged")
 
     def write(self, df: DataFrame, table: str, mode: str) -> None:
         """Append to or overwrite a table, as ``mode`` says."""
+        if self.staged and mode == "overwrite":
+            self._replace(df, table)
+            return
+        if self.staged and self.of_files():
+            self._recover(df.sparkSession, table)
+        self._write(df, table, mode)
+
+    def _replace(self, df: DataFrame, table: str) -> None:
+        spark, number = df.sparkSession, uuid.uuid4().hex
+        if self.format == "catalog":
+            new, old = f"{table}__staged_{number}", f"{table}__replaced_{number}"
+            try:
+                self._write(df, new, "errorifexists")
+            except BaseException:
+                spark.sql(f"DROP TABLE IF EXISTS {new}")
+                raise
+            existed = spark.catalog.tableExists(table)
+            if existed:
+                spark.sql(f"ALTER TABLE {table} RENAME TO {old.rpartition('.')[2]}")
+            spark.sql(f"ALTER TABLE {new} RENAME TO {table.rpartition('.')[2]}")
+            if existed:
+                spark.sql(f"DROP TABLE {old}")
+            return
+        self._recover(spark, table)
+        new, old = f"{_STAGED}/{table}-{number}", f"{_REPLACED}/{table}/{number}"
+        staged = Folder(spark, self.path(new))
+        try:
+            self._write(df, new, "errorifexists")
+        except BaseException:
+            staged.delete()
+            raise
+        # Between the two moves there is no table; whoever reads or writes next finds the old one by its name.
+        present = Folder(spark, self.path(table))
+        if present.exists() and not present.move(self.path(old)):
+            raise RuntimeError(f"{self.path(table)} can't be moved away")
+        if not staged.move(self.path(table)):
+            raise RuntimeError(f"{self.path(table)} appeared while it was replaced")
+        Folder(spark, self.path(f"{_REPLACED}/{table}")).delete()
+
+    def _recover(self, spark: SparkSession, table: str) -> None:
+        """Puts the old table back if a replacement broke off between its two moves."""
+        replaced = Folder(spark, self.path(f"{_REPLACED}/{table}"))
+        if not Folder(spark, self.path(table)).exists():
+            for name in replaced.children():
+                Folder(spark, f"{replaced.path}/{name}").move(self.path(table))
+        replaced.delete()
+
+    def _write(self, df: DataFrame, table: str, mode: str) -> None:
         options = dict(self.options)
         if self.format == "catalog":
             df.write.options(**options).mode(mode).saveAsTable(table)
@@ -47,3 +109,24 @@ class Warehouse:
             df.write.format(self.format).options(**options).mode(mode).save(f"{folder}/{table}")
             return
         df.write.format(self.format).options(**options).option("dbtable", table).mode(mode).save()
+
+    def read(self, spark: SparkSession, table: str) -> DataFrame | None:
+        """A table as it is; None if there is none. A database is asked by reading its table, so there it has to exist."""
+        options = dict(self.options)
+        if self.format == "catalog":
+            return spark.table(table) if spark.catalog.tableExists(table) else None
+        if self.of_files():
+            path = self.path(table)
+            if self.staged:
+                self._recover(spark, table)
+            if not any(name[0] not in "._" for name in Folder(spark, path).children()):
+                return None
+            return spark.read.format(self.format).options(**{k: v for k, v in options.items() if k != "path"}).load(path)
+        return spark.read.format(self.format).options(**options).option("dbtable", table).load()
+
+    def of_files(self) -> bool:
+        return self.format in _FILE_FORMATS
+
+    def path(self, table: str) -> str:
+        """The folder of a table of files."""
+        return f"{self.options['path'].rstrip('/')}/{table}"

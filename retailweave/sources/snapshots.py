@@ -6,13 +6,14 @@ A snapshot is a Parquet folder ``<root>/<Entity>/<Entity>_<feed>/<yyyy-MM-dd>/``
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-# Spark names the files of one write part-<task>-<write id>...
-_WRITE_ID = re.compile(r"^part-\d+-([0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12})")
+from retailweave.sinks.commits import WRITE_ID, commits_of, last_commit, read_commit
 
+_WRITE_ID = re.compile(WRITE_ID)
 _DATE = re.compile(r"^\d{4}-\d\d-\d\d$")
 
 # Dates whose files are compared. Snapshots are made daily, and a late one is a few days late.
@@ -73,6 +74,9 @@ def _files(spark: SparkSession, paths: list[str]) -> DataFrame:
 def read_newest(spark: SparkSession, root: str, scope: str = "write", days: int | None = DAYS) -> DataFrame:
     """The newest snapshot below ``root``.
 
+    Where snapshots are committed (``sinks/commits.py``) it is that of the last commit: its files for ``write``, those of all
+    commits that its folder consists of for ``folder``. A committed snapshot whose files are not all there is an error.
+
     ``scope`` says how much belongs to it, seen from the newest file:
 
     * ``write``: all files of the write that made it, so a snapshot of many files is read
@@ -85,6 +89,10 @@ def read_newest(spark: SparkSession, root: str, scope: str = "write", days: int
     """
     if scope not in ("write", "file", "folder"):
         raise ValueError(f"unknown snapshot scope {scope!r}")
+    commit = last_commit(spark, root) if scope != "file" else None
+    if commit is not None:
+        parts = [commit] if scope == "write" else commits_of(spark, root, commit.folder)
+        return reduce(DataFrame.unionByName, (read_commit(spark, root, part) for part in parts))
     folder, _, name = newest_file(spark, root, days).path.rpartition("/")
     if scope == "folder":
         return spark.read.parquet(folder)

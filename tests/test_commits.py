@@ -1,0 +1,106 @@
+import os
+
+import pytest
+from pyspark.errors import AnalysisException
+
+from retailweave.sinks.commits import TornSnapshot, check, commits_of, discard, last_commit, log_of, read_commit, write_committed, write_ids
+from retailweave.sinks.records import Folder
+from retailweave.sinks.writers import write_snapshot
+from retailweave.sources.snapshots import read_newest
+
+from conftest import rows
+
+
+@pytest.fixture
+def root(tmp_path):
+    return str(tmp_path / "Customers" / "Customers_historic")
+
+
+def data(folder):
+    return sorted(f"{folder}/{name}" for name in os.listdir(folder) if name.endswith(".parquet"))
+
+
+def test_a_commit_tells_files_rows_and_bytes(spark, root):
+    commit = write_committed(spark.range(0, 100, 1, 4), root, "2024-01-31")
+    files = data(f"{root}/2024-01-31")
+    assert (commit.n_files, commit.n_rows, commit.n_bytes) == (4, 100, sum(map(os.path.getsize, files)))
+    listed = spark.read.parquet(f"{log_of(spark, root).path}/files-{commit.number}-{commit.write_id}")
+    assert rows(listed) == [(os.path.basename(f), os.path.getsize(f), 25) for f in files]
+    assert last_commit(spark, root) == commit and last_commit(spark, root, "2024-02-01") is None
+
+
+def test_the_last_commit_is_the_newest_whatever_dates_and_times_say(spark, root):
+    write_committed(spark.range(3), root, "2024-02-01")
+    write_committed(spark.range(5), root, "2023-01-01")  # far more than a week earlier
+    for file in data(f"{root}/2023-01-01"):
+        os.utime(file, (1, 1))
+    assert read_newest(spark, root).count() == 5
+    write_committed(spark.range(7), root, "2024-02-01", "overwrite")
+    assert read_newest(spark, root).count() == 7
+
+
+def test_appends_are_commits_of_their_own(spark, root):
+    for n in (2, 3, 4):
+        write_committed(spark.range(n), root, "2024-02-01", "append")
+    assert read_newest(spark, root).count() == 4 and read_newest(spark, root, "folder").count() == 9
+    write_committed(spark.range(1), root, "2024-02-01", "overwrite")
+    write_committed(spark.range(6), root, "2024-02-01", "append")
+    assert [commit.n_rows for commit in commits_of(spark, root, "2024-02-01")] == [1, 6]
+    assert read_newest(spark, root, "folder").count() == 7
+
+
+def test_what_was_not_committed_is_not_read(spark, root):
+    write_committed(spark.range(3), root, "2024-02-01")
+    write_snapshot(spark.range(50), f"{root}/2024-02-01", "append")
+    write_snapshot(spark.range(50), f"{root}/2024-02-02")
+    assert read_newest(spark, root).count() == 3 and read_newest(spark, root, "folder").count() == 3
+    # A later append to the folder with the left files commits its own.
+    write_committed(spark.range(4), root, "2024-02-01", "append")
+    assert read_newest(spark, root).count() == 4
+
+
+@pytest.mark.parametrize("harm", ["lost", "cut", "replaced", "gone"])
+def test_torn_snapshots_are_refused(spark, root, harm):
+    commit = write_committed(spark.range(0, 100, 1, 3), root, "2024-02-01")
+    file = data(f"{root}/2024-02-01")[1]
+    if harm == "lost":
+        os.remove(file)
+    elif harm == "cut":
+        with open(file, "r+b") as open_file:
+            open_file.truncate(100)
+    elif harm == "replaced":
+        write_snapshot(spark.range(5), f"{root}/2024-02-01", "overwrite")
+    else:
+        os.rename(f"{root}/2024-02-01", f"{root}/2024-02-09")
+    with pytest.raises(TornSnapshot, match="2024-02-01"):
+        read_newest(spark, root)
+    with pytest.raises(TornSnapshot):
+        check(spark, root, commit)
+
+
+def test_empty_snapshots_and_odd_names_are_committed(spark, root):
+    df = spark.createDataFrame([], "`a.b` int, `c d` string")
+    commit = write_committed(df, root, "2024-02-01")
+    assert commit.n_rows == 0 and read_commit(spark, root, commit).schema == df.schema
+    with pytest.raises(AnalysisException):
+        write_committed(df, root, "2024-02-01")
+    assert last_commit(spark, root) == commit
+
+
+def test_files_of_unknown_writes_are_discarded(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_snapshot(spark.range(3), path)
+    kept = set(write_ids(spark, path))
+    write_snapshot(spark.range(4), path, "append")
+    write_snapshot(spark.range(5), path, "append")
+    assert discard(spark, path, kept) == 2 and spark.read.parquet(path).count() == 3
+
+
+def test_records_are_numbered_whole_and_never_replaced(spark, tmp_path):
+    folder = Folder(spark, str(tmp_path / "r"))
+    assert folder.names() == [] and folder.last() is None and folder.get("x") is None
+    assert [folder.append({"n": n}) for n in range(3)] == ["000000000000", "000000000001", "000000000002"]
+    assert folder.last() == {"n": 2}
+    with pytest.raises(FileExistsError):
+        folder.put("000000000001", {})
+    assert sorted(name for name in os.listdir(tmp_path / "r") if name.endswith(".json") and name[0] != ".") == [f"{n:012d}.json" for n in range(3)]
