@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from retailweave.functions import columns, statistics
@@ -45,6 +45,17 @@ def add_calendar(df: DataFrame, column: str) -> DataFrame:
     return df.withColumn(column, columns.to_date(column)).withColumns(columns.calendar_parts(column))
 
 
+def count_fills(df: DataFrame, told: Observation, fills: Iterable[str] = (), dates: Iterable[str] = ()) -> DataFrame:
+    """``df``, which tells ``told`` what cleaning will change, in the pass that cleans it.
+
+    ``filled_<column>`` is the number of nulls in each of ``fills``, and ``undated_<column>`` that of texts in each of ``dates`` that are no date
+    and become null.
+    """
+    filled = [F.count_if(F.col(name).isNull()).alias(f"filled_{name}") for name in fills]
+    undated = [F.count_if(F.col(name).isNotNull() & columns.to_date(name).isNull()).alias(f"undated_{name}") for name in dates]
+    return df.observe(told, F.count(F.lit(1)).alias("rows"), *filled, *undated)
+
+
 def _name(df: DataFrame, column: str) -> str:
     """The column's name as the schema spells it (column names ignore case)."""
     return next(name for name in df.columns if name.lower() == column.lower())

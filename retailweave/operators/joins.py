@@ -16,14 +16,15 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 from math import ceil
-from operator import and_
+from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window as W
 
 MAX_BROADCAST_BYTES = 512 * 1024 * 1024
 STRATEGIES = ("broadcast", "shuffle", "merge")
@@ -50,6 +51,7 @@ def star_join(
     dimensions: Sequence[tuple[DataFrame, str]],
     strategy: str = "broadcast",
     max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
+    accounts: Accounts | None = None,
 ) -> DataFrame:
     """Inner equi-join of ``fact`` with every ``(dimension, key)``. The rows are the same for every strategy.
 
@@ -61,23 +63,70 @@ def star_join(
     ``strategy="broadcast"`` broadcasts the smallest dimensions that together measure at most
     ``max_broadcast_bytes`` and shuffles the others; ``"shuffle"`` hints nothing and ``"merge"`` asks for
     sort-merge joins.
+
+    ``accounts`` says, after the rows were computed once, how many of them went and why.
     """
     if strategy not in STRATEGIES:
         raise ValueError(f"unknown join strategy {strategy!r}")
     keys, columns = _output_columns(fact, dimensions)
     sides = [_Side.of(i, fact, dimension, key) for i, (dimension, key) in enumerate(dimensions)]
     small = _fitting([side.dimension for side in sides], max_broadcast_bytes) if strategy == "broadcast" else set()
+    if accounts is not None:
+        fact = accounts.begin(fact, sides)
+        sides = [side.numbered() for side in sides]
     shuffled = [side for i, side in enumerate(sides) if i not in small]
     # Sketched and salted before the first join, which would be computed once more otherwise.
     fact, shuffled = _salted(fact, shuffled)
     # Inner joins commute: broadcast first, so that fewer rows reach a shuffle.
-    for side in (sides[i] for i in sorted(small)):
-        fact = side.join(fact, F.broadcast(side.dimension))
-    for side in shuffled:
-        fact = side.join(fact, side.dimension.hint("merge") if strategy == "merge" else side.dimension)
+    order = [(sides[i], F.broadcast(sides[i].dimension)) for i in sorted(small)]
+    order += [(side, side.dimension.hint("merge") if strategy == "merge" else side.dimension) for side in shuffled]
+    for i, (side, dimension) in enumerate(order):
+        if accounts is not None:
+            fact = accounts.before(fact, [later for later, _ in order[i:]])
+        fact = side.join(fact, dimension)
+        if accounts is not None:
+            fact = accounts.after(fact, side, [later for later, _ in order[i + 1 :]])
     return fact.select(*keys, *columns)
 
 
+class Accounts:
+    """Counts of a star join, made in the pass that computes its rows. An object serves one join.
+
+    ``get()`` waits for an action on the joined frame: ``rows_in``, ``rows_out``, ``null_keys`` (rows that miss any key), and for each
+    key ``null_<key>`` (rows that miss it, or whose text does not read as the dimension's type) and ``orphans_<key>`` (rows with all keys that
+    reached its join and found no dimension row). Joins run one after the other, broadcast ones first, so a row that one
+    took away is no orphan of a later one. A task that is repeated upstream of a shuffle counts its rows again.
+    """
+
+    def __init__(self):
+        self._keys: list[str] = []
+        self._begun, self._reached, self._found = Observation(), {}, {}
+
+    def begin(self, fact: DataFrame, sides: Sequence[_Side]) -> DataFrame:
+        self._keys = [side.key if [s.key.lower() for s in sides].count(side.key.lower()) == 1 else f"{side.key}_{side.number}" for side in sides]
+        missing = [side.fact_key.isNull() for side in sides]
+        nulls = (F.count_if(is_null).alias(f"null_{key}") for is_null, key in zip(missing, self._keys))
+        any_null = reduce(or_, missing, F.lit(False))
+        counted = fact.observe(self._begun, F.count(F.lit(1)).alias("rows_in"), F.count_if(any_null).alias("null_keys"), *nulls)
+        return counted.where(~any_null)
+
+    def before(self, fact: DataFrame, pending: Sequence[_Side]) -> DataFrame:
+        told = self._reached[pending[0].number] = Observation()
+        return fact.observe(told, F.count_if(_original(pending)).alias("n"))
+
+    def after(self, fact: DataFrame, side: _Side, pending: Sequence[_Side]) -> DataFrame:
+        """Counts each fact row by the first of the dimension rows that it found."""
+        self._found[side.number] = Observation()
+        first = F.count_if(F.col(f"__first_{side.number}") & _original(pending)).alias("n")
+        return fact.observe(self._found[side.number], first, F.count(F.lit(1)).alias("rows")).drop(f"__first_{side.number}")
+
+    def get(self) -> dict[str, int]:
+        out = dict(self._begun.get)
+        for i, key in enumerate(self._keys):
+            out[f"orphans_{key}"] = self._reached[i].get["n"] - self._found[i].get["n"]
+        return out | {"rows_out": self._found[list(self._found)[-1]].get["rows"] if self._found else out["rows_in"]}
+
+
 @dataclass(frozen=True)
 class _Side:
     """A dimension whose key is renamed to ``on``, and the fact table's key, read as the type both are compared in.
@@ -113,6 +162,11 @@ class _Side:
             common = both.schema[0].dataType
         return _Side(number, key, fact_key, on, common, dimension)
 
+    def numbered(self) -> _Side:
+        """With a column that says which of the rows of a key is the first; the dimension alone is shuffled for it."""
+        first = F.row_number().over(W.partitionBy(self.on).orderBy(F.lit(0))) == 1
+        return replace(self, dimension=self.dimension.withColumn(f"__first_{self.number}", first))
+
     def hash_of(self, column: Column) -> Column:
         """The same number on both sides for keys that are equal; any type of key has one."""
         return F.xxhash64(column.cast(self.hashed))
@@ -122,6 +176,12 @@ class _Side:
         return fact.join(dimension, reduce(and_, pairs)).drop(self.on, *(right for _, right in self.salts))
 
 
+def _original(pending: Sequence[_Side]) -> Column:
+    """Whether a row is the first of the copies of a fact row that were made for joins to come."""
+    copies = [left for side in pending for left, _ in side.salts if left.startswith("__copied_")]
+    return reduce(and_, (F.col(name) == 0 for name in copies), F.lit(True))
+
+
 def _salted(fact: DataFrame, sides: Sequence[_Side]) -> tuple[DataFrame, list[_Side]]:
     """The fact table and the sides with a salt for each hot key of either."""
     if not sides:

@@ -203,6 +203,38 @@ JOIN customers_raw y ON y.customer_id = f.customer_id""",
         """SELECT f.customer_id, f.article_id, f.price, c.segment
 FROM hot_raw f JOIN customers_raw c ON c.customer_id = f.customer_id""",
     ),
+    "src_csv_quarantine": _with(
+        "transactions_raw",
+        """SELECT CASE WHEN article_id % 11 = 0 OR article_id % 13 = 0 OR article_id % 17 = 0 THEN 'malformed'
+                       WHEN t_dat IS NOT NULL AND TRY_CAST(t_dat AS DATE) IS NULL THEN 't_dat' ELSE 'kept' END AS reason,
+                  COUNT(*) AS n,
+                  CASE WHEN reason = 'kept' THEN CAST(SUM(article_id) AS BIGINT) END AS articles
+           FROM transactions_raw GROUP BY reason""",
+    ),
+    "src_schema_drift": _with(
+        "customers_raw",
+        """SELECT customer_id, CAST(age AS BIGINT) AS age, Active AS active, NULL AS segment FROM customers_raw
+           UNION ALL SELECT customer_id, age, NULL, segment FROM customers_raw
+           UNION ALL SELECT customer_id, age, NULL, segment FROM customers_raw""",
+    ),
+    "jon_bucketed": _with(
+        "customers_raw transactions_raw", "SELECT f.*, c.segment FROM transactions_raw f JOIN customers_raw c ON f.customer_id = c.customer_id"
+    ),
+    "jon_bucketed_hot_key": _with("customers_raw hot_raw", "SELECT f.*, c.segment FROM hot_raw f JOIN customers_raw c ON f.customer_id = c.customer_id"),
+    "jon_accounting": _with(
+        "customers_raw articles_raw transactions_raw",
+        """, f AS (SELECT t.*, c.customer_id IS NOT NULL AS has_customer, a.article_id IS NOT NULL AS has_article
+                   FROM transactions_raw t LEFT JOIN customers_raw c ON c.customer_id = t.customer_id
+                   LEFT JOIN articles_raw a ON a.article_id = t.article_id)
+           SELECT unnest(['rows_in', 'null_keys', 'null_customer_id', 'null_article_id', 'orphans_customer_id', 'orphans_article_id', 'rows_out',
+                          'rows', 'filled_sales_channel_id', 'undated_t_dat']) AS metric,
+                  unnest([COUNT(*), COUNT(*) FILTER (WHERE customer_id IS NULL OR article_id IS NULL), COUNT(*) FILTER (WHERE customer_id IS NULL),
+                          COUNT(*) FILTER (WHERE article_id IS NULL), COUNT(*) FILTER (WHERE customer_id IS NOT NULL AND NOT has_customer),
+                          COUNT(*) FILTER (WHERE has_customer AND NOT has_article), COUNT(*) FILTER (WHERE has_customer AND has_article), COUNT(*),
+                          COUNT(*) FILTER (WHERE sales_channel_id IS NULL),
+                          COUNT(*) FILTER (WHERE t_dat IS NOT NULL AND TRY_CAST(t_dat AS DATE) IS NULL)]) AS n
+           FROM f""",
+    ),
     "pip_load_historic": _with("w", "SELECT * FROM w"),
     "pip_load_live": _with("w", "SELECT * FROM w"),
     "pip_extract_incremental": _with(

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from retailweave.functions import columns, statistics
 from retailweave.operators import cleaning, entities
-from retailweave.operators.joins import star_join
+from retailweave.operators.buckets import bucketed_join, write_bucketed
+from retailweave.operators.joins import Accounts, star_join
 from retailweave.plans import jobs as plans
 from retailweave.plans.watermarks import Watermark, extract_new
 from retailweave.registry import fixtures
@@ -19,6 +21,8 @@ from retailweave.sinks.commits import write_committed
 from retailweave.sinks.deduplicated import LoadLedger, append_new
 from retailweave.sinks.scratch import work_folder
 from retailweave.sinks.writers import Warehouse, spread, write_snapshot
+from retailweave.sources.drift import read_history
+from retailweave.sources.quarantine import read_csv_quarantined
 from retailweave.sources.snapshots import feed_path, read_newest, run_date
 from retailweave.sources.tables import read_csv, read_parquet
 
@@ -48,6 +52,35 @@ def src_csv_inferred(spark, sf_dir):
     return read_csv(spark, _transactions_csv(spark, sf_dir))
 
 
+def src_csv_quarantine(spark, sf_dir):
+    """Transactions as CSV in which some lines are cut off, too long, or hold text for a number: the good rows, and the refused lines with their reason."""
+    folder = work_folder(spark)
+    raw = transactions(spark, sf_dir).select("t_dat", "customer_id", "article_id", "price")
+    line = F.concat_ws(",", *(F.coalesce(F.col(name).cast("string"), F.lit("")) for name in raw.columns))
+    harmed = (
+        F.when(F.col("article_id") % 11 == 0, F.regexp_replace(line, ",[^,]*$", ""))
+        .when(F.col("article_id") % 13 == 0, F.concat(line, F.lit(",more")))
+        .when(F.col("article_id") % 17 == 0, F.concat_ws(",", F.lit("2020-01-01"), F.lit("c"), F.lit("number"), F.col("price").cast("string")))
+        .otherwise(line)
+    )
+    raw.select(harmed.alias("value")).write.text(f"{folder}/lines.csv")
+    good = read_csv_quarantined(
+        spark, f"{folder}/lines.csv", "t_dat STRING, customer_id STRING, article_id BIGINT, price DOUBLE", f"{folder}/refused", ["t_dat"], header="false"
+    )
+    refused = read_parquet(spark, f"{folder}/refused").groupBy("reason").agg(F.count("*").alias("n"))
+    kept = good.groupBy(F.lit("kept").alias("reason")).agg(F.count("*").alias("n"), F.sum("article_id").alias("articles"))
+    return kept.unionByName(refused, allowMissingColumns=True)
+
+
+def src_schema_drift(spark, sf_dir):
+    """Customers of three snapshots as one frame: ages that were short numbers at first, a segment that came later, a flag that went."""
+    root, raw = feed_path(work_folder(spark), "Customers", "historic"), customers(spark, sf_dir)
+    old = raw.select("customer_id", F.col("age").cast("smallint").alias("age"), F.col("Active").alias("active"))
+    for day, frame in (("2024-01-29", old), ("2024-01-30", raw.select("customer_id", "age", "segment")), ("2024-01-31", raw.select("segment", F.col("age").cast("bigint").alias("AGE"), "customer_id"))):
+        write_committed(frame, root, day)
+    return read_history(spark, root)
+
+
 def src_latest_snapshot(spark, sf_dir):
     """Customers of the second of two days; the first day's snapshot holds other columns."""
     root = feed_path(work_folder(spark), "Customers", "historic")
@@ -352,6 +385,35 @@ def jon_binary_key(spark, sf_dir):
     return joined.withColumn("customer_id", F.col("customer_id").cast("string"))
 
 
+def jon_bucketed(spark, sf_dir):
+    """Transactions and customers from tables in the same buckets of their key, merged without a shuffle."""
+    folder, number = work_folder(spark), uuid.uuid4().hex
+    names = [f"{name}_{number}" for name in ("transactions", "customers")]
+    for name, frame in zip(names, (transactions(spark, sf_dir), customers(spark, sf_dir).select("customer_id", "segment"))):
+        write_bucketed(frame, name, "customer_id", 8, f"{folder}/{name}")
+    return bucketed_join(spark, *names, "customer_id")
+
+
+def jon_bucketed_hot_key(spark, sf_dir):
+    """The same with two fifths of the transactions on one customer, whose rows do not go to one bucket's task."""
+    folder, number = work_folder(spark), uuid.uuid4().hex
+    names = [f"{name}_{number}" for name in ("transactions", "customers")]
+    for name, frame in zip(names, (hot_transactions(spark, sf_dir), customers(spark, sf_dir).select("customer_id", "segment"))):
+        write_bucketed(frame, name, "customer_id", 8, f"{folder}/{name}")
+    return bucketed_join(spark, *names, "customer_id")
+
+
+def jon_accounting(spark, sf_dir):
+    """What became of the transactions in the pass that joins them: rows lost at each key, and values that cleaning filled."""
+    accounts, cleaned = Accounts(), Observation()
+    raw = cleaning.count_fills(transactions(spark, sf_dir), cleaned, ["sales_channel_id"], ["t_dat"])
+    dimensions = [(customers(spark, sf_dir), "customer_id"), (articles(spark, sf_dir), "article_id")]
+    mode = statistics.mode(transactions(spark, sf_dir), "sales_channel_id").scalar()
+    star_join(entities.clean_transactions(raw, mode), dimensions, accounts=accounts).write.parquet(f"{work_folder(spark)}/warehouse")
+    told = accounts.get() | cleaned.get
+    return spark.createDataFrame(list(told.items()), "metric string, n long")
+
+
 def warehouse(spark, sf_dir):
     """The flagship: cleaned transactions with their cleaned customers and articles."""
     customers_clean, articles_clean, transactions_clean = plans.clean_all(
@@ -474,6 +536,8 @@ QUERIES: dict[str, Query] = {
         src_parquet,
         src_csv,
         src_csv_inferred,
+        src_csv_quarantine,
+        src_schema_drift,
         src_latest_snapshot,
         src_latest_snapshot_many_files,
         dat_run_date,
@@ -521,6 +585,9 @@ QUERIES: dict[str, Query] = {
         jon_merge,
         jon_same_key_dimensions,
         jon_binary_key,
+        jon_bucketed,
+        jon_bucketed_hot_key,
+        jon_accounting,
         pip_load_historic,
         pip_load_live,
         pip_extract_incremental,

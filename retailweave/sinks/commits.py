@@ -108,7 +108,7 @@ def read_commit(spark: SparkSession, root: str, commit: Commit) -> DataFrame:
     """The rows of a committed snapshot; ``TornSnapshot`` if its files are not all there as they were committed."""
     check(spark, root, commit)
     schema = T.StructType.fromJson(json.loads(commit.schema))
-    return spark.read.schema(schema).option("pathGlobFilter", _glob(commit.write_id)).parquet(commit.path(root))
+    return spark.read.schema(schema).option("pathGlobFilter", glob_of(commit.write_id)).parquet(commit.path(root))
 
 
 def check(spark: SparkSession, root: str, commit: Commit) -> None:
@@ -144,7 +144,7 @@ def write_ids(spark: SparkSession, path: str) -> list[str]:
     return sorted(row.id for row in found.collect())
 
 
-def _glob(write_id: str) -> str:
+def glob_of(write_id: str) -> str:
     return f"part-*-{write_id}*"
 
 
@@ -158,12 +158,12 @@ def _listing(spark: SparkSession, path: str, names: str) -> DataFrame:
 
 
 def _sizes(spark: SparkSession, path: str, write_id: str) -> DataFrame:
-    return _listing(spark, path, _glob(write_id))
+    return _listing(spark, path, glob_of(write_id))
 
 
 def _present(spark: SparkSession, path: str, write_id: str) -> DataFrame:
     """``name``, ``n_bytes`` and ``n_rows`` of the files of a write."""
-    data = spark.read.option("pathGlobFilter", _glob(write_id)).parquet(path)
+    data = spark.read.option("pathGlobFilter", glob_of(write_id)).parquet(path)
     rows = data.groupBy(F.col("_metadata.file_name").alias("of")).agg(F.count("*").alias("n_rows"))
     sizes = _sizes(spark, path, write_id)
     return sizes.join(rows, F.col("name") == F.col("of"), "left").select("name", "n_bytes", F.coalesce("n_rows", F.lit(0)).alias("n_rows"))

@@ -1,0 +1,97 @@
+import re
+import uuid
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from retailweave.operators import joins
+from retailweave.operators.buckets import bucketed_join, write_bucketed
+from retailweave.operators.cleaning import count_fills
+from retailweave.operators.joins import Accounts, star_join
+
+
+@pytest.fixture
+def pair(spark, tmp_path):
+    """Writes two frames as tables in buckets and returns their names."""
+    made = []
+
+    def write(fact, dimension, buckets=(6, 6), key="k"):
+        names = [f"{side}_{uuid.uuid4().hex}" for side in ("fact", "dimension")]
+        for name, df, n in zip(names, (fact, dimension), buckets):
+            write_bucketed(df, name, key, n, str(tmp_path / name))
+        made.extend(names)
+        return names
+
+    yield write
+    for name in made:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def facts(spark, hot):
+    key = F.when(F.col("id") % 10 < hot, 3).when(F.col("id") % 97 == 0, F.lit(None)).otherwise(F.col("id") % 50)
+    return spark.range(6000).select(key.cast("int").alias("k"), F.col("id").alias("v"))
+
+
+def dimension(spark):
+    return spark.createDataFrame([(i, f"n{i}") for i in range(0, 60, 2)] + [(3, "a"), (3, "b"), (None, "x")], "k int, name string")
+
+
+def test_the_merge_shuffles_nothing(spark, pair, plan):
+    df = bucketed_join(spark, *pair(facts(spark, 0), dimension(spark)), "k")
+    text = plan(df)
+    assert "SortMergeJoin" in text and "Exchange" not in text and len(re.findall("FileScan", text)) == 2
+
+
+@pytest.mark.parametrize("hot", [0, 4, 10])
+def test_rows_equal_the_plain_join(spark, pair, plan, hot):
+    fact, rows = facts(spark, hot), dimension(spark)
+    df = bucketed_join(spark, *pair(fact, rows), "k")
+    assert Counter(map(tuple, df.collect())) == Counter(map(tuple, fact.join(rows, "k").collect()))
+    assert df.columns == ["k", "v", "name"]
+    assert "Exchange hashpartitioning" not in plan(df) and ("Union" in plan(df)) is bool(hot)
+
+
+def test_tables_in_other_buckets_are_an_error(spark, pair):
+    with pytest.raises(ValueError, match="buckets"):
+        bucketed_join(spark, *pair(facts(spark, 0), dimension(spark), (6, 4)), "k")
+    names = pair(facts(spark, 0), dimension(spark))
+    with pytest.raises(ValueError, match="buckets"):
+        bucketed_join(spark, *names, "v")
+
+
+# ---- accounts of a star join -----------------------------------------------------
+
+
+@pytest.mark.parametrize("strategy", ["broadcast", "merge"])
+@pytest.mark.parametrize("hot_rows", [joins.HOT_ROWS, 1])
+def test_accounts_are_the_same_for_every_strategy(spark, monkeypatch, strategy, hot_rows):
+    monkeypatch.setattr(joins, "HOT_ROWS", hot_rows)
+    fact = spark.createDataFrame(
+        [(1, "1"), (1, "1"), (1, "2"), (None, "1"), (1, None), (None, None), (9, "1"), (1, "9"), (9, "9"), (2, "text")], "a int, b string"
+    )
+    left = spark.createDataFrame([(1, "x"), (1, "y"), (2, "z")], "a int, p string")  # a key that it holds twice
+    right = spark.createDataFrame([(1, "r"), (2, "s"), (None, "t")], "b int, q string")
+    accounts = Accounts()
+    n = star_join(fact, [(left, "a"), (right, "b")], strategy, accounts=accounts).count()
+    plain = star_join(fact, [(left, "a"), (right, "b")], strategy)
+    assert accounts.get() == {
+        "rows_in": 10, "null_keys": 4, "null_a": 2, "null_b": 3, "orphans_a": 2, "orphans_b": 2, "rows_out": 6
+    }
+    assert n == plain.count() == 6 and "__first_0" not in plain.columns
+
+
+def test_accounts_take_one_scan_of_the_facts(spark, plan, tmp_path):
+    facts(spark, 0).write.parquet(str(tmp_path / "facts"))
+    df = star_join(spark.read.parquet(str(tmp_path / "facts")), [(dimension(spark), "k")], accounts=Accounts())
+    text = plan(df)
+    assert text.count("FileScan") == 1 and "CollectMetrics" in text
+
+
+def test_fills_are_counted_where_they_are_made(spark):
+    from pyspark.sql import Observation
+
+    told = Observation()
+    df = spark.createDataFrame([("2020-01-01", 1), ("soon", None), (None, None)], "d string, n int")
+    count_fills(df, told, ["n"], ["d"]).collect()
+    assert told.get == {"rows": 3, "filled_n": 2, "undated_d": 1}

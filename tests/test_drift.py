@@ -1,0 +1,63 @@
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from retailweave.sinks.commits import write_committed
+from retailweave.sources.drift import NarrowedColumn, merged_schema, read_drifted, read_history, widened
+
+from conftest import rows
+
+INT, LONG, SHORT, DOUBLE, FLOAT, STRING = T.IntegerType(), T.LongType(), T.ShortType(), T.DoubleType(), T.FloatType(), T.StringType()
+
+
+@pytest.mark.parametrize(
+    "old, new, exact",
+    [
+        (INT, LONG, True), (LONG, INT, False), (SHORT, INT, True), (INT, DOUBLE, True), (LONG, DOUBLE, False), (INT, FLOAT, False), (SHORT, FLOAT, True),
+        (FLOAT, DOUBLE, True), (DOUBLE, FLOAT, False), (INT, STRING, False), (STRING, INT, False), (T.DateType(), T.TimestampNTZType(), True),
+        (T.DecimalType(10, 2), T.DecimalType(12, 4), True), (T.DecimalType(10, 2), T.DecimalType(11, 4), False), (INT, T.DecimalType(12, 2), True),
+        (INT, T.DecimalType(10, 2), False), (T.ArrayType(INT), T.ArrayType(LONG), True), (T.MapType(STRING, LONG), T.MapType(STRING, INT), False),
+        (T.NullType(), INT, True), (T.StructType().add("a", INT), T.StructType().add("a", LONG).add("b", INT), True),
+        (T.StructType().add("a", LONG), T.StructType().add("a", INT), False),
+    ],
+)
+def test_types_widen_to_those_that_hold_all_values(old, new, exact):
+    assert (widened(old, new) is not None) is exact
+
+
+def test_columns_are_added_and_keep_their_first_name():
+    first, second = T.StructType().add("a", INT).add("b", STRING), T.StructType().add("c", INT).add("A", LONG)
+    merged = merged_schema([("1", first), ("2", second)])
+    assert [(f.name, f.dataType) for f in merged] == [("a", LONG), ("b", STRING), ("c", INT)]
+    with pytest.raises(NarrowedColumn, match="a was bigint and is int in 3"):
+        merged_schema([("1", first), ("2", second), ("3", first)])
+
+
+def test_snapshots_are_one_frame(spark, tmp_path, plan):
+    made = [
+        spark.sql("SELECT 1 AS k, CAST(7 AS SMALLINT) AS n, named_struct('x', 1, 'y', 'a') AS s, array(1, 2) AS a"),
+        spark.sql("SELECT 2 AS K, 70000 AS n, named_struct('y', 'b', 'x', 5000000000L, 'z', 1.5D) AS s, array(3L) AS a, 'new' AS more"),
+        spark.sql("SELECT 3 AS k, 8 AS n, CAST(NULL AS STRUCT<y: STRING, x: BIGINT, z: DOUBLE>) AS s, CAST(NULL AS ARRAY<BIGINT>) AS a, 'x' AS more"),
+    ]
+    for i, df in enumerate(made):
+        df.write.parquet(str(tmp_path / str(i)))
+    df = read_drifted(spark, [str(tmp_path / str(i)) for i in range(3)])
+    assert df.dtypes == [("k", "int"), ("n", "int"), ("s", "struct<x:bigint,y:string,z:double>"), ("a", "array<bigint>"), ("more", "string")]
+    assert rows(df) == [
+        (1, 7, (1, "a", None), [1, 2], None), (2, 70000, (5000000000, "b", 1.5), [3], "new"), (3, 8, None, None, "x")
+    ]
+    assert "ReadSchema: struct<k:int>" in plan(df.select("k"), "formatted")
+
+
+def test_history_follows_the_commits(spark, tmp_path, plan):
+    root = str(tmp_path / "r")
+    for n, day in enumerate(("2024-02-01", "2024-01-01", "2024-02-01")):
+        write_committed(spark.range(n, n + 1).withColumn("x", F.lit(n).cast("int" if n < 2 else "bigint")), root, day, "append")
+    df = read_history(spark, root)
+    assert rows(df) == [(0, 0), (1, 1), (2, 2)] and df.dtypes[1] == ("x", "bigint")
+    assert plan(df).count("FileScan") == 2  # one for each schema
+    write_committed(spark.range(1).withColumn("x", F.lit("text")), root, "2024-02-02")
+    with pytest.raises(NarrowedColumn, match="2024-02-02"):
+        read_history(spark, root)
+    with pytest.raises(FileNotFoundError):
+        read_drifted(spark, [])

@@ -1,0 +1,26 @@
+from retailweave.sources.quarantine import read_csv_quarantined
+
+from conftest import rows
+
+SCHEMA = "d STRING, `the key` BIGINT, price DOUBLE"
+LINES = ["d,the key,price", "2020-01-01,1,1.5", ",,", "2020-01-01,x,1.5", "2020-01-01,1", "2020-01-01,1,2,3", 'soon,2,"2.5"', '"2020-01-02",3,', ""]
+
+
+def test_every_line_is_kept_or_refused(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("\n".join(LINES) + "\n")
+    good = read_csv_quarantined(spark, str(tmp_path / "t.csv"), SCHEMA, str(tmp_path / "q"), ["d"])
+    assert good.columns == ["d", "the key", "price"]
+    assert rows(good) == [("2020-01-01", 1, 1.5), ("2020-01-02", 3, None), (None, None, None)]
+    refused = spark.read.parquet(str(tmp_path / "q"))
+    assert rows(refused.select("line", "reason")) == [
+        ("2020-01-01,1", "malformed"), ("2020-01-01,1,2,3", "malformed"), ("2020-01-01,x,1.5", "malformed"), ("soon,2,2.5", "d")
+    ]
+    assert all(row.file.endswith("t.csv") and row.refused_at for row in refused.collect())
+    # What is selected does not change what is malformed.
+    assert rows(good.select("price")) == [(1.5,), (None,), (None,)]
+
+
+def test_files_without_fault_or_rows(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("d,the key,price\n")
+    good = read_csv_quarantined(spark, str(tmp_path / "t.csv"), SCHEMA, str(tmp_path / "q"), ["d"])
+    assert good.count() == 0 and spark.read.parquet(str(tmp_path / "q")).count() == 0
