@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 PIECE_BYTES = 1 << 20
+HELD_BYTES = 64 << 20
 
 
 def pieces(batch: pa.RecordBatch, sizes: np.ndarray, most: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
@@ -66,6 +67,66 @@ def add_columns(
     return df.select(*source).mapInArrow(run, schema)
 
 
+def add_columns_by_parts(
+    df: DataFrame,
+    text: str,
+    added: T.StructType,
+    visitor: Callable[[], object],
+    parts: Sequence[str],
+    keep: Sequence[str] | None = None,
+    held_bytes: int = HELD_BYTES,
+) -> DataFrame:
+    """``add_columns`` by something too large for a task's memory, which comes in ``parts``: names of files in the shared folder.
+
+    ``visitor()`` is called once per task. ``visitor.load(part)`` returns a part, ``visitor.begin(texts)`` the state of a slice
+    of texts, ``visitor.visit(loaded, texts, state)`` takes a part into account, and ``visitor.end(texts, state)`` returns the arrays of the
+    added columns. A task holds one part and about ``held_bytes`` of text. It goes through the parts once for each such lot of
+    slices, so how often a part is loaded does not depend on the number of slices. A single part is loaded once.
+    """
+    new = {name.lower() for name in added.names}
+    kept = [name for name in (df.columns if keep is None else keep) if name.lower() not in new]
+    source = [quoted(name) for name in kept]
+    if text in kept and isinstance(df.schema[text].dataType, T.StringType):
+        at = kept.index(text)
+    else:
+        at = len(kept)
+        source.append(quoted(text).cast("string").alias("__text"))
+    schema = T.StructType([df.schema[name] for name in kept] + added.fields)
+    arrow = to_arrow_schema(added)
+    most = held_bytes if len(parts) > 1 else 0
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker = visitor()
+        single = worker.load(parts[0]) if len(parts) == 1 else None
+        for lot in _lots(batches, at, most):
+            states = [worker.begin(piece.column(at)) for piece in lot]
+            for part in parts:
+                loaded = single if single is not None else worker.load(part)
+                for piece, state in zip(lot, states):
+                    worker.visit(loaded, piece.column(at), state)
+                del loaded
+            while lot:
+                piece, state = lot.pop(0), states.pop(0)
+                columns = [value.cast(field.type) for value, field in zip(worker.end(piece.column(at), state), arrow)]
+                yield pa.RecordBatch.from_arrays([*piece.columns[: len(kept)], *columns], schema.names)
+
+    return df.select(*source).mapInArrow(run, schema)
+
+
+def _lots(batches: Iterator[pa.RecordBatch], at: int, most: int) -> Iterator[list[pa.RecordBatch]]:
+    """Slices of batches, in lists of about ``most`` bytes of text."""
+    lot, size = [], 0
+    for batch in batches:
+        for piece in pieces(batch, text_bytes(batch.column(at))):
+            lot.append(piece)
+            size += int(text_bytes(piece.column(at)).sum())
+            if size >= most:
+                yield lot
+                lot, size = [], 0
+    if lot:
+        yield lot
+
+
 def packed(df: DataFrame, text: str) -> DataFrame:
     """``__text`` and all other columns as ``__others``, so that the columns an operator adds replace none of them."""
     others = [quoted(name) for name in df.columns if name != text]

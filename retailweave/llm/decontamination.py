@@ -10,9 +10,9 @@ together, for blocks of two words (one, if m is 1):
   end in it;
 * the bucket's patterns are compared with the text word by word, as bytes.
 
-Benchmark items reach the tasks in broadcasts of at most ``chunk_bytes`` of text. A
-larger benchmark is searched in several such chunks, one after the other, each of which
-adds to the hits of a document.
+The benchmark is a table in the shared folder, in parts of about ``part_bytes`` of text. A task holds one part at a
+time and goes through all of them for each lot of documents (``batches``); the driver holds none. Items longer than
+``PIECE_BYTES`` are cut into pieces that overlap by a window less one word.
 """
 
 from __future__ import annotations
@@ -21,15 +21,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from retailweave.llm.batches import add_columns, packed, pieces, quoted, text_bytes, unpacked
+from retailweave.llm.batches import PIECE_BYTES, add_columns_by_parts, packed, pieces, quoted, text_bytes, unpacked
 from retailweave.llm.words import Words, mixed
+from retailweave.sinks.scratch import written
 
 WINDOW = 13
-CHUNK_BYTES = 1024 * 1024
+PART_BYTES = 16 * 1024 * 1024  # of benchmark text that a task holds, at about ten bytes for each
 MIN_SHARE = 20  # contaminated: at least one word in so many is hit
 
 _TABLE_BITS = 20
@@ -45,23 +48,42 @@ _STATE = T.StructType(
 
 
 class _Patterns:
-    """The distinct patterns of one length, with their shift table and suffix buckets."""
+    """The distinct patterns of one length, with their shift table and suffix buckets.
 
-    def __init__(self, words: int, patterns: dict[bytes, list[int]], hashes: np.ndarray):
-        self.words = words
-        self.block = min(2, words)
-        self.text = list(patterns)
-        self.items = [patterns[text] for text in self.text]
-        blocks = _blocks(hashes, self.block)
+    A pattern is ``words`` words of the benchmark from the place ``begin`` on; ``owner[first_owner[p]:first_owner[p + 1]]`` are its items.
+    """
+
+    def __init__(self, benchmark: Words, words: int, begin: np.ndarray, items: np.ndarray):
+        self.benchmark, self.words, self.block = benchmark, words, min(2, words)
+        hashes = benchmark.hashes
+        # Equal windows come together, and the first of them stands for all.
+        key = np.zeros(len(begin), dtype=np.uint64)
+        for k in range(words):
+            key = mixed(key * np.uint64(0x9E3779B97F4A7C15) + hashes[begin + k])
+        order = np.lexsort((items, begin, key))
+        begin, items, key = begin[order], items[order], key[order]
+        new = np.ones(len(begin), dtype=bool)
+        new[1:] = key[1:] != key[:-1]
+        for k in range(words):
+            new[1:] |= hashes[begin[1:] + k] != hashes[begin[:-1] + k]
+        self.begin = begin[new]
+        self.owner, self.first_owner = items, np.append(np.flatnonzero(new), len(begin))
         per_pattern = words - self.block + 1
-        self.most = per_pattern
-        self.shift = np.full(1 << _TABLE_BITS, self.most, dtype=np.int64)
+        blocks = _blocks(hashes, self.block)
+        self.shift = np.full(1 << _TABLE_BITS, per_pattern, dtype=np.uint8 if per_pattern < 256 else np.int64)
         for at in range(per_pattern):
-            np.minimum.at(self.shift, _slot(blocks[:, at]), per_pattern - 1 - at)
-        suffix = blocks[:, -1]
+            np.minimum.at(self.shift, _slot(blocks[self.begin + at]), per_pattern - 1 - at)
+        suffix = blocks[self.begin + per_pattern - 1]
         self.order = np.argsort(suffix, kind="stable")
         self.suffixes = suffix[self.order]
-        self.hashes = hashes
+
+    def items(self, pattern: int) -> np.ndarray:
+        return self.owner[self.first_owner[pattern] : self.first_owner[pattern + 1]]
+
+    def equals(self, words: Words, at: int, pattern: int) -> bool:
+        """Whether the words from ``at`` on are those of the pattern, by their bytes."""
+        begin = int(self.begin[pattern])
+        return all(words.word(at + k) == self.benchmark.word(begin + k) for k in range(self.words))
 
 
 def _blocks(hashes: np.ndarray, size: int) -> np.ndarray:
@@ -73,23 +95,17 @@ def _slot(blocks: np.ndarray) -> np.ndarray:
     return (blocks >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)
 
 
-def pattern_sets(items: list[tuple[str, str]], window: int = WINDOW) -> list[_Patterns]:
-    """The patterns of ``(item id, text)``, by length. Items without a word have none."""
-    words = Words(pa.array([text for _, text in items], pa.large_string()))
-    found: dict[int, dict[bytes, list[int]]] = {}
-    hashes: dict[int, list[np.ndarray]] = {}
-    for i in range(len(items)):
-        first, n = int(words.first[i]), int(words.count[i])
-        size = min(n, window)
-        for at in range(first, first + n - size + 1) if n else ():
-            own = found.setdefault(size, {})
-            text = words.phrase(at, size)
-            if text not in own:
-                own[text] = []
-                hashes.setdefault(size, []).append(words.hashes[at : at + size])
-            if not own[text] or own[text][-1] != i:
-                own[text].append(i)
-    return [_Patterns(size, own, np.stack(hashes[size])) for size, own in sorted(found.items())]
+def pattern_sets(texts: pa.Array, window: int = WINDOW) -> list[_Patterns]:
+    """The patterns of the items' texts, by length. Items without a word have none."""
+    words = Words(texts)
+    size = np.minimum(words.count, window)
+    out = []
+    for length in np.unique(size[size > 0]).tolist():
+        items = np.flatnonzero(size == length)
+        n = words.count[items] - length + 1
+        step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        out.append(_Patterns(words, length, np.repeat(words.first[items], n) + step, np.repeat(items, n)))
+    return out
 
 
 def occurrences(words: Words, patterns: _Patterns) -> Iterator[tuple[int, int]]:
@@ -109,7 +125,7 @@ def occurrences(words: Words, patterns: _Patterns) -> Iterator[tuple[int, int]]:
     stop = np.minimum(at + _SEGMENT, np.repeat(starts + m - 1 + n_ends, n_cursors))
     candidates = []
     while len(at):
-        shift = shifts[at - patterns.block + 1]
+        shift = shifts[at - patterns.block + 1].astype(np.int64)
         candidates.append(at[shift == 0])
         at = at + np.maximum(shift, 1)
         left = at < stop
@@ -122,10 +138,10 @@ def occurrences(words: Words, patterns: _Patterns) -> Iterator[tuple[int, int]]:
     nth = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
     pattern = patterns.order[np.repeat(low, size) + nth]
     for k in range(m):
-        same = words.hashes[begin + k] == patterns.hashes[pattern, k]
+        same = words.hashes[begin + k] == patterns.benchmark.hashes[patterns.begin[pattern] + k]
         begin, pattern = begin[same], pattern[same]
     for i, p in zip(begin.tolist(), pattern.tolist()):
-        if words.phrase(i, m) == patterns.text[p]:
+        if patterns.equals(words, i, p):
             yield i, p
 
 
@@ -137,7 +153,7 @@ def search(
     item_text: str = "text",
     keep: list[str] | None = None,
     window: int = WINDOW,
-    chunk_bytes: int = CHUNK_BYTES,
+    part_bytes: int = PART_BYTES,
 ) -> DataFrame:
     """Per document: ``n_words``, ``n_hit`` (words inside any occurrence), ``item_ids`` (of items with
     occurring windows, as strings, sorted) and ``hit_spans`` (first word and end of each hit run, in turn).
@@ -146,91 +162,88 @@ def search(
     Null and wordless texts have no words and no hits; items whose text is null or wordless
     have no window. Items with equal ids count once; one without an id marks words and is not listed.
     """
-    names = documents.columns if keep is None else keep
-    new = {name.lower() for name in _STATE.names}
-    kept = [name for name in names if name.lower() not in new]
-    chunks = list(_chunks(documents.sparkSession, benchmark, item, item_text, window, chunk_bytes))
-    chunks = chunks or [documents.sparkSession.sparkContext.broadcast([])]
-    source = text
-    df = documents
-    if source not in kept or len(chunks) > 1:
-        source = "__source"
-        df = documents.select(*(quoted(name) for name in kept), quoted(text).cast("string").alias(source))
-    for i, chunk in enumerate(chunks):
-        last = i == len(chunks) - 1
-        df = _search_chunk(df, source, chunk, kept + ([] if last else [source]), window, before=i > 0)
-    return df
-
-
-def _chunks(spark, benchmark: DataFrame, item: str, item_text: str, window: int, chunk_bytes: int):
-    """Broadcasts of items with at most ``chunk_bytes`` of text each, or one item."""
-    rows = benchmark.select(quoted(item).cast("string"), quoted(item_text).cast("string")).where(
-        quoted(item_text).isNotNull()
-    )
-    held, size = [], 0
-    for row in rows.toLocalIterator():
-        if held and size + len(row[1].encode()) > chunk_bytes:
-            yield spark.sparkContext.broadcast(held)
-            held, size = [], 0
-        held.append((row[0], row[1]))
-        size += len(row[1].encode())
-    if held:
-        yield spark.sparkContext.broadcast(held)
-
-
-def _search_chunk(df: DataFrame, source: str, chunk, keep: list[str], window: int, before: bool) -> DataFrame:
-    """One chunk's hits, together with those of the chunks ``before``."""
-    if not before:
-
-        def first():
-            sets = pattern_sets(chunk.value, window)
-            return lambda texts: _state(texts, None, chunk.value, sets)
-
-        return add_columns(df, source, _STATE, first, keep)
-    schema = T.StructType([df.schema[name] for name in keep] + _STATE.fields)
-
-    def later(batches):
-        sets = pattern_sets(chunk.value, window)
-        for batch in batches:
-            for piece in pieces(batch, text_bytes(batch.column(source))):
-                earlier = zip(piece.column("item_ids").to_pylist(), piece.column("hit_spans").to_pylist())
-                values = _state(piece.column(source), earlier, chunk.value, sets)
-                yield pa.RecordBatch.from_arrays([*(piece.column(name) for name in keep), *values], schema.names)
-
-    return df.mapInArrow(later, schema)
-
-
-def _state(texts: pa.Array, earlier, items, sets) -> list[pa.Array]:
-    """The columns of ``_STATE``; ``earlier`` has the item ids and spans that each text has so far."""
-    words = Words(texts)
-    edges = np.zeros(len(words.start) + 1, dtype=np.int64)
-    matched: dict[int, set[str]] = {}
-    for row, (ids, spans) in enumerate(earlier or ()):
-        if spans:
-            matched[row] = set(ids)
-            spans = np.asarray(spans).reshape(-1, 2) + words.first[row]
-            np.add.at(edges, spans[:, 0], 1)
-            np.add.at(edges, spans[:, 1], -1)
-    for patterns in sets:
-        for begin, pattern in occurrences(words, patterns):
-            edges[begin] += 1
-            edges[begin + patterns.words] -= 1
-            own = matched.setdefault(int(words.text_of[begin]), set())
-            own.update(items[i][0] for i in patterns.items[pattern] if items[i][0] is not None)
-    hit = np.zeros(len(words.start) + 1, dtype=np.int64)
-    hit[:-1] = np.cumsum(edges[:-1]) > 0
-    n_hit = np.diff(np.concatenate([[0], np.cumsum(hit)])[words.first])
-    ids, spans = [], []
-    for row in range(len(words.count)):
-        ids.append(sorted(matched.get(row, ())))
-        own = hit[words.first[row] : words.first[row + 1]] if row in matched else ()
-        spans.append(np.flatnonzero(np.diff(own, prepend=0, append=0)).tolist() if row in matched else [])
-    return [
-        pa.array(words.count, pa.int64()),
-        pa.array(n_hit, pa.int64()),
-        pa.array(ids, pa.list_(pa.string())),
-        pa.array(spans, pa.list_(pa.int32())),
-    ]
+    parts = benchmark_parts(benchmark, item, item_text, window, part_bytes)
+    return add_columns_by_parts(documents, text, _STATE, lambda: _Visitor(window), parts, keep)
+
+
+def benchmark_parts(benchmark: DataFrame, item: str, item_text: str, window: int, part_bytes: int) -> list[str]:
+    """Files in the shared folder with all items, each of about ``part_bytes`` of text, or of one piece of an item."""
+    texts = benchmark.select(quoted(item).cast("string").alias("item"), quoted(item_text).cast("string").alias("text"))
+    cut = written(texts.where("text is not null").mapInArrow(lambda batches: _pieces(batches, window, part_bytes), "item string, text string"))
+    total = cut.agg(F.sum(F.octet_length("text"))).first()[0]
+    if not total:
+        return []
+    n = -(-total // part_bytes)
+    part = F.pmod(F.xxhash64("item", "text"), F.lit(n)).cast("int")
+    return sorted(written(cut.repartitionById(n, part)).inputFiles())
+
+
+def _pieces(batches: Iterator[pa.RecordBatch], window: int, part_bytes: int) -> Iterator[pa.RecordBatch]:
+    """The items, long ones in pieces that have every window of theirs."""
+    most = min(PIECE_BYTES, part_bytes)
+    for batch in batches:
+        for piece in pieces(batch, text_bytes(batch.column(1))):
+            if piece.num_rows > 1 or len(piece.column(1)[0].as_buffer()) <= most:
+                yield piece
+                continue
+            words = Words(piece.column(1))
+            at, n = 0, len(words.start)
+            while at < n:
+                stop = int(np.searchsorted(words.end, words.start[at] + most, "right"))
+                stop = min(n, max(stop, at + window))
+                text = words.data[words.start[at] : words.end[stop - 1]].tobytes().decode()
+                yield pa.RecordBatch.from_arrays([piece.column(0), pa.array([text], piece.column(1).type)], piece.schema.names)
+                at = n if stop == n else stop - window + 1
+
+
+class _Visitor:
+    """Finds the windows of one part of the benchmark after the other in slices of texts."""
+
+    def __init__(self, window: int):
+        self.window = window
+
+    def load(self, part: str) -> tuple[list[str | None], list[_Patterns]]:
+        system, path = fs.FileSystem.from_uri(part)
+        with system.open_input_file(path) as source:
+            table = pq.ParquetFile(source).read(["item", "text"])
+        return table["item"].to_pylist(), pattern_sets(table["text"].combine_chunks(), self.window)
+
+    def begin(self, texts: pa.Array) -> tuple[dict[int, set[str]], dict[int, list[tuple[int, int]]]]:
+        """By row, the items that were found and the first word and end of what they hit."""
+        return {}, {}
+
+    def visit(self, loaded, texts: pa.Array, state) -> None:
+        ids, sets = loaded
+        items, spans = state
+        words = Words(texts)
+        for patterns in sets:
+            for begin, pattern in occurrences(words, patterns):
+                row = int(words.text_of[begin])
+                at = begin - int(words.first[row])
+                own = spans.setdefault(row, [])
+                if own and own[-1][0] <= at <= own[-1][1]:
+                    own[-1] = (own[-1][0], max(own[-1][1], at + patterns.words))
+                else:
+                    own.append((at, at + patterns.words))
+                items.setdefault(row, set()).update(ids[i] for i in patterns.items(pattern).tolist() if ids[i] is not None)
+
+    def end(self, texts: pa.Array, state) -> list[pa.Array]:
+        items, spans = state
+        count = Words(texts).count
+        n_hit, joined = np.zeros(len(texts), dtype=np.int64), [[] for _ in range(len(texts))]
+        for row, own in spans.items():
+            for at, stop in sorted(own):
+                if joined[row] and at <= joined[row][-1]:
+                    joined[row][-1] = max(joined[row][-1], stop)
+                else:
+                    joined[row] += [at, stop]
+            n_hit[row] = sum(joined[row][1::2]) - sum(joined[row][::2])
+        return [
+            pa.array(count, pa.int64()),
+            pa.array(n_hit, pa.int64()),
+            pa.array([sorted(items.get(row, ())) for row in range(len(texts))], pa.list_(pa.string())),
+            pa.array(joined, pa.list_(pa.int32())),
+        ]
 
 
 def contaminated(min_share: int = MIN_SHARE):

@@ -4,8 +4,8 @@ Folding: lower case, homoglyphs, digit substitutions and compatibility forms of
 the letters they stand for, accents and invisible characters go, other letters stay, and everything else is a space. The lexicon has whole words and
 beginnings of words, each with the log-odds of its documents' labels; it is learned
 from counts over all training rows and has every term that passes the thresholds. One of
-more than ``CHUNK_TERMS`` terms is a written table, of which tasks hold a part at a time; all terms
-that can match at a place are in the same part. Matches inside an exception phrase do not
+more than ``CHUNK_TERMS`` terms is a written table, of which a task holds a part at a time, over many slices of
+texts (``batches.add_columns_by_parts``); all terms that can match at a place are in the same part. Matches inside an exception phrase do not
 count. What is left is summed up, set in proportion to the length, and mapped to a
 score from 0 to 1 by a logistic regression on four numbers.
 """
@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import unicodedata
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import ahocorasick
@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from retailweave.llm.batches import add_columns, pieces, quoted, text_bytes
+from retailweave.llm.batches import add_columns_by_parts, quoted
 from retailweave.operators.joins import measured_bytes
 from retailweave.sinks.scratch import written
 
@@ -105,34 +105,67 @@ def _read_terms(file: str) -> Iterator[tuple[str, float]]:
 
 
 class Matcher:
-    """Sums up a text's lexicon matches."""
+    """Sums up texts' lexicon matches, part of the lexicon by part."""
 
     def __init__(self, model: Model):
+        self.model = model
         self.coefficients = np.asarray(model.coefficients)
-        self.exceptions = model.exceptions
-        self.files = model.files
-        self.whole = None if model.files else self._automaton(model.terms)
+        self._whole: ahocorasick.Automaton | None = None
 
-    def _automaton(self, terms: Iterable[tuple[str, float]]) -> ahocorasick.Automaton:
+    @property
+    def parts(self) -> tuple[str, ...]:
+        """What ``load`` takes: the files of the lexicon, or one empty name for the terms that the model has itself."""
+        return self.model.files or ("",)
+
+    def load(self, part: str) -> ahocorasick.Automaton:
         automaton = ahocorasick.Automaton()
-        for term, weight in terms:
+        for term, weight in _read_terms(part) if part else self.model.terms:
             automaton.add_word(term, (len(term), weight, term))
-        for phrase in self.exceptions:
+        for phrase in self.model.exceptions:
             automaton.add_word(f" {phrase} ", (len(phrase) + 2, None, phrase))
         if len(automaton):
             automaton.make_automaton()
         return automaton
 
-    def _automata(self) -> Iterator[ahocorasick.Automaton]:
-        """That of the lexicon, or those of its parts, one in memory at a time."""
-        if self.whole is not None:
-            yield self.whole
-        for file in self.files:
-            yield self._automaton(_read_terms(file))
+    def begin(self, texts: pa.Array) -> tuple[list[str], np.ndarray]:
+        """The folded texts, and for each the weight of its matches and of the distinct terms among them."""
+        plain = [f" {folded(text or '')} " for text in texts.to_pylist()]
+        return plain, np.zeros((len(plain), 2))
+
+    def visit(self, automaton: ahocorasick.Automaton, texts: pa.Array, state: tuple[list[str], np.ndarray]) -> None:
+        plain, sums = state
+        for row, text in enumerate(plain):
+            found = _matches(automaton, text)
+            if found:
+                distinct = {term: weight for _, _, weight, term in found}
+                sums[row] += sum(match[2] for match in found), sum(distinct.values())
+
+    def _rows(self, state: tuple[list[str], np.ndarray]) -> np.ndarray:
+        plain, sums = state
+        n_words = np.array([text.count(" ") + 1 for text in plain], dtype=np.float64)
+        return np.stack([np.log1p(100 * sums[:, 0] / n_words), np.log1p(sums[:, 1]), np.log1p(n_words), np.ones(len(plain))], axis=1)
+
+    def scores(self, texts: pa.Array) -> np.ndarray:
+        return self._scores(self.features_of(texts.to_pylist()))
+
+    def _scores(self, rows: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(rows @ self.coefficients, -30, 30)))
+
+    def end(self, texts: pa.Array, state: tuple[list[str], np.ndarray]) -> list[pa.Array]:
+        scores = self._scores(self._rows(state))
+        return [pa.array(scores), pa.array((scores >= 0.5).astype(np.int32))]
 
     def matches(self, text: str) -> list[tuple[int, int, float, str]]:
         """``(start, end, weight, term)`` in ``text``, which is folded: the strongest term of every word."""
-        return [match for automaton in self._automata() for match in _matches(automaton, text)]
+        return [match for part in self.parts for match in _matches(self._loaded(part), text)]
+
+    def _loaded(self, part: str) -> ahocorasick.Automaton:
+        """A part for calls about single texts; that of a lexicon without files is kept."""
+        if part:
+            return self.load(part)
+        if self._whole is None:
+            self._whole = self.load(part)
+        return self._whole
 
     def features(self, text: str | None) -> tuple[float, float, float, float]:
         """Weight in proportion to length, weight of the distinct terms, both on a log scale, log length, 1."""
@@ -140,19 +173,18 @@ class Matcher:
 
     def features_of(self, texts: list[str | None]) -> np.ndarray:
         """A row of features for each text."""
-        plain = [f" {folded(text or '')} " for text in texts]
-        sums = np.zeros((len(plain), 2))
-        for automaton in self._automata():
-            for row, text in enumerate(plain):
-                found = _matches(automaton, text)
-                if found:
-                    distinct = {term: weight for _, _, weight, term in found}
-                    sums[row] += sum(match[2] for match in found), sum(distinct.values())
-        n_words = np.array([text.count(" ") + 1 for text in plain], dtype=np.float64)
-        return np.stack([np.log1p(100 * sums[:, 0] / n_words), np.log1p(sums[:, 1]), np.log1p(n_words), np.ones(len(plain))], axis=1)
+        texts = pa.array(texts, pa.string())
+        state = self.begin(texts)
+        for part in self.parts:
+            self.visit(self._loaded(part), texts, state)
+        return self._rows(state)
 
-    def scores(self, texts: pa.Array) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.features_of(texts.to_pylist()) @ self.coefficients, -30, 30)))
+
+class _Features(Matcher):
+    """A matcher whose results are the features themselves."""
+
+    def end(self, texts: pa.Array, state: tuple[list[str], np.ndarray]) -> list[pa.Array]:
+        return [pa.array(column) for column in self._rows(state).T]
 
 
 def _matches(automaton: ahocorasick.Automaton, text: str) -> list[tuple[int, int, float, str]]:
@@ -255,20 +287,16 @@ def learn(
         files = tuple(sorted(written(parts).inputFiles()))
     matcher_of = known.sparkSession.sparkContext.broadcast(Model(terms, (0.0,) * 4, exceptions, files))
 
-    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher = Matcher(matcher_of.value)
-        for batch in batches:
-            for piece in pieces(batch, text_bytes(batch.column(1))):
-                values = matcher.features_of(piece.column(1).to_pylist()).T
-                yield pa.RecordBatch.from_arrays([piece.column(0), *(pa.array(v) for v in values)], ["label", "a", "b", "c", "d"])
-
     # Texts are not moved for the sample: a row is in it if the hash of its key is small enough.
     part = F.pmod(F.xxhash64("key"), F.lit(1 << 20)) / float(1 << 20)
     sample = known.where(part < F.when(F.col("label") == 1, fit_rows / n_toxic).otherwise(fit_rows / n_other))
-    table = sample.select("label", "text").mapInArrow(features, "label int, a double, b double, c double, d double").toPandas()
+    names = ["a", "b", "c", "d"]
+    schema = T.StructType([T.StructField(name, T.DoubleType()) for name in names])
+    parts = _Features(Model(terms, (), exceptions, files)).parts
+    table = add_columns_by_parts(sample.select("label", "text"), "text", schema, lambda: _Features(matcher_of.value), parts, ["label"]).toPandas()
     drawn = table["label"].value_counts()
     shares = table["label"].map({1: n_toxic / drawn.get(1, 1), 0: n_other / drawn.get(0, 1)}).to_numpy()
-    return Model(terms, _logistic(table[["a", "b", "c", "d"]].to_numpy(), table["label"].to_numpy(), shares), exceptions, files)
+    return Model(terms, _logistic(table[names].to_numpy(), table["label"].to_numpy(), shares), exceptions, files)
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, shares: np.ndarray) -> tuple[float, ...]:
@@ -296,14 +324,4 @@ def score_toxicity(df: DataFrame, model: Model, text: str = "text", keep: list[s
     (all by default) stay; those named like a result are replaced.
     """
     shared = df.sparkSession.sparkContext.broadcast(model)
-
-    def compute():
-        matcher = Matcher(shared.value)
-
-        def columns(texts: pa.Array) -> list[pa.Array]:
-            scores = matcher.scores(texts)
-            return [pa.array(scores), pa.array((scores >= 0.5).astype(np.int32))]
-
-        return columns
-
-    return add_columns(df, text, ADDED, compute, keep)
+    return add_columns_by_parts(df, text, ADDED, lambda: Matcher(shared.value), Matcher(model).parts, keep)

@@ -51,10 +51,10 @@ TEXTS = [
 ]
 
 
-@pytest.mark.parametrize("chunk_bytes", [decontamination.CHUNK_BYTES, 60, 1])
-def test_equals_brute_force(spark, texts, chunk_bytes):
+@pytest.mark.parametrize("part_bytes", [decontamination.PART_BYTES, 60, 1])
+def test_equals_brute_force(spark, texts, part_bytes):
     benchmark = spark.createDataFrame(ITEMS, "item_id long, text string")
-    found = as_dict(search(texts(TEXTS), benchmark, chunk_bytes=chunk_bytes), "doc_id", "n_words", "n_hit", "item_ids")
+    found = as_dict(search(texts(TEXTS), benchmark, part_bytes=part_bytes), "doc_id", "n_words", "n_hit", "item_ids")
     for i, text in enumerate(TEXTS):
         if text is None or len(text) < 20_000:
             assert found[i] == brute(text, ITEMS), text
@@ -95,3 +95,47 @@ def test_repeated_rows_are_all_judged(spark, texts):
     df = texts(["w0"] * 3).withColumn("doc_id", F.lit(None).cast("long"))
     benchmark = spark.createDataFrame([(1, "w0"), (1, "w0")], "item_id long, text string")
     assert [(row.doc_id, row.n_hit, row.item_ids) for row in search(df, benchmark).collect()] == [(None, 1, ["1"])] * 3
+
+
+def test_a_large_benchmark_is_held_part_by_part(spark, texts, monkeypatch, plan):
+    """A hundred parts: one step of Python, parts that are loaded once for all slices, and nothing for the driver."""
+    items = [(i, " ".join(f"b{i}x{k}" for k in range(40))) for i in range(400)]
+    benchmark = spark.createDataFrame(items, "item_id long, text string").repartition(5)
+    size = sum(len(text) for _, text in items)
+    values = [f"some words {items[i][1]} and more" if i % 3 else f"clean {i}" for i in range(300)]
+    df = search(texts(values), benchmark, part_bytes=size // 100)
+    assert plan(df).count("MapInArrow") == 1
+    found = as_dict(df, "doc_id", "n_hit", "item_ids")
+    assert found == {i: (40, [str(i)]) if i % 3 else (0, []) for i in range(300)}
+    parts = decontamination.benchmark_parts(benchmark, "item_id", "text", 13, size // 100)
+    assert 90 <= len(parts) <= 101
+
+    from retailweave.llm.batches import add_columns_by_parts
+
+    loads = spark.sparkContext.accumulator(0)
+
+    class Counting(decontamination._Visitor):
+        def load(self, part):
+            loads.add(1)
+            return super().load(part)
+
+    one = texts(values).coalesce(1)
+    add_columns_by_parts(one, "text", decontamination._STATE, lambda: Counting(13), parts).collect()
+    assert loads.value == len(parts)
+
+
+def test_items_longer_than_a_piece_keep_every_window(spark, texts, monkeypatch):
+    words = [f"long{k}" for k in range(500)]
+    benchmark = spark.createDataFrame([(1, " ".join(words)), (2, "x" * 300)], "item_id long, text string")
+    values = [" ".join(words[k : k + 13]) for k in range(0, 488)] + ["x" * 300]
+    found = search(texts(values), benchmark, part_bytes=100).collect()
+    assert {row.n_hit for row in found if row.doc_id < 488} == {13} and {tuple(row.item_ids) for row in found} == {("1",), ("2",)}
+
+
+def test_windows_that_many_items_share_are_one_pattern():
+    import pyarrow as pa
+
+    from retailweave.llm.decontamination import pattern_sets
+
+    (patterns,) = pattern_sets(pa.array([" ".join(f"w{k}" for k in range(20))] * 50))
+    assert len(patterns.begin) == 8 and patterns.items(0).tolist() == list(range(50))

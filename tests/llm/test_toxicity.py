@@ -173,3 +173,27 @@ def test_held_out_rows_of_the_query(spark):
     right = sum(a == b for a, b in held_out) / len(held_out)
     caught = [a for a, b in held_out if b == 1]
     assert len(held_out) > 500 and right >= 0.98 and sum(caught) >= 0.9 * len(caught)
+
+
+def test_parts_are_built_once_for_many_slices(spark, texts, monkeypatch):
+    """Automata per task: one for each part, however many slices its texts make."""
+    from retailweave.llm import toxicity
+    from retailweave.llm.batches import add_columns_by_parts
+
+    values = [f"common word{i % 40} and badword{i % 25} more" if i % 2 else f"plain text number {i % 40}" for i in range(600)]
+    df = texts(values).withColumn("toxic", (F.col("doc_id") % 2).cast("int"))
+    model = learn(df, chunk_terms=6)
+    assert len(model.files) > 3
+    builds = spark.sparkContext.accumulator(0)
+
+    class Counting(Matcher):
+        def load(self, part):
+            builds.add(1)
+            return super().load(part)
+
+    long = df.select(F.repeat("text", 4000).alias("text")).coalesce(1)  # many slices of a megabyte
+    add_columns_by_parts(long.limit(60).coalesce(1), "text", toxicity.ADDED, lambda: Counting(model), model.files, [], held_bytes=1 << 30).collect()
+    assert builds.value == len(model.files)
+    whole = learn(df)
+    found, expected = (as_dict(score_toxicity(df, m), "doc_id", "score") for m in (model, whole))
+    assert found == pytest.approx(expected)
