@@ -52,7 +52,7 @@ def add_columns(
         at = kept.index(text)  # sent once, if it stays
     else:
         at = len(kept)
-        source.append(quoted(text).cast("string").alias("__text"))
+        source.append(quoted(text).cast("string").alias("__read"))
     schema = T.StructType([df.schema[name] for name in kept] + added.fields)
     arrow = to_arrow_schema(added)
 
@@ -90,7 +90,7 @@ def add_columns_by_parts(
         at = kept.index(text)
     else:
         at = len(kept)
-        source.append(quoted(text).cast("string").alias("__text"))
+        source.append(quoted(text).cast("string").alias("__read"))
     schema = T.StructType([df.schema[name] for name in kept] + added.fields)
     arrow = to_arrow_schema(added)
     most = held_bytes if len(parts) > 1 else 0

@@ -5,8 +5,8 @@ by rank. A text is compared with each profile by out-of-place distance: for ever
 one of its own most frequent n-grams, how far its rank in the text is from its rank
 in the profile, or the profile's length if it is not there.
 
-N-grams are 32-bit numbers: every letter is lower-cased and becomes a symbol of ten
-bits, and the space before and after a word is a symbol as well.
+N-grams are 64-bit numbers: every letter is lower-cased and becomes a symbol of 21 bits, its code point
+and two, so that the letters of all scripts have symbols of their own. The space before and after a word is a symbol as well.
 """
 
 from __future__ import annotations
@@ -27,20 +27,22 @@ from retailweave.llm.batches import add_columns, pieces, quoted, text_bytes
 PROFILE = 400  # n-grams of a profile
 UNKNOWN = "und"
 
+MAX_LANGUAGES = 10_000  # whose profiles are in memory; more values of the language column are an error
+
 _SALTS = 16
 _FLUSH = 1_000_000
 _SPACE = 1
+_BITS = 21
 
 
 @cache
 def _symbols() -> np.ndarray:
-    """The symbol of every code point: 0 for what is no letter, 2 to 1023 for letters by their lower case."""
+    """The symbol of every code point: 0 for what is no letter, and that of its lower case, beyond 1, for a letter."""
     table = np.zeros(0x110000, dtype=np.uint32)
     for code in range(0x110000):
         char = chr(code)
         if char.isalpha():
-            lower = ord(char.lower()[0])
-            table[code] = lower + 2 if lower < 0x3E0 else 2 + lower % 1021
+            table[code] = ord(char.lower()[0]) + 2
     return table
 
 
@@ -49,7 +51,7 @@ def _ngrams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     joined = "\n".join(text or "" for text in texts)
     # Unpaired surrogates cannot occur in UTF-8 input.
     codes = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
-    symbols = _symbols()[codes]
+    symbols = _symbols()[codes].astype(np.uint64)
     lengths = np.array([len(text or "") for text in texts], dtype=np.int64)
     owner = np.repeat(np.arange(len(texts)), lengths + 1)[: len(codes)]
     # One space symbol stands for everything between two words; a text begins and ends with one.
@@ -63,14 +65,15 @@ def _ngrams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     owner = np.insert(owner, first, owner[first])
     # The symbol after a text's last letter is the line break in between, or nothing at the very end.
     if len(symbols) and symbols[-1] != _SPACE:
-        symbols, owner = np.append(symbols, _SPACE), np.append(owner, owner[-1])
-    one = symbols
-    two = (symbols[:-1] << 10 | symbols[1:]) if len(symbols) > 1 else symbols[:0]
-    three = (two[:-1] << 10 | symbols[2:]) if len(two) > 1 else symbols[:0]
-    grams = np.zeros((len(one), 3), dtype=np.uint32)
+        symbols, owner = np.append(symbols, np.uint64(_SPACE)), np.append(owner, owner[-1])
+    # No symbol of a letter or space is 0, so shorter n-grams are smaller numbers than longer ones.
+    one, bits = symbols, np.uint64(_BITS)
+    two = (symbols[:-1] << bits | symbols[1:]) if len(symbols) > 1 else symbols[:0]
+    three = (two[:-1] << bits | symbols[2:]) if len(two) > 1 else symbols[:0]
+    grams = np.zeros((len(one), 3), dtype=np.uint64)
     grams[:, 0] = np.where(one == _SPACE, 0, one)
-    grams[: len(two), 1] = np.where(owner[: len(two)] == owner[1:], two | 1 << 30, 0)
-    grams[: len(three), 2] = np.where(owner[: len(three)] == owner[2:], three | 2 << 30, 0)
+    grams[: len(two), 1] = np.where(owner[: len(two)] == owner[1:], two, 0)
+    grams[: len(three), 2] = np.where(owner[: len(three)] == owner[2:], three, 0)
     flat, owners = grams.reshape(-1), np.repeat(owner, 3)
     real = flat > 0
     return flat[real], owners[real]
@@ -95,11 +98,13 @@ class Profiles:
 ANY = Profiles(("any",), ((),))  # one language without n-grams, which every text with a letter is nearest to
 
 
-def learn(rows: DataFrame, language: str = "lang", text: str = "text", size: int = PROFILE) -> Profiles:
+def learn(
+    rows: DataFrame, language: str = "lang", text: str = "text", size: int = PROFILE, max_languages: int = MAX_LANGUAGES
+) -> Profiles:
     """The profile of every value of ``language``, from counts over all rows and whole texts.
 
     Rows without a language or text say nothing. A language whose texts have no letter has
-    an empty profile and is never predicted.
+    an empty profile and is never predicted. More than ``max_languages`` of them are an error. ``size`` n-grams of each reach the driver.
     """
     known = rows.select(quoted(language).cast("string").alias("language"), quoted(text).cast("string").alias("text")).where(
         "language is not null and text is not null"
@@ -107,35 +112,43 @@ def learn(rows: DataFrame, language: str = "lang", text: str = "text", size: int
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Numbers of n-grams by language, summed up for as many texts as memory holds."""
-        names: dict[str, int] = {}
-        keys, times = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        held: dict[str, tuple[np.ndarray, np.ndarray]] = {}
 
         def flush():
-            of_code = pa.array(list(names), pa.string())
-            columns = [of_code.take(pa.array(keys >> np.uint64(32))), pa.array((keys & np.uint64(0xFFFFFFFF)).astype(np.int64)), pa.array(times)]
-            return pa.RecordBatch.from_arrays(columns, ["language", "ngram", "n"])
+            names = pa.array(list(held), pa.string()).take(pa.array(np.repeat(np.arange(len(held)), [len(x) for x, _ in held.values()])))
+            grams, times = (np.concatenate([np.zeros(0, np.int64), *(x[i].astype(np.int64) for x in held.values())]) for i in range(2))
+            return pa.RecordBatch.from_arrays([names, pa.array(grams), pa.array(times)], ["language", "ngram", "n"])
 
         for batch in batches:
             for piece in pieces(batch, text_bytes(batch.column(1))):
-                code = np.array([names.setdefault(x, len(names)) for x in piece.column(0).to_pylist()], dtype=np.uint64)
+                of = np.array(piece.column(0).to_pylist(), dtype=object)
                 grams, owners = _ngrams(piece.column(1).to_pylist())
-                own, n = np.unique(code[owners] << np.uint64(32) | grams, return_counts=True)
-                keys, at = np.unique(np.concatenate([keys, own]), return_inverse=True)
-                times = np.bincount(at, weights=np.concatenate([times, n]), minlength=len(keys)).astype(np.int64)
-                if len(keys) > _FLUSH:
+                for name in set(of):
+                    own, n = np.unique(grams[of[owners] == name], return_counts=True)
+                    if name in held:
+                        before, times = held[name]
+                        own, at = np.unique(np.concatenate([before, own]), return_inverse=True)
+                        n = np.bincount(at, weights=np.concatenate([times, n]), minlength=len(own)).astype(np.int64)
+                    held[name] = own, n
+                if sum(len(x) for x, _ in held.values()) > _FLUSH:
                     yield flush()
-                    keys, times = keys[:0], times[:0]
+                    held.clear()
         yield flush()
 
     counts = known.mapInArrow(count, "language string, ngram long, n long").groupBy("language", "ngram").agg(F.sum("n").alias("n"))
-    # The most frequent of each of some parts of a language's n-grams, of which the driver then takes the most frequent.
-    part = W.partitionBy("language", F.pmod(F.col("ngram"), F.lit(_SALTS))).orderBy(F.desc("n"), "ngram")
-    top = counts.withColumn("nth", F.row_number().over(part)).where(F.col("nth") <= size).drop("nth").collect()
+    # The most frequent of each of some parts of a language's n-grams, and of these the most frequent of the language.
+    order = (F.desc("n"), "ngram")
+    part = W.partitionBy("language", F.pmod(F.col("ngram"), F.lit(_SALTS))).orderBy(*order)
+    best = counts.withColumn("nth", F.row_number().over(part)).where(F.col("nth") <= size)
+    best = best.withColumn("nth", F.row_number().over(W.partitionBy("language").orderBy(*order))).where(F.col("nth") <= size)
+    top = best.drop("nth").limit(max_languages * size + 1).collect()
     by_language: dict[str, list] = {}
     for row in top:
         by_language.setdefault(row.language, []).append((-row.n, row.ngram))
+    if len(by_language) > max_languages or len(top) > max_languages * size:
+        raise ValueError(f"{language} has more than {max_languages} values: it is no column of languages")
     languages = sorted(by_language)
-    return Profiles(tuple(languages), tuple(tuple(ngram for _, ngram in sorted(by_language[x])[:size]) for x in languages))
+    return Profiles(tuple(languages), tuple(tuple(ngram for _, ngram in sorted(by_language[x])) for x in languages))
 
 
 class Classifier:
@@ -144,15 +157,15 @@ class Classifier:
     def __init__(self, profiles: Profiles):
         self.languages = profiles.languages
         self.size = max([1, *map(len, profiles.ngrams)])
-        self.known = np.unique(np.array([x for ngrams in profiles.ngrams for x in ngrams], dtype=np.uint32))
+        self.known = np.unique(np.array([x for ngrams in profiles.ngrams for x in ngrams], dtype=np.uint64))
         self.rank = np.full((len(self.languages), len(self.known) + 1), -1, dtype=np.int64)
         for i, ngrams in enumerate(profiles.ngrams):
-            self.rank[i, np.searchsorted(self.known, np.array(ngrams, dtype=np.uint32))] = np.arange(len(ngrams))
+            self.rank[i, np.searchsorted(self.known, np.array(ngrams, dtype=np.uint64))] = np.arange(len(ngrams))
 
     def distances(self, ranked: np.ndarray) -> np.ndarray:
         """For each language, from 0 (same ranks) to 1 (nothing in common)."""
         at = np.searchsorted(self.known, ranked)
-        there = np.append(self.known, 0)[at] == ranked
+        there = np.append(self.known, np.uint64(0))[at] == ranked
         rank = self.rank[:, np.where(there, at, len(self.known))]
         away = np.where(rank < 0, self.size, np.abs(rank - np.arange(len(ranked))[None, :]))
         return np.minimum(away, self.size).mean(axis=1) / self.size

@@ -20,8 +20,8 @@ def plain_ngrams(text):
     symbols, words = language._symbols(), "".join(c if c.isalpha() else " " for c in text or "").split()
     chain = [1] + [x for word in words for x in [*(int(symbols[ord(c)]) for c in word), 1]] if words else []
     ones = [x for x in chain if x != 1]
-    twos = [a << 10 | b | 1 << 30 for a, b in zip(chain, chain[1:])]
-    threes = [a << 20 | b << 10 | c | 2 << 30 for a, b, c in zip(chain, chain[1:], chain[2:])]
+    twos = [a << 21 | b for a, b in zip(chain, chain[1:])]
+    threes = [a << 42 | b << 21 | c for a, b, c in zip(chain, chain[1:], chain[2:])]
     return ones + twos + threes
 
 
@@ -103,6 +103,33 @@ def test_no_languages_no_rows_and_clashing_columns(spark, texts, clashing):
     assert rows(identify(texts(["the"]), learn(training(spark)), keep=["doc_id"]).select("lang_pred")) == [("en",)]
 
 
+def test_letters_of_all_scripts_have_symbols_of_their_own():
+    symbols = language._symbols()
+    ranges = [(0x41, 0x250), (0x370, 0x400), (0x400, 0x530), (0x5D0, 0x5EB), (0x620, 0x700), (0x900, 0xA00), (0x3041, 0x3100), (0x4E00, 0xA000), (0xAC00, 0xD7A4)]
+    letters = {chr(code).lower()[0] for a, b in ranges for code in range(a, b) if chr(code).isalpha()}
+    assert len(letters) > 30_000 and len({int(symbols[ord(x)]) for x in letters}) == len(letters)
+    assert symbols.max() < 1 << 21 and min(int(symbols[ord(x)]) for x in letters) > language._SPACE
+
+
+def test_languages_of_other_scripts(spark, texts):
+    samples = SAMPLES | {
+        "ru": "быстрая коричневая лиса прыгает через ленивую собаку", "el": "η γρήγορη καφέ αλεπού πηδάει πάνω από το τεμπέλικο σκυλί",
+        "ar": "الثعلب البني السريع يقفز فوق الكلب الكسول", "ja": "すばやい茶色の狐がのろまな犬を飛び越える", "zh": "敏捷的棕色狐狸跳过了懒狗", "uk": "швидка коричнева лисиця стрибає через ледачого пса",
+    }
+    rows = [(lang, text) for lang, text in samples.items() for _ in range(3)]
+    profiles = learn(spark.createDataFrame(rows, "lang string, text string"))
+    values = ["коричневая собака", "το σκυλί", "الكلب البني", "茶色の犬", "棕色狐狸", "лисиця і пес", "the dog"]
+    found = as_dict(identify(texts(values), profiles), "doc_id", "lang_pred")
+    assert [found[i] for i in range(len(values))] == ["ru", "el", "ar", "ja", "zh", "uk", "en"]
+
+
+def test_a_column_that_is_no_language_is_an_error(spark):
+    df = spark.createDataFrame([(f"l{i}", f"text {i}") for i in range(12)], "lang string, text string")
+    assert len(learn(df, max_languages=12).languages) == 12
+    with pytest.raises(ValueError, match="lang has more than 11"):
+        learn(df, max_languages=11)
+
+
 def test_held_out_rows_of_the_query(spark):
     sf = "/root/testdata/sf0.1"
     known = as_dict(spark.read.parquet(f"{sf}/documents.parquet").where(F.col("lang").isNotNull()), "doc_id", "lang")

@@ -38,7 +38,7 @@ def test_query_equals_sql(spark, sql, name):
 
 def test_registration():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert {*QUERIES, "pipeline"} <= contract.queries().keys() and ORACLES.items() <= contract.oracle_sql().items()
     assert [name for name, _ in corpus_pipeline.STAGES] == ["toxicity", "language_id", "near_duplicates", "decontamination", "sentence_pieces"]
 
@@ -107,6 +107,26 @@ def test_stages_that_learned_nothing_reject_nothing_but_texts_without_a_letter(s
     assert known.columns == docs.columns and [row[0] for row in rows(known)] == [1, 2]
 
 
+def test_the_language_stage_fills_in_what_the_profiles_say(spark, monkeypatch):
+    """Documents without a language get that of the nearest profile; swapped profiles give the other one."""
+    schema = spark.read.parquet(f"{SF}/documents.parquet").schema
+    samples = {"en": "the quick brown fox and the lazy dog went there", "fr": "le renard brun et le chien paresseux sont allés là"}
+    rows_of = [(i, text, lang, "s", len(text)) for i, (lang, text) in enumerate(samples.items())]
+    rows_of += [(10, "the dog went there", None, "s", 0), (11, "le chien et le renard", None, "s", 0), (12, "le chien", "en", "s", 0), (13, "1 2 3", None, "s", 0), (14, "42", "en", "s", 0)]
+    docs = spark.createDataFrame(rows_of, schema)
+    found = {row.doc_id: row.lang for row in corpus_pipeline.known_language(spark, docs, SF).collect()}
+    assert found == {0: "en", 1: "fr", 10: "en", 11: "fr", 12: "en"}
+    learned = language.learn
+
+    def swapped(*args, **options):
+        profiles = learned(*args, **options)
+        return language.Profiles(profiles.languages, profiles.ngrams[::-1])
+
+    monkeypatch.setattr(language, "learn", swapped)
+    found = {row.doc_id: row.lang for row in corpus_pipeline.known_language(spark, docs, SF).collect()}
+    assert found == {0: "en", 1: "fr", 10: "fr", 11: "en", 12: "en"}
+
+
 def test_nothing_else_imports_this_subpackage():
     import pathlib
     import re
