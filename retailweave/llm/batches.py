@@ -140,6 +140,18 @@ def unpacked(df: DataFrame, columns: Sequence[str], text: str) -> DataFrame:
     )
 
 
+def shuffled_anew(df: DataFrame, key: str) -> DataFrame:
+    """``df``, a grouped result, with its key computed once more, so that Spark shuffles it for a join on the key.
+
+    Adaptive execution splits a hot key's rows on the other side of a join only if both sides come straight from a
+    shuffle, and not if this one is still partitioned by its grouping.
+    """
+    column = quoted(key)
+    kind = df.schema[key].dataType
+    same = column.bitwiseXOR(F.lit(0).cast(kind)) if isinstance(kind, T.IntegralType) else F.concat(column, F.lit(b"").cast(kind))
+    return df.withColumn(key, same)
+
+
 def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 

@@ -1,8 +1,7 @@
 """Connected components of a graph that is a table of links, by alternating star steps.
 
 Each step is a grouped minimum and a join, so a node with very many links is summed up
-before the shuffle and split by adaptive execution in the join. That it can only do if both
-sides of the join are shuffled as they are, so the minima are written first. Every round is
+before the shuffle and split by adaptive execution in the join (``batches.shuffled_anew``). Every step is
 written to the shared work folder and read again.
 """
 
@@ -11,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from retailweave.llm.batches import shuffled_anew
 from retailweave.sinks.scratch import written
 
 
@@ -34,15 +34,16 @@ def components(links: DataFrame) -> DataFrame:
 def _large_star(edges: DataFrame) -> DataFrame:
     """Links every larger neighbour of a node to the smallest of the node and its neighbours."""
     both = edges.union(edges.select("b", "a"))
-    least = written(both.groupBy(F.col("a").alias("n")).agg(F.min("b").alias("m")).select("n", F.least("n", "m").alias("m")))
-    return both.join(least, both.a == least.n).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+    least = both.groupBy(F.col("a").alias("n")).agg(F.min("b").alias("m")).select("n", F.least("n", "m").alias("m"))
+    least = shuffled_anew(least, "n")
+    return both.join(least, F.col("a") == F.col("n")).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Links a node and its smaller neighbours to the smallest of them. ``a`` is larger than ``b`` in every row."""
     edges = written(edges)
-    least = written(edges.groupBy(F.col("a").alias("n")).agg(F.min("b").alias("m")))
-    moved = edges.join(least, edges.a == least.n).where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    least = edges.groupBy(F.col("a").alias("n")).agg(F.min("b").alias("m"))
+    moved = edges.join(shuffled_anew(least, "n"), F.col("a") == F.col("n")).where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.unionByName(least.select(F.col("n").alias("a"), F.col("m").alias("b"))).distinct()
 
 

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
-from retailweave.llm.batches import add_columns, packed, quoted, unpacked
+from retailweave.llm.batches import add_columns, packed, quoted, shuffled_anew, unpacked
 from retailweave.llm.linking import classes, local_roots, meet, meetings
 from retailweave.llm.words import Words, mixed
 from retailweave.sinks.scratch import written
@@ -185,11 +185,12 @@ def similarity_join(
 def _blocks(nodes: DataFrame, block_rows: int) -> tuple[DataFrame, DataFrame]:
     """``(node, block)`` of the nodes that share a band with another one, and ``(block_a, block_b)`` of the blocks to compare."""
     rows = nodes.select("node", F.explode("bands").alias("band"))
-    # Written, as are the tables below, so that adaptive execution can split joins on a hot band, leader or block.
-    least = written(rows.groupBy(F.col("band").alias("key")).agg(F.min("node").alias("first"), F.count("*").alias("n")).where("n > 1"))
-    shared = written(rows.join(least, F.col("band") == F.col("key")).select("node", "band", "first"))
-    leaders = written(shared.groupBy("node").agg(F.min("first").alias("leader")))
-    sizes = written(leaders.groupBy(F.col("leader").alias("of")).agg(F.ceil(F.count("*") / block_rows).alias("n_blocks")))
+    # Adaptive execution splits the joins on a hot band, leader or block.
+    least = rows.groupBy(F.col("band").alias("key")).agg(F.min("node").alias("first"), F.count("*").alias("n")).where("n > 1")
+    shared = written(rows.join(shuffled_anew(least, "key"), F.col("band") == F.col("key")).select("node", "band", "first"))
+    leaders = shared.groupBy("node").agg(F.min("first").alias("leader"))
+    sizes = leaders.groupBy(F.col("leader").alias("of")).agg(F.ceil(F.count("*") / block_rows).alias("n_blocks"))
+    sizes = shuffled_anew(sizes, "of")
     block = F.concat_ws(":", F.hex("leader"), F.pmod(F.xxhash64("node"), F.col("n_blocks")))
     blocks = written(leaders.join(sizes, F.col("leader") == F.col("of")).select("node", block.alias("block")))
     in_band = written(shared.join(blocks, "node").select("band", "block").distinct())

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from retailweave.llm.batches import groups
+from retailweave.llm.batches import groups, shuffled_anew
 from retailweave.llm.components import components
 from retailweave.sinks.scratch import written
 
@@ -77,7 +77,7 @@ def classes(nodes: DataFrame, parts: DataFrame) -> DataFrame:
             "node", "weight", "first_id", "others", F.coalesce("root", "node").alias("root")
         )
     )
-    smallest = written(member.groupBy(F.col("root").alias("r")).agg(F.min("first_id").alias("class_id")))
+    smallest = shuffled_anew(member.groupBy(F.col("root").alias("r")).agg(F.min("first_id").alias("class_id")), "r")
     return member.join(smallest, F.col("root") == F.col("r")).select(
         "node", "class_id", (F.coalesce("others", F.lit(0)) + F.col("weight") - 1).alias("n_links")
     )
