@@ -38,6 +38,7 @@ def add_columns(
     added: T.StructType,
     compute: Callable[[], Callable[[pa.Array], Sequence[pa.Array]]],
     keep: Sequence[str] | None = None,
+    slice_bytes: int = PIECE_BYTES,
 ) -> DataFrame:
     """``df`` with the columns ``added``, computed from the text column alone.
 
@@ -59,7 +60,7 @@ def add_columns(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         function = compute()
         for batch in batches:
-            for piece in pieces(batch, text_bytes(batch.column(at))):
+            for piece in pieces(batch, text_bytes(batch.column(at)), slice_bytes):
                 values = function(piece.column(at))
                 columns = [value.cast(field.type) for value, field in zip(values, arrow)]
                 yield pa.RecordBatch.from_arrays([*piece.columns[: len(kept)], *columns], schema.names)

@@ -29,6 +29,8 @@ UNKNOWN = "und"
 
 MAX_LANGUAGES = 10_000  # whose profiles are in memory; more values of the language column are an error
 
+SLICE_BYTES = 1 << 19  # of text whose n-grams are in memory at a time, at some 150 bytes for each
+
 _SALTS = 16
 _FLUSH = 1_000_000
 _SPACE = 1
@@ -120,11 +122,12 @@ def learn(
             return pa.RecordBatch.from_arrays([names, pa.array(grams), pa.array(times)], ["language", "ngram", "n"])
 
         for batch in batches:
-            for piece in pieces(batch, text_bytes(batch.column(1))):
-                of = np.array(piece.column(0).to_pylist(), dtype=object)
-                grams, owners = _ngrams(piece.column(1).to_pylist())
-                for name in set(of):
-                    own, n = np.unique(grams[of[owners] == name], return_counts=True)
+            for piece in pieces(batch, text_bytes(batch.column(1)), SLICE_BYTES):
+                by_name: dict[str, list[str]] = {}
+                for name, value in zip(piece.column(0).to_pylist(), piece.column(1).to_pylist()):
+                    by_name.setdefault(name, []).append(value)
+                for name, values in by_name.items():
+                    own, n = np.unique(_ngrams(values)[0], return_counts=True)
                     if name in held:
                         before, times = held[name]
                         own, at = np.unique(np.concatenate([before, own]), return_inverse=True)
@@ -210,4 +213,4 @@ def identify(df: DataFrame, profiles: Profiles, text: str = "text", keep: list[s
 
         return columns
 
-    return add_columns(df, text, ADDED, compute, keep)
+    return add_columns(df, text, ADDED, compute, keep, SLICE_BYTES)

@@ -20,6 +20,7 @@ import hashlib
 import io
 import json
 import struct
+import time
 import uuid
 import zipfile
 import zlib
@@ -46,6 +47,7 @@ READ_BYTES = 1024 * 1024  # neighbouring records are fetched together up to so m
 
 _DATA, _INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
 _DATA_FOLDER, _INDEX_FOLDER = "archive/", "indexes/"
+_EPOCH = "1970-01-01T00:00:00Z"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -140,15 +142,25 @@ def in_place(read, member: Member) -> tuple[int, int]:
 # ---- records -------------------------------------------------------------------
 
 
-def record_bytes(record_type: str, uri: str, page_id: int | None, payload: bytes, digest: str, refers_to: int | None) -> bytes:
-    """A WARC record with an HTTP response. A revisit has the response's head and no payload."""
+def record_id(uri: str, page_id: int | None, digest: str) -> str:
+    """The same for the same page, so that a revisit can name the response before either is written."""
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page_id}:{uri}:{digest}')}>"
+
+
+def record_bytes(
+    record_type: str, uri: str, page_id: int | None, payload: bytes, digest: str, refers_to: tuple[int | None, str] | None, date: str = _EPOCH
+) -> bytes:
+    """A WARC record with an HTTP response. A revisit has the response's head and no payload.
+
+    ``refers_to`` is page id and URI of the response that a revisit is about; it is named by its record id, URI and date.
+    """
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     block = http if record_type == "revisit" else http + payload
     head = [
         "WARC/1.1",
         f"WARC-Type: {record_type}",
-        f"WARC-Record-ID: <urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page_id}:{uri}:{digest}')}>",
-        "WARC-Date: 1970-01-01T00:00:00Z",
+        f"WARC-Record-ID: {record_id(uri, page_id, digest)}",
+        f"WARC-Date: {date}",
         f"WARC-Target-URI: {uri}",
         f"WARC-Payload-Digest: sha1:{digest}",
         "Content-Type: application/http;msgtype=response",
@@ -157,7 +169,14 @@ def record_bytes(record_type: str, uri: str, page_id: int | None, payload: bytes
     if page_id is not None:
         head.append(f"X-Page-ID: {page_id}")
     if record_type == "revisit":
-        head += [f"WARC-Profile: {_PROFILE}", f"WARC-Refers-To: <page:{refers_to}>"]
+        page, target = refers_to
+        head += [
+            f"WARC-Profile: {_PROFILE}",
+            f"WARC-Refers-To: {record_id(target, page, digest)}",
+            f"WARC-Refers-To-Target-URI: {target}",
+            f"WARC-Refers-To-Date: {date}",
+            f"X-Refers-To-Page-ID: {page}",
+        ]
     return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
@@ -215,6 +234,10 @@ class _Archive:
         return self.path, size, self.n
 
 
+def _quoted_uri(uri: str) -> str:
+    return quote(uri, "/:?&=#+,;@!$'()*~[]")
+
+
 class _Sink(io.RawIOBase):
     """A stream that only writes on, as object stores take it."""
 
@@ -240,9 +263,12 @@ def write_archives(
     payload: str = "html",
     revisit_bytes: int = REVISIT_BYTES,
     archive_bytes: int = ARCHIVE_BYTES,
+    date: str | None = None,
 ) -> DataFrame:
     """Writes one record per row and returns the archives: ``path``, ``size`` and ``n_records``.
 
+    ``date`` is the date of all records, as ``2024-01-31T12:00:00Z``; by default that of the call, as the rows tell none.
+
     Of rows with equal payloads of at least ``revisit_bytes`` the one with the largest id is a response and
     the others revisit it; of rows that share that id, each is a response, and rows without an id are
     never the largest. All other rows are responses. A null payload is empty, and so is a null URI.
@@ -258,11 +284,12 @@ def write_archives(
     repeated = written(
         rows.where(F.octet_length("payload") >= revisit_bytes)
         .groupBy(F.col("digest").alias("of_digest"), F.octet_length("payload").alias("of_length"))
-        .agg(F.max("id").alias("response"), F.count("*").alias("n"))
+        .agg(F.max(F.struct("id", F.col("uri").alias("target"))).alias("response"), F.count("*").alias("n"))
         .where("n > 1")
     )
     decided = rows.join(repeated, (F.col("digest") == F.col("of_digest")) & (F.octet_length("payload") == F.col("of_length")), "left")
-    refers_to = F.when(~F.col("response").eqNullSafe(F.col("id")), F.col("response"))
+    refers_to = F.when(~F.col("response.id").eqNullSafe(F.col("id")), F.col("response"))
+    date = date or time.strftime("%Y-%m-%dT%H:%M:%SZ", time.gmtime())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         attempt, archive, n, made = TaskContext.get().taskAttemptId(), None, 0, []
@@ -272,7 +299,8 @@ def write_archives(
                     archive = _Archive(folder, f"part-{attempt}-{n}.zip")
                     n += 1
                 kind = "response" if response is None else "revisit"
-                archive.add({"page_id": page_id, "type": kind}, record_bytes(kind, quote(target, "/:?&=#+,;@!$'()*~[]"), page_id, body, digest, response))
+                of = None if response is None else (response["id"], _quoted_uri(response["target"]))
+                archive.add({"page_id": page_id, "type": kind}, record_bytes(kind, _quoted_uri(target), page_id, body, digest, of, date))
                 if archive.at >= archive_bytes:
                     made.append(archive.close())
                     archive = None
@@ -299,6 +327,9 @@ RECORDS = T.StructType(
         T.StructField("payload_bytes", T.LongType()),
         T.StructField("payload_digest", T.StringType()),
         T.StructField("payload", T.BinaryType()),
+        T.StructField("record_id", T.StringType()),
+        T.StructField("refers_to_record", T.StringType()),
+        T.StructField("date", T.StringType()),
     ]
 )
 
@@ -447,7 +478,7 @@ def read_records(archives: DataFrame) -> DataFrame:
     return runs.mapInArrow(run, RECORDS)
 
 
-_KINDS = (pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.binary())
+_KINDS = (pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.string(), pa.string(), pa.string())
 
 
 def _record(data: bytes) -> bytes:
@@ -458,13 +489,16 @@ def _record(data: bytes) -> bytes:
 def _row(record: bytes) -> tuple:
     warc, http, payload = parse_record(record)
     revisit = warc["warc-type"] == "revisit"
-    page, length = warc.get("warc-refers-to", ""), http.get("content-length", "")
+    page, length = warc.get("x-refers-to-page-id", ""), http.get("content-length", "")
     return (
         int(warc["x-page-id"]) if "x-page-id" in warc else None,
         unquote(warc["warc-target-uri"]) if "warc-target-uri" in warc else None,
         warc["warc-type"],
-        int(page.removeprefix("<page:").removesuffix(">")) if revisit and page.startswith("<page:") else None,
+        int(page) if revisit and page.removeprefix("-").isdigit() else None,
         (int(length) if length.isdigit() else None) if revisit else len(payload),
         warc.get("warc-payload-digest", "").removeprefix("sha1:") or None if revisit else hashlib.sha1(payload).hexdigest(),
         None if revisit else payload,
+        warc.get("warc-record-id"),
+        warc.get("warc-refers-to") if revisit else None,
+        warc.get("warc-date"),
     )

@@ -86,8 +86,10 @@ def test_records_round_trip():
     payload = "<p>é\r\n\r\nx</p>".encode()
     warc, http, body = parse_record(record_bytes("response", "http://x/?a=1", 5, payload, "d" * 40, None))
     assert (warc["warc-type"], warc["x-page-id"], body, http["content-length"]) == ("response", "5", payload, str(len(payload)))
-    warc, http, body = parse_record(record_bytes("revisit", "u", None, payload, "d" * 40, 9))
-    assert (warc["warc-refers-to"], body, http["content-length"], "x-page-id" in warc) == ("<page:9>", b"", str(len(payload)), False)
+    response = parse_record(record_bytes("response", "v", 9, payload, "d" * 40, None))[0]
+    warc, http, body = parse_record(record_bytes("revisit", "u", None, payload, "d" * 40, (9, "v")))
+    assert (warc["warc-refers-to"], body, http["content-length"], "x-page-id" in warc) == (response["warc-record-id"], b"", str(len(payload)), False)
+    assert (warc["warc-refers-to-target-uri"], warc["warc-refers-to-date"], warc["x-refers-to-page-id"]) == ("v", response["warc-date"], "9")
 
 
 LONG = "<html>" + "é" * 600 + "</html>"
@@ -239,3 +241,15 @@ def test_other_layouts_are_errors(tmp_path, index, what):
     path, size, _ = package(tmp_path / "p.zip", {"a": [b"x" * 5], "b": [b"y" * 5]}, index)
     with open(path, "rb") as file, pytest.raises(ValueError, match=what):
         list(warc_zip.record_runs(reader(file.read())[0], size))
+
+
+def test_every_revisit_resolves_by_its_record_id_alone(spark, tmp_path):
+    pages = [(i, f"http://host/{i} ?x=é", LONG if i % 3 else LONG + str(i % 4)) for i in range(-5, 60)]
+    found = read_records(write_archives(spark.createDataFrame(pages, SCHEMA).repartition(3), str(tmp_path / "w"), date="2024-01-31T12:00:00Z")).collect()
+    responses = {row.record_id: row for row in found if row.record_type == "response"}
+    revisits = [row for row in found if row.record_type == "revisit"]
+    assert len(revisits) > 50 and len({row.record_id for row in found}) == len(found)
+    for row in revisits:
+        response = responses[row.refers_to_record]
+        assert (response.page_id, response.payload_digest, response.payload_bytes) == (row.refers_to, row.payload_digest, row.payload_bytes)
+    assert {row.date for row in found} == {"2024-01-31T12:00:00Z"}
