@@ -10,7 +10,8 @@ eps = sqrt(2 - 2 s), and no projection makes a distance larger. So:
    are more than eps apart are not joined.
 4. Two blocks that are joined meet in a task, which halves them again and again and
    skips the pairs of intervals that are too far apart; what is left is compared by the
-   cosine in double precision.
+   cosine in double precision. Blocks are as large as memory allows, since a vector is sent
+   to a task for every block that its own one is joined with.
 
 The directions are orthonormal whatever the sample, so they change the speed, not the result.
 """
@@ -27,14 +28,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from retailweave.llm.batches import quoted
-from retailweave.llm.linking import classes, local_roots, meet, meetings
+from retailweave.llm.linking import classes, meet, meetings
 from retailweave.sinks.scratch import written
 
 THRESHOLD = 0.98
 DIRECTIONS = 3
 SAMPLE = 5000  # vectors that the directions are fitted on
-BLOCK_ROWS = 1024
-LEAF_ROWS = 64
+BLOCK_BYTES = 4 * 1024 * 1024  # of the vectors of a block; a task holds two blocks
+BLOCK_ROWS = 8192
+LEAF_ROWS = 256
 
 _NODES = "id {id}, label {label}, node binary, vector array<double>"
 _SLACK = 1e-9  # for rounding in distances
@@ -86,20 +88,44 @@ def _link(threshold: float, eps: float, directions: dict[int, np.ndarray]):
     def link(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
         unit = _unit(rows.column("vector"))
         # As the definition has it: dot product over norms, in doubles.
-        order = np.lexsort(_cells(unit @ directions[unit.shape[1]], eps).T[::-1])
-        unit, places = unit[order], (unit @ directions[unit.shape[1]])[order]
+        places = unit @ directions[unit.shape[1]]
+        order = np.lexsort(_cells(places, eps).T[::-1])
+        unit, places = unit[order], places[order]
         side = np.asarray(rows.column("side"))[order]
         weight = np.asarray(rows.column("weight"))[order]
-        linked = np.zeros((len(unit), len(unit)), dtype=bool)
+        two = bool(side.any())
+        n_links = np.zeros(len(unit), dtype=np.int64)
+        edges: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def compare(a: slice, b: slice) -> None:
+            """Counts the links between two intervals, or within one, and joins every linked row to the first that it is linked to."""
+            found = unit[a] @ unit[b].T >= threshold
+            if two:
+                found &= side[a][:, None] != side[b][None, :]
+            if a == b:
+                np.fill_diagonal(found, False)
+            if not found.any():
+                return
+            n_links[a] += found @ weight[b]
+            if a != b:
+                n_links[b] += found.T @ weight[a]
+            # Every linked row is joined to the first row of its component within the two intervals.
+            one, other = np.arange(a.start, a.stop), np.arange(b.start, b.stop)
+            while True:
+                least = np.minimum(other, np.where(found, one[:, None], len(unit)).min(axis=0))
+                own = np.minimum(one, np.where(found, least[None, :], len(unit)).min(axis=1))
+                if (least == other).all() and (own == one).all():
+                    break
+                one, other = own, least
+            edges.append((np.arange(a.start, a.stop), one))
+            edges.append((np.arange(b.start, b.stop), other))
 
         def join(a: slice, b: slice) -> None:
             if _gap(places[a], places[b]) > eps + _SLACK:
                 return
             n, m = a.stop - a.start, b.stop - b.start
             if max(n, m) <= LEAF_ROWS:
-                found = unit[a] @ unit[b].T >= threshold
-                linked[a, b] |= found
-                linked[b, a] |= found.T
+                compare(a, b)
                 return
             halves = [(x,) if k <= LEAF_ROWS else (slice(x.start, x.start + k // 2), slice(x.start + k // 2, x.stop)) for x, k in ((a, n), (b, m))]
             for i, x in enumerate(halves[0]):
@@ -107,22 +133,34 @@ def _link(threshold: float, eps: float, directions: dict[int, np.ndarray]):
                     if a != b or i <= j:
                         join(x, y)
 
-        if side.any():
+        if two:
             for first in _runs(side == 0):
                 for second in _runs(side == 1):
                     join(first, second)
-            linked &= side[:, None] != side[None, :]
         else:
             join(slice(0, len(unit)), slice(0, len(unit)))
-        np.fill_diagonal(linked, False)
         # Back to the order of the rows: the roots' nodes must be the smallest.
-        back = np.argsort(order)
-        linked = linked[np.ix_(back, back)]
-        return linked @ weight[back], local_roots(linked)
+        counts = np.empty_like(n_links)
+        counts[order] = n_links
+        ends = [order[np.concatenate(x)] for x in zip(*edges)] or [np.zeros(0, np.int64)] * 2
+        return counts, _roots(len(unit), *ends)
 
     return link
 
 
+def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The first row of every row's component, by the edges between them."""
+    own = np.arange(n)
+    while True:
+        new = own.copy()
+        np.minimum.at(new, a, own[b])
+        np.minimum.at(new, b, own[a])
+        new = np.minimum(new, new[new])
+        if (new == own).all():
+            return own
+        own = new
+
+
 def _runs(flags: np.ndarray) -> list[slice]:
     """The runs of true values."""
     turns = np.flatnonzero(np.diff(flags.astype(np.int8), prepend=0, append=0))
@@ -199,11 +237,12 @@ def _blocks(nodes: DataFrame, axes: dict[int, np.ndarray], eps: float, block_row
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, last = -1, None
-        filled = block_rows
+        filled = 0
         for batch in batches:
             names = []
             for key in zip(batch.column("size").to_pylist(), batch.column("label").to_pylist()):
-                if filled >= block_rows or key != last:
+                most = max(1, min(block_rows, BLOCK_BYTES // (8 * max(key[0], 1))))
+                if filled >= most or key != last:
                     n, filled, last = n + 1, 0, key
                 filled += 1
                 names.append(n)
