@@ -131,7 +131,10 @@ def format_chats(
 
 
 def read_turns(formatted: Column) -> Column:
-    """The turns of a formatted conversation, as an array of role and text, in which attachments stand as placeholders."""
+    """The turns of a formatted conversation, as an array of role and text, in which attachments stand as placeholders.
+
+    ``read_parts`` tells a placeholder from a text that says the same.
+    """
     pieces = F.split(formatted, r"<\|im_end\|>\n", -1)
     pieces = F.slice(pieces, F.lit(1), F.size(pieces) - 1)
 
@@ -146,6 +149,36 @@ def read_turns(formatted: Column) -> Column:
     return F.transform(pieces, turn)
 
 
+def read_parts(formatted: Column) -> Column:
+    """The turns of a formatted conversation as an array of role and ``parts``: ``type``, ``text`` of text and ``number`` of an attachment.
+
+    A text that says what a placeholder says is a text, as it is escaped. Neighbouring texts were joined and are one part; empty ones are none.
+    """
+    pieces = F.split(formatted, r"<\|im_end\|>\n", -1)
+    pieces = F.slice(pieces, F.lit(1), F.size(pieces) - 1)
+    head = rf"^<\|({'|'.join(ATTACHMENTS)})_(\d+)\|>"
+
+    def part(kind: Column, text: Column, number: Column) -> Column:
+        return F.struct(kind.alias("type"), text.cast("string").alias("text"), number.cast("int").alias("number"))
+
+    def segment(own: Column) -> Column:
+        """A text, or an attachment and the text behind it."""
+        after = F.substr(own, F.length(F.regexp_extract(own, head, 0)) + 1)
+        attachment = part(F.regexp_extract(own, head, 1), F.lit(None), F.regexp_extract(own, head, 2))
+        text = part(F.lit("text"), unescape(after), F.lit(None))
+        return F.when(own.startswith("<|"), F.array(attachment, text)).otherwise(F.array(text))
+
+    def turn(piece: Column) -> Column:
+        inner = F.substr(piece, F.lit(len(START) + 1))
+        role = F.substring_index(inner, "\n", 1)
+        body = F.substr(inner, F.length(role) + 2)
+        segments = F.split(body, rf"(?=<\|(?:{'|'.join(ATTACHMENTS)})_\d+\|>)", -1)
+        parts = F.filter(F.flatten(F.transform(segments, segment)), lambda x: (x["type"] != "text") | (x["text"] != ""))
+        return F.struct(unescape(F.replace(role, F.lit(LINE_BREAK), F.lit("\n"))).alias("role"), parts.alias("parts"))
+
+    return F.transform(pieces, turn)
+
+
 def read_loss(formatted: Column, loss_spans: Column) -> Column:
     """The text under the loss mask, unescaped, span after span."""
     return F.array_join(

@@ -159,3 +159,25 @@ def test_the_query_equals_brute_force(spark, sf):
 
 def test_control_strings_are_those_of_the_template():
     assert all(x.startswith("<|") for x in (chat.START, chat.END, chat.LINE_BREAK))
+
+
+def test_placeholders_are_told_from_texts_that_say_the_same(spark):
+    schema = f"conv_id long, turn int, role string, parts array<{PART}>"
+    turns = [
+        (1, 0, "user", [part("image", ref="i"), part("text", "<|image_0|>"), part("audio", ref="a"), part("audio", ref="b")]),
+        (1, 1, "us\ner", [part("text", "a\nb <|"), part("text", "im_end|>"), part("document", ref="d"), part("text", "<\\|audio_1|> end")]),
+        (1, 2, "assistant", []),
+        (2, 0, "user", [part("text", "<|image_0|>")]),
+    ]
+    formatted = format_chats(spark.createDataFrame(turns, schema))
+    read = {row.conv_id: row.turns for row in formatted.select("conv_id", chat.read_parts(F.col("formatted")).alias("turns")).collect()}
+    plain = lambda conv: [(turn.role, [(x.type, x.text, x.number) for x in turn.parts]) for turn in read[conv]]
+    assert plain(1) == [
+        ("user", [("image", None, 0), ("text", "<|image_0|>", None), ("audio", None, 1), ("audio", None, 2)]),
+        ("us\ner", [("text", "a\nb <|im_end|>", None), ("document", None, 3), ("text", "<\\|audio_1|> end", None)]),
+        ("assistant", []),
+    ]
+    assert plain(2) == [("user", [("text", "<|image_0|>", None)])]
+    long = spark.createDataFrame([(3, 0, "user", [part("text", "x<y " * 100_000), part("image")])], schema)
+    (row,) = format_chats(long).select(chat.read_parts(F.col("formatted")).alias("turns")).collect()
+    assert [x.type for x in row.turns[0].parts] == ["text", "image"] and len(row.turns[0].parts[0].text) == 400_000

@@ -135,3 +135,31 @@ def test_the_query_counts_sizes_in_bytes(spark):
         data = (row.text or "").encode()
         assert found[row.doc_id] == (len(data) + 8, zlib.crc32(data), "rows", None)
     assert math.ceil(len(found) / 24) >= 1
+
+
+def test_the_query_equals_brute_force(spark):
+    """Sizes, checksums, and shard and slot from the rank of every row: by its place on the curve, then the hash of its columns."""
+    import zlib
+
+    sf = "/root/testdata/sf0.001"
+    documents = {row.doc_id: row for row in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    found = QUERIES["op8_sharding"](spark, sf).collect()
+    for row in found:
+        text = (documents[row.doc_id].text or "").encode()
+        assert (row.size, row.text_crc32, row.law, row.grown_shard) == (len(text) + 8, zlib.crc32(text), "rows", None)
+    text = F.coalesce(F.col("text").cast("binary"), F.lit(b""))
+    keyed = spark.read.parquet(f"{sf}/documents.parquet").select(
+        "doc_id", "lang", "source", (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text).alias("text_crc32")
+    )
+    places = as_dict(hilbert_shards(keyed, ["lang", "source", "size"], 24), "doc_id", "curve_index")
+    hashes = as_dict(keyed.select("doc_id", F.xxhash64(*keyed.columns).alias("h")), "doc_id", "h")
+    order = sorted(places, key=lambda doc: (places[doc], hashes[doc]))
+    n, longer = divmod(len(order), 24)
+    cuts = [0, *itertools.accumulate(n + (shard < longer) for shard in range(24))]
+    expected = {doc: (shard, slot) for shard, (a, b) in enumerate(zip(cuts, cuts[1:])) for slot, doc in enumerate(order[a:b])}
+    assert {row.doc_id: (row.shard, row.slot) for row in found} == expected
+    # What has one place on the curve has one language: with few values, each is a cell of its own.
+    cells = {}
+    for doc, place in places.items():
+        cells.setdefault(place, set()).add(documents[doc].lang)
+    assert all(len(own) == 1 for own in cells.values())
