@@ -1,10 +1,11 @@
+import os
 import tempfile
 from types import SimpleNamespace
 
 import pytest
 from pyspark.errors import AnalysisException
 
-from retailweave.sinks.scratch import work_folder
+from retailweave.sinks.scratch import run_folder, work_folder, written
 from retailweave.sinks.writers import Warehouse, spread, write_snapshot
 
 from conftest import rows
@@ -126,3 +127,19 @@ def test_a_local_master_may_use_a_temporary_folder(master):
 def test_a_cluster_needs_a_shared_folder(master):
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         work_folder(Session(master))
+
+
+def test_a_run_removes_its_own_files(spark):
+    outside = written(spark.range(2))
+    with run_folder(spark) as run:
+        inside = written(spark.range(3))
+        with run_folder(spark) as inner:
+            assert written(spark.range(4)).count() == 4 and inner.startswith(run)
+        assert inside.count() == 3 and all(file.startswith(f"file://{run.removeprefix('file://')}/") for file in inside.inputFiles())
+        assert os.listdir(run.removeprefix("file://"))
+    assert not os.path.exists(run.removeprefix("file://")) and outside.count() == 2
+    with pytest.raises(ZeroDivisionError), run_folder(spark) as run:
+        written(spark.range(3))
+        1 / 0
+    assert not os.path.exists(run.removeprefix("file://"))
+    assert not work_folder(spark).startswith(run)
