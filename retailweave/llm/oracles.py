@@ -87,7 +87,7 @@ _CRC32 = """xor(list_reduce(list_prepend(4294967295, list_transform(string_split
 OP11 = rf"""
 WITH turns AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
 keyed AS (SELECT conv_id, turn, role, sha256(CAST(octet_length(encode(role)) AS VARCHAR) || ':' || role || text) AS key,
-    len(regexp_extract_all(text, '[^ 	-]+')) AS tokens FROM turns),
+    len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS tokens FROM turns),
 own AS (SELECT conv_id, list({{'key': key, 'tokens': tokens}} ORDER BY turn NULLS FIRST, role, key) AS t,
     {_CRC32.format(text="CAST(conv_id AS VARCHAR)")} % 4 AS h FROM keyed GROUP BY conv_id),
 rebuilt AS (SELECT own.conv_id, list_concat(list_slice(coalesce(base.t, []), 1, own.h), list_slice(own.t, own.h + 1, len(own.t))) AS t

@@ -142,3 +142,14 @@ def test_query_equals_sql_and_brute_force(spark):
     rebuilt = {conv: own.get(conv - conv % 20, [])[:h] + own[conv][h:] for conv, h in heads.items()}
     expected = [(*row[:7], hashlib.sha256(",".join(map(str, row[7])).encode()).hexdigest()) for row in brute_force(rebuilt)]
     assert sorted(map(repr, (tuple(row.values()) for row in found.to_pylist()))) == sorted(map(repr, expected))
+
+
+def test_query_equals_sql_on_odd_white_space_and_few_turns(spark, tmp_path):
+    texts = ["a\rb", "a\x0bb\x0cc", "a\u00a0b", "\r\n", "a\tb  c", "", None]
+    rows = [(conv, turn, "user", texts[(conv * 3 + turn) % len(texts)]) for conv in range(45) if conv != 20 for turn in range(conv % 6)]
+    spark.createDataFrame(rows, SCHEMA).write.parquet(str(tmp_path / "conversations.parquet"))
+    found = op11_prefix_trie(spark, str(tmp_path)).toArrow()
+    connection = duckdb.connect()
+    connection.sql(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet'")
+    wanted = connection.sql(ORACLES["op11_prefix_trie"]).to_arrow_table().select(found.column_names)
+    assert sorted(map(repr, found.to_pylist())) == sorted(map(repr, wanted.to_pylist()))
