@@ -170,7 +170,8 @@ def load(spark: SparkSession, jobs: Jobs, feed: str, steps: Steps | None = None)
             _write(spark, jobs, made(transactions), table, modes[table], None)
             return
         loads = LoadLedger(spark, f"{jobs.ledger}/loads")
-        for commit in pending(spark, roots["Transactions"], lambda number: loads.has(table, _load_id(feed, number))):
+        listed = loads.listed(table)
+        for commit in pending(spark, roots["Transactions"], lambda number: listed(_load_id(feed, number))):
             rows = entities.clean_transactions(read_commit(spark, roots["Transactions"], commit))
             _write(spark, jobs, made(rows), table, modes[table], _load_id(feed, commit.number))
 

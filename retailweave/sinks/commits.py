@@ -8,6 +8,9 @@ next number of the log, so
 * what a broken write left belongs to no record and is not read;
 * a snapshot that lost files, or whose files changed, is refused.
 
+Besides, every folder has a list of the numbers of its commits, so that what is read of the log does not grow with its history. An entry is
+written before its record and counts only if that is there.
+
 One writer at a time writes to a root; two that commit under one number are an error for the second.
 """
 
@@ -16,6 +19,7 @@ from __future__ import annotations
 import json
 import re
 import time
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -58,26 +62,38 @@ def log_of(spark: SparkSession, root: str) -> Folder:
 
 def last_commit(spark: SparkSession, root: str, folder: str | None = None) -> Commit | None:
     """The last commit below ``root``, or the last one of a folder."""
+    if folder is not None:
+        return next(_newest_first(spark, root, folder), None)
     log = log_of(spark, root)
-    for number in reversed(log.names()):
-        record = log.get(number)
-        if folder is None or record["folder"] == folder:
-            return Commit(number, **record)
-    return None
+    names = log.names()
+    return Commit(names[-1], **log.get(names[-1])) if names else None
 
 
 def commits_of(spark: SparkSession, root: str, folder: str) -> list[Commit]:
     """The commits that make up a folder's present content: the last one that replaced it and those that appended since."""
-    log, out = log_of(spark, root), []
-    for number in reversed(log.names()):
-        commit = Commit(number, **log.get(number))
-        if commit.folder == folder:
-            out.append(commit)
-            if commit.mode != "append":
-                break
+    out = []
+    for commit in _newest_first(spark, root, folder):
+        out.append(commit)
+        if commit.mode != "append":
+            break
     return out[::-1]
 
 
+def _entries_of(spark: SparkSession, root: str, folder: str) -> Folder:
+    """The list of a folder's commits: records called ``<number>-<write id>``."""
+    return Folder(spark, f"{log_of(spark, root).path}/folders/{folder}")
+
+
+def _newest_first(spark: SparkSession, root: str, folder: str) -> Iterator[Commit]:
+    """The commits of a folder, each read when it is asked for."""
+    log = log_of(spark, root)
+    # A write that broke off leaves an entry, and the next one may have the same number.
+    for number in dict.fromkeys(name.partition("-")[0] for name in reversed(_entries_of(spark, root, folder).names())):
+        record = log.get(number)
+        if record is not None and record["folder"] == folder:
+            yield Commit(number, **record)
+
+
 def write_committed(df: DataFrame, root: str, folder: str, mode: str = "errorifexists", n_files: int | None = None) -> Commit:
     """Writes ``df`` as the snapshot ``folder`` below ``root``, as ``write_snapshot`` does, and commits it.
 
@@ -100,6 +116,7 @@ def write_committed(df: DataFrame, root: str, folder: str, mode: str = "errorife
         "folder": folder, "write_id": new[0], "mode": mode, "n_files": totals.n, "n_rows": totals.n_rows or 0,
         "n_bytes": totals.n_bytes or 0, "schema": schema, "committed_at": time.time(),
     }
+    _entries_of(spark, root, folder).put(f"{number}-{new[0]}", {})
     log.put(number, record)
     return Commit(number, **record)
 

@@ -11,7 +11,7 @@ columns; the target's number is dealt out to the parts by running sums over them
 from __future__ import annotations
 
 import time
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +32,11 @@ class LoadLedger:
     def has(self, table: str, load_id: str) -> bool:
         return self._folder(table).get(_file_name(load_id)) is not None
 
+    def listed(self, table: str) -> Callable[[str], bool]:
+        """Tells which loads are listed now, by one listing of the folder."""
+        names = set(self._folder(table).names())
+        return lambda load_id: _file_name(load_id) in names
+
     def finished(self, table: str, load_id: str, n_rows: int | None = None) -> None:
         """Lists a load, with the number of rows that it added if that is known."""
         self._folder(table).put(_file_name(load_id), {"load_id": load_id, "n_rows": n_rows, "finished_at": time.time()})

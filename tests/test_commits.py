@@ -104,3 +104,36 @@ def test_records_are_numbered_whole_and_never_replaced(spark, tmp_path):
     with pytest.raises(FileExistsError):
         folder.put("000000000001", {})
     assert sorted(name for name in os.listdir(tmp_path / "r") if name.endswith(".json") and name[0] != ".") == [f"{n:012d}.json" for n in range(3)]
+
+
+def test_a_folders_commits_are_found_without_reading_the_others(spark, root, monkeypatch):
+    for day in range(1, 7):
+        write_committed(spark.range(day), root, f"2024-02-{day:02d}", n_files=1)
+    appended = write_committed(spark.range(9), root, "2024-02-02", "append", n_files=1)
+    read, get = [], Folder.get
+    monkeypatch.setattr(Folder, "get", lambda self, name: read.append(name) or get(self, name))
+    assert last_commit(spark, root, "2024-02-02") == appended and last_commit(spark, root, "2024-02-09") is None
+    assert read == ["000000000006"]
+    assert [commit.n_rows for commit in commits_of(spark, root, "2024-02-02")] == [2, 9]
+    assert read == ["000000000006", "000000000006", "000000000001"]
+
+
+def test_a_write_that_broke_off_before_its_record_is_no_commit(spark, root, monkeypatch):
+    first = write_committed(spark.range(3), root, "2024-02-01")
+    put = Folder.put
+
+    def broken(self, name, record):
+        if record:
+            raise InterruptedError
+        put(self, name, record)
+
+    monkeypatch.setattr(Folder, "put", broken)
+    for folder in ("2024-02-01", "2024-02-02"):
+        with pytest.raises(InterruptedError):
+            write_committed(spark.range(4), root, folder, "append")
+    monkeypatch.undo()
+    assert last_commit(spark, root, "2024-02-01") == first and last_commit(spark, root, "2024-02-02") is None
+    # The next commit has the number of the two that broke off.
+    second = write_committed(spark.range(5), root, "2024-02-01", "append")
+    assert second.number == "000000000001" and last_commit(spark, root, "2024-02-02") is None
+    assert commits_of(spark, root, "2024-02-01") == [first, second]

@@ -83,6 +83,7 @@ def test_a_load_is_appended_once(spark, tmp_path, file_format):
         assert append_new(target, df, "dedup_test", keys, ledger=ledger, load_id="a/2") == 0
         assert counted(target.read(spark, "dedup_test").select("k", "s", "v")) == counted(df)
         assert ledger.has("dedup_test", "a/1") and not ledger.has("dedup_test", "b") and not ledger.has("other", "a/1")
+        assert [ledger.listed(table)(load) for table, load in (("dedup_test", "a/1"), ("dedup_test", "b"), ("other", "a/1"))] == [True, False, False]
     finally:
         spark.sql("DROP TABLE IF EXISTS dedup_test")
 
