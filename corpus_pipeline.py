@@ -28,14 +28,12 @@ def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents in which a language can be told: those with a letter, whether or not any language is known.
 
-    Documents without a language get the predicted one as their ``lang``, by profiles of all that have one; where
-    none has, it stays null. Those with a language keep it, so only the others are compared with the profiles.
+    Every whole text is compared with the profiles of all documents that have a language, or with ``ANY`` where none has.
+    Documents without a language get the predicted one as their ``lang``; those with a language keep it.
     """
     profiles = language.learn(docs)
-    known = F.col("__others")["lang"].isNotNull()
-    rows = packed(docs, "text").withColumn("__unknown", F.when(~known, F.col("__text")))
-    found = language.identify(rows, profiles if profiles.languages else language.ANY, "__unknown", keep=["__others", "__text"])
-    kept = found.where(F.when(known, F.col("__text").rlike(r"\p{L}")).otherwise(F.col("lang_pred") != language.UNKNOWN))
+    found = language.identify(packed(docs, "text"), profiles if profiles.languages else language.ANY, "__text")
+    kept = found.where(F.col("lang_pred") != language.UNKNOWN)
     if profiles.languages:
         lang = F.coalesce(F.col("__others")["lang"], F.col("lang_pred"))
         kept = kept.withColumn("__others", F.col("__others").withField("lang", lang))

@@ -29,7 +29,7 @@ UNKNOWN = "und"
 
 MAX_LANGUAGES = 10_000  # whose profiles are in memory; more values of the language column are an error
 
-SLICE_BYTES = 1 << 19  # of text whose n-grams are in memory at a time, at some 150 bytes for each
+SLICE_BYTES = 1 << 17  # of text whose n-grams are in memory at a time, at some 150 bytes for each
 
 _SALTS = 16
 _FLUSH = 1_000_000

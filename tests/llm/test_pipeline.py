@@ -127,6 +127,24 @@ def test_the_language_stage_fills_in_what_the_profiles_say(spark, monkeypatch):
     assert found == {0: "en", 1: "fr", 10: "fr", 11: "en", 12: "en"}
 
 
+def test_the_language_stage_looks_at_every_whole_text(spark, monkeypatch):
+    """Documents with a language are identified as well, and all of their text is."""
+    schema = spark.read.parquet(f"{SF}/documents.parquet").schema
+    long = "the dog went there " * 50_000 + "le chien"
+    docs = spark.createDataFrame([(1, "the lazy dog", "en", "s", 0), (2, long, "en", "s", 0), (3, "le chien", None, "s", 0), (4, "4", "en", "s", 0), (5, None, "en", "s", 0)], schema)
+    seen = []
+    identify = language.identify
+
+    def watched(df, profiles, text="text", keep=None):
+        seen.extend((row['__others'].doc_id, row.text) for row in df.select("__others", F.col(text).alias("text")).collect())
+        return identify(df, profiles, text, keep)
+
+    monkeypatch.setattr(language, "identify", watched)
+    found = corpus_pipeline.known_language(spark, docs, SF).select("doc_id", "text").collect()
+    assert sorted(seen) == [(1, "the lazy dog"), (2, long), (3, "le chien"), (4, "4"), (5, None)]
+    assert sorted(tuple(row) for row in found) == [(1, "the lazy dog"), (2, long), (3, "le chien")]
+
+
 def test_nothing_else_imports_this_subpackage():
     import pathlib
     import re
