@@ -77,6 +77,10 @@ class Folder:
     def exists(self) -> bool:
         return self._system.exists(self._at())
 
+    def size(self) -> int:
+        """Bytes of all files in the folder."""
+        return self._system.getContentSummary(self._at()).getLength()
+
     def delete(self, name: str = "") -> None:
         self._system.delete(self._at(name), True)
 

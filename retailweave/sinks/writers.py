@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass, field
+from math import ceil
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -11,6 +12,10 @@ from retailweave.sinks.records import Folder
 
 _FILE_FORMATS = ("parquet", "orc", "csv", "json")
 
+# Of a snapshot whose number of files is given. What is smaller is dealt out by a shuffle; what would be larger gets more files.
+SHUFFLED_FILE_BYTES = 32 << 20
+MAX_FILE_BYTES = 1 << 30
+
 # Folders beside the tables, which no table is called like.
 _STAGED, _REPLACED = "_staged", "_replaced"
 
@@ -24,10 +29,31 @@ def write_snapshot(df: DataFrame, path: str, mode: str = "errorifexists", n_file
     """Write ``df`` as Parquet.
 
     By default every task writes its own file and nothing is shuffled.
-    ``n_files`` collects the rows in that many files; 1 sends the whole table
-    through one task, so keep it for small tables.
+    ``n_files`` collects the rows in that many files, or in as many more as keep each below about ``MAX_FILE_BYTES``, since
+    one task writes a file. The rows are written by all tasks first, to a folder beside ``path`` that goes at the end, and the
+    files are made of these: compressed columns are a fraction of the same rows in a shuffle.
     """
-    spread(df, n_files).write.mode(mode).parquet(path)
+    present = mode not in ("append", "overwrite") and n_files is not None and Folder(df.sparkSession, path).exists()
+    if n_files is None or present:
+        df.write.mode(mode).parquet(path)
+        return
+    above, slash, _ = path.rstrip("/").rpartition("/")
+    parts = Folder(df.sparkSession, f"{above}{slash}_parts-{uuid.uuid4().hex}")
+    try:
+        df.write.option("compression", "zstd").parquet(parts.path)
+        rows = df.sparkSession.read.schema(df.schema).parquet(parts.path)
+        _gathered(rows, n_files, parts.size()).write.mode(mode).parquet(path)
+    finally:
+        parts.delete()
+
+
+def _gathered(rows: DataFrame, n_files: int, n_bytes: int) -> DataFrame:
+    """``rows`` of a table of ``n_bytes`` in ``n_files`` partitions, or more of about ``MAX_FILE_BYTES``."""
+    n = max(n_files, ceil(n_bytes / MAX_FILE_BYTES))
+    # Where each file gets several splits of the table, these are even enough.
+    if n_bytes > n * SHUFFLED_FILE_BYTES and rows.rdd.getNumPartitions() >= 2 * n:
+        return rows.coalesce(n)
+    return spread(rows, n)
 
 
 @dataclass(frozen=True)

@@ -5,6 +5,7 @@ from types import SimpleNamespace
 import pytest
 from pyspark.errors import AnalysisException
 
+from retailweave.sinks import writers
 from retailweave.sinks.scratch import run_folder, work_folder, written
 from retailweave.sinks.writers import Warehouse, spread, write_snapshot
 
@@ -37,6 +38,22 @@ def test_number_of_files(spark, tmp_path, plan):
     assert "RoundRobinPartitioning(8)" in plan(spread(df, 8))
 
 
+def test_large_snapshots_get_their_files_without_a_shuffle(spark, tmp_path, plan, monkeypatch):
+    """As many files as asked, made of the splits of a table, and more where files would be too large."""
+    monkeypatch.setattr(writers, "SHUFFLED_FILE_BYTES", 0)
+    made, gathered = writers._gathered, []
+    monkeypatch.setattr(writers, "_gathered", lambda *args: gathered.append(made(*args)) or gathered[-1])
+    df = spark.range(0, 1000, 1, 16)
+    write_snapshot(df, str(tmp_path / "s"), n_files=4)
+    assert len(list((tmp_path / "s").glob("*.parquet"))) == 4
+    assert "Exchange" not in plan(gathered[0]) and "Coalesce" in plan(gathered[0])
+    monkeypatch.setattr(writers, "MAX_FILE_BYTES", 3000)
+    write_snapshot(df, str(tmp_path / "t"), n_files=1)
+    assert len(list((tmp_path / "t").glob("*.parquet"))) > 1
+    assert rows(spark.read.parquet(str(tmp_path / "s"))) == rows(spark.read.parquet(str(tmp_path / "t"))) == rows(df)
+    assert sorted(os.listdir(tmp_path)) == ["s", "t"]
+
+
 @pytest.mark.parametrize("file_format", ["parquet", "orc", "json"])
 def test_file_tables(spark, tmp_path, file_format):
     target = Warehouse(file_format, {"path": str(tmp_path)})
