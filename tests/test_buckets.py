@@ -52,6 +52,16 @@ def test_rows_equal_the_plain_join(spark, pair, plan, hot):
     assert "Exchange hashpartitioning" not in plan(df) and ("Union" in plan(df)) is bool(hot)
 
 
+def test_a_hot_key_is_written_by_several_tasks(spark, pair, monkeypatch):
+    """To files of its own, each of fewer rows than a bucket may have, which the merge passes over."""
+    monkeypatch.setattr(joins, "HOT_ROWS", 1)
+    names = pair(facts(spark, 4), dimension(spark))
+    files = spark.table(names[0]).groupBy("_metadata.file_path").agg(F.count("*").alias("n"), F.collect_set("k").alias("keys")).collect()
+    hot = [file for file in files if 3 in file["keys"]]
+    assert len(hot) > 1 and all(file["keys"] == [3] for file in hot) and max(file.n for file in files) < 1000
+    assert bucketed_join(spark, *names, "k").where("k = 3").count() == 2 * sum(file.n for file in hot)
+
+
 def test_tables_in_other_buckets_are_an_error(spark, pair):
     with pytest.raises(ValueError, match="buckets"):
         bucketed_join(spark, *pair(facts(spark, 0), dimension(spark), (6, 4)), "k")
