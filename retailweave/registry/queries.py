@@ -19,7 +19,7 @@ from retailweave.registry import fixtures
 from retailweave.registry.fixtures import articles, customers, hot_transactions, transactions
 from retailweave.sinks.commits import write_committed
 from retailweave.sinks.deduplicated import LoadLedger, append_new
-from retailweave.sinks.scratch import work_folder
+from retailweave.sinks.scratch import work_folder, written
 from retailweave.sinks.writers import Warehouse, spread, write_snapshot
 from retailweave.sources.drift import read_history
 from retailweave.sources.quarantine import read_csv_quarantined
@@ -159,7 +159,7 @@ def snk_append_deduplicated(spark, sf_dir):
     """Transactions appended in part, then as a whole, then by two live loads of one id: every row is there as often as in the source."""
     folder = work_folder(spark)
     target, ledger = Warehouse("parquet", {"path": folder}), LoadLedger(spark, f"{folder}/_loads")
-    source = cln_transactions(spark, sf_dir)
+    source = entities.clean_transactions(written(transactions(spark, sf_dir)))
     keys = ["t_dat", "customer_id", "article_id", "price"]
     append_new(target, source.where("price > 30000 or article_id % 7 = 0"), "transactions", keys)
     append_new(target, source, "transactions", keys, within="t_dat")

@@ -4,8 +4,10 @@ Rows need no unique key: a customer may buy an article twice a day. So what is a
 the rows of a batch with the same values in the key columns, as many are left out as the target has with those
 values. A batch that is appended twice adds nothing the second time, and one that was appended in part adds the rest.
 
-Nothing is collected, and no key's rows have to fit anywhere. Rows of a key are cut into parts by a hash of their other
-columns; the target's number is dealt out to the parts by running sums over them, and each part numbers its own rows.
+Nothing is collected, and no key's rows have to fit anywhere. The rows of the batch and the target's numbers are shuffled once,
+by key, and numbered there. Hot keys, of which a sketch of the batch tells, are taken out: their rows are cut into parts by a hash of their
+columns; the target's number is dealt out to the parts by running sums over them, and each part numbers its own rows. The order of a key's rows is
+the same in both cases.
 """
 
 from __future__ import annotations
@@ -17,10 +19,11 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from retailweave.operators.joins import hot_keys
 from retailweave.sinks.records import Folder
 from retailweave.sinks.writers import Warehouse
 
-PARTS = 64  # of the rows of a key
+PARTS = 64  # of the rows of a hot key
 
 
 class LoadLedger:
@@ -63,11 +66,31 @@ def missing_rows(batch: DataFrame, target: DataFrame, keys: Sequence[str], withi
     # Structs compare their nulls as equal.
     key = F.struct(*(F.col(_quoted(name)).alias(f"k{i}") for i, name in enumerate(keys)))
     own = F.struct(*(F.col(_quoted(name)).cast(batch.schema[name].dataType).alias(f"k{i}") for i, name in enumerate(keys)))
-    row = F.xxhash64(*(_hashable(batch, name) for name in batch.columns))
-    tagged = batch.select(
-        "*", key.alias("__key"), row.alias("__row"), F.pmod(F.xxhash64(F.lit(1), row), F.lit(PARTS)).cast("int").alias("__part")
-    )
     held = target.select(own.alias("of")).groupBy("of").agg(F.count("*").alias("held"))
+    # The key's columns go through shuffles once, as the struct.
+    of_key = {name: F.col("__key")[f"k{i}"].alias(name) for i, name in enumerate(keys)}
+    narrow = batch.select(key.alias("__key"), *(_quoted(name) for name in batch.columns if name not in of_key))
+
+    def whole(rows: DataFrame, *more: str) -> DataFrame:
+        """With the columns of the batch, and the number of each row's part and the hash by which rows of a part are ordered."""
+        rows = rows.select(*(of_key.get(name, F.col(_quoted(name))) for name in batch.columns), "__key", *more)
+        rows = rows.withColumn("__row", F.xxhash64(*(_hashable(batch, name) for name in batch.columns)))
+        return rows.withColumn("__part", F.pmod(F.xxhash64(F.lit(1), "__row"), F.lit(PARTS)).cast("int"))
+
+    def of_cold(rows: DataFrame, held: DataFrame) -> DataFrame:
+        matched = whole(rows.join(held, F.col("__key") == F.col("of"), "left"), "held")
+        nth = F.row_number().over(W.partitionBy("__key").orderBy("__part", "__row"))
+        return matched.withColumn("__nth", nth).where("__nth > coalesce(held, 0)").select(*(_quoted(name) for name in batch.columns))
+
+    found = list(hot_keys(narrow, {"key": F.xxhash64("__key")})["key"])
+    if not found:
+        return of_cold(narrow, held)
+    cold = of_cold(narrow.where(~F.xxhash64("__key").isin(found)), held.where(~F.xxhash64("of").isin(found)))
+    return cold.unionByName(_of_hot(whole(narrow.where(F.xxhash64("__key").isin(found))), held.where(F.xxhash64("of").isin(found)), batch.columns))
+
+
+def _of_hot(tagged: DataFrame, held: DataFrame, names: Sequence[str]) -> DataFrame:
+    """The missing rows of keys that are too many for one task each."""
     counts = tagged.groupBy("__key", "__part").agg(F.count("*").alias("n"))
     # At most PARTS rows for each key.
     parts = W.partitionBy("__key").orderBy("__part").rowsBetween(W.unboundedPreceding, -1)
@@ -79,7 +102,7 @@ def missing_rows(batch: DataFrame, target: DataFrame, keys: Sequence[str], withi
     )
     matched = tagged.join(left_out, (F.col("__key") == F.col("__of")) & (F.col("__part") == F.col("__of_part")), "left")
     nth = F.row_number().over(W.partitionBy("__key", "__part").orderBy("__row"))
-    return matched.withColumn("__nth", nth).where("__nth > coalesce(__out, 0)").select(*(_quoted(name) for name in batch.columns))
+    return matched.withColumn("__nth", nth).where("__nth > coalesce(__out, 0)").select(*(_quoted(name) for name in names))
 
 
 def _between(target: DataFrame, batch: DataFrame, column: str, keys: set[str]) -> DataFrame:

@@ -3,8 +3,10 @@ from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
-from retailweave.sinks.deduplicated import LoadLedger, append_new, missing_rows
+from retailweave.operators import joins
+from retailweave.sinks.deduplicated import PARTS, LoadLedger, append_new, missing_rows
 from retailweave.sinks.writers import Warehouse
 
 SCHEMA = "k int, s string, v double"
@@ -46,6 +48,26 @@ def test_a_hot_key_is_numbered_in_parts(spark):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
+def test_rows_are_shuffled_once(spark, plan):
+    """The batch's rows and the target's numbers of them."""
+    df = spark.range(500).selectExpr("id AS k", "'x' AS s", "1.0D AS v")
+    text = plan(missing_rows(df, df.where("k % 3 = 0"), ["k", "s"]))
+    assert text.count("Exchange hashpartitioning") == 2
+
+
+@pytest.mark.parametrize("hot_rows", [1, 10**9])
+def test_hot_keys_leave_out_the_same_rows(spark, monkeypatch, hot_rows):
+    """By the order of parts and hashes, whatever counts as hot."""
+    monkeypatch.setattr(joins, "HOT_ROWS", hot_rows)
+    df = spark.range(3000).selectExpr("IF(id % 2 = 0, 7L, id % 40) AS k", "CAST(id % 300 AS STRING) AS s", "id % 11 AS v").repartition(4)
+    target = df.where("v < 5").repartition(3)
+    row = F.xxhash64("k", "s", "v")
+    order = W.partitionBy("k").orderBy(F.pmod(F.xxhash64(F.lit(1), row), F.lit(PARTS)), row)
+    held = target.groupBy(F.col("k").alias("of")).count()
+    expected = df.withColumn("nth", F.row_number().over(order)).join(held, F.col("k") == F.col("of"), "left").where("nth > coalesce(count, 0)")
+    assert counted(missing_rows(df, target, ["k"])) == counted(expected.select("k", "s", "v"))
+
+
 def test_the_target_is_read_within_the_batch(spark, tmp_path, plan):
     spark.range(1000).selectExpr("id AS k", "'x' AS s", "1.0D AS v").write.parquet(str(tmp_path / "t"))
     target = spark.read.parquet(str(tmp_path / "t"))
