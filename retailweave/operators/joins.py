@@ -68,7 +68,7 @@ def star_join(
     """
     if strategy not in STRATEGIES:
         raise ValueError(f"unknown join strategy {strategy!r}")
-    keys, columns = _output_columns(fact, dimensions)
+    keys, columns = output_columns(fact, dimensions)
     sides = [_Side.of(i, fact, dimension, key) for i, (dimension, key) in enumerate(dimensions)]
     small = _fitting([side.dimension for side in sides], max_broadcast_bytes) if strategy == "broadcast" else set()
     if accounts is not None:
@@ -354,7 +354,7 @@ def _row_bytes(df: DataFrame) -> Column:
     return size
 
 
-def _output_columns(fact: DataFrame, dimensions: Sequence[tuple[DataFrame, str]]) -> tuple[list[str], list[str]]:
+def output_columns(fact: DataFrame, dimensions: Sequence[tuple[DataFrame, str]]) -> tuple[list[str], list[str]]:
     """The keys and the other columns in output order; an error names those that occur twice."""
     distinct = {key.lower(): key for _, key in reversed(dimensions)}
     names = [name for name in fact.columns if name.lower() not in distinct]

@@ -9,14 +9,14 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, field
-from functools import partial
+from functools import cache, partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retailweave.functions import statistics
 from retailweave.operators import entities
-from retailweave.operators.joins import MAX_BROADCAST_BYTES, star_join
+from retailweave.operators.joins import MAX_BROADCAST_BYTES, output_columns, star_join
 from retailweave.plans.steps import CommittedTarget, FileTarget, Ledger, Steps, Target, UnknownTarget
 from retailweave.plans.watermarks import Watermark, extract_new, pending
 from retailweave.sinks.commits import read_commit, write_committed
@@ -153,27 +153,33 @@ def load(spark: SparkSession, jobs: Jobs, feed: str, steps: Steps | None = None)
     steps, modes = steps or Steps(), TABLE_MODES[feed]
     roots = {entity: feed_path(jobs.lake, entity, feed) for entity in ENTITIES}
     raw = {entity: read_newest(spark, root, jobs.snapshot_scope) for entity, root in roots.items()}
-    customers, articles, transactions = clean_all(*(raw[entity] for entity in ENTITIES))
+    customers, articles = entities.clean_customers(raw["Customers"]), entities.clean_articles(raw["Articles"])
     incremental = feed == LIVE and "Transactions" in jobs.watermarks
+    dimensions = [(customers, "customer_id"), (articles, "article_id")]
 
-    def joined(facts: DataFrame) -> DataFrame:
-        return star_join(
-            spread(facts, jobs.fact_partitions),
-            [(customers, "customer_id"), (articles, "article_id")],
-            jobs.join_strategy,
-            jobs.max_broadcast_bytes,
-        )
+    def joined(facts: DataFrame, clean: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        """Cleaned behind the join, so that the columns which cleaning adds are not shuffled for it."""
+        keys, others = output_columns(clean(facts), dimensions)
+        rows = star_join(spread(facts, jobs.fact_partitions), dimensions, jobs.join_strategy, jobs.max_broadcast_bytes)
+        return clean(rows).select(*keys, *others)
+
+    @cache
+    def with_channel() -> Callable[[DataFrame], DataFrame]:
+        """Cleans facts of the newest snapshot by its most frequent channel, which is fetched once, if a table is to be written that needs it."""
+        found = statistics.mode(raw["Transactions"], "sales_channel_id").first()
+        return partial(entities.clean_transactions, channel_mode=F.lit(found and found[0]))
 
-    def append(table: str, made: Callable[[DataFrame], DataFrame]) -> None:
+    def append(table: str, made: Callable[[DataFrame, Callable[[DataFrame], DataFrame]], DataFrame]) -> None:
         """The rows of the facts, or of the snapshots of facts that no load took, one load for each."""
         if not incremental:
-            _write(spark, jobs, made(transactions), table, modes[table], None)
+            _write(spark, jobs, made(raw["Transactions"], with_channel()), table, modes[table], None)
             return
         loads = LoadLedger(spark, f"{jobs.ledger}/loads")
         listed = loads.listed(table)
         for commit in pending(spark, roots["Transactions"], lambda number: listed(_load_id(feed, number))):
-            rows = entities.clean_transactions(read_commit(spark, roots["Transactions"], commit))
-            _write(spark, jobs, made(rows), table, modes[table], _load_id(feed, commit.number))
+            rows = read_commit(spark, roots["Transactions"], commit)
+            clean = partial(entities.clean_transactions, channel_mode=statistics.mode(rows, "sales_channel_id").scalar())
+            _write(spark, jobs, made(rows, clean), table, modes[table], _load_id(feed, commit.number))
 
     with _kept(customers), _kept(articles):
         for name, frame in (("customers", customers), ("articles", articles)):
@@ -182,7 +188,7 @@ def load(spark: SparkSession, jobs: Jobs, feed: str, steps: Steps | None = None)
         target = None if incremental else _target(spark, jobs, "warehouse", modes["warehouse"])
         steps.run("load-warehouse", lambda: append("warehouse", joined), target)
     target = None if incremental else _target(spark, jobs, "transactions", modes["transactions"])
-    steps.run("load-transactions", lambda: append("transactions", lambda facts: facts), target)
+    steps.run("load-transactions", lambda: append("transactions", lambda facts, clean: clean(facts)), target)
 
 
 def _load_id(feed: str, commit: str) -> str:

@@ -126,6 +126,18 @@ def test_layout_and_join_options_change_no_row(spark, jobs, tmp_path, options):
     assert all(rows(result[name]) == rows(expected[name]) for name in expected)
 
 
+def test_facts_are_joined_before_they_are_cleaned(spark, jobs, monkeypatch):
+    """So that only the snapshot's columns are shuffled; the warehouse has the columns of a join of cleaned facts."""
+    joined, join = [], plans.star_join
+    monkeypatch.setattr(plans, "star_join", lambda facts, *args: joined.append(facts.columns) or join(facts, *args))
+    run_historic(spark, jobs, "2024-01-31")
+    assert joined == [["t_dat", "customer_id", "article_id", "sales_channel_id"]]
+    written = tables(spark, jobs)
+    cleaned = [written["customers"], written["articles"], written["transactions"]]
+    expected = join(cleaned[2], [(cleaned[0], "customer_id"), (cleaned[1], "article_id")])
+    assert written["warehouse"].columns == expected.columns and rows(written["warehouse"]) == rows(expected)
+
+
 def test_fills_come_from_the_feed_alone(spark, jobs):
     run_historic(spark, jobs, "2024-01-31")
     run_live(spark, jobs, "2024-01-31")
